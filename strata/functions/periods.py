@@ -115,13 +115,13 @@ def from_epoch(col: Column, unit: str = "s") -> Column:
         raise ValueError(f"unit must be one of {sorted(_EPOCH_UNITS)}, got {unit!r}")
     spark_unit, div = _EPOCH_UNITS[unit]
     amount = col.cast("bigint") if div == 1 else F.floor(col.cast("bigint") / F.lit(div))
-    return F.timestampadd(spark_unit, amount, F.expr(EPOCH_NTZ))
+    return F.timestamp_add(spark_unit, amount, F.expr(EPOCH_NTZ))
 
 
 def epoch_micros(col: Column, dtype: T.DataType) -> Column:
     """Microseconds since the Unix epoch of a date/timestamp column (UTC)."""
     if isinstance(dtype, T.TimestampNTZType):
-        return F.timestampdiff("MICROSECOND", F.expr(EPOCH_NTZ), col)
+        return F.timestamp_diff("MICROSECOND", F.expr(EPOCH_NTZ), col)
     if isinstance(dtype, T.TimestampType):
         return F.unix_micros(col)
     if isinstance(dtype, T.DateType):
@@ -186,14 +186,14 @@ def as_wall_clock(col: Column, dtype: T.DataType, unit: str | None = None) -> Co
 # --------------------------------------------------------------------------
 
 def _micros(ts: Column) -> Column:
-    return F.timestampdiff("MICROSECOND", F.expr(EPOCH_NTZ), ts)
+    return F.timestamp_diff("MICROSECOND", F.expr(EPOCH_NTZ), ts)
 
 
 def _floor_fixed(ts: Column, width_micros: int, anchor_micros: int) -> Column:
     """Start of the fixed-width bin holding ``ts``; bins start at ``anchor``."""
     rel = _micros(ts) - F.lit(anchor_micros)
     start = F.floor(rel / F.lit(width_micros)).cast("bigint") * F.lit(width_micros) + F.lit(anchor_micros)
-    return F.timestampadd("MICROSECOND", start, F.expr(EPOCH_NTZ))
+    return F.timestamp_add("MICROSECOND", start, F.expr(EPOCH_NTZ))
 
 
 def _week_end(d: Column, weekday: int) -> Column:

@@ -48,14 +48,19 @@ def profile_table(store: DataFrame, quantiles: Sequence[float] = DEFAULT_QUANTIL
 def exact_metrics(store: DataFrame, key_formats: dict[str, str] | None = None,
                   digits: int = 4) -> DataFrame:
     """The deterministic part of a store, keys printed as text and moments
-    rounded: what an exact SQL engine can reproduce."""
+    rounded: what an exact SQL engine can reproduce.
+
+    The mean is published as ``total = round(mean * count, 2)``: data on a
+    decimal grid (prices, integers, lengths) makes means land exactly on
+    rounding ties, while sums stay far from them.
+    """
     key_formats = key_formats or {}
     keys = [F.date_format(k, key_formats[k]).alias(k) if k in key_formats else F.col(k)
             for k in key_columns(store)]
     return store.select(
         *keys, "column", "type_class", "n", "nonnull", "null", "nan", "inf",
         "min_i", "max_i", "min_d", "max_d", "min_s", "max_s",
-        F.round("mom_mean", digits).alias("mean"),
+        F.round(F.col("mom_mean") * F.col("mom_n"), 2).alias("total"),
         F.round(_stddev(), digits).alias("stddev"),
     )
 
