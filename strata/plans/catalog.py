@@ -9,6 +9,8 @@ exactly.
 from __future__ import annotations
 
 import datetime as dt
+import os
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,7 +26,9 @@ from strata.operators.profile import PERIOD_COLUMN, profile, with_period
 from strata.operators.views import exact_metrics, frequent_items, profile_size
 from strata.plans.accuracy import global_sketch_accuracy
 from strata.plans.oracle import TABLE_COLUMNS, count_sql, label_sql, profile_sql, q
-from strata.sources.tables import read_input, read_table, register_tables
+from strata.session import checkpoint_root
+from strata.sources.tables import read_input, read_table, register_tables, table_path
+from strata.streaming.panes import merge_panes, profile_stream
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -336,6 +340,21 @@ def profile_size_q(spark, d):
     return _label_text(profile_size(store), "M")
 
 
+@register("stream_panes_by_day",
+          profile_sql("events", [(PERIOD_COLUMN, label_sql("D", "ts"))], where="ts IS NOT NULL"))
+def stream_panes_by_day(spark, d):
+    """Replay ``events`` as a file stream (one file per trigger), profile each
+    micro-batch as a discarding pane, merge the panes on read."""
+    schema = spark.read.parquet(table_path(d, "events")).schema
+    stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
+              .parquet(os.path.join(d, "{events}.parquet")))
+    out = f"{checkpoint_root(spark)}/strata-panes-{uuid.uuid4().hex}"
+    q = profile_stream(stream, out, "ts", "D", checkpoint=f"{out}/_checkpoint",
+                       trigger={"availableNow": True})
+    q.awaitTermination()
+    return exact_metrics(merge_panes(spark, out), _fmt("D"))
+
+
 def queries() -> dict[str, QueryFn]:
     return dict(QUERIES)
 

@@ -112,4 +112,7 @@ def enforce_schema(df: DataFrame, schema: T.StructType | str) -> DataFrame:
     fails at analysis time when a column is missing or cannot be cast safely."""
     if isinstance(schema, str):
         schema = T._parse_datatype_string(schema)
+    missing = [f.name for f in schema.fields if f.name not in df.columns]
+    if missing:
+        raise ValueError(f"columns missing from the input: {missing}")
     return df.to(schema)

@@ -1,0 +1,8 @@
+"""Structured Streaming: profile panes per micro-batch, merged on read."""
+
+from strata.streaming.panes import (
+    PaneWriter, merge_panes, pane_report, parse_lateness, profile_stream, read_panes,
+)
+
+__all__ = ["PaneWriter", "merge_panes", "pane_report", "parse_lateness", "profile_stream",
+           "read_panes"]
