@@ -15,20 +15,28 @@ The salt keeps a hot period (or a global profile) from landing on a single
 reducer: each (period, salt) reducer merges only the partial rows of the
 tasks with that salt, and the final merge of a (period, column) sees at most
 ``fanout`` rows.  Rows are never exploded per column; only aggregated rows are.
+
+The tree depth follows the input width P (number of input partitions): a
+reducer of a plain ``groupBy(period)`` merges at most P partial rows, so for
+P <= ``SINGLE_LEVEL_MAX`` one level is enough and the unpivoted rows are the
+store.  Wider inputs use the salted tree with ``fanout = ceil(sqrt(P))``, so
+both levels merge about sqrt(P) partial rows per group.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.functions.metrics import SketchConfig, column_aggregates, unpivot_struct
+from strata.functions.metrics import METRIC_COLUMNS, SketchConfig, column_aggregates, unpivot_struct
 from strata.functions.periods import EPOCH_NTZ, as_wall_clock, period_label
 from strata.operators.merge import merge_profiles
 
-DEFAULT_FANOUT = 64
+# Largest input width merged in one level (reducer fan-in bound).
+SINGLE_LEVEL_MAX = 64
 
 PERIOD_COLUMN = "dataset_ts"
 
@@ -57,16 +65,35 @@ def with_period(df: DataFrame, date_column: str, freq: str = "D", *, unit: str |
     return df.withColumn(out, label)
 
 
+def spread_narrow_input(df: DataFrame) -> DataFrame:
+    """Round-robin an input that has fewer partitions than the cluster has
+    task slots (one unsplittable file, one Parquet row group, a small
+    query result) so the sketch-heavy map side runs on every core.  Inputs
+    with enough splits -- anything large -- are left untouched: no shuffle."""
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < slots:
+        return df.repartition(slots)
+    return df
+
+
+def tree_fanout(partitions: int) -> int:
+    """Salt width for an input of ``partitions`` partitions (1 = no salt)."""
+    if partitions <= SINGLE_LEVEL_MAX:
+        return 1
+    return math.ceil(math.sqrt(partitions))
+
+
 def profile(df: DataFrame, date_column: str | None = None, freq: str = "D", *,
             by: str | Sequence[str] | None = None, columns: Iterable[str] | None = None,
             unit: str | None = None, null_dates: str = "drop", anchor: str | None = None,
-            fanout: int = DEFAULT_FANOUT, sketches: SketchConfig | None = None) -> DataFrame:
+            fanout: int | None = None, sketches: SketchConfig | None = None) -> DataFrame:
     """Profile every column of ``df``: per period of ``date_column`` at
     frequency ``freq``, per value of the ``by`` columns, or globally.
 
     Returns the long profile store: key columns (``dataset_ts`` and/or the
     ``by`` columns), then ``METRIC_COLUMNS``; one row per key and column.
     The date column itself is profiled too unless ``columns`` says otherwise.
+    ``fanout`` overrides the salt width of the aggregation tree (see module doc).
     """
     cfg = sketches or SketchConfig()
     by_cols = [by] if isinstance(by, str) else list(by or [])
@@ -75,28 +102,37 @@ def profile(df: DataFrame, date_column: str | None = None, freq: str = "D", *,
     missing = [c for c in names + by_cols if c not in schema]
     if missing:
         raise ValueError(f"unknown columns: {missing}")
-    if fanout < 1:
+    if fanout is not None and fanout < 1:
         raise ValueError("fanout must be >= 1")
 
     keys: list[str] = []
-    src = df
+    src = spread_narrow_input(df)
+    if fanout is None:
+        fanout = tree_fanout(src.rdd.getNumPartitions())
     if date_column is not None:
         src = with_period(src, date_column, freq, unit=unit, null_dates=null_dates, anchor=anchor)
         keys.append(PERIOD_COLUMN)
     keys += by_cols
-    src = src.withColumn("__salt", F.pmod(F.spark_partition_id(), F.lit(fanout)))
+    group = list(keys)
+    if fanout > 1:
+        src = src.withColumn("__salt", F.pmod(F.spark_partition_id(), F.lit(fanout)))
+        group.append("__salt")
 
     aggs = [F.count(F.lit(1)).alias("__n")]
     for i, name in enumerate(names):
         aggs += column_aggregates(name, schema[name], f"__c{i}_", cfg)
-    wide = src.groupBy(*keys, "__salt").agg(*aggs)
-    if not keys:
+    wide = src.groupBy(*group).agg(*aggs)
+    if not keys and fanout > 1:
         # A global profile of an empty input still lists every column (n = 0):
         # add the aggregate's identity row; Catalyst folds it to a local row.
+        # (Without a salt, the global aggregate yields that row by itself.)
         empty = src.where(F.lit(False)).groupBy().agg(*aggs).withColumn("__salt", F.lit(-1))
         wide = wide.unionByName(empty)
     available = set(wide.columns)
     structs = [unpivot_struct(name, schema[name], f"__c{i}_", "__n", available, cfg)
                for i, name in enumerate(names)]
     long = wide.select(*keys, F.inline(F.array(*structs)))
+    if fanout == 1:
+        # one level: (keys, column) is already unique
+        return long.select(*keys, *METRIC_COLUMNS)
     return merge_profiles(long, keys=keys, sketches=cfg)

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from strata.functions.metrics import SketchConfig
 from strata.functions.periods import parse_frequency
-from strata.operators.profile import DEFAULT_FANOUT, profile
+from strata.operators.profile import profile
 from strata.operators.views import profile_table
 from strata.sinks.writers import RowWriter, fan_out, write_each
 from strata.sources.tables import read_input
@@ -24,7 +24,7 @@ def profile_job(spark: SparkSession, input: str | None = None, *, table: str | N
                 date_column: str | None = None, freq: str = "D", output: str | None = None,
                 writer: RowWriter | None = None, dataset_id: str = "dataset",
                 columns: Sequence[str] | None = None, unit: str | None = None,
-                null_dates: str = "drop", fanout: int = DEFAULT_FANOUT,
+                null_dates: str = "drop", fanout: int | None = None,
                 sketches: SketchConfig | None = None, readable: bool = False) -> DataFrame:
     """Profile one input per period of ``date_column`` (globally without it).
 

@@ -21,16 +21,30 @@ from strata.operators.profile import PERIOD_COLUMN
 PARTITION_COLUMN = "period"
 
 
-def write_profiles(store: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Write a store as Parquet.  Periodic stores are partitioned by a text
-    ``period`` column with exactly one file per period."""
-    if PERIOD_COLUMN in store.columns:
-        part = F.date_format(PERIOD_COLUMN, "yyyy-MM-dd'T'HH-mm-ss")
-        (store.withColumn(PARTITION_COLUMN, part)
-         .repartition(PARTITION_COLUMN)
-         .write.mode(mode).partitionBy(PARTITION_COLUMN).parquet(path))
-    else:
-        store.coalesce(1).write.mode(mode).parquet(path)
+_LAYOUTS = {"month": "yyyy-MM", "period": "yyyy-MM-dd'T'HH-mm-ss"}
+
+
+def write_profiles(store: DataFrame, path: str, mode: str = "overwrite",
+                   layout: str = "month") -> None:
+    """Write a store as Parquet.
+
+    ``layout='month'`` (default): one directory and one file per calendar
+    month of ``dataset_ts``, rows sorted by period, so reading a date range
+    prunes directories and row groups without a small file per day.
+    ``layout='period'``: one directory and one file per period (one profile
+    per file, as the reference writes them; fine for coarse frequencies).
+    ``layout='flat'``: plain files.  Stores without a period are written flat.
+    """
+    if layout not in ("month", "period", "flat"):
+        raise ValueError("layout must be 'month', 'period' or 'flat'")
+    if PERIOD_COLUMN not in store.columns or layout == "flat":
+        store.write.mode(mode).parquet(path)
+        return
+    part = F.date_format(PERIOD_COLUMN, _LAYOUTS[layout])
+    (store.withColumn(PARTITION_COLUMN, part)
+     .repartition(PARTITION_COLUMN)
+     .sortWithinPartitions(PERIOD_COLUMN, "column")
+     .write.mode(mode).partitionBy(PARTITION_COLUMN).parquet(path))
 
 
 def read_profiles(spark: SparkSession, path: str) -> DataFrame:

@@ -61,7 +61,7 @@ def test_partitioned_store_one_file_per_period(spark, tmp_dir):
     events = spark.read.parquet(f"{SF001}/events.parquet")
     store = profile(events, "ts", "D")
     out = os.path.join(tmp_dir, "store")
-    write_profiles(store, out)
+    write_profiles(store, out, layout="period")
     dirs = glob.glob(os.path.join(out, "period=*"))
     assert len(dirs) == store.select("dataset_ts").distinct().count()
     assert all(len(glob.glob(os.path.join(d, "*.parquet"))) == 1 for d in dirs)
@@ -70,6 +70,10 @@ def test_partitioned_store_one_file_per_period(spark, tmp_dir):
         sorted(map(tuple, exact_metrics(store).collect()))
     # sketches survive the round trip: merging the read copy with itself works
     assert merge_stores([back, back]).count() == store.count()
+    monthly = os.path.join(tmp_dir, "monthly")
+    write_profiles(store, monthly)
+    assert len(glob.glob(os.path.join(monthly, "period=*"))) == 1  # events span one month... or two
+    assert read_profiles(spark, monthly).count() == store.count()
 
 
 def test_text_sink_and_writer(spark, tmp_dir):
