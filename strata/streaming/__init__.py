@@ -1,8 +1,10 @@
-"""Structured Streaming: profile panes per micro-batch, merged on read."""
+"""Structured Streaming: profile panes per micro-batch (merged on read) and
+size-bounded batches per key with a processing-time flush."""
 
+from strata.streaming.batches import stream_group_into_batches
 from strata.streaming.panes import (
     PaneWriter, merge_panes, pane_report, parse_lateness, profile_stream, read_panes,
 )
 
 __all__ = ["PaneWriter", "merge_panes", "pane_report", "parse_lateness", "profile_stream",
-           "read_panes"]
+           "read_panes", "stream_group_into_batches"]

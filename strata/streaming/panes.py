@@ -7,9 +7,13 @@ mergeable, the merged panes equal the profile of all rows seen.
 
 * Exactly once: a replayed micro-batch rewrites its own ``pane=<id>``
   directory (overwrite), so retries never duplicate a pane.
-* Early firing: the trigger decides pane size -- ``processingTime`` for the
-  time part, the source's ``maxFilesPerTrigger`` / ``maxOffsetsPerTrigger``
-  for the count part.
+* Early firing: by default the trigger decides pane size -- ``processingTime``
+  for the time part, the source's ``maxFilesPerTrigger`` /
+  ``maxOffsetsPerTrigger`` for the count part.  With ``pane_rows`` panes are
+  exact per period: a pane closes after ``pane_rows`` rows of one period or
+  after ``pane_wait`` of processing time, whichever comes first (rows are
+  batched per period by ``stream_group_into_batches`` and profiled per
+  ``(period, batch_id)``).
 * Late data: there is no implicit rule.  With ``lateness`` (e.g.
   ``"2 days"``) rows older than ``max event time of earlier panes - lateness``
   are dropped and counted per pane in ``<path>/meta``; without it nothing is
@@ -28,7 +32,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from strata.functions.periods import as_wall_clock
 from strata.operators.merge import merge_profiles
-from strata.operators.profile import profile
+from strata.operators.profile import PERIOD_COLUMN, profile, with_period
+from strata.streaming.batches import stream_group_into_batches
 
 _LATENESS_RE = re.compile(r"^\s*(\d+)\s*(second|minute|hour|day|week)s?\s*$", re.I)
 
@@ -45,8 +50,10 @@ class PaneWriter:
     """``foreachBatch`` function: profile one micro-batch into one pane."""
 
     def __init__(self, path: str, date_column: str, freq: str = "D", *,
-                 lateness: str | None = None, **profile_kwargs):
+                 lateness: str | None = None, batch_column: str | None = None,
+                 **profile_kwargs):
         self.path = path.rstrip("/")
+        self.batch_column = batch_column
         self.date_column = date_column
         self.freq = freq
         self.lateness = parse_lateness(lateness) if lateness else None
@@ -86,7 +93,12 @@ class PaneWriter:
                              F.count_if(late).alias("late_rows")).first()
             self._max_event[batch_id] = meta.max_event
             kept = batch.where(~late) if wm is not None else batch
-            store = profile(kept, self.date_column, self.freq, **self.profile_kwargs)
+            kwargs = dict(self.profile_kwargs)
+            if self.batch_column is not None:
+                kwargs["by"] = [self.batch_column]
+                kwargs.setdefault("columns", [c for c in batch.columns
+                                              if c not in (self.batch_column, PERIOD_COLUMN)])
+            store = profile(kept, self.date_column, self.freq, **kwargs)
             store.write.mode("overwrite").parquet(f"{self.panes_path}/pane={batch_id}")
             spark.createDataFrame(
                 [(meta.max_event, int(meta.rows), int(meta.late_rows), wm)],
@@ -98,13 +110,27 @@ class PaneWriter:
 
 def profile_stream(stream: DataFrame, path: str, date_column: str, freq: str = "D", *,
                    checkpoint: str, trigger: dict | None = None, lateness: str | None = None,
-                   query_name: str | None = None, **profile_kwargs) -> StreamingQuery:
+                   query_name: str | None = None, pane_rows: int | None = None,
+                   pane_wait: str = "30 seconds", shards: int = 16,
+                   **profile_kwargs) -> StreamingQuery:
     """Start a streaming query that writes discarding profile panes to ``path``.
 
     ``trigger`` is passed to ``DataStreamWriter.trigger`` (e.g.
     ``{"processingTime": "30 seconds"}`` or ``{"availableNow": True}``).
+    ``pane_rows`` switches to exact count-or-time panes per period (see module
+    doc); ``shards`` spreads one hot period over that many state groups.
     """
-    writer = PaneWriter(path, date_column, freq, lateness=lateness, **profile_kwargs)
+    batch_column = None
+    if pane_rows is not None:
+        columns = profile_kwargs.pop("columns", None) or list(stream.columns)
+        labelled = with_period(stream, date_column, freq, unit=profile_kwargs.get("unit"),
+                               null_dates=profile_kwargs.get("null_dates", "drop"))
+        stream = stream_group_into_batches(labelled, PERIOD_COLUMN, pane_rows,
+                                           max_wait=pane_wait, shards=shards)
+        profile_kwargs["columns"] = columns
+        batch_column = "batch_id"
+    writer = PaneWriter(path, date_column, freq, lateness=lateness, batch_column=batch_column,
+                        **profile_kwargs)
     w = stream.writeStream.foreachBatch(writer).option("checkpointLocation", checkpoint)
     if trigger:
         w = w.trigger(**trigger)
@@ -119,7 +145,7 @@ def read_panes(spark: SparkSession, path: str) -> DataFrame:
 
 def merge_panes(spark: SparkSession, path: str, **merge_kwargs) -> DataFrame:
     """All panes merged to one profile per period (and column)."""
-    panes = read_panes(spark, path).drop("pane")
+    panes = read_panes(spark, path).drop("pane", "batch_id")
     return merge_profiles(panes, **merge_kwargs)
 
 

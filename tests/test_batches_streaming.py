@@ -72,3 +72,56 @@ def test_stream_late_rows_dropped_only_with_lateness(spark, tmp_dir):
         assert dropped == expect_dropped
         kept = merge_panes(spark, out).where("column = 'event_id'").agg(F.sum("n")).first()[0]
         assert kept == ev.count() - expect_dropped
+
+
+def test_stream_group_into_batches(spark, tmp_dir):
+    import time
+    import uuid
+
+    from strata.streaming.batches import stream_group_into_batches
+
+    ev = spark.read.parquet(f"{SF001}/events.parquet")
+    src = os.path.join(tmp_dir, "src")
+    ev.repartition(3).write.parquet(src)
+    stream = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(src)
+    b = stream_group_into_batches(stream, "event_type", 50, max_wait="1 second", shards=2)
+    name = "gib_" + uuid.uuid4().hex[:8]
+    q = (b.writeStream.format("memory").queryName(name).outputMode("append")
+         .option("checkpointLocation", os.path.join(tmp_dir, "ck"))
+         .trigger(processingTime="1 second").start())
+    total, t0 = ev.count(), time.time()
+    try:
+        while time.time() - t0 < 90 and spark.table(name).count() < total:
+            time.sleep(1)
+    finally:
+        q.stop()
+    out = spark.table(name)
+    assert out.count() == total  # partial batches are flushed by the timeout
+    assert out.groupBy("event_type", "batch_id").count().agg(F.max("count")).first()[0] <= 50
+    assert sorted(out.drop("batch_id").collect()) == sorted(ev.collect())
+
+
+def test_count_or_time_panes(spark, tmp_dir):
+    import time
+
+    ev, src = _replay_files(spark, tmp_dir)
+    stream = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 2).parquet(os.path.join(src, "*"))
+    out = os.path.join(tmp_dir, "panes")
+    q = profile_stream(stream, out, "ts", "D", checkpoint=os.path.join(tmp_dir, "ck"),
+                       pane_rows=10, pane_wait="1 second", shards=2,
+                       trigger={"processingTime": "1 second"})
+    total, t0 = ev.count(), time.time()
+    try:
+        while time.time() - t0 < 120:
+            if os.path.isdir(os.path.join(out, "panes")):
+                got = merge_panes(spark, out).where("column = 'event_id'").agg(F.sum("n")).first()[0]
+                if got == total:
+                    break
+            time.sleep(2)
+    finally:
+        q.stop()
+    panes = spark.read.parquet(os.path.join(out, "panes"))
+    assert panes.where("column = 'event_id'").agg(F.max("n")).first()[0] <= 10
+    merged = exact_metrics(merge_panes(spark, out))
+    direct = exact_metrics(profile(ev, "ts", "D"))
+    assert sorted(map(tuple, merged.collect())) == sorted(map(tuple, direct.collect()))
