@@ -14,7 +14,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def group_into_batches(df: DataFrame, key: str | Column, size: int) -> DataFrame:
+def group_into_batches(df: DataFrame, key: str | Column, size: int, *,
+                       keep_partition: bool = False) -> DataFrame:
+    """Add ``batch_id``; with ``keep_partition`` also keep ``__part`` (the
+    input partition), so a following ``groupBy(key, "__part", "batch_id")``
+    reuses the window's partitioning instead of shuffling again."""
     if size < 1:
         raise ValueError("size must be >= 1")
     key_col = F.col(key) if isinstance(key, str) else key
@@ -23,8 +27,8 @@ def group_into_batches(df: DataFrame, key: str | Column, size: int) -> DataFrame
     w = Window.partitionBy(key_col, F.col("__part")).orderBy("__rid")
     seq = F.row_number().over(w) - 1
     batch = F.floor(seq / F.lit(size)).cast("bigint")
-    return (tagged.withColumn("batch_id", F.shiftleft(F.col("__part"), 31) + batch)
-            .drop("__rid", "__part"))
+    out = tagged.withColumn("batch_id", F.shiftleft(F.col("__part"), 31) + batch).drop("__rid")
+    return out if keep_partition else out.drop("__part")
 
 
 def batch_sizes(batched: DataFrame, key: str, size: int) -> DataFrame:

@@ -22,8 +22,9 @@ def count_per_period_batched(df: DataFrame, date_column: str, freq: str = "D", *
     """Same answer as ``count_per_period``, computed from size-bounded batches
     (count per batch, then sum per period)."""
     p = with_period(df.select(date_column), date_column, freq, unit=unit, null_dates=null_dates)
-    b = group_into_batches(p, PERIOD_COLUMN, batch_size)
-    per_batch = b.groupBy(PERIOD_COLUMN, "batch_id").agg(F.count(F.lit(1)).alias("rows"))
+    b = group_into_batches(p, PERIOD_COLUMN, batch_size, keep_partition=True)
+    # batch_id determines __part; grouping by both keeps the window's partitioning
+    per_batch = b.groupBy(PERIOD_COLUMN, "__part", "batch_id").agg(F.count(F.lit(1)).alias("rows"))
     return per_batch.groupBy(PERIOD_COLUMN).agg(F.sum("rows").cast("bigint").alias("n"))
 
 
@@ -32,3 +33,12 @@ def distinct_periods(df: DataFrame, date_column: str, freq: str = "D", *, unit:
     """The periods that have at least one row (empty periods never appear)."""
     p = with_period(df.select(date_column), date_column, freq, unit=unit, null_dates=null_dates)
     return p.select(PERIOD_COLUMN).distinct()
+
+
+def count_per_epoch_day(df: DataFrame, epoch_column: str) -> DataFrame:
+    """``(day_start, n)``: rows per UTC day of an epoch-seconds column, keyed by
+    the day start in epoch seconds; a missing time counts under day 0."""
+    from strata.functions.periods import day_start_epoch
+
+    key = day_start_epoch(F.col(epoch_column)).alias("day_start")
+    return df.select(key).groupBy("day_start").agg(F.count(F.lit(1)).alias("n"))

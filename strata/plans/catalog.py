@@ -20,7 +20,9 @@ from strata.functions.periods import (
     day_start_epoch, epoch_seconds, from_epoch, parse_frequency, parse_timestamp, period_label,
 )
 from strata.operators.batches import batch_sizes, group_into_batches
-from strata.operators.counts import count_per_period, count_per_period_batched, distinct_periods
+from strata.operators.counts import (
+    count_per_epoch_day, count_per_period, count_per_period_batched, distinct_periods,
+)
 from strata.operators.merge import lookup, merge_stores, rollup
 from strata.operators.profile import PERIOD_COLUMN, profile, with_period
 from strata.operators.views import exact_metrics, frequent_items, profile_size
@@ -152,6 +154,14 @@ def count_by_day(spark, d):
     return _label_text(count_per_period(read_table(spark, d, "lineitem"), "l_shipdate", "D"), "D")
 
 
+@register("count_by_epoch_day",
+          f"SELECT {_EPOCH_S} - ({_EPOCH_S} % 86400) AS day_start, count(*) AS n FROM events GROUP BY 1")
+def count_by_epoch_day(spark, d):
+    ev = read_table(spark, d, "events")
+    ev = ev.withColumn("time", epoch_seconds(F.col("ts"), ev.schema["ts"].dataType))
+    return count_per_epoch_day(ev, "time")
+
+
 @register("count_by_day_batched", count_sql("lineitem", "D", "l_shipdate"))
 def count_by_day_batched(spark, d):
     li = read_table(spark, d, "lineitem")
