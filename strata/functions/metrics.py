@@ -82,6 +82,11 @@ def quote(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def cols(names) -> list[Column]:
+    """Columns by exact name (dots and spaces in names are not paths)."""
+    return [F.col(quote(n)) for n in names]
+
+
 def _epoch_micros_sql(q: str, dtype: T.DataType) -> str:
     if isinstance(dtype, T.TimestampNTZType):
         return f"timestampdiff(MICROSECOND, {EPOCH_NTZ}, {q})"
@@ -145,7 +150,10 @@ def column_aggregates(name: str, dtype: T.DataType, prefix: str, cfg: SketchConf
     if mom_value is not None:
         out["mom_n"] = f"count({mom_value})"
         out["mom_mean"] = f"avg({mom_value})"
-        out["mom_m2"] = f"var_pop({mom_value}) * count({mom_value})"
+        # var_pop overflows to NaN or +inf depending on the order of values;
+        # a sum of squares that overflowed is reported as +inf either way.
+        m2 = f"(var_pop({mom_value}) * count({mom_value}))"
+        out["mom_m2"] = f"CASE WHEN isnan({m2}) THEN double('inf') ELSE {m2} END"
     out["hll"] = f"hll_sketch_agg({hll_value}, {cfg.lg_k})"
     if kll_value is not None:
         out["kll"] = f"kll_sketch_agg_{kll_kind}({kll_value}, {cfg.kll_k})"

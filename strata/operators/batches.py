@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strata.functions.metrics import quote
+
 
 def group_into_batches(df: DataFrame, key: str | Column, size: int, *,
                        keep_partition: bool = False) -> DataFrame:
@@ -21,7 +23,7 @@ def group_into_batches(df: DataFrame, key: str | Column, size: int, *,
     reuses the window's partitioning instead of shuffling again."""
     if size < 1:
         raise ValueError("size must be >= 1")
-    key_col = F.col(key) if isinstance(key, str) else key
+    key_col = F.col(quote(key)) if isinstance(key, str) else key
     rid = F.monotonically_increasing_id()
     tagged = df.withColumn("__rid", rid).withColumn("__part", F.shiftright(F.col("__rid"), 33))
     w = Window.partitionBy(key_col, F.col("__part")).orderBy("__rid")

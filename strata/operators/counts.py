@@ -38,7 +38,8 @@ def distinct_periods(df: DataFrame, date_column: str, freq: str = "D", *, unit:
 def count_per_epoch_day(df: DataFrame, epoch_column: str) -> DataFrame:
     """``(day_start, n)``: rows per UTC day of an epoch-seconds column, keyed by
     the day start in epoch seconds; a missing time counts under day 0."""
+    from strata.functions.metrics import quote
     from strata.functions.periods import day_start_epoch
 
-    key = day_start_epoch(F.col(epoch_column)).alias("day_start")
+    key = day_start_epoch(F.col(quote(epoch_column))).alias("day_start")
     return df.select(key).groupBy("day_start").agg(F.count(F.lit(1)).alias("n"))

@@ -25,7 +25,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
-from strata.functions.metrics import METRIC_COLUMNS, SketchConfig
+from strata.functions.metrics import METRIC_COLUMNS, SketchConfig, cols
 from strata.functions.periods import as_wall_clock, period_label
 
 
@@ -56,7 +56,7 @@ def merge_profiles(store: DataFrame, keys: Sequence[str] | None = None,
     cfg = sketches or SketchConfig()
     keys = list(keys) if keys is not None else key_columns(store)
     gk = [*keys, "column", "type_class", "kll_kind"]
-    w = Window.partitionBy(*gk)
+    w = Window.partitionBy(*cols(gk))
     n, mean = F.col("mom_n"), F.col("mom_mean")
     grand_mean = F.sum(n * mean).over(w) / F.sum(n).over(w)
     s = store.withColumn("__m2", F.when(n > 0, F.col("mom_m2") + n * F.pow(mean - grand_mean, 2)))
@@ -66,7 +66,7 @@ def merge_profiles(store: DataFrame, keys: Sequence[str] | None = None,
     # so those rows contribute a typed empty state instead of NULL.
     topk_in = F.coalesce(F.col("topk"), empty_topk_state(store.sparkSession, cap))
     s = s.withColumn("__topk", topk_in)
-    merged = s.groupBy(*gk).agg(
+    merged = s.groupBy(*cols(gk)).agg(
         F.sum("n").alias("n"),
         F.sum("nonnull").alias("nonnull"),
         F.sum("null").alias("null"),
@@ -88,7 +88,12 @@ def merge_profiles(store: DataFrame, keys: Sequence[str] | None = None,
                "END").alias("kll"),
         F.expr(f"CASE WHEN count(topk) > 0 THEN approx_top_k_combine(__topk, {cap}) END").alias("topk"),
     )
-    return merged.select(*keys, *METRIC_COLUMNS)
+    # m2 is a sum of squares: NaN can only come from overflowed partial means
+    # (inf - inf), i.e. the variance overflowed -- report it as +inf, as a
+    # direct pass does.
+    m2 = F.col("mom_m2")
+    merged = merged.withColumn("mom_m2", F.when(F.isnan(m2), F.lit(float("inf"))).otherwise(m2))
+    return merged.select(*cols(keys), *METRIC_COLUMNS)
 
 
 def union_stores(stores: Sequence[DataFrame]) -> DataFrame:
@@ -125,7 +130,7 @@ def lookup(store: DataFrame, **key_values) -> DataFrame:
     for k, v in key_values.items():
         if k not in store.columns:
             raise ValueError(f"{k} is not a column of the store")
-        cond = cond & (F.col(k) == F.lit(v))
+        cond = cond & (cols([k])[0] == F.lit(v))
     return store.where(cond)
 
 

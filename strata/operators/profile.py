@@ -31,7 +31,9 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.functions.metrics import METRIC_COLUMNS, SketchConfig, column_aggregates, unpivot_struct
+from strata.functions.metrics import (
+    METRIC_COLUMNS, SketchConfig, cols, column_aggregates, quote, unpivot_struct,
+)
 from strata.functions.periods import EPOCH_NTZ, as_wall_clock, period_label
 from strata.operators.merge import merge_profiles
 
@@ -53,7 +55,7 @@ def with_period(df: DataFrame, date_column: str, freq: str = "D", *, unit: str |
     if null_dates not in ("drop", "keep", "epoch", "error"):
         raise ValueError("null_dates must be 'drop', 'keep', 'epoch' or 'error'")
     dtype = df.schema[date_column].dataType
-    src = F.col(date_column)
+    src = F.col(quote(date_column))
     label = period_label(as_wall_clock(src, dtype, unit), freq, anchor).cast("timestamp_ntz")
     if null_dates == "drop":
         df = df.where(src.isNotNull())
@@ -121,7 +123,7 @@ def profile(df: DataFrame, date_column: str | None = None, freq: str = "D", *,
     aggs = [F.count(F.lit(1)).alias("__n")]
     for i, name in enumerate(names):
         aggs += column_aggregates(name, schema[name], f"__c{i}_", cfg)
-    wide = src.groupBy(*group).agg(*aggs)
+    wide = src.groupBy(*cols(group)).agg(*aggs)
     if not keys and fanout > 1:
         # A global profile of an empty input still lists every column (n = 0):
         # add the aggregate's identity row; Catalyst folds it to a local row.
@@ -131,8 +133,8 @@ def profile(df: DataFrame, date_column: str | None = None, freq: str = "D", *,
     available = set(wide.columns)
     structs = [unpivot_struct(name, schema[name], f"__c{i}_", "__n", available, cfg)
                for i, name in enumerate(names)]
-    long = wide.select(*keys, F.inline(F.array(*structs)))
+    long = wide.select(*cols(keys), F.inline(F.array(*structs)))
     if fanout == 1:
         # one level: (keys, column) is already unique
-        return long.select(*keys, *METRIC_COLUMNS)
+        return long.select(*cols(keys), *METRIC_COLUMNS)
     return merge_profiles(long, keys=keys, sketches=cfg)

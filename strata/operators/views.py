@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.functions.metrics import METRIC_COLUMNS
+from strata.functions.metrics import METRIC_COLUMNS, cols
 from strata.operators.merge import key_columns
 
 # Quantile ranks shown by profile_table.
@@ -35,7 +35,7 @@ def profile_table(store: DataFrame, quantiles: Sequence[float] = DEFAULT_QUANTIL
     ``frequent_items`` (array of ``(item, count)``)."""
     keys = key_columns(store)
     return store.select(
-        *keys, "column", "type_class", "n", "nonnull", "null", "nan", "inf",
+        *cols(keys), "column", "type_class", "n", "nonnull", "null", "nan", "inf",
         "min_i", "max_i", "min_d", "max_d", "min_s", "max_s",
         F.col("mom_mean").alias("mean"), _stddev().alias("stddev"),
         F.expr("hll_sketch_estimate(hll)").alias("distinct_est"),
@@ -55,8 +55,8 @@ def exact_metrics(store: DataFrame, key_formats: dict[str, str] | None = None,
     rounding ties, while sums stay far from them.
     """
     key_formats = key_formats or {}
-    keys = [F.date_format(k, key_formats[k]).alias(k) if k in key_formats else F.col(k)
-            for k in key_columns(store)]
+    keys = [F.date_format(cols([k])[0], key_formats[k]).alias(k) if k in key_formats
+            else cols([k])[0] for k in key_columns(store)]
     return store.select(
         *keys, "column", "type_class", "n", "nonnull", "null", "nan", "inf",
         "min_i", "max_i", "min_d", "max_d", "min_s", "max_s",
@@ -69,9 +69,9 @@ def frequent_items(store: DataFrame, top_k: int = 10) -> DataFrame:
     """Long form of the top-k sketches: ``(keys..., column, item, count)``."""
     keys = key_columns(store)
     return (store.where(F.col("topk").isNotNull())
-            .select(*keys, "column",
+            .select(*cols(keys), "column",
                     F.explode(F.expr(f"approx_top_k_estimate(topk, {int(top_k)})")).alias("fi"))
-            .select(*keys, "column", F.col("fi.item").cast("string").alias("item"),
+            .select(*cols(keys), "column", F.col("fi.item").cast("string").alias("item"),
                     F.col("fi.count").cast("bigint").alias("count")))
 
 
@@ -83,7 +83,7 @@ def profile_size(store: DataFrame) -> DataFrame:
                     + F.coalesce(F.length("topk.sketch"), F.lit(0))
                     + F.coalesce(F.length("min_s"), F.lit(0)) + F.coalesce(F.length("max_s"), F.lit(0))
                     + F.lit(8 * 13))
-    return store.groupBy(*keys).agg(F.count(F.lit(1)).alias("columns"),
+    return store.groupBy(*cols(keys)).agg(F.count(F.lit(1)).alias("columns"),
                                     F.sum(sketch_bytes).cast("bigint").alias("bytes"))
 
 

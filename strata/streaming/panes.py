@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from strata.functions.metrics import quote
 from strata.functions.periods import as_wall_clock
 from strata.operators.merge import merge_profiles
 from strata.operators.profile import PERIOD_COLUMN, profile, with_period
@@ -83,7 +84,7 @@ class PaneWriter:
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         dtype = batch.schema[self.date_column].dataType
-        event = as_wall_clock(F.col(self.date_column), dtype, self.profile_kwargs.get("unit"))
+        event = as_wall_clock(F.col(quote(self.date_column)), dtype, self.profile_kwargs.get("unit"))
         wm = self._watermark(spark, batch_id)
         late = (event < F.lit(wm)) if wm is not None else F.lit(False)
         batch = batch.persist()

@@ -164,3 +164,44 @@ def test_quantiles_are_within_rank_bound(spark, lineitem):
     lo = sum(v < med for v in vals) / len(vals)
     hi = sum(v <= med for v in vals) / len(vals)
     assert lo <= 0.53 and hi >= 0.47
+
+
+def test_odd_column_names(spark):
+    df = spark.createDataFrame([(1, "x", dt.datetime(2024, 1, 1, 5)), (2, "y", dt.datetime(2024, 1, 2))],
+                               "`a.b c` int, `k.v` string, `when.ts` timestamp_ntz")
+    store = profile(df, "when.ts", "D", by="k.v")
+    assert {r.column for r in store.collect()} == {"a.b c", "k.v", "when.ts"}
+    assert merge_profiles(store).count() == store.count()
+    assert exact_metrics(store, {"dataset_ts": "yyyy-MM-dd"}).count() == 6
+
+
+try:
+    from hypothesis import Phase, given, settings
+    from hypothesis import strategies as st
+except ImportError:  # pragma: no cover
+    given = None
+
+if given is not None:
+    values = st.one_of(st.none(), st.just(float("nan")), st.just(float("inf")), st.just(float("-inf")),
+                       st.floats(-1e9, 1e9), st.integers(-10, 10).map(float))
+    rows_st = st.lists(st.tuples(st.integers(0, 4), values, st.sampled_from(["a", "b", None, "ccc"]),
+                                 st.integers(0, 2)), min_size=0, max_size=40)
+
+    def _same(a, b):
+        if isinstance(a, float) and isinstance(b, float):
+            return (math.isnan(a) and math.isnan(b)) or math.isclose(a, b, rel_tol=1e-9, abs_tol=1e-3)
+        return a == b
+
+    @settings(max_examples=8, deadline=None, phases=[Phase.explicit, Phase.reuse, Phase.generate])
+    @given(rows_st)
+    def test_property_random_split_merge_equals_direct(spark, data):
+        df = spark.createDataFrame(data, "k int, x double, s string, part int")
+        direct = {(r.k, r.column): r for r in
+                  exact_metrics(profile(df, by="k", columns=["x", "s"])).collect()}
+        parts = [profile(df.where(F.col("part") == p), by="k", columns=["x", "s"]) for p in range(3)]
+        merged = {(r.k, r.column): r for r in exact_metrics(merge_stores(parts)).collect()}
+        assert direct.keys() == merged.keys()
+        for key, r in direct.items():
+            m = merged[key]
+            for f in r.__fields__:
+                assert _same(r[f], m[f]), (key, f, r[f], m[f])
