@@ -252,6 +252,13 @@ def profile_global(spark, d):
     return exact_metrics(profile(read_table(spark, d, "lineitem")))
 
 
+# Global profiles of the remaining tables ('less-shuffle' on every schema).
+for _table in ["orders", "events", "customer", "part", "supplier", "labels", "pages",
+               "conversations", "benchmark", "nation", "region"]:
+    register(f"profile_global_{_table}", profile_sql(_table))(
+        (lambda t: lambda spark, d: exact_metrics(profile(read_table(spark, d, t))))(_table))
+
+
 @register("profile_text", profile_sql("documents"))
 def profile_text(spark, d):
     return exact_metrics(profile(read_table(spark, d, "documents")))
