@@ -1,5 +1,8 @@
 """Sinks: partitioned Parquet, JSON text, caller-supplied writers, fan-out."""
 
-from strata.sinks.writers import fan_out, read_profiles, write_each, write_profiles, write_text
+from strata.sinks.writers import (
+    fan_out, read_merged, read_profiles, write_each, write_profiles, write_run, write_text,
+)
 
-__all__ = ["fan_out", "read_profiles", "write_each", "write_profiles", "write_text"]
+__all__ = ["fan_out", "read_merged", "read_profiles", "write_each", "write_profiles",
+           "write_run", "write_text"]

@@ -52,6 +52,42 @@ def read_profiles(spark: SparkSession, path: str) -> DataFrame:
     return df.drop(PARTITION_COLUMN) if PARTITION_COLUMN in df.columns else df
 
 
+RUN_COLUMN = "run"
+
+
+def write_run(store: DataFrame, path: str, run_id: str, layout: str = "month") -> None:
+    """Add one run's profiles to an append-only store (incremental jobs).
+
+    Files go to ``period=<month>/run=<run_id>`` with dynamic partition
+    overwrite, so writing the same run again (a retried job) replaces exactly
+    that run's files and nothing else.  ``read_merged`` folds all runs.
+    """
+    if layout not in _LAYOUTS or PERIOD_COLUMN not in store.columns:
+        raise ValueError("write_run needs a periodic store and layout 'month' or 'period'")
+    (store.withColumn(PARTITION_COLUMN, F.date_format(PERIOD_COLUMN, _LAYOUTS[layout]))
+     .withColumn(RUN_COLUMN, F.lit(str(run_id)))
+     .repartition(PARTITION_COLUMN)
+     .sortWithinPartitions(PERIOD_COLUMN, "column")
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(PARTITION_COLUMN, RUN_COLUMN).parquet(path))
+
+
+def read_merged(spark: SparkSession, path: str, start: str | None = None,
+                end: str | None = None) -> DataFrame:
+    """All runs of an append-only store merged per period and column.
+
+    ``start``/``end`` (``'yyyy-MM'`` with the month layout) prune partition
+    directories before any file is opened."""
+    from strata.operators.merge import merge_profiles
+
+    df = spark.read.parquet(path)
+    if start is not None:
+        df = df.where(F.col(PARTITION_COLUMN).cast("string") >= F.lit(start))
+    if end is not None:
+        df = df.where(F.col(PARTITION_COLUMN).cast("string") <= F.lit(end))
+    return merge_profiles(df.drop(PARTITION_COLUMN, RUN_COLUMN))
+
+
 def write_text(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """One JSON object per row (binary columns base64-encoded)."""
     cols = [F.base64(c).alias(c) if t == "binary" else F.col(c) for c, t in df.dtypes]

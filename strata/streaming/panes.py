@@ -23,11 +23,11 @@ mergeable, the merged panes equal the profile of all rows seen.
 from __future__ import annotations
 
 import datetime as dt
-import os
 import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.errors import AnalysisException
 from pyspark.sql.streaming import StreamingQuery
 
 from strata.functions.metrics import quote
@@ -75,10 +75,13 @@ class PaneWriter:
         if self.lateness is None:
             return None
         earlier = [v for k, v in self._max_event.items() if k < batch_id and v is not None]
-        if not earlier and os.path.isdir(self.meta_path.replace("file:", "")):
-            row = (spark.read.parquet(self.meta_path).where(F.col("pane") < batch_id)
-                   .agg(F.max("max_event").alias("m")).first())
-            earlier = [row.m] if row and row.m is not None else []
+        if not earlier:
+            try:  # after a restart: recover from the meta table (any file system)
+                row = (spark.read.parquet(self.meta_path).where(F.col("pane") < batch_id)
+                       .agg(F.max("max_event").alias("m")).first())
+                earlier = [row.m] if row and row.m is not None else []
+            except AnalysisException:  # no pane written yet
+                earlier = []
         return (max(earlier) - self.lateness) if earlier else None
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:

@@ -112,3 +112,21 @@ def test_profile_job(spark, tmp_dir):
     with pytest.raises(ValueError):
         profile_job(spark, table_path=f"{SF001}/orders.parquet", date_column="o_orderdate",
                     freq="fortnight")
+
+
+def test_incremental_runs_fold_into_history(spark, tmp_dir):
+    from strata.sinks import read_merged, write_run
+
+    orders = spark.read.parquet(f"{SF001}/orders.parquet")
+    early = orders.where("o_orderdate < TIMESTAMP_NTZ'1995-06-15 00:00:00'")
+    late = orders.where("o_orderdate >= TIMESTAMP_NTZ'1995-06-15 00:00:00'")
+    out = os.path.join(tmp_dir, "history")
+    write_run(profile(early, "o_orderdate", "D"), out, "run1")
+    write_run(profile(late, "o_orderdate", "D"), out, "run2")
+    write_run(profile(late, "o_orderdate", "D"), out, "run2")  # a retried run replaces itself
+    merged = read_merged(spark, out)
+    direct = profile(orders, "o_orderdate", "D")
+    assert sorted(map(tuple, exact_metrics(merged).collect())) == \
+        sorted(map(tuple, exact_metrics(direct).collect()))
+    june = read_merged(spark, out, start="1995-06", end="1995-06")
+    assert {r.dataset_ts.month for r in june.select("dataset_ts").distinct().collect()} == {6}
