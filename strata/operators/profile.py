@@ -40,6 +40,11 @@ from strata.operators.merge import merge_profiles
 # Largest input width merged in one level (reducer fan-in bound).
 SINGLE_LEVEL_MAX = 64
 
+# Columns profiled per aggregate; wider tables are profiled in chunks whose
+# long results are unioned (Parquet reads each chunk's columns only, so the
+# bytes scanned do not grow, and every plan stays small).
+COLUMNS_PER_PASS = 64
+
 PERIOD_COLUMN = "dataset_ts"
 
 
@@ -88,7 +93,8 @@ def tree_fanout(partitions: int) -> int:
 def profile(df: DataFrame, date_column: str | None = None, freq: str = "D", *,
             by: str | Sequence[str] | None = None, columns: Iterable[str] | None = None,
             unit: str | None = None, null_dates: str = "drop", anchor: str | None = None,
-            fanout: int | None = None, sketches: SketchConfig | None = None) -> DataFrame:
+            fanout: int | None = None, sketches: SketchConfig | None = None,
+            columns_per_pass: int = COLUMNS_PER_PASS) -> DataFrame:
     """Profile every column of ``df``: per period of ``date_column`` at
     frequency ``freq``, per value of the ``by`` columns, or globally.
 
@@ -106,6 +112,13 @@ def profile(df: DataFrame, date_column: str | None = None, freq: str = "D", *,
         raise ValueError(f"unknown columns: {missing}")
     if fanout is not None and fanout < 1:
         raise ValueError("fanout must be >= 1")
+    if len(names) > columns_per_pass:
+        from functools import reduce
+        chunks = [names[i:i + columns_per_pass] for i in range(0, len(names), columns_per_pass)]
+        stores = [profile(df, date_column, freq, by=by_cols, columns=chunk, unit=unit,
+                          null_dates=null_dates, anchor=anchor, fanout=fanout, sketches=cfg,
+                          columns_per_pass=columns_per_pass) for chunk in chunks]
+        return reduce(lambda a, b: a.unionByName(b), stores)
 
     keys: list[str] = []
     src = spread_narrow_input(df)

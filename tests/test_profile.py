@@ -224,3 +224,11 @@ def test_topk_extremes(spark):
     # a near-unique column has no heavy hitter: whatever is returned is valid
     assert all(x["count"] >= 1 for x in t["uniq"].frequent_items)
     assert abs(t["uniq"].distinct_est - 5000) <= 250
+
+
+def test_wide_tables_are_profiled_in_chunks(spark, lineitem):
+    wide = lineitem.select("*", *[F.col(c).alias(f"{c}_copy{i}") for i in range(3) for c in lineitem.columns])
+    chunked = profile(wide, "l_shipdate", "M", columns_per_pass=10)
+    whole = profile(wide, "l_shipdate", "M")
+    assert chunked.select("column").distinct().count() == len(wide.columns)
+    assert rows(exact_metrics(chunked)) == rows(exact_metrics(whole))
