@@ -31,6 +31,7 @@ from strata.plans.oracle import TABLE_COLUMNS, count_sql, label_sql, profile_sql
 from strata.session import checkpoint_root
 from strata.sources.tables import read_input, read_table, register_tables, table_path
 from strata.streaming.panes import merge_panes, profile_stream
+from strata.streaming.windows import profile_stream_windowed
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -372,6 +373,23 @@ def stream_panes_by_day(spark, d):
     return exact_metrics(merge_panes(spark, out), _fmt("D"))
 
 
+@register("stream_windowed_by_day",
+          profile_sql("events", [(PERIOD_COLUMN, label_sql("D", "ts"))],
+                      where="ts IS NOT NULL AND CAST(ts AS DATE) + 1 <= (SELECT max(ts) FROM events)"))
+def stream_windowed_by_day(spark, d):
+    """``events`` as a file stream into day windows kept in the state store;
+    append mode emits the windows the watermark (max event time) has passed."""
+    schema = spark.read.parquet(table_path(d, "events")).schema
+    stream = spark.readStream.schema(schema).parquet(os.path.join(d, "{events}.parquet"))
+    long = profile_stream_windowed(stream, "ts", "1 day", watermark="0 seconds")
+    name = f"strata_windows_{uuid.uuid4().hex[:12]}"
+    q = (long.writeStream.format("memory").queryName(name).outputMode("append")
+         .option("checkpointLocation", f"{checkpoint_root(spark)}/{name}")
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return exact_metrics(spark.table(name), _fmt("D"))
+
+
 def queries() -> dict[str, QueryFn]:
     return dict(QUERIES)
 
