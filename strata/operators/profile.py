@@ -94,7 +94,7 @@ def profile(df: DataFrame, date_column: str | None = None, freq: str = "D", *,
             by: str | Sequence[str] | None = None, columns: Iterable[str] | None = None,
             unit: str | None = None, null_dates: str = "drop", anchor: str | None = None,
             fanout: int | None = None, sketches: SketchConfig | None = None,
-            columns_per_pass: int = COLUMNS_PER_PASS) -> DataFrame:
+            columns_per_pass: int = COLUMNS_PER_PASS, row_shuffle: bool = False) -> DataFrame:
     """Profile every column of ``df``: per period of ``date_column`` at
     frequency ``freq``, per value of the ``by`` columns, or globally.
 
@@ -102,6 +102,13 @@ def profile(df: DataFrame, date_column: str | None = None, freq: str = "D", *,
     ``by`` columns), then ``METRIC_COLUMNS``; one row per key and column.
     The date column itself is profiled too unless ``columns`` says otherwise.
     ``fanout`` overrides the salt width of the aggregation tree (see module doc).
+
+    ``row_shuffle=True`` is the plan for inputs whose tasks each see many
+    periods (event time not clustered in the files): partial sketches per
+    (task, period) would then outweigh the rows, so the profiled columns are
+    shuffled by ``(period, hash salt)`` instead and aggregated after the
+    exchange; a hot period is still split ``fanout`` ways and merged by the
+    same tree.
     """
     cfg = sketches or SketchConfig()
     by_cols = [by] if isinstance(by, str) else list(by or [])
@@ -117,11 +124,13 @@ def profile(df: DataFrame, date_column: str | None = None, freq: str = "D", *,
         chunks = [names[i:i + columns_per_pass] for i in range(0, len(names), columns_per_pass)]
         stores = [profile(df, date_column, freq, by=by_cols, columns=chunk, unit=unit,
                           null_dates=null_dates, anchor=anchor, fanout=fanout, sketches=cfg,
-                          columns_per_pass=columns_per_pass) for chunk in chunks]
+                          columns_per_pass=columns_per_pass, row_shuffle=row_shuffle)
+                  for chunk in chunks]
         return reduce(lambda a, b: a.unionByName(b), stores)
 
     keys: list[str] = []
-    src = spread_narrow_input(df)
+    # (with row_shuffle the exchange on (period, salt) already spreads the rows)
+    src = df if row_shuffle else spread_narrow_input(df)
     if fanout is None:
         fanout = tree_fanout(src.rdd.getNumPartitions())
     if date_column is not None:
@@ -129,7 +138,16 @@ def profile(df: DataFrame, date_column: str | None = None, freq: str = "D", *,
         keys.append(PERIOD_COLUMN)
     keys += by_cols
     group = list(keys)
-    if fanout > 1:
+    if row_shuffle:
+        # Salt by a hash of the row (deterministic), then co-locate each
+        # (period, salt) before aggregating: the exchange moves the profiled
+        # columns once and the aggregate needs no second exchange.
+        fanout = max(fanout, 2)
+        src = (src.select(*cols(dict.fromkeys(keys + names)))
+               .withColumn("__salt", F.pmod(F.xxhash64(*cols(names)), F.lit(fanout))))
+        group.append("__salt")
+        src = src.repartition(*cols(group))
+    elif fanout > 1:
         src = src.withColumn("__salt", F.pmod(F.spark_partition_id(), F.lit(fanout)))
         group.append("__salt")
 

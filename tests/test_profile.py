@@ -232,3 +232,11 @@ def test_wide_tables_are_profiled_in_chunks(spark, lineitem):
     whole = profile(wide, "l_shipdate", "M")
     assert chunked.select("column").distinct().count() == len(wide.columns)
     assert rows(exact_metrics(chunked)) == rows(exact_metrics(whole))
+
+
+def test_row_shuffle_plan_equals_default(spark, lineitem):
+    a = profile(lineitem, "l_shipdate", "D", row_shuffle=True)
+    plan = a._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(dataset_ts" in plan
+    assert rows(exact_metrics(a)) == rows(exact_metrics(profile(lineitem, "l_shipdate", "D")))
+    assert rows(exact_metrics(profile(lineitem, row_shuffle=True))) == rows(exact_metrics(profile(lineitem)))
