@@ -72,15 +72,30 @@ def with_period(df: DataFrame, date_column: str, freq: str = "D", *, unit: str |
     return df.withColumn(out, label)
 
 
-def spread_narrow_input(df: DataFrame) -> DataFrame:
+def input_partitions(df: DataFrame) -> int:
+    """Partitions the input arrives in, found without running it.
+
+    A plan that ends in a shuffle (a query with joins or aggregates) arrives
+    in ``spark.sql.shuffle.partitions`` pieces; asking its RDD would make
+    adaptive execution run the upstream stages, so only plain scans are
+    asked (that only lists their file splits)."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    if "Exchange" in plan or "AdaptiveSparkPlan" in plan:
+        return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.rdd.getNumPartitions()
+
+
+def spread_narrow_input(df: DataFrame, partitions: int | None = None) -> tuple[DataFrame, int]:
     """Round-robin an input that has fewer partitions than the cluster has
-    task slots (one unsplittable file, one Parquet row group, a small
-    query result) so the sketch-heavy map side runs on every core.  Inputs
-    with enough splits -- anything large -- are left untouched: no shuffle."""
+    task slots (one unsplittable file, one Parquet row group) so the
+    sketch-heavy map side runs on every core.  Inputs with enough splits --
+    anything large -- are left untouched: no shuffle.  Returns the frame and
+    its partition count."""
     slots = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < slots:
-        return df.repartition(slots)
-    return df
+    p = input_partitions(df) if partitions is None else partitions
+    if p < slots:
+        return df.repartition(slots), slots
+    return df, p
 
 
 def tree_fanout(partitions: int) -> int:
@@ -130,9 +145,12 @@ def profile(df: DataFrame, date_column: str | None = None, freq: str = "D", *,
 
     keys: list[str] = []
     # (with row_shuffle the exchange on (period, salt) already spreads the rows)
-    src = df if row_shuffle else spread_narrow_input(df)
+    if row_shuffle:
+        src, width = df, input_partitions(df)
+    else:
+        src, width = spread_narrow_input(df)
     if fanout is None:
-        fanout = tree_fanout(src.rdd.getNumPartitions())
+        fanout = tree_fanout(width)
     if date_column is not None:
         src = with_period(src, date_column, freq, unit=unit, null_dates=null_dates, anchor=anchor)
         keys.append(PERIOD_COLUMN)

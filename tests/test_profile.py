@@ -208,11 +208,14 @@ if given is not None:
 
 
 def test_salted_tree_path_equals_single_level(spark, lineitem):
-    from strata.operators.profile import tree_fanout
-    wide = lineitem.repartition(100)  # wider than SINGLE_LEVEL_MAX: salted two-level tree
-    assert tree_fanout(wide.rdd.getNumPartitions()) == 10
+    from strata.operators.profile import input_partitions, tree_fanout
+    assert tree_fanout(64) == 1 and tree_fanout(100) == 10 and tree_fanout(800_000) == 895
+    # a plan ending in a shuffle arrives in shuffle-partition width (not run to find out)
+    assert input_partitions(lineitem.groupBy("l_orderkey").count()) == 8
+    assert input_partitions(lineitem) == lineitem.rdd.getNumPartitions()
+    wide = lineitem.repartition(100)
     for args in [("l_shipdate", "M"), ()]:
-        a = rows(exact_metrics(profile(wide, *args)))
+        a = rows(exact_metrics(profile(wide, *args, fanout=10)))
         b = rows(exact_metrics(profile(lineitem, *args)))
         assert a == b
 
