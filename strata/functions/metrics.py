@@ -39,8 +39,6 @@ METRIC_COLUMNS = [
     "mom_n", "mom_mean", "mom_m2", "hll", "kll_kind", "kll", "topk",
 ]
 
-TOPK_CLASSES = ("integral", "boolean", "string")
-
 TOPK_TYPE = "struct<sketch:binary,maxItemsTracked:int,itemDataType:string,itemDataTypeDDL:string>"
 
 STORE_TYPES = {

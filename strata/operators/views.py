@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.functions.metrics import METRIC_COLUMNS, cols
+from strata.functions.metrics import cols
 from strata.operators.merge import key_columns
 
 # Quantile ranks shown by profile_table.
@@ -78,14 +78,10 @@ def frequent_items(store: DataFrame, top_k: int = 10) -> DataFrame:
 def profile_size(store: DataFrame) -> DataFrame:
     """Serialized size of every profile (bytes of sketches plus fixed fields),
     per key: the monitoring query behind batch-size estimates."""
-    keys = [k for k in key_columns(store)]
+    keys = key_columns(store)
     sketch_bytes = (F.coalesce(F.length("hll"), F.lit(0)) + F.coalesce(F.length("kll"), F.lit(0))
                     + F.coalesce(F.length("topk.sketch"), F.lit(0))
                     + F.coalesce(F.length("min_s"), F.lit(0)) + F.coalesce(F.length("max_s"), F.lit(0))
                     + F.lit(8 * 13))
     return store.groupBy(*cols(keys)).agg(F.count(F.lit(1)).alias("columns"),
                                     F.sum(sketch_bytes).cast("bigint").alias("bytes"))
-
-
-def store_columns() -> list[str]:
-    return list(METRIC_COLUMNS)

@@ -130,3 +130,20 @@ def test_incremental_runs_fold_into_history(spark, tmp_dir):
         sorted(map(tuple, exact_metrics(direct).collect()))
     june = read_merged(spark, out, start="1995-06", end="1995-06")
     assert {r.dataset_ts.month for r in june.select("dataset_ts").distinct().collect()} == {6}
+
+
+def test_command_line_job(spark, tmp_dir):
+    from strata.plans.cli import main, parse_args
+    from strata.sinks import read_profiles
+
+    out = os.path.join(tmp_dir, "cli")
+    main(["--path", f"{SF001}/orders.parquet", "--date-column", "o_orderdate", "--freq", "M",
+          "--output", out, "--columns", "o_totalprice,o_orderstatus", "--logging-level", "warn"],
+         spark=spark)
+    store = read_profiles(spark, out)
+    assert {r.column for r in store.select("column").distinct().collect()} == {"o_totalprice", "o_orderstatus"}
+    for bad in (["--input", "t", "--output", "o", "--freq", "fortnight"],
+                ["--input", "t", "--output", "o", "--logging-level", "LOUD"],
+                ["--output", "o"]):
+        with pytest.raises(SystemExit):
+            parse_args(bad)
