@@ -110,3 +110,16 @@ def test_parse_timestamp(spark):
     assert [x.p for x in r] == [want, want, want, None, None]
     with pytest.raises(Exception):
         df.select(parse_timestamp(F.col("t"))).collect()
+
+
+@pytest.mark.parametrize("freq,pandas_freq", [("2D", "2D"), ("3H", "3h"), ("5H", "5h"),
+                                              ("36H", "36h"), ("90T", "90min"), ("7D", "7D")])
+def test_multi_unit_labels_match_pandas_epoch_origin(spark, freq, pandas_freq):
+    df = spark.createDataFrame([(e,) for e in EDGES], "t string").select(
+        F.col("t"), F.to_timestamp_ntz("t").alias("ts"))
+    got = {r.t: r.lab for r in df.select(
+        "t", period_label(F.col("ts"), freq).cast("timestamp_ntz").alias("lab")).collect()}
+    for e in EDGES:
+        s = pd.Series([1], index=pd.DatetimeIndex([pd.Timestamp(e)]))
+        g = s.groupby(pd.Grouper(freq=pandas_freq, origin="epoch")).count()
+        assert got[e] == g[g > 0].index[0].to_pydatetime(), (freq, e)
