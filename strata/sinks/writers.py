@@ -28,9 +28,12 @@ def write_profiles(store: DataFrame, path: str, mode: str = "overwrite",
                    layout: str = "month") -> None:
     """Write a store as Parquet.
 
-    ``layout='month'`` (default): one directory and one file per calendar
-    month of ``dataset_ts``, rows sorted by period, so reading a date range
-    prunes directories and row groups without a small file per day.
+    ``layout='month'`` (default): one directory per calendar month of
+    ``dataset_ts``, rows sorted by period, so reading a date range prunes
+    directories and row groups without a small file per day.  Rows are
+    rebalanced by month (``REBALANCE`` hint): adaptive execution keeps a month
+    in one task and file, and splits a month that outgrows the advisory
+    partition size over several tasks instead of one.
     ``layout='period'``: one directory and one file per period (one profile
     per file, as the reference writes them; fine for coarse frequencies).
     ``layout='flat'``: plain files.  Stores without a period are written flat.
@@ -41,9 +44,10 @@ def write_profiles(store: DataFrame, path: str, mode: str = "overwrite",
         store.write.mode(mode).parquet(path)
         return
     part = F.date_format(PERIOD_COLUMN, _LAYOUTS[layout])
-    (store.withColumn(PARTITION_COLUMN, part)
-     .repartition(PARTITION_COLUMN)
-     .sortWithinPartitions(PERIOD_COLUMN, "column")
+    staged = store.withColumn(PARTITION_COLUMN, part)
+    staged = (staged.repartition(PARTITION_COLUMN) if layout == "period"
+              else staged.hint("rebalance", PARTITION_COLUMN))
+    (staged.sortWithinPartitions(PARTITION_COLUMN, PERIOD_COLUMN, "column")
      .write.mode(mode).partitionBy(PARTITION_COLUMN).parquet(path))
 
 
@@ -66,8 +70,8 @@ def write_run(store: DataFrame, path: str, run_id: str, layout: str = "month") -
         raise ValueError("write_run needs a periodic store and layout 'month' or 'period'")
     (store.withColumn(PARTITION_COLUMN, F.date_format(PERIOD_COLUMN, _LAYOUTS[layout]))
      .withColumn(RUN_COLUMN, F.lit(str(run_id)))
-     .repartition(PARTITION_COLUMN)
-     .sortWithinPartitions(PERIOD_COLUMN, "column")
+     .hint("rebalance", PARTITION_COLUMN)
+     .sortWithinPartitions(PARTITION_COLUMN, PERIOD_COLUMN, "column")
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(PARTITION_COLUMN, RUN_COLUMN).parquet(path))
 
