@@ -32,12 +32,15 @@ def profile_table(store: DataFrame, quantiles: Sequence[float] = DEFAULT_QUANTIL
                   top_k: int = 10) -> DataFrame:
     """One row per key and column with the estimates decoded from the sketches:
     ``distinct_est``, ``quantiles`` (of values, or of lengths for text),
-    ``frequent_items`` (array of ``(item, count)``)."""
+    ``frequent_items`` (array of ``(item, count)``), and ``types``, the count
+    of values per type class (columns are statically typed, so every non-null
+    value has the column's class)."""
     keys = key_columns(store)
     return store.select(
         *cols(keys), "column", "type_class", "n", "nonnull", "null", "nan", "inf",
         "min_i", "max_i", "min_d", "max_d", "min_s", "max_s",
         F.col("mom_mean").alias("mean"), _stddev().alias("stddev"),
+        F.create_map(F.col("type_class"), F.col("nonnull")).alias("types"),
         F.expr("hll_sketch_estimate(hll)").alias("distinct_est"),
         _quantiles_expr(quantiles).alias("quantiles"),
         F.expr(f"CASE WHEN topk IS NOT NULL THEN approx_top_k_estimate(topk, {int(top_k)}) END")
