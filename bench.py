@@ -7,6 +7,8 @@ with ``local[$BENCH_CPUS]`` and prints one JSON line.
 Headline queries mirror the reference's jobs:
   profile_by_day       the product job: per-day profile of every lineitem column
   profile_global       'less-shuffle': one profile of the whole table
+  profile_hot_key      keyed by l_returnflag, each key holding a third of the rows
+  profile_by_day_row_shuffle  the per-day profile with the unclustered-input plan
   profile_epoch_day    methods 1/2/3/window: per-day profile keyed by epoch seconds
   count_by_day         'counts' control
   count_by_day_batched '1-control': counts through size-bounded batches
@@ -75,6 +77,9 @@ def main() -> None:
     plan = {
         "profile_by_day": q_profile_by_day,
         "profile_global": lambda: run(profile(table("lineitem"))),
+        "profile_hot_key": lambda: run(profile(table("lineitem"), by="l_returnflag")),
+        "profile_by_day_row_shuffle": lambda: run(
+            profile(table("lineitem"), "l_shipdate", "D", row_shuffle=True)),
         "profile_epoch_day": q_profile_epoch_day,
         "count_by_day": lambda: run(count_per_period(table("lineitem"), "l_shipdate", "D")),
         "count_by_day_batched": lambda: run(

@@ -276,6 +276,14 @@ def profile_object(spark, d):
     return exact_metrics(profile(read_table(spark, d, "embeddings")))
 
 
+@register("profile_hot_key",
+          profile_sql("lineitem", [("l_returnflag", q("l_returnflag"))]))
+def profile_hot_key(spark, d):
+    """Keyed by a column whose every value holds a third of all rows: the
+    partial aggregate bounds that key's merge by the number of input tasks."""
+    return exact_metrics(profile(read_table(spark, d, "lineitem"), by="l_returnflag"))
+
+
 @register("group_by_existing_key",
           profile_sql("orders", [("o_orderpriority", q("o_orderpriority"))]))
 def group_by_existing_key(spark, d):
