@@ -43,3 +43,11 @@ def count_per_epoch_day(df: DataFrame, epoch_column: str) -> DataFrame:
 
     key = day_start_epoch(F.col(quote(epoch_column))).alias("day_start")
     return df.select(key).groupBy("day_start").agg(F.count(F.lit(1)).alias("n"))
+
+
+def count_null_dates(df: DataFrame, date_column: str) -> int:
+    """Rows without a date (what ``null_dates='drop'`` leaves out).  Scans the
+    date column only."""
+    from strata.functions.metrics import quote
+
+    return df.select(quote(date_column)).where(F.col(quote(date_column)).isNull()).count()

@@ -7,12 +7,14 @@ writer) as validated keyword arguments.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
 from strata.functions.metrics import SketchConfig
 from strata.functions.periods import parse_frequency
+from strata.operators.counts import count_null_dates
 from strata.operators.profile import profile
 from strata.operators.views import profile_table
 from strata.sinks.writers import RowWriter, fan_out, write_each
@@ -28,13 +30,17 @@ def profile_job(spark: SparkSession, input: str | None = None, *, table: str | N
                 sketches: SketchConfig | None = None, readable: bool = False) -> DataFrame:
     """Profile one input per period of ``date_column`` (globally without it).
 
-    With ``output`` the store is written once (one Parquet file per period)
-    and the returned frame and the ``writer`` read that written copy.
+    With ``output`` the store is written once (partitioned by month) and the
+    returned frame and the ``writer`` read that written copy.  Rows dropped
+    for a missing date are counted and logged (``null_dates='drop'``).
     """
     parse_frequency(freq)  # fail before any Spark work on a bad frequency
     df = read_input(spark, input, table=table, query=query, path=table_path, format=format)
     if date_column is not None and date_column not in df.columns:
         raise ValueError(f"date column {date_column!r} is not in the input")
+    if date_column is not None and null_dates == "drop":
+        dropped = count_null_dates(df, date_column)
+        logging.getLogger("strata").info("%d rows without %s are not profiled", dropped, date_column)
     store = profile(df, date_column, freq, columns=columns, unit=unit, null_dates=null_dates,
                     fanout=fanout, sketches=sketches)
     if output is not None:

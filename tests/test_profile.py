@@ -243,3 +243,9 @@ def test_row_shuffle_plan_equals_default(spark, lineitem):
     assert "hashpartitioning(dataset_ts" in plan
     assert rows(exact_metrics(a)) == rows(exact_metrics(profile(lineitem, "l_shipdate", "D")))
     assert rows(exact_metrics(profile(lineitem, row_shuffle=True))) == rows(exact_metrics(profile(lineitem)))
+
+
+def test_null_date_count(spark, edge_df):
+    from strata.operators.counts import count_null_dates
+    assert count_null_dates(edge_df, "ts") == 1
+    assert count_null_dates(edge_df, "day") == 1
