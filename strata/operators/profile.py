@@ -125,6 +125,9 @@ def profile(df: DataFrame, date_column: str | None = None, freq: str = "D", *,
     exchange; a hot period is still split ``fanout`` ways and merged by the
     same tree.
     """
+    if df.isStreaming:
+        raise ValueError("profile() takes a batch DataFrame; for streams use "
+                         "strata.streaming.profile_stream or profile_stream_windowed")
     cfg = sketches or SketchConfig()
     by_cols = [by] if isinstance(by, str) else list(by or [])
     names = list(columns) if columns is not None else list(df.columns)

@@ -147,3 +147,10 @@ def test_windowed_stream_profile_with_watermark(spark, tmp_dir):
         F.col("dataset_ts").isin([d.strftime("%Y-%m-%d") for d in days]))
     got = exact_metrics(final, {"dataset_ts": "yyyy-MM-dd"})
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, direct.collect()))
+
+
+def test_batch_profile_refuses_a_stream(spark):
+    ev = spark.read.parquet(f"{SF001}/events.parquet")
+    stream = spark.readStream.schema(ev.schema).parquet(f"{SF001}/{{events}}.parquet")
+    with pytest.raises(ValueError, match="profile_stream"):
+        profile(stream, "ts", "D")
