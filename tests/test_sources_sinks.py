@@ -147,3 +147,27 @@ def test_command_line_job(spark, tmp_dir):
                 ["--output", "o"]):
         with pytest.raises(SystemExit):
             parse_args(bad)
+
+
+def test_all_feeding_styles_give_the_same_profile(spark, tmp_dir):
+    """Table, in-memory records, CSV files and a stream of the same rows."""
+    from strata.streaming import merge_panes, profile_stream
+
+    orders = spark.read.parquet(f"{SF001}/orders.parquet")
+    schema = orders.schema
+    fmt = {"dataset_ts": "yyyy-MM-dd"}
+    direct = sorted(map(tuple, exact_metrics(profile(orders, "o_orderdate", "M"), fmt).collect()))
+
+    recs = from_records(spark, [r.asDict() for r in orders.collect()], schema)
+    assert sorted(map(tuple, exact_metrics(profile(recs, "o_orderdate", "M"), fmt).collect())) == direct
+
+    csv_dir = os.path.join(tmp_dir, "csv")
+    orders.write.option("header", True).csv(csv_dir)
+    from_csv = read_csv(spark, csv_dir, schema=schema)
+    assert sorted(map(tuple, exact_metrics(profile(from_csv, "o_orderdate", "M"), fmt).collect())) == direct
+
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).csv(csv_dir, header=True)
+    out = os.path.join(tmp_dir, "panes")
+    profile_stream(stream, out, "o_orderdate", "M", checkpoint=os.path.join(tmp_dir, "ck"),
+                   trigger={"availableNow": True}).awaitTermination()
+    assert sorted(map(tuple, exact_metrics(merge_panes(spark, out), fmt).collect())) == direct
