@@ -102,9 +102,10 @@ class PaneWriter:
                 kwargs["by"] = [self.batch_column]
                 kwargs.setdefault("columns", [c for c in batch.columns
                                               if c not in (self.batch_column, PERIOD_COLUMN)])
-            store = profile(kept, self.date_column, self.freq, **kwargs)
-            (store.hint("rebalance").write.mode("overwrite")
-             .parquet(f"{self.panes_path}/pane={batch_id}"))
+            if meta.rows > meta.late_rows:  # an empty micro-batch adds no pane files
+                store = profile(kept, self.date_column, self.freq, **kwargs)
+                (store.hint("rebalance").write.mode("overwrite")
+                 .parquet(f"{self.panes_path}/pane={batch_id}"))
             spark.createDataFrame(
                 [(meta.max_event, int(meta.rows), int(meta.late_rows), wm)],
                 "max_event timestamp_ntz, rows bigint, late_rows bigint, watermark timestamp_ntz",
