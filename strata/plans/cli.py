@@ -35,6 +35,7 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--null-dates", default="drop", choices=["drop", "keep", "epoch", "error"])
     p.add_argument("--output", required=True, help="location of the profile store")
     p.add_argument("--columns", help="comma-separated columns to profile (default: all)")
+    p.add_argument("--run-id", help="append this run to the store instead of replacing it")
     p.add_argument("--logging-level", default="INFO", type=str.upper, choices=LOG_LEVELS)
     args = p.parse_args(argv)
     try:
@@ -56,7 +57,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     log.info("profiling %s per %s into %s", args.input or args.path, args.freq, args.output)
     profile_job(spark, args.input, table_path=args.path, format=args.format,
                 date_column=args.date_column, freq=args.freq, unit=args.unit,
-                null_dates=args.null_dates, columns=columns, output=args.output)
+                null_dates=args.null_dates, columns=columns, output=args.output,
+                run_id=args.run_id)
     log.info("done: %s", args.output)
 
 

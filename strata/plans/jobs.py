@@ -17,7 +17,7 @@ from strata.functions.periods import parse_frequency
 from strata.operators.counts import count_null_dates
 from strata.operators.profile import profile
 from strata.operators.views import profile_table
-from strata.sinks.writers import RowWriter, fan_out, write_each
+from strata.sinks.writers import RowWriter, fan_out, read_merged, write_each, write_run
 from strata.sources.tables import read_input
 
 
@@ -27,11 +27,15 @@ def profile_job(spark: SparkSession, input: str | None = None, *, table: str | N
                 writer: RowWriter | None = None, dataset_id: str = "dataset",
                 columns: Sequence[str] | None = None, unit: str | None = None,
                 null_dates: str = "drop", fanout: int | None = None,
-                sketches: SketchConfig | None = None, readable: bool = False) -> DataFrame:
+                sketches: SketchConfig | None = None, readable: bool = False,
+                run_id: str | None = None) -> DataFrame:
     """Profile one input per period of ``date_column`` (globally without it).
 
     With ``output`` the store is written once (partitioned by month) and the
-    returned frame and the ``writer`` read that written copy.  Rows dropped
+    returned frame and the ``writer`` read that written copy.  With ``run_id``
+    too, the run is appended to the store at ``output`` instead of replacing
+    it (rerunning the same ``run_id`` replaces only that run), and the
+    returned frame is the whole history merged.  Rows dropped
     for a missing date are counted and logged (``null_dates='drop'``).
     """
     parse_frequency(freq)  # fail before any Spark work on a bad frequency
@@ -43,7 +47,14 @@ def profile_job(spark: SparkSession, input: str | None = None, *, table: str | N
         logging.getLogger("strata").info("%d rows without %s are not profiled", dropped, date_column)
     store = profile(df, date_column, freq, columns=columns, unit=unit, null_dates=null_dates,
                     fanout=fanout, sketches=sketches)
-    if output is not None:
+    if output is not None and run_id is not None:
+        if date_column is None:
+            raise ValueError("run_id needs a date_column (runs are stored per period)")
+        write_run(store, output, run_id)
+        store = read_merged(spark, output)
+        if writer is not None:
+            write_each(store, writer, dataset_id)
+    elif output is not None:
         sinks = [lambda s: write_each(s, writer, dataset_id)] if writer is not None else []
         store = fan_out(store, output, sinks)
     elif writer is not None:

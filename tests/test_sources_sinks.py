@@ -171,3 +171,16 @@ def test_all_feeding_styles_give_the_same_profile(spark, tmp_dir):
     profile_stream(stream, out, "o_orderdate", "M", checkpoint=os.path.join(tmp_dir, "ck"),
                    trigger={"availableNow": True}).awaitTermination()
     assert sorted(map(tuple, exact_metrics(merge_panes(spark, out), fmt).collect())) == direct
+
+
+def test_profile_job_appends_runs(spark, tmp_dir):
+    orders_path = f"{SF001}/orders.parquet"
+    register_tables(spark, SF001, ["orders"])
+    out = os.path.join(tmp_dir, "runs")
+    q1 = "select * from orders where o_orderdate < TIMESTAMP_NTZ'1996-01-01 00:00:00'"
+    q2 = "select * from orders where o_orderdate >= TIMESTAMP_NTZ'1996-01-01 00:00:00'"
+    profile_job(spark, q1, date_column="o_orderdate", freq="M", output=out, run_id="a")
+    merged = profile_job(spark, q2, date_column="o_orderdate", freq="M", output=out, run_id="b")
+    direct = profile(spark.read.parquet(orders_path), "o_orderdate", "M")
+    assert sorted(map(tuple, exact_metrics(merged).collect())) == \
+        sorted(map(tuple, exact_metrics(direct).collect()))
