@@ -1,8 +1,10 @@
-"""Sinks: partitioned Parquet, JSON text, caller-supplied writers, fan-out."""
+"""Sinks: partitioned Parquet, append-only runs, JSON text, caller-supplied
+writers, a DataFrame-writer service sink, fan-out."""
 
+from strata.sinks.service import ProfileServiceSink
 from strata.sinks.writers import (
     fan_out, read_merged, read_profiles, write_each, write_profiles, write_run, write_text,
 )
 
-__all__ = ["fan_out", "read_merged", "read_profiles", "write_each", "write_profiles",
+__all__ = ["ProfileServiceSink", "fan_out", "read_merged", "read_profiles", "write_each", "write_profiles",
            "write_run", "write_text"]

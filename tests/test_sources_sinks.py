@@ -184,3 +184,36 @@ def test_profile_job_appends_runs(spark, tmp_dir):
     direct = profile(spark.read.parquet(orders_path), "o_orderdate", "M")
     assert sorted(map(tuple, exact_metrics(merged).collect())) == \
         sorted(map(tuple, exact_metrics(direct).collect()))
+
+
+def test_service_sink_through_the_writer_api(spark, tmp_dir):
+    import json
+    import uuid
+
+    from strata.sinks.service import ProfileServiceSink
+
+    inbox = os.path.join(tmp_dir, "inbox")
+    os.makedirs(inbox)
+
+    class FileUpload(ProfileServiceSink):
+        @classmethod
+        def name(cls):
+            return "test_file_upload"
+
+        def send(self, records):
+            with open(os.path.join(inbox, uuid.uuid4().hex + ".jsonl"), "w") as f:
+                for r in records:
+                    f.write(json.dumps({"key": r["key"], "n": r["n"]}) + "\n")
+
+        def on_commit(self, delivered):
+            with open(os.path.join(inbox, "_COMMITTED"), "w") as f:
+                f.write(str(delivered))
+
+    spark.dataSource.register(FileUpload)
+    store = profile(spark.read.parquet(f"{SF001}/orders.parquet"), "o_orderdate", "M")
+    (store.write.format("test_file_upload").option("dataset_id", "orders")
+     .option("batch_size", "7").mode("append").save())
+    lines = [json.loads(x) for p in glob.glob(os.path.join(inbox, "*.jsonl")) for x in open(p)]
+    assert len(lines) == store.count() == len({x["key"] for x in lines})
+    assert all(x["key"].startswith("orders/") for x in lines)
+    assert int(open(os.path.join(inbox, "_COMMITTED")).read()) == len(lines)
