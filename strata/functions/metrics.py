@@ -59,6 +59,15 @@ class SketchConfig:
     kll_k: int = 200
     topk_capacity: int = 128
 
+    def __post_init__(self):
+        # The parameter ranges Spark's sketch functions accept.
+        if not 4 <= self.lg_k <= 21:
+            raise ValueError("lg_k must be within 4..21")
+        if not 8 <= self.kll_k <= 65535:
+            raise ValueError("kll_k must be within 8..65535")
+        if not 0 <= self.topk_capacity <= 1_000_000:
+            raise ValueError("topk_capacity must be within 0..1000000 (0 = no top-k)")
+
 
 def type_class(dtype: T.DataType) -> str:
     if isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):

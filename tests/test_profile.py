@@ -249,3 +249,10 @@ def test_null_date_count(spark, edge_df):
     from strata.operators.counts import count_null_dates
     assert count_null_dates(edge_df, "ts") == 1
     assert count_null_dates(edge_df, "day") == 1
+
+
+def test_sketch_config_is_validated():
+    from strata import SketchConfig
+    for bad in ({"lg_k": 3}, {"kll_k": 4}, {"topk_capacity": -1}):
+        with pytest.raises(ValueError):
+            SketchConfig(**bad)
