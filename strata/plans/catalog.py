@@ -284,6 +284,15 @@ def profile_hot_key(spark, d):
     return exact_metrics(profile(read_table(spark, d, "lineitem"), by="l_returnflag"))
 
 
+@register("profile_by_day_and_key",
+          profile_sql("events", [(PERIOD_COLUMN, label_sql("D", "ts")), ("event_type", q("event_type"))],
+                      where="ts IS NOT NULL"))
+def profile_by_day_and_key(spark, d):
+    """Per period and per value of a key column at once."""
+    store = profile(read_table(spark, d, "events"), "ts", "D", by="event_type")
+    return exact_metrics(store, _fmt("D"))
+
+
 @register("group_by_existing_key",
           profile_sql("orders", [("o_orderpriority", q("o_orderpriority"))]))
 def group_by_existing_key(spark, d):

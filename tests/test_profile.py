@@ -89,7 +89,8 @@ def test_lookup(spark, lineitem):
 
 
 EDGE_SCHEMA = ("id int, d double, big bigint, dec decimal(38,10), s string, b boolean, "
-               "arr array<int>, nothing string, day date, ts timestamp")
+               "arr array<int>, nothing string, day date, ts timestamp, "
+               "items array<struct<sku:string,qty:int>>")
 
 
 @pytest.fixture(scope="module")
@@ -97,12 +98,14 @@ def edge_df(spark):
     inf = float("inf")
     data = [
         (1, float("nan"), 2**53 + 1, decimal.Decimal("12345678901234567890.0123456789"), "a", True,
-         [1, 2], None, dt.date(2024, 2, 29), dt.datetime(2024, 1, 1, 0, 0)),
-        (2, inf, -(2**62), decimal.Decimal("-1.5"), "bb", False, None, None, None, None),
-        (3, -inf, 7, None, None, None, [3], None, dt.date(2023, 12, 31), dt.datetime(2023, 12, 31, 23, 59, 59)),
-        (4, -0.0, None, decimal.Decimal("0"), "", True, [], None, dt.date(2024, 1, 1), dt.datetime(2024, 1, 1, 12)),
-        (5, 2.5, 7, decimal.Decimal("2"), "zz", True, [1, 2], None, dt.date(2024, 1, 1), dt.datetime(2024, 1, 2)),
-        (6, None, 7, decimal.Decimal("3"), "a", None, None, None, dt.date(2024, 1, 1), dt.datetime(2024, 1, 2)),
+         [1, 2], None, dt.date(2024, 2, 29), dt.datetime(2024, 1, 1, 0, 0), [("x", 1)]),
+        (2, inf, -(2**62), decimal.Decimal("-1.5"), "bb", False, None, None, None, None, None),
+        (3, -inf, 7, None, None, None, [3], None, dt.date(2023, 12, 31), dt.datetime(2023, 12, 31, 23, 59, 59),
+         [("x", 1), ("y", 2)]),
+        (4, -0.0, None, decimal.Decimal("0"), "", True, [], None, dt.date(2024, 1, 1), dt.datetime(2024, 1, 1, 12), []),
+        (5, 2.5, 7, decimal.Decimal("2"), "zz", True, [1, 2], None, dt.date(2024, 1, 1), dt.datetime(2024, 1, 2),
+         [("x", 1)]),
+        (6, None, 7, decimal.Decimal("3"), "a", None, None, None, dt.date(2024, 1, 1), dt.datetime(2024, 1, 2), None),
     ]
     return spark.createDataFrame(data, EDGE_SCHEMA)
 
@@ -124,6 +127,8 @@ def test_edge_values(spark, edge_df):
     b = t["b"]
     assert {(x.item, x["count"]) for x in b.frequent_items} == {("true", 3), ("false", 1)}
     assert t["arr"].type_class == "object" and t["arr"].distinct_est == 3
+    assert t["items"].type_class == "object" and t["items"].nonnull == 4
+    assert t["items"].distinct_est == 3
     nothing = t["nothing"]
     assert (nothing.nonnull, nothing.null, nothing.distinct_est) == (0, 6, 0)
     assert nothing.quantiles is None and nothing.frequent_items == []
