@@ -123,3 +123,26 @@ def test_multi_unit_labels_match_pandas_epoch_origin(spark, freq, pandas_freq):
         s = pd.Series([1], index=pd.DatetimeIndex([pd.Timestamp(e)]))
         g = s.groupby(pd.Grouper(freq=pandas_freq, origin="epoch")).count()
         assert got[e] == g[g > 0].index[0].to_pydatetime(), (freq, e)
+
+
+def _random_timestamps(n=200, seed=7):
+    import random
+    rng = random.Random(seed)
+    lo = dt.datetime(1990, 1, 1).timestamp()
+    hi = dt.datetime(2030, 12, 31).timestamp()
+    out = []
+    for _ in range(n):
+        t = dt.datetime.fromtimestamp(rng.uniform(lo, hi), dt.timezone.utc).replace(tzinfo=None)
+        out.append(t.strftime("%Y-%m-%d %H:%M:%S.%f"))
+    return out
+
+
+@pytest.mark.parametrize("freq", list(PANDAS_NAME))
+def test_labels_match_pandas_on_random_timestamps(spark, freq):
+    stamps = _random_timestamps()
+    df = spark.createDataFrame([(e,) for e in stamps], "t string").select(
+        F.col("t"), F.to_timestamp_ntz("t").alias("ts"))
+    got = {r.t: r.lab for r in df.select(
+        "t", period_label(F.col("ts"), freq).cast("timestamp_ntz").alias("lab")).collect()}
+    bad = [(e, got[e], pandas_label(e, freq)) for e in stamps if got[e] != pandas_label(e, freq)]
+    assert not bad, bad[:3]
