@@ -261,3 +261,23 @@ def test_sketch_config_is_validated():
     for bad in ({"lg_k": 3}, {"kll_k": 4}, {"topk_capacity": -1}):
         with pytest.raises(ValueError):
             SketchConfig(**bad)
+
+
+def test_auto_plan_choice(spark, lineitem):
+    from pyspark.sql import functions as F
+
+    from strata.operators.profile import rows_per_partial
+    # lineitem is not clustered by ship date: per-minute periods leave ~1 row per
+    # (task, period) -> row shuffle; months leave many rows -> partial aggregation
+    day = F.to_date("l_shipdate")
+    assert rows_per_partial(lineitem, day) > 1
+    minute = F.date_format("l_shipdate", "yyyy-MM-dd HH:mm")
+    assert rows_per_partial(lineitem, minute) < 32
+    auto_t = profile(lineitem, "l_shipdate", "T", row_shuffle="auto", columns=["l_quantity"])
+    plan_t = auto_t._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_COL" in plan_t and "RoundRobinPartitioning" not in plan_t
+    auto_m = profile(lineitem, "l_shipdate", "M", row_shuffle="auto", columns=["l_quantity"])
+    assert "RoundRobinPartitioning" in auto_m._jdf.queryExecution().executedPlan().toString()
+    assert rows(exact_metrics(auto_t)) == rows(exact_metrics(profile(lineitem, "l_shipdate", "T", columns=["l_quantity"])))
+    with pytest.raises(ValueError):
+        profile(lineitem, "l_shipdate", "D", row_shuffle="sometimes")
