@@ -28,14 +28,16 @@ def profile_job(spark: SparkSession, input: str | None = None, *, table: str | N
                 columns: Sequence[str] | None = None, unit: str | None = None,
                 null_dates: str = "drop", fanout: int | None = None,
                 sketches: SketchConfig | None = None, readable: bool = False,
-                run_id: str | None = None) -> DataFrame:
+                run_id: str | None = None, row_shuffle: bool | str = "auto") -> DataFrame:
     """Profile one input per period of ``date_column`` (globally without it).
 
     With ``output`` the store is written once (partitioned by month) and the
     returned frame and the ``writer`` read that written copy.  With ``run_id``
     too, the run is appended to the store at ``output`` instead of replacing
     it (rerunning the same ``run_id`` replaces only that run), and the
-    returned frame is the whole history merged.  Rows dropped
+    returned frame is the whole history merged.  ``row_shuffle`` (default
+    ``"auto"``) picks the aggregation plan from a one-split probe of the date
+    column (see ``profile``).  Rows dropped
     for a missing date are counted and logged (``null_dates='drop'``).
     """
     parse_frequency(freq)  # fail before any Spark work on a bad frequency
@@ -46,7 +48,7 @@ def profile_job(spark: SparkSession, input: str | None = None, *, table: str | N
         dropped = count_null_dates(df, date_column)
         logging.getLogger("strata").info("%d rows without %s are not profiled", dropped, date_column)
     store = profile(df, date_column, freq, columns=columns, unit=unit, null_dates=null_dates,
-                    fanout=fanout, sketches=sketches)
+                    fanout=fanout, sketches=sketches, row_shuffle=row_shuffle)
     if output is not None and run_id is not None:
         if date_column is None:
             raise ValueError("run_id needs a date_column (runs are stored per period)")
