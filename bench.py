@@ -16,6 +16,7 @@ Headline queries mirror the reference's jobs:
   rollup_day_to_month  merge of stored daily profiles into months
   profile_text         text-heavy table (documents), length metrics of whole texts
   stream_panes         file replay as a stream, one pane per file, merged
+  stream_windows       file replay into day windows in the state store (watermark)
 """
 
 from __future__ import annotations
@@ -39,6 +40,7 @@ from strata.operators.profile import profile  # noqa: E402
 from strata.session import checkpoint_root, local_session  # noqa: E402
 from strata.sinks.writers import read_profiles, write_profiles  # noqa: E402
 from strata.streaming.panes import merge_panes, profile_stream  # noqa: E402
+from strata.streaming.windows import profile_stream_windowed  # noqa: E402
 
 
 def main() -> None:
@@ -74,6 +76,15 @@ def main() -> None:
                        trigger={"availableNow": True}).awaitTermination()
         run(merge_panes(spark, out))
 
+    def q_stream_windows():
+        ev = table("events")
+        stream = spark.readStream.schema(ev.schema).parquet(os.path.join(sf_dir, "{events}.parquet"))
+        name = f"bench_windows_{uuid.uuid4().hex[:8]}"
+        (profile_stream_windowed(stream, "ts", "1 day", watermark="0 seconds")
+         .writeStream.format("noop").queryName(name).outputMode("append")
+         .option("checkpointLocation", f"{root}/bench-{run_id}/{name}")
+         .trigger(availableNow=True).start().awaitTermination())
+
     plan = {
         "profile_by_day": q_profile_by_day,
         "profile_global": lambda: run(profile(table("lineitem"))),
@@ -88,6 +99,7 @@ def main() -> None:
         "rollup_day_to_month": lambda: run(rollup(read_profiles(spark, stored), "M")),
         "profile_text": lambda: run(profile(table("documents"))),
         "stream_panes": q_stream_panes,
+        "stream_windows": q_stream_windows,
     }
 
     # Warm-up (JIT, class loading, codegen cache) on the smallest scale of the
