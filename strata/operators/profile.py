@@ -154,6 +154,9 @@ def profile(df: DataFrame, date_column: str | None = None, freq: str = "D", *,
     missing = [c for c in names + by_cols if c not in schema]
     if missing:
         raise ValueError(f"unknown columns: {missing}")
+    clash = [c for c in by_cols if c in METRIC_COLUMNS or c == PERIOD_COLUMN]
+    if clash:
+        raise ValueError(f"key columns {clash} clash with profile store columns; rename them")
     if fanout is not None and fanout < 1:
         raise ValueError("fanout must be >= 1")
     if row_shuffle not in (True, False, "auto"):

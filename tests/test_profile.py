@@ -281,3 +281,10 @@ def test_auto_plan_choice(spark, lineitem):
     assert rows(exact_metrics(auto_t)) == rows(exact_metrics(profile(lineitem, "l_shipdate", "T", columns=["l_quantity"])))
     with pytest.raises(ValueError):
         profile(lineitem, "l_shipdate", "D", row_shuffle="sometimes")
+
+
+def test_key_names_must_not_clash_with_store_columns(spark):
+    df = spark.createDataFrame([(1, "a")], "n int, `column` string")
+    with pytest.raises(ValueError, match="clash"):
+        profile(df, by="column")
+    assert profile(df).count() == 2  # profiling such columns is fine
