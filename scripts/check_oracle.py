@@ -2,6 +2,8 @@
 
 Usage: python scripts/check_oracle.py [sf_dir] [name-substring ...]
 Compares row count, column names and an order-insensitive multiset of rows.
+The session can be varied to check independence from it: CHECK_CORES,
+CHECK_SHUFFLE_PARTITIONS, CHECK_TZ.
 """
 
 from __future__ import annotations
@@ -48,7 +50,10 @@ def rows_of(cols, records):
 def main():
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     pats = sys.argv[2:]
-    spark = local_session(8)
+    spark = local_session(
+        os.environ.get("CHECK_CORES", "8"),
+        shuffle_partitions=int(os.environ.get("CHECK_SHUFFLE_PARTITIONS", "8")),
+        extra={"spark.sql.session.timeZone": os.environ.get("CHECK_TZ", "UTC")})
     con = duckdb.connect()
     for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf}/{t}.parquet')")

@@ -126,11 +126,19 @@ def rollup(store: DataFrame, freq: str, *, period_column: str = "dataset_ts",
 def lookup(store: DataFrame, **key_values) -> DataFrame:
     """Rows of ``store`` whose key columns equal the given values, e.g.
     ``lookup(store, dataset_ts=datetime(1995, 3, 31))``."""
+    import datetime as _dt
+
+    from pyspark.sql import types as T
+
     cond = F.lit(True)
     for k, v in key_values.items():
         if k not in store.columns:
             raise ValueError(f"{k} is not a column of the store")
-        cond = cond & (cols([k])[0] == F.lit(v))
+        value = F.lit(v)
+        if isinstance(v, _dt.datetime) and isinstance(store.schema[k].dataType, T.TimestampNTZType):
+            # a wall-clock literal: through text, so the session time zone plays no part
+            value = F.lit(v.replace(tzinfo=None).isoformat(sep=" ")).cast("timestamp_ntz")
+        cond = cond & (cols([k])[0] == value)
     return store.where(cond)
 
 

@@ -288,3 +288,13 @@ def test_key_names_must_not_clash_with_store_columns(spark):
     with pytest.raises(ValueError, match="clash"):
         profile(df, by="column")
     assert profile(df).count() == 2  # profiling such columns is fine
+
+
+def test_lookup_is_independent_of_session_zone(spark, lineitem):
+    store = profile(lineitem, "l_shipdate", "M")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        assert lookup(store, dataset_ts=dt.datetime(1995, 3, 31)).count() == len(lineitem.columns)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
