@@ -44,7 +44,7 @@ def profile_job(spark: SparkSession, input: str | None = None, *, table: str | N
     df = read_input(spark, input, table=table, query=query, path=table_path, format=format)
     if date_column is not None and date_column not in df.columns:
         raise ValueError(f"date column {date_column!r} is not in the input")
-    if date_column is not None and null_dates == "drop":
+    if date_column is not None and null_dates == "drop" and df.schema[date_column].nullable:
         dropped = count_null_dates(df, date_column)
         logging.getLogger("strata").info("%d rows without %s are not profiled", dropped, date_column)
     store = profile(df, date_column, freq, columns=columns, unit=unit, null_dates=null_dates,
