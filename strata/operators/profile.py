@@ -138,7 +138,7 @@ def profile(df: DataFrame, date_column: str | None = None, freq: str = "D", *,
     ``row_shuffle=True`` is the plan for inputs whose tasks each see many
     periods (event time not clustered in the files): partial sketches per
     (task, period) would then outweigh the rows, so the profiled columns are
-    shuffled by ``(period, hash salt)`` instead and aggregated after the
+    shuffled by ``(period, row-position salt)`` instead and aggregated after the
     exchange; a hot period is still split ``fanout`` ways and merged by the
     same tree.  ``row_shuffle="auto"`` decides by probing the first rows of
     the date column (one small job): row shuffle when a (task, period) would
@@ -190,12 +190,13 @@ def profile(df: DataFrame, date_column: str | None = None, freq: str = "D", *,
     keys += by_cols
     group = list(keys)
     if row_shuffle:
-        # Salt by a hash of the row (deterministic), then co-locate each
-        # (period, salt) before aggregating: the exchange moves the profiled
-        # columns once and the aggregate needs no second exchange.
+        # Salt by row position (deterministic for a given input, and it
+        # splits even a hot period made of identical copies), then co-locate
+        # each (period, salt) before aggregating: the exchange moves the
+        # profiled columns once and the aggregate needs no second exchange.
         fanout = max(fanout, 2)
         src = (src.select(*cols(dict.fromkeys(keys + names)))
-               .withColumn("__salt", F.pmod(F.xxhash64(*cols(names)), F.lit(fanout))))
+               .withColumn("__salt", F.pmod(F.monotonically_increasing_id(), F.lit(fanout))))
         group.append("__salt")
         src = src.repartition(*cols(group))
     elif fanout > 1:

@@ -1,8 +1,9 @@
 """Streaming ``GroupIntoBatches``: batches of at most ``size`` rows per key,
 emitted when full or when a key has waited ``max_wait`` (processing time).
 
-Keys are sharded (``shards`` hash buckets of the row per key, like a sharded
-key) so one hot key is buffered and emitted by many tasks, never by one.
+Keys are sharded (``shards`` buckets drawn per row, like a sharded key) so one
+hot key is buffered and emitted by many tasks, never by one, even when its rows
+are identical copies.
 Per (key, shard) the state holds fewer than ``size`` buffered rows as one
 Arrow IPC blob plus the next batch number; a full batch is emitted as soon as
 it is complete.
@@ -57,7 +58,10 @@ def stream_group_into_batches(stream: DataFrame, key: str, size: int, *,
     out_schema = T.StructType(list(stream.schema.fields) + [T.StructField("batch_id", T.LongType())])
     state_schema = T.StructType([T.StructField("buffer", T.BinaryType()),
                                  T.StructField("seq", T.LongType())])
-    sharded = stream.withColumn("__shard", F.pmod(F.xxhash64(*[F.col(c) for c in cols]), F.lit(shards)))
+    # Shard with a seeded per-partition random sequence: spreads a hot key even
+    # when its rows are identical copies (a content hash would not), and a
+    # replayed micro-batch (same offsets, same partitions) draws the same shards.
+    sharded = stream.withColumn("__shard", F.floor(F.rand(7) * F.lit(shards)).cast("bigint"))
 
     def emit(rows: pd.DataFrame, shard: int, seq: int) -> pd.DataFrame:
         out = rows[cols].copy()

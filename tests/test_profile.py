@@ -298,3 +298,14 @@ def test_lookup_is_independent_of_session_zone(spark, lineitem):
         assert lookup(store, dataset_ts=dt.datetime(1995, 3, 31)).count() == len(lineitem.columns)
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_row_shuffle_spreads_identical_copies(spark):
+    # one period made of identical rows: the salt must still split it
+    copies = spark.range(4000).selectExpr("TIMESTAMP_NTZ'2024-01-01 10:00:00' AS ts", "1 AS v")
+    from strata.operators.profile import PERIOD_COLUMN, with_period
+    salted = with_period(copies, "ts", "D").withColumn(
+        "s", F.pmod(F.monotonically_increasing_id(), F.lit(4)))
+    assert salted.groupBy(PERIOD_COLUMN, "s").count().count() == 4
+    store = profile(copies, "ts", "D", row_shuffle=True, fanout=4)
+    assert store.where("column = 'v'").first().n == 4000
