@@ -160,11 +160,13 @@ def ltz_to_utc_ntz(col: Column) -> Column:
     return from_epoch(F.unix_micros(col), "us")
 
 
-def as_wall_clock(col: Column, dtype: T.DataType, unit: str | None = None) -> Column:
+def as_wall_clock(col: Column, dtype: T.DataType, unit: str | None = None,
+                  errors: str = "raise") -> Column:
     """Any date-like column -> TIMESTAMP_NTZ in UTC wall clock.
 
     Integral columns need an explicit ``unit``: without it pandas would read
-    epoch seconds as nanoseconds and put every row in 1970-01-01.
+    epoch seconds as nanoseconds and put every row in 1970-01-01.  Text is
+    parsed with ``errors='raise'`` (fail on bad text) or ``'coerce'`` (NULL).
     """
     if isinstance(dtype, T.TimestampNTZType):
         return col
@@ -177,7 +179,7 @@ def as_wall_clock(col: Column, dtype: T.DataType, unit: str | None = None) -> Co
             raise ValueError("integral date column needs unit='s'|'ms'|'us'|'ns'")
         return from_epoch(col, unit)
     if isinstance(dtype, T.StringType):
-        return parse_timestamp(col)
+        return parse_timestamp(col, errors=errors)
     raise TypeError(f"cannot use a {dtype.simpleString()} column as a date")
 
 

@@ -30,6 +30,7 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strata.functions.metrics import (
     METRIC_COLUMNS, SketchConfig, cols, column_aggregates, quote, unpivot_struct,
@@ -50,18 +51,23 @@ PERIOD_COLUMN = "dataset_ts"
 
 def with_period(df: DataFrame, date_column: str, freq: str = "D", *, unit: str | None = None,
                 null_dates: str = "drop", anchor: str | None = None,
-                out: str = PERIOD_COLUMN) -> DataFrame:
+                out: str = PERIOD_COLUMN, date_errors: str = "raise") -> DataFrame:
     """Add the period label (TIMESTAMP_NTZ) of ``date_column`` as ``out``.
 
     ``null_dates`` decides what happens to rows without a date:
     ``'drop'`` (default; the filter reaches the scan), ``'keep'`` (a NULL
     period), ``'epoch'`` (period of 1970-01-01) or ``'error'`` (fail the job).
+    Text dates that do not parse fail the job (``date_errors='raise'``) or
+    count as missing (``'coerce'``).
     """
     if null_dates not in ("drop", "keep", "epoch", "error"):
         raise ValueError("null_dates must be 'drop', 'keep', 'epoch' or 'error'")
     dtype = df.schema[date_column].dataType
     src = F.col(quote(date_column))
-    label = period_label(as_wall_clock(src, dtype, unit), freq, anchor).cast("timestamp_ntz")
+    wall = as_wall_clock(src, dtype, unit, errors=date_errors)
+    label = period_label(wall, freq, anchor).cast("timestamp_ntz")
+    if date_errors == "coerce" and isinstance(dtype, T.StringType):
+        src = wall  # unparsable text is a missing date
     if null_dates == "drop":
         df = df.where(src.isNotNull())
     elif null_dates == "epoch":
@@ -126,7 +132,7 @@ def profile(df: DataFrame, date_column: str | None = None, freq: str = "D", *,
             unit: str | None = None, null_dates: str = "drop", anchor: str | None = None,
             fanout: int | None = None, sketches: SketchConfig | None = None,
             columns_per_pass: int = COLUMNS_PER_PASS,
-            row_shuffle: bool | str = False) -> DataFrame:
+            row_shuffle: bool | str = False, date_errors: str = "raise") -> DataFrame:
     """Profile every column of ``df``: per period of ``date_column`` at
     frequency ``freq``, per value of the ``by`` columns, or globally.
 
@@ -165,14 +171,15 @@ def profile(df: DataFrame, date_column: str | None = None, freq: str = "D", *,
         row_shuffle = False
         if date_column is not None:
             probe = with_period(df, date_column, freq, unit=unit, null_dates=null_dates,
-                                anchor=anchor)
+                                anchor=anchor, date_errors=date_errors)
             row_shuffle = rows_per_partial(probe, F.col(PERIOD_COLUMN)) < MIN_ROWS_PER_PARTIAL
     if len(names) > columns_per_pass:
         from functools import reduce
         chunks = [names[i:i + columns_per_pass] for i in range(0, len(names), columns_per_pass)]
         stores = [profile(df, date_column, freq, by=by_cols, columns=chunk, unit=unit,
                           null_dates=null_dates, anchor=anchor, fanout=fanout, sketches=cfg,
-                          columns_per_pass=columns_per_pass, row_shuffle=row_shuffle)
+                          columns_per_pass=columns_per_pass, row_shuffle=row_shuffle,
+                          date_errors=date_errors)
                   for chunk in chunks]
         return reduce(lambda a, b: a.unionByName(b), stores)
 
@@ -185,7 +192,8 @@ def profile(df: DataFrame, date_column: str | None = None, freq: str = "D", *,
     if fanout is None:
         fanout = tree_fanout(width)
     if date_column is not None:
-        src = with_period(src, date_column, freq, unit=unit, null_dates=null_dates, anchor=anchor)
+        src = with_period(src, date_column, freq, unit=unit, null_dates=null_dates, anchor=anchor,
+                          date_errors=date_errors)
         keys.append(PERIOD_COLUMN)
     keys += by_cols
     group = list(keys)

@@ -33,6 +33,8 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--freq", default="D", help="period frequency (D, H, W, W-MON, M, MS, Q, A, B, SM, 2D, ...)")
     p.add_argument("--unit", choices=["s", "ms", "us", "ns"], help="unit of an integral date column")
     p.add_argument("--null-dates", default="drop", choices=["drop", "keep", "epoch", "error"])
+    p.add_argument("--date-errors", default="raise", choices=["raise", "coerce"],
+                   help="text dates that do not parse: fail, or count as missing")
     p.add_argument("--output", required=True, help="location of the profile store")
     p.add_argument("--columns", help="comma-separated columns to profile (default: all)")
     p.add_argument("--run-id", help="append this run to the store instead of replacing it")
@@ -60,7 +62,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     profile_job(spark, args.input, table_path=args.path, format=args.format,
                 date_column=args.date_column, freq=args.freq, unit=args.unit,
                 null_dates=args.null_dates, columns=columns, output=args.output,
-                run_id=args.run_id,
+                run_id=args.run_id, date_errors=args.date_errors,
                 row_shuffle={"auto": "auto", "partial": False, "row-shuffle": True}[args.plan])
     log.info("done: %s", args.output)
 

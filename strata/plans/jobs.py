@@ -28,7 +28,8 @@ def profile_job(spark: SparkSession, input: str | None = None, *, table: str | N
                 columns: Sequence[str] | None = None, unit: str | None = None,
                 null_dates: str = "drop", fanout: int | None = None,
                 sketches: SketchConfig | None = None, readable: bool = False,
-                run_id: str | None = None, row_shuffle: bool | str = "auto") -> DataFrame:
+                run_id: str | None = None, row_shuffle: bool | str = "auto",
+                date_errors: str = "raise") -> DataFrame:
     """Profile one input per period of ``date_column`` (globally without it).
 
     With ``output`` the store is written once (partitioned by month) and the
@@ -48,7 +49,8 @@ def profile_job(spark: SparkSession, input: str | None = None, *, table: str | N
         dropped = count_null_dates(df, date_column)
         logging.getLogger("strata").info("%d rows without %s are not profiled", dropped, date_column)
     store = profile(df, date_column, freq, columns=columns, unit=unit, null_dates=null_dates,
-                    fanout=fanout, sketches=sketches, row_shuffle=row_shuffle)
+                    fanout=fanout, sketches=sketches, row_shuffle=row_shuffle,
+                    date_errors=date_errors)
     if output is not None and run_id is not None:
         if date_column is None:
             raise ValueError("run_id needs a date_column (runs are stored per period)")

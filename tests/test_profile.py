@@ -309,3 +309,13 @@ def test_row_shuffle_spreads_identical_copies(spark):
     assert salted.groupBy(PERIOD_COLUMN, "s").count().count() == 4
     store = profile(copies, "ts", "D", row_shuffle=True, fanout=4)
     assert store.where("column = 'v'").first().n == 4000
+
+
+def test_text_dates_raise_or_coerce(spark):
+    df = spark.createDataFrame([("2024-01-01 10:00:00", 1), ("garbage", 2), (None, 3)], "t string, v int")
+    with pytest.raises(Exception):
+        profile(df, "t", "D", columns=["v"]).collect()
+    kept = profile(df, "t", "D", columns=["v"], date_errors="coerce").collect()
+    assert [(r.dataset_ts, r.n) for r in kept] == [(dt.datetime(2024, 1, 1), 1)]
+    keep = profile(df, "t", "D", columns=["v"], date_errors="coerce", null_dates="keep")
+    assert sorted(r.n for r in keep.collect()) == [1, 2]
