@@ -194,7 +194,8 @@ def _micros(ts: Column) -> Column:
 def _floor_fixed(ts: Column, width_micros: int, anchor_micros: int) -> Column:
     """Start of the fixed-width bin holding ``ts``; bins start at ``anchor``."""
     rel = _micros(ts) - F.lit(anchor_micros)
-    start = F.floor(rel / F.lit(width_micros)).cast("bigint") * F.lit(width_micros) + F.lit(anchor_micros)
+    # exact integer floor (pmod is never negative), no double rounding
+    start = rel - F.pmod(rel, F.lit(width_micros)) + F.lit(anchor_micros)
     return F.timestamp_add("MICROSECOND", start, F.expr(EPOCH_NTZ))
 
 

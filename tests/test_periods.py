@@ -146,3 +146,12 @@ def test_labels_match_pandas_on_random_timestamps(spark, freq):
         "t", period_label(F.col("ts"), freq).cast("timestamp_ntz").alias("lab")).collect()}
     bad = [(e, got[e], pandas_label(e, freq)) for e in stamps if got[e] != pandas_label(e, freq)]
     assert not bad, bad[:3]
+
+
+def test_fixed_bins_are_exact_far_from_the_epoch(spark):
+    df = spark.createDataFrame([("9999-12-31 23:59:59.999999",), ("1901-03-04 05:06:07.000001",)], "t string")
+    r = df.select(period_label(F.to_timestamp_ntz("t"), "S").alias("s"),
+                  period_label(F.to_timestamp_ntz("t"), "3H").alias("h")).collect()
+    assert r[0].s == dt.datetime(9999, 12, 31, 23, 59, 59)
+    assert r[1].s == dt.datetime(1901, 3, 4, 5, 6, 7)
+    assert r[1].h == dt.datetime(1901, 3, 4, 3, 0)  # pandas: Grouper(freq="3h", origin="epoch")
