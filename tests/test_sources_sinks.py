@@ -2,7 +2,6 @@ import glob
 import os
 
 import pytest
-from pyspark.sql import functions as F
 
 from strata import exact_metrics, merge_stores, profile
 from strata.plans.jobs import profile_job
