@@ -29,6 +29,7 @@ from strata.operators.views import exact_metrics, frequent_items, profile_size
 from strata.plans.accuracy import global_sketch_accuracy
 from strata.plans.oracle import TABLE_COLUMNS, count_sql, label_sql, profile_sql, q
 from strata.session import checkpoint_root
+from strata.sinks.writers import read_merged, read_profiles, write_profiles, write_run
 from strata.sources.tables import read_input, read_table, register_tables, table_path
 from strata.streaming.panes import merge_panes, profile_stream
 from strata.streaming.windows import profile_stream_windowed
@@ -339,6 +340,31 @@ def profile_merge_stores(spark, d):
     return exact_metrics(merge_stores([a, b]), _fmt("M"))
 
 
+@register("profile_history_runs",
+          profile_sql("orders", [(PERIOD_COLUMN, label_sql("M", "o_orderdate"))],
+                      where="o_orderdate IS NOT NULL"))
+def profile_history_runs(spark, d):
+    """Two daily runs appended to a history store (one of them retried), read
+    back merged and rolled up to months."""
+    orders = read_table(spark, d, "orders")
+    cut = F.col("o_orderdate") < F.lit("1996-01-01 00:00:00").cast("timestamp_ntz")
+    out = f"{checkpoint_root(spark)}/strata-history-{uuid.uuid4().hex}"
+    write_run(profile(orders.where(cut), "o_orderdate", "D"), out, "run-1")
+    write_run(profile(orders.where(~cut), "o_orderdate", "D"), out, "run-2")
+    write_run(profile(orders.where(~cut), "o_orderdate", "D"), out, "run-2")  # retried run
+    return exact_metrics(rollup(read_merged(spark, out), "M"), _fmt("M"))
+
+
+@register("profile_store_round_trip",
+          profile_sql("lineitem", [(PERIOD_COLUMN, label_sql("Q", "l_shipdate"))],
+                      where="l_shipdate IS NOT NULL"))
+def profile_store_round_trip(spark, d):
+    """A daily store written (month partitions), read back, rolled up to quarters."""
+    out = f"{checkpoint_root(spark)}/strata-store-{uuid.uuid4().hex}"
+    write_profiles(profile(read_table(spark, d, "lineitem"), "l_shipdate", "D"), out)
+    return exact_metrics(rollup(read_profiles(spark, out), "Q"), _fmt("Q"))
+
+
 _FI_COLUMNS = ["l_returnflag", "l_linestatus", "l_linenumber"]
 
 
