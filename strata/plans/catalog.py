@@ -29,7 +29,9 @@ from strata.operators.views import exact_metrics, frequent_items, profile_size
 from strata.plans.accuracy import global_sketch_accuracy
 from strata.plans.oracle import TABLE_COLUMNS, count_sql, label_sql, profile_sql, q
 from strata.session import checkpoint_root
-from strata.sinks.writers import read_merged, read_profiles, write_profiles, write_run
+from strata.sinks.writers import (
+    read_merged, read_profiles, read_text_profiles, write_profiles, write_run, write_text,
+)
 from strata.sources.tables import read_input, read_table, register_tables, table_path
 from strata.streaming.panes import merge_panes, profile_stream
 from strata.streaming.windows import profile_stream_windowed
@@ -365,6 +367,16 @@ def profile_store_round_trip(spark, d):
     return exact_metrics(rollup(read_profiles(spark, out), "Q"), _fmt("Q"))
 
 
+@register("profile_text_round_trip",
+          profile_sql("orders", [(PERIOD_COLUMN, label_sql("W", "o_orderdate"))],
+                      where="o_orderdate IS NOT NULL"))
+def profile_text_round_trip(spark, d):
+    """A daily store written as JSON text, read back and rolled up to weeks."""
+    out = f"{checkpoint_root(spark)}/strata-text-{uuid.uuid4().hex}"
+    write_text(profile(read_table(spark, d, "orders"), "o_orderdate", "D"), out)
+    return exact_metrics(rollup(read_text_profiles(spark, out), "W"), _fmt("W"))
+
+
 _FI_COLUMNS = ["l_returnflag", "l_linestatus", "l_linenumber"]
 
 

@@ -3,8 +3,9 @@ writers, a DataFrame-writer service sink, fan-out."""
 
 from strata.sinks.service import ProfileServiceSink
 from strata.sinks.writers import (
-    fan_out, read_merged, read_profiles, write_each, write_profiles, write_run, write_text,
+    fan_out, read_merged, read_profiles, read_text_profiles, write_each, write_profiles, write_run,
+    write_text,
 )
 
-__all__ = ["ProfileServiceSink", "fan_out", "read_merged", "read_profiles", "write_each", "write_profiles",
-           "write_run", "write_text"]
+__all__ = ["ProfileServiceSink", "fan_out", "read_merged", "read_profiles", "read_text_profiles",
+           "write_each", "write_profiles", "write_run", "write_text"]

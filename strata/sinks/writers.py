@@ -93,9 +93,21 @@ def read_merged(spark: SparkSession, path: str, start: str | None = None,
 
 
 def write_text(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """One JSON object per row (binary columns base64-encoded)."""
-    cols = [F.base64(c).alias(c) if t == "binary" else F.col(c) for c, t in df.dtypes]
-    df.select(*cols).write.mode(mode).json(path)
+    """One JSON object per row; Spark writes the sketch bytes as base64, so
+    ``read_text_profiles`` gets a mergeable store back."""
+    df.write.mode(mode).json(path)
+
+
+def read_text_profiles(spark: SparkSession, path: str,
+                       keys: dict[str, str] | None = None) -> DataFrame:
+    """Read a store written by ``write_text``.  ``keys`` maps key columns to
+    types (default: a periodic store, ``{"dataset_ts": "timestamp_ntz"}``)."""
+    from strata.functions.metrics import METRIC_COLUMNS, STORE_TYPES
+
+    keys = {PERIOD_COLUMN: "timestamp_ntz"} if keys is None else keys
+    ddl = ", ".join([f"`{k}` {t}" for k, t in keys.items()] +
+                    [f"`{m}` {STORE_TYPES[m]}" for m in METRIC_COLUMNS])
+    return spark.read.schema(ddl).json(path)
 
 
 RowWriter = Callable[[Iterable[tuple[str, Row]]], None]
