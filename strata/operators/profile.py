@@ -85,19 +85,31 @@ def input_partitions(df: DataFrame) -> int:
     in ``spark.sql.shuffle.partitions`` pieces; asking its RDD would make
     adaptive execution run the upstream stages, so only plain scans are
     asked (that only lists their file splits)."""
-    plan = df._jdf.queryExecution().executedPlan().toString()
+    shuffle_width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    try:
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    except AttributeError:  # Spark Connect: no JVM handle; assume shuffle width
+        return shuffle_width
     if "Exchange" in plan or "AdaptiveSparkPlan" in plan:
-        return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        return shuffle_width
     return df.rdd.getNumPartitions()
 
 
+def task_slots(spark) -> int:
+    """Tasks the cluster runs at once (classic sessions), else the shuffle width."""
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001 - Spark Connect has no SparkContext
+        return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def spread_narrow_input(df: DataFrame, partitions: int | None = None) -> tuple[DataFrame, int]:
     """Round-robin an input that has fewer partitions than the cluster has
     task slots (one unsplittable file, one Parquet row group) so the
     sketch-heavy map side runs on every core.  Inputs with enough splits --
     anything large -- are left untouched: no shuffle.  Returns the frame and
     its partition count."""
-    slots = df.sparkSession.sparkContext.defaultParallelism
+    slots = task_slots(df.sparkSession)
     p = input_partitions(df) if partitions is None else partitions
     if p < slots:
         return df.repartition(slots), slots
