@@ -20,6 +20,7 @@ from strata.functions.periods import (
     day_start_epoch, epoch_seconds, from_epoch, parse_frequency, parse_timestamp, period_label,
 )
 from strata.operators.batches import batch_sizes, group_into_batches
+from strata.operators.custom import custom_profile
 from strata.operators.counts import (
     count_per_epoch_day, count_per_period, count_per_period_batched, distinct_periods,
 )
@@ -377,6 +378,26 @@ def profile_text_round_trip(spark, d):
     return exact_metrics(rollup(read_text_profiles(spark, out), "W"), _fmt("W"))
 
 
+# User metrics: (name, kind, Spark row expression, SQL row expression).
+_CUSTOM = [("positive", "sum", lambda c: (c > 0).cast("int"), "CAST({c} > 0 AS INTEGER)"),
+           ("largest", "max", lambda c: c, "{c}"),
+           ("smallest", "min", lambda c: c, "{c}")]
+_CUSTOM_COLUMNS = ["l_quantity", "l_discount", "l_tax"]
+
+
+@register("custom_metrics", "\nUNION ALL\n".join(
+    f"SELECT {label_sql('M', 'l_shipdate')} AS dataset_ts, '{c}' AS \"column\", '{m}' AS metric, "
+    f"'{k}' AS kind, CAST({k}({sql.format(c=c)}) AS DOUBLE) AS value FROM lineitem "
+    f"WHERE l_shipdate IS NOT NULL GROUP BY 1"
+    for c in _CUSTOM_COLUMNS for m, k, _, sql in _CUSTOM))
+def custom_metrics(spark, d):
+    """User-defined mergeable metrics per month (the user aggregate surface)."""
+    metrics = {m: (k, fn) for m, k, fn, _ in _CUSTOM}
+    store = custom_profile(read_table(spark, d, "lineitem"), metrics, "l_shipdate", "M",
+                           columns=_CUSTOM_COLUMNS)
+    return _label_text(store, "M")
+
+
 _FI_COLUMNS = ["l_returnflag", "l_linestatus", "l_linenumber"]
 
 

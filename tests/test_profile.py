@@ -319,3 +319,20 @@ def test_text_dates_raise_or_coerce(spark):
     assert [(r.dataset_ts, r.n) for r in kept] == [(dt.datetime(2024, 1, 1), 1)]
     keep = profile(df, "t", "D", columns=["v"], date_errors="coerce", null_dates="keep")
     assert sorted(r.n for r in keep.collect()) == [1, 2]
+
+
+def test_custom_metrics_merge_like_profiles(spark, lineitem):
+    from strata.operators.custom import custom_profile, merge_custom
+    metrics = {"positive": ("sum", lambda c: (c > 0).cast("int")),
+               "largest": ("max", lambda c: c), "smallest": ("min", lambda c: c)}
+    cols_ = ["l_quantity", "l_discount"]
+    direct = custom_profile(lineitem, metrics, "l_shipdate", "M", columns=cols_)
+    a = custom_profile(lineitem.where("l_orderkey % 2 = 0"), metrics, "l_shipdate", "M", columns=cols_)
+    b = custom_profile(lineitem.where("l_orderkey % 2 = 1"), metrics, "l_shipdate", "M", columns=cols_)
+    assert rows(merge_custom(a.unionByName(b))) == rows(direct)
+    pos = {(r.dataset_ts, r.column): r.value for r in direct.where("metric = 'positive'").collect()}
+    want = lineitem.where("l_discount > 0").groupBy(
+        F.last_day("l_shipdate").cast("timestamp_ntz").alias("d")).count().collect()
+    assert all(pos[(r.d, "l_discount")] == r["count"] for r in want)
+    with pytest.raises(ValueError):
+        custom_profile(lineitem, {"x": ("median", lambda c: c)})
