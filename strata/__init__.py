@@ -8,6 +8,7 @@ Main entry points::
     profile_job(spark, input, ...)       input -> profile -> sinks
     read_input / write_profiles / read_profiles / write_run / read_merged
     count_per_period / distinct_periods / group_into_batches
+    custom_profile / merge_custom        user metrics merged by sum/min/max
     profile_stream / profile_stream_windowed / stream_group_into_batches
 """
 
@@ -18,6 +19,7 @@ from strata.operators import (
 )
 from strata.operators.batches import group_into_batches
 from strata.operators.counts import count_per_period, distinct_periods
+from strata.operators.custom import custom_profile, merge_custom
 from strata.plans.jobs import profile_job
 from strata.sinks import read_merged, read_profiles, write_profiles, write_run
 from strata.sources import read_input
@@ -29,5 +31,6 @@ __all__ = [
     "rollup", "group_into_batches", "count_per_period", "distinct_periods", "profile_job",
     "read_merged", "read_profiles", "write_profiles", "write_run", "read_input",
     "profile_stream", "profile_stream_windowed", "stream_group_into_batches",
+    "custom_profile", "merge_custom",
 ]
 __version__ = "0.1.0"
