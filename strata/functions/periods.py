@@ -142,7 +142,7 @@ def parse_timestamp(col: Column, fmt: str | None = None, errors: str = "raise")
     text = F.trim(col)
     has_zone = text.rlike(r"(?i)(Z|[+-]\d{2}(:?\d{2})?|\s+[A-Za-z][A-Za-z0-9_/+-]*)$")
     if fmt is not None:
-        zoned = F.to_timestamp(text, F.lit(fmt)) if errors == "raise" else F.try_to_timestamp(text, F.lit(fmt))
+        zoned = F.to_timestamp(text, fmt) if errors == "raise" else F.try_to_timestamp(text, F.lit(fmt))
         plain = F.to_timestamp_ntz(text, F.lit(fmt)) if errors == "raise" else _try_ntz(text, fmt)
     else:
         zoned = text.cast("timestamp") if errors == "raise" else text.try_cast("timestamp")

@@ -155,3 +155,13 @@ def test_fixed_bins_are_exact_far_from_the_epoch(spark):
     assert r[0].s == dt.datetime(9999, 12, 31, 23, 59, 59)
     assert r[1].s == dt.datetime(1901, 3, 4, 5, 6, 7)
     assert r[1].h == dt.datetime(1901, 3, 4, 3, 0)  # pandas: Grouper(freq="3h", origin="epoch")
+
+
+def test_parse_timestamp_with_format(spark):
+    df = spark.createDataFrame([("17/06/2015 18:23",), ("bad",), ("17/06/2015 20:23 +02:00",)], "t string")
+    fmt = "dd/MM/yyyy HH:mm"
+    r = df.select(parse_timestamp(F.col("t"), fmt=fmt, errors="coerce").alias("p")).collect()
+    assert r[0].p == dt.datetime(2015, 6, 17, 18, 23) and r[1].p is None
+    z = df.where("t like '%+02:00'").select(
+        parse_timestamp(F.col("t"), fmt=fmt + " XXX").alias("p")).first()
+    assert z.p == dt.datetime(2015, 6, 17, 18, 23)
