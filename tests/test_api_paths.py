@@ -75,3 +75,34 @@ def test_profile_job_writer_without_output(spark):
 
     store = profile_job(spark, table_path=f"{SF001}/region.parquet", writer=writer, dataset_id="r")
     assert seen.value == store.count() == 2
+
+
+def test_accuracy_on_object_columns(spark):
+    from strata.plans.accuracy import global_sketch_accuracy
+    emb = spark.read.parquet(f"{SF001}/embeddings.parquet")
+    acc = {r.column: r for r in global_sketch_accuracy(emb, profile(emb)).collect()}
+    assert all(r.distinct_ok for r in acc.values())
+    assert acc["embedding"].quantile_ok is None and acc["vec_id"].quantile_ok
+
+
+def test_global_store_size_and_flat_write(spark, tmp_dir):
+    from strata import profile_size, read_profiles, write_profiles
+    store = profile(spark.read.parquet(f"{SF001}/supplier.parquet"))
+    sizes = profile_size(store).collect()
+    assert len(sizes) == 1 and sizes[0].columns == 4 and sizes[0].bytes > 0
+    write_profiles(store, os.path.join(tmp_dir, "flat"))
+    assert read_profiles(spark, os.path.join(tmp_dir, "flat")).count() == 4
+
+
+def test_keyed_stream_profile(spark, tmp_dir):
+    from strata.streaming import merge_panes, profile_stream
+    ev = spark.read.parquet(f"{SF001}/events.parquet")
+    src = os.path.join(tmp_dir, "src")
+    ev.repartition(3).write.parquet(src)
+    stream = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(src)
+    out = os.path.join(tmp_dir, "panes")
+    profile_stream(stream, out, "ts", "D", by="event_type", checkpoint=os.path.join(tmp_dir, "ck"),
+                   trigger={"availableNow": True}).awaitTermination()
+    merged = exact_metrics(merge_panes(spark, out))
+    direct = exact_metrics(profile(ev, "ts", "D", by="event_type"))
+    assert sorted(map(tuple, merged.collect())) == sorted(map(tuple, direct.collect()))
