@@ -106,3 +106,47 @@ def test_keyed_stream_profile(spark, tmp_dir):
     merged = exact_metrics(merge_panes(spark, out))
     direct = exact_metrics(profile(ev, "ts", "D", by="event_type"))
     assert sorted(map(tuple, merged.collect())) == sorted(map(tuple, direct.collect()))
+
+
+def test_windowed_stream_on_epoch_seconds(spark, tmp_dir):
+    import uuid
+
+    from strata.streaming import profile_stream_windowed
+    ev = spark.read.parquet(f"{SF001}/events.parquet")
+    ev = ev.withColumn("secs", F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / 1_000_000).cast("bigint"))
+    src = os.path.join(tmp_dir, "src")
+    ev.orderBy("ts").coalesce(1).write.parquet(src)
+    stream = spark.readStream.schema(ev.schema).parquet(src)
+    long = profile_stream_windowed(stream, "secs", "1 day", watermark="0 seconds", unit="s",
+                                   columns=["event_id", "value"])
+    name = "wsec_" + uuid.uuid4().hex[:8]
+    (long.writeStream.format("memory").queryName(name).outputMode("append")
+     .option("checkpointLocation", os.path.join(tmp_dir, "ck")).trigger(availableNow=True)
+     .start().awaitTermination())
+    got = spark.table(name)
+    assert got.select("column").distinct().count() == 2
+    assert got.select("dataset_ts").distinct().count() == ev.select(F.to_date("ts")).distinct().count() - 1
+
+
+def test_parameter_validation():
+    from strata.streaming.batches import _wait_ms
+    from strata.streaming.panes import parse_lateness
+    assert _wait_ms("30 seconds") == 30_000 and _wait_ms("2 minutes") == 120_000
+    assert parse_lateness("2 days") == dt.timedelta(days=2)
+    for bad in ("soon", "5 fortnights"):
+        with pytest.raises(ValueError):
+            _wait_ms(bad)
+        with pytest.raises(ValueError):
+            parse_lateness(bad)
+
+
+def test_command_line_runs_and_plans(spark, tmp_dir):
+    from strata.plans.cli import main
+    from strata.sinks import read_merged
+    out = os.path.join(tmp_dir, "cli_runs")
+    for run, plan in (("r1", "partial"), ("r2", "row-shuffle")):
+        main(["--path", f"{SF001}/events.parquet", "--date-column", "ts", "--freq", "D",
+              "--output", out, "--run-id", run, "--plan", plan, "--columns", "value"], spark=spark)
+    merged = read_merged(spark, out)  # the same rows twice, as two runs
+    n = merged.agg(F.sum("n")).first()[0]
+    assert n == 2 * spark.read.parquet(f"{SF001}/events.parquet").count()
