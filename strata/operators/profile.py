@@ -104,7 +104,7 @@ def task_slots(spark) -> int:
 
 
 def spread_narrow_input(df: DataFrame, partitions: int | None = None) -> tuple[DataFrame, int]:
-    """Round-robin an input that has fewer partitions than the cluster has
+    """Spread an input that has fewer partitions than the cluster has
     task slots (one unsplittable file, one Parquet row group) so the
     sketch-heavy map side runs on every core.  Inputs with enough splits --
     anything large -- are left untouched: no shuffle.  Returns the frame and
@@ -112,7 +112,9 @@ def spread_narrow_input(df: DataFrame, partitions: int | None = None) -> tuple[D
     slots = task_slots(df.sparkSession)
     p = input_partitions(df) if partitions is None else partitions
     if p < slots:
-        return df.repartition(slots), slots
+        # Hash of the row id (deterministic for a given scan) spreads rows
+        # evenly without the local sort a round-robin repartition needs.
+        return df.repartition(slots, F.monotonically_increasing_id()), slots
     return df, p
 
 

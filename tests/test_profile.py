@@ -275,9 +275,9 @@ def test_auto_plan_choice(spark, lineitem):
     assert rows_per_partial(lineitem, minute) < 32
     auto_t = profile(lineitem, "l_shipdate", "T", row_shuffle="auto", columns=["l_quantity"])
     plan_t = auto_t._jdf.queryExecution().executedPlan().toString()
-    assert "REPARTITION_BY_COL" in plan_t and "RoundRobinPartitioning" not in plan_t
+    assert "REPARTITION_BY_COL" in plan_t  # rows shuffled by (period, salt)
     auto_m = profile(lineitem, "l_shipdate", "M", row_shuffle="auto", columns=["l_quantity"])
-    assert "RoundRobinPartitioning" in auto_m._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_COL" not in auto_m._jdf.queryExecution().executedPlan().toString()
     assert rows(exact_metrics(auto_t)) == rows(exact_metrics(profile(lineitem, "l_shipdate", "T", columns=["l_quantity"])))
     with pytest.raises(ValueError):
         profile(lineitem, "l_shipdate", "D", row_shuffle="sometimes")
