@@ -3,7 +3,20 @@ SQL twin (``ORACLE``) where SQL can express the result.
 
 Every query reads whole test tables from ``sf_dir``; outputs use text labels,
 BIGINT counts and rounded moments so that a second engine can reproduce them
-exactly.
+exactly.  Groups:
+
+* sources: ``scan_table``, ``scan_query``, ``scan_input``;
+* scalar and filter steps: ``day_floor_*``, ``parse_*``, ``drop_null_dates``,
+  ``query_filter_limit``, ``query_order_by``;
+* control jobs: ``count_by_day``, ``count_by_epoch_day``, ``count_by_day_batched``,
+  ``distinct_days``, ``group_into_batches``, ``tumbling_day``;
+* period labels: ``bucket_<freq>`` for every supported frequency;
+* profiles: ``profile_by_period_<freq>``, ``profile_global*``, keyed and hot-key
+  profiles, epoch-day profile, roll-up, lookup, store merges, history runs,
+  Parquet and JSON store round trips, frequent items, sketch bounds
+  (``profile_table``), sizes (rows only), user metrics;
+* streams: ``stream_panes_by_day`` (discarding panes), ``stream_windowed_by_day``
+  (state-store windows under a watermark).
 """
 
 from __future__ import annotations
