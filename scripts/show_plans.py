@@ -22,6 +22,7 @@ from strata.operators.counts import count_per_period, count_per_period_batched
 from strata.operators.merge import rollup  # noqa: E402
 from strata.operators.profile import profile  # noqa: E402
 from strata.session import local_session  # noqa: E402
+from strata.streaming.windows import profile_stream_windowed  # noqa: E402
 
 WIDTH = 150
 
@@ -62,6 +63,9 @@ def main() -> None:
         ("count per period", count_per_period(li, "l_shipdate", "D")),
         ("count per period through batches", count_per_period_batched(li, "l_shipdate", "D")),
         ("group into batches", group_into_batches(li, "l_returnflag", 1000)),
+        ("windowed stream profile (state store, watermark)",
+         profile_stream_windowed(spark.readStream.schema(li.schema).parquet(f"{sf}/{{lineitem}}.parquet"),
+                                 "l_shipdate", "1 day", watermark="1 day")),
     ]
     out = ["# Physical plans", "",
            f"Generated by `python scripts/show_plans.py {sf}` (Spark's `explain`, trimmed:",
