@@ -2,10 +2,11 @@
 size-bounded batches per key with a processing-time flush."""
 
 from strata.streaming.batches import stream_group_into_batches
-from strata.streaming.windows import profile_stream_windowed
+from strata.streaming.windows import profile_stream_windowed, rows_dropped_by_watermark
 from strata.streaming.panes import (
     PaneWriter, merge_panes, pane_report, parse_lateness, profile_stream, read_panes,
 )
 
 __all__ = ["PaneWriter", "merge_panes", "pane_report", "parse_lateness", "profile_stream",
-           "profile_stream_windowed", "read_panes", "stream_group_into_batches"]
+           "profile_stream_windowed", "read_panes", "rows_dropped_by_watermark",
+           "stream_group_into_batches"]

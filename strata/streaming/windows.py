@@ -54,3 +54,17 @@ def profile_stream_windowed(stream: DataFrame, date_column: str, window: str = "
     long = wide.select(ltz_to_utc_ntz(F.col("__w.start")).alias(PERIOD_COLUMN),
                        F.inline(F.array(*structs)))
     return long.select(PERIOD_COLUMN, *METRIC_COLUMNS)
+
+
+def rows_dropped_by_watermark(query) -> int:
+    """Late rows the windowed aggregation dropped, summed over the query's
+    recent progress reports.  Spark counts rows reaching the stateful
+    operator, i.e. rows after the partial aggregate, not input rows: a
+    non-zero value means late data was discarded, not how many events."""
+    total = 0
+    for progress in query.recentProgress:
+        ops = progress.get("stateOperators", []) if isinstance(progress, dict) else progress.stateOperators
+        for op in ops:
+            n = op.get("numRowsDroppedByWatermark", 0) if isinstance(op, dict) else op.numRowsDroppedByWatermark
+            total += int(n or 0)
+    return total
