@@ -336,3 +336,13 @@ def test_custom_metrics_merge_like_profiles(spark, lineitem):
     assert all(pos[(r.d, "l_discount")] == r["count"] for r in want)
     with pytest.raises(ValueError):
         custom_profile(lineitem, {"x": ("median", lambda c: c)})
+
+
+def test_one_row_and_all_null_dates(spark):
+    one = spark.createDataFrame([(1, 2.5, "x", dt.datetime(2024, 5, 6, 7, 8))], "a int, b double, s string, ts timestamp_ntz")
+    t = {r.column: r for r in profile_table(profile(one, "ts", "D")).collect()}
+    assert t["b"].stddev == 0.0 and t["b"].quantiles == [2.5] * 9 and t["a"].distinct_est == 1
+    nulls = spark.createDataFrame([(1, None), (2, None)], "a int, ts timestamp_ntz")
+    assert profile(nulls, "ts", "D").count() == 0                      # dropped
+    kept = profile(nulls, "ts", "D", null_dates="keep").collect()
+    assert {r.dataset_ts for r in kept} == {None} and {r.n for r in kept} == {2}
