@@ -216,3 +216,20 @@ def test_service_sink_through_the_writer_api(spark, tmp_dir):
     assert len(lines) == store.count() == len({x["key"] for x in lines})
     assert all(x["key"].startswith("orders/") for x in lines)
     assert int(open(os.path.join(inbox, "_COMMITTED")).read()) == len(lines)
+
+
+def test_service_sink_requires_dataset_id(spark):
+    from strata.sinks.service import ProfileServiceSink
+
+    class NoopUpload(ProfileServiceSink):
+        @classmethod
+        def name(cls):
+            return "test_noop_upload"
+
+        def send(self, records):
+            pass
+
+    spark.dataSource.register(NoopUpload)
+    store = profile(spark.read.parquet(f"{SF001}/region.parquet"))
+    with pytest.raises(Exception, match="dataset_id"):
+        store.write.format("test_noop_upload").mode("append").save()
