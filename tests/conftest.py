@@ -5,6 +5,10 @@ import tempfile
 import pytest
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+
+# PySpark's own Python workers (separate processes) warn about a pandas
+# deprecation inside Spark's serializer; keep the test output readable.
+os.environ.setdefault("PYTHONWARNINGS", "ignore::FutureWarning")
 sys.path.insert(0, ROOT)
 
 SF001 = "/root/testdata/sf0.001"
