@@ -90,9 +90,15 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 def shape(word: str) -> int:
     """Cell of a word's shape: runs of digits with their length, runs of
-    letters, and other characters as they are; words without digit or ``@``
-    share cell 0."""
+    letters, other characters as they are, and whether a number of a card's
+    length or four dotted numbers are valid; words without digit or ``@`` share
+    cell 0."""
     out = []
+    digits = _DIGITS.sub("", word)
+    if 12 <= len(digits) <= 19 and not luhn(digits):
+        out.append("no card")
+    if IP.fullmatch(word) and not all(len(p) <= 3 and int(p) <= 255 for p in word.split(".")):
+        out.append("no ip")
     for m in re.finditer(r"[0-9]+|[^\W\d_]+|.", word[:64]):
         t = m[0]
         out.append(f"9{min(len(t), 20)}" if t[0].isdigit() else "a" if t.isalpha() else t)
