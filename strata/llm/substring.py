@@ -23,7 +23,7 @@ Index entries are 64-bit hashes of the word sequence, whose length is hashed
 too.  Words are those between ASCII white space, unchanged.
 
 Defined cases: null or blank text has no words and keeps an empty text; rows
-that share an id (null ids are one id, the smallest) are one document, so a
+that share an id (null ids are one id, the smallest 64-bit number) are one document, so a
 window is not removed for occurring in another row of that id; repeated rows
 are judged alike; an empty table gives an empty result; further columns are
 ignored.
@@ -197,7 +197,7 @@ def _factors(listed: DataFrame, window: int) -> DataFrame:
                     spans.append([{"start": s, "end": e} for s, e in
                                   zip(np.flatnonzero(edge == 1).tolist(), np.flatnonzero(edge == -1).tolist())])
                     kept.append(b" ".join([raw[starts[k]:ends[k]] for k in (np.flatnonzero(keep[a:z]) + a).tolist()]).decode("utf-8", "surrogatepass"))
-                doc = b.column(4).slice(x, y - x)
+                doc = b.column(0).slice(x, y - x)
                 yield pa.RecordBatch.from_arrays(
                     [doc, pa.array(np.diff(p.first), pa.int64()), pa.array(spans, span), pa.array(kept, pa.string())],
                     ["doc_id", "n_words", "spans", "kept_text"])
@@ -211,8 +211,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     if window < 1:
         raise ValueError("window must be at least 1")
     d = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("doc"),
-                    F.col("text").cast("string").alias("text"),
-                    F.col("doc_id").cast("long").alias("doc_id"))
+                    F.col("text").cast("string").alias("text"))
     entries = _index_entries(d.select("doc", "text"), window)
     index = (entries.groupBy("h").agg(F.min("doc").alias("doc"), F.max("doc").alias("last"))
              .where((F.expr("h & 1") == 0) | (F.col("doc") == F.col("last"))))
@@ -221,4 +220,6 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     ask = _window_entries(listed.select("doc", "text", "known"), window)
     firsts = (ask.groupBy("h").agg(F.min("doc").alias("doc"))
               .groupBy("doc").agg(F.collect_list("h").alias("firsts")))
-    return _factors(listed.join(firsts, "doc", "left").select("doc", "text", "known", "firsts", "doc_id"), window)
+    # both passes over the texts read the same exchange
+    parsed = _factors(listed.join(firsts, "doc", "left").select("doc", "text", "known", "firsts"), window)
+    return parsed.withColumn("doc_id", F.nullif(F.col("doc_id"), F.lit(NULL_ID)))
