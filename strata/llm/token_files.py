@@ -28,6 +28,7 @@ from __future__ import annotations
 import struct
 import zlib
 from array import array
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -113,10 +114,10 @@ class Model:
         add = (i0 << 23) + (i1 << 7)
         for g, a, b, r, t in zip(self.g, self.a, self.b, (self.r0, self.r1, self.r2), (self.by0, self.by1, self.by2)):
             t[r] = g - ((a >> 5) << 16) - (b >> 5) + add
-        fresh = (ids << 2) + 1
-        for at, old, guess, table in ((self.at1, self.s1, self.id1, self.pred1), (self.at2, self.s2, self.id2, self.pred2)):
+        fresh = ((ids << 2) + 1).astype(np.int32)
+        for at, old, hit, table in ((self.at1, self.s1, self.id1 == ids, self.pred1), (self.at2, self.s2, is0, self.pred2)):
             conf = old & 3
-            table[at] = np.where(guess == ids, old + (conf < 3), np.where(conf > 0, old - 1, fresh))
+            table[at] = np.where(hit, old + (conf < 3), np.where(conf > 0, old - 1, fresh))
         self.count[self.lane_groups[:n] + (ids >> 8)] += 24
         self.before[:n] = self.prev[:n]
         self.prev[:n] = ids
@@ -377,6 +378,12 @@ def tokenize(data: np.ndarray, off: np.ndarray, path: str) -> tuple[np.ndarray,
     new = [w for w in names if w not in memo]
     if new:
         t = _tokenizer(path)
+        # ASCII letters pass its normalizer and splitter unchanged: one word
+        # of the model, without the wrapping of a whole text
+        for w in new:
+            if w.isalpha() and w.isascii():
+                memo[w] = array("H", [x.id for x in t.model.tokenize(w.decode())]).tobytes()
+        new = [w for w in new if w not in memo]
         batch = getattr(t, "encode_batch_fast", t.encode_batch)
         for a in range(0, len(new), 4096):
             part = new[a:a + 4096]
@@ -468,26 +475,34 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, end_i
     d.mapInArrow(run, BLOCK_SCHEMA).write.parquet(path)
 
 
-def _combine(crc1: int, crc2: int, length: int) -> int:
-    """Checksum of two runs of bytes from theirs (the second is ``length`` long):
-    multiply by x^(8 length) modulo the CRC polynomial, by squaring matrices."""
-    def times(m, v):
-        s = 0
-        for row in m:
-            if v & 1:
-                s ^= row
-            v >>= 1
-        return s
-
-    odd = [0xEDB88320] + [1 << i for i in range(31)]
+def _times(m: tuple[int, ...], v: int) -> int:
+    s = 0
+    for row in m:
+        if v & 1:
+            s ^= row
+        v >>= 1
+    return s
+
+
+@lru_cache(maxsize=BLOCK_IDS + 1)
+def _shift(length: int) -> tuple[int, ...]:
+    """Matrix that moves a checksum over ``length`` bytes: multiplication by
+    x^(8 length) modulo the CRC polynomial, by squaring."""
+    step = (0xEDB88320, *(1 << i for i in range(31)))
+    out = tuple(1 << i for i in range(32))
     for _ in range(3):
-        odd = [times(odd, r) for r in odd]
+        step = tuple(_times(step, r) for r in step)
     while length:
         if length & 1:
-            crc1 = times(odd, crc1)
-        odd = [times(odd, r) for r in odd]
+            out = tuple(_times(step, r) for r in out)
+        step = tuple(_times(step, r) for r in step)
         length >>= 1
-    return crc1 ^ crc2
+    return out
+
+
+def _combine(crc1: int, crc2: int, length: int) -> int:
+    """Checksum of two runs of bytes from theirs (the second is ``length`` long)."""
+    return _times(_shift(length), crc1) ^ crc2
 
 
 def read_documents(spark, path: str, lanes: int = LANES) -> DataFrame:
