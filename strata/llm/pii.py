@@ -40,7 +40,8 @@ LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz012345678
 
 LABELS = len(KINDS) + 1  # 0: none
 SHAPES = 4096
-SKIP_WEIGHT = 4.0
+SKIP_WEIGHT = 6.0
+SHARED = 0.25
 ROUNDS = 6
 KEY_DIGITS = 7
 KEY_LETTERS = 5
@@ -176,6 +177,10 @@ def beliefs(g: Graph, f: Field, rounds: int = ROUNDS, skip_weight: float = SKIP_
     messages at once).  A word inside a pattern match keeps that label."""
     n = len(g.label)
     own = f.unary[g.shape].copy()
+    # linked words share their potentials: what a word's own shape says counts
+    # less, what is known of its other mentions comes over the skip edges
+    linked = np.unique(g.skip)
+    own[linked] = own[linked] ** SHARED
     fixed = g.label > 0
     own[fixed] = 1e-9
     own[np.flatnonzero(fixed), g.label[fixed]] = 1.0
