@@ -253,4 +253,5 @@ def drop_near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int
     keep = written(own.join(classes(own, max_bits), "fp")
                    .where(F.col("doc_id").eqNullSafe(F.col("component_id")))
                    .groupBy("root").agg(F.min("at").alias(at)).select(at), "near-keep")
-    return stored.join(keep, at, "left_semi").select(*[quoted(c) for c in docs.columns])
+    # the list of kept rows grows with the input: never broadcast
+    return stored.join(keep.hint("merge"), at, "left_semi").select(*[quoted(c) for c in docs.columns])
