@@ -84,7 +84,7 @@ def parse_frequency(freq: str) -> Frequency:
     n = int(n_txt) if n_txt else 1
     if n <= 0:
         raise ValueError(f"frequency multiple must be positive: {freq!r}")
-    unit = UNIT_ALIASES.get(unit_txt) or UNIT_ALIASES.get(unit_txt.upper())
+    unit = UNIT_ALIASES.get(unit_txt)
     if unit is None:
         raise ValueError(f"unsupported frequency unit in {freq!r}")
     weekday = None

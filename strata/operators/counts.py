@@ -51,3 +51,15 @@ def count_null_dates(df: DataFrame, date_column: str) -> int:
     from strata.functions.metrics import quote
 
     return df.select(quote(date_column)).where(F.col(quote(date_column)).isNull()).count()
+
+
+def count_missing_periods(df: DataFrame, date_column: str, freq: str = "D", *, unit: str | None = None,
+                          date_errors: str = "raise") -> int:
+    """Rows that get no period: those without a date and, under
+    ``date_errors='coerce'``, those whose text does not parse."""
+    from strata.functions.metrics import quote
+    from strata.operators.profile import PERIOD_COLUMN, with_period
+
+    dates = df.select(F.col(quote(date_column)).alias("date"))
+    labelled = with_period(dates, "date", freq, unit=unit, null_dates="keep", date_errors=date_errors)
+    return labelled.where(F.col(PERIOD_COLUMN).isNull()).count()

@@ -118,22 +118,6 @@ def spread_narrow_input(df: DataFrame, partitions: int | None = None) -> tuple[D
     return df, p
 
 
-# Below this many rows per (task, period) a partial sketch costs more than
-# the rows it summarises; ``row_shuffle="auto"`` then shuffles rows instead.
-MIN_ROWS_PER_PARTIAL = 32
-PROBE_ROWS = 100_000
-
-
-def rows_per_partial(df: DataFrame, period: Column, probe_rows: int = PROBE_ROWS) -> float:
-    """Rows per distinct period among the first ``probe_rows`` rows of the
-    input: the first split(s) only, the period expression's columns only.
-    A table clustered by time shows few periods there; an unclustered one
-    shows nearly as many as it has."""
-    r = (df.select(period.alias("p")).limit(probe_rows)
-         .agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct("p").alias("k")).first())
-    return (r.n / r.k) if r and r.k else float("inf")
-
-
 def tree_fanout(partitions: int) -> int:
     """Salt width for an input of ``partitions`` partitions (1 = no salt)."""
     if partitions <= SINGLE_LEVEL_MAX:
@@ -146,7 +130,7 @@ def profile(df: DataFrame, date_column: str | None = None, freq: str = "D", *,
             unit: str | None = None, null_dates: str = "drop", anchor: str | None = None,
             fanout: int | None = None, sketches: SketchConfig | None = None,
             columns_per_pass: int = COLUMNS_PER_PASS,
-            row_shuffle: bool | str = False, date_errors: str = "raise") -> DataFrame:
+            row_shuffle: bool = False, date_errors: str = "raise") -> DataFrame:
     """Profile every column of ``df``: per period of ``date_column`` at
     frequency ``freq``, per value of the ``by`` columns, or globally.
 
@@ -160,9 +144,7 @@ def profile(df: DataFrame, date_column: str | None = None, freq: str = "D", *,
     (task, period) would then outweigh the rows, so the profiled columns are
     shuffled by ``(period, row-position salt)`` instead and aggregated after the
     exchange; a hot period is still split ``fanout`` ways and merged by the
-    same tree.  ``row_shuffle="auto"`` decides by probing the first rows of
-    the date column (one small job): row shuffle when a (task, period) would
-    hold fewer than ``MIN_ROWS_PER_PARTIAL`` rows.
+    same tree.  The choice is the caller's: it is never made from the data.
     """
     if df.isStreaming:
         raise ValueError("profile() takes a batch DataFrame; for streams use "
@@ -179,14 +161,8 @@ def profile(df: DataFrame, date_column: str | None = None, freq: str = "D", *,
         raise ValueError(f"key columns {clash} clash with profile store columns; rename them")
     if fanout is not None and fanout < 1:
         raise ValueError("fanout must be >= 1")
-    if row_shuffle not in (True, False, "auto"):
-        raise ValueError("row_shuffle must be True, False or 'auto'")
-    if row_shuffle == "auto":
-        row_shuffle = False
-        if date_column is not None:
-            probe = with_period(df, date_column, freq, unit=unit, null_dates=null_dates,
-                                anchor=anchor, date_errors=date_errors)
-            row_shuffle = rows_per_partial(probe, F.col(PERIOD_COLUMN)) < MIN_ROWS_PER_PARTIAL
+    if row_shuffle not in (True, False):
+        raise ValueError("row_shuffle must be True or False")
     if len(names) > columns_per_pass:
         from functools import reduce
         chunks = [names[i:i + columns_per_pass] for i in range(0, len(names), columns_per_pass)]

@@ -463,20 +463,26 @@ def stream_panes_by_day(spark, d):
 
 
 @register("stream_windowed_by_day",
-          profile_sql("events", [(PERIOD_COLUMN, label_sql("D", "ts"))],
-                      where="ts IS NOT NULL AND CAST(ts AS DATE) + 1 <= (SELECT max(ts) FROM events)"))
+          profile_sql("events", [(PERIOD_COLUMN, label_sql("D", "ts"))], where="ts IS NOT NULL"))
 def stream_windowed_by_day(spark, d):
-    """``events`` as a file stream into day windows kept in the state store;
-    append mode emits the windows the watermark (max event time) has passed."""
+    """``events`` as a file stream into day windows kept in the state store.
+    Update mode writes a window's profile to the store after every trigger that
+    changed it, so the last, still open window is there too; the newest batch of
+    each window is its result."""
     schema = spark.read.parquet(table_path(d, "events")).schema
     stream = spark.readStream.schema(schema).parquet(os.path.join(d, "{events}.parquet"))
     long = profile_stream_windowed(stream, "ts", "1 day", watermark="0 seconds")
-    name = f"strata_windows_{uuid.uuid4().hex[:12]}"
-    q = (long.writeStream.format("memory").queryName(name).outputMode("append")
-         .option("checkpointLocation", f"{checkpoint_root(spark)}/{name}")
-         .trigger(availableNow=True).start())
+    out = f"{checkpoint_root(spark)}/strata-windows-{uuid.uuid4().hex}"
+
+    def write(batch, batch_id):
+        batch.write.mode("overwrite").parquet(f"{out}/store/batch={batch_id}")
+
+    q = (long.writeStream.foreachBatch(write).outputMode("update")
+         .option("checkpointLocation", f"{out}/_checkpoint").trigger(availableNow=True).start())
     q.awaitTermination()
-    return exact_metrics(spark.table(name), _fmt("D"))
+    store = spark.read.parquet(f"{out}/store")
+    newest = store.groupBy(PERIOD_COLUMN).agg(F.max("batch").alias("batch"))
+    return exact_metrics(store.join(newest, [PERIOD_COLUMN, "batch"], "left_semi").drop("batch"), _fmt("D"))
 
 
 def queries() -> dict[str, QueryFn]:

@@ -38,8 +38,8 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--output", required=True, help="location of the profile store")
     p.add_argument("--columns", help="comma-separated columns to profile (default: all)")
     p.add_argument("--run-id", help="append this run to the store instead of replacing it")
-    p.add_argument("--plan", default="auto", choices=["auto", "partial", "row-shuffle"],
-                   help="aggregation plan: map-side partial sketches, row shuffle, or probe and choose")
+    p.add_argument("--plan", default="partial", choices=["partial", "row-shuffle"],
+                   help="aggregation plan: map-side partial sketches or row shuffle")
     p.add_argument("--logging-level", default="INFO", type=str.upper, choices=LOG_LEVELS)
     args = p.parse_args(argv)
     try:
@@ -63,7 +63,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
                 date_column=args.date_column, freq=args.freq, unit=args.unit,
                 null_dates=args.null_dates, columns=columns, output=args.output,
                 run_id=args.run_id, date_errors=args.date_errors,
-                row_shuffle={"auto": "auto", "partial": False, "row-shuffle": True}[args.plan])
+                row_shuffle=args.plan == "row-shuffle")
     log.info("done: %s", args.output)
 
 

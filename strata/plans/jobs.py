@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from strata.functions.metrics import SketchConfig
 from strata.functions.periods import parse_frequency
-from strata.operators.counts import count_null_dates
+from strata.operators.counts import count_missing_periods
 from strata.operators.profile import profile
 from strata.operators.views import profile_table
 from strata.sinks.writers import RowWriter, fan_out, read_merged, write_each, write_run
@@ -28,7 +28,7 @@ def profile_job(spark: SparkSession, input: str | None = None, *, table: str | N
                 columns: Sequence[str] | None = None, unit: str | None = None,
                 null_dates: str = "drop", fanout: int | None = None,
                 sketches: SketchConfig | None = None, readable: bool = False,
-                run_id: str | None = None, row_shuffle: bool | str = "auto",
+                run_id: str | None = None, row_shuffle: bool = False,
                 date_errors: str = "raise") -> DataFrame:
     """Profile one input per period of ``date_column`` (globally without it).
 
@@ -36,17 +36,17 @@ def profile_job(spark: SparkSession, input: str | None = None, *, table: str | N
     returned frame and the ``writer`` read that written copy.  With ``run_id``
     too, the run is appended to the store at ``output`` instead of replacing
     it (rerunning the same ``run_id`` replaces only that run), and the
-    returned frame is the whole history merged.  ``row_shuffle`` (default
-    ``"auto"``) picks the aggregation plan from a one-split probe of the date
-    column (see ``profile``).  Rows dropped
-    for a missing date are counted and logged (``null_dates='drop'``).
+    returned frame is the whole history merged.  ``row_shuffle`` picks the
+    aggregation plan (see ``profile``).  Rows dropped for a missing date, or
+    for one that does not parse under ``date_errors='coerce'``, are counted and
+    logged (``null_dates='drop'``).
     """
     parse_frequency(freq)  # fail before any Spark work on a bad frequency
     df = read_input(spark, input, table=table, query=query, path=table_path, format=format)
     if date_column is not None and date_column not in df.columns:
         raise ValueError(f"date column {date_column!r} is not in the input")
     if date_column is not None and null_dates == "drop" and df.schema[date_column].nullable:
-        dropped = count_null_dates(df, date_column)
+        dropped = count_missing_periods(df, date_column, freq, unit=unit, date_errors=date_errors)
         logging.getLogger("strata").info("%d rows without %s are not profiled", dropped, date_column)
     store = profile(df, date_column, freq, columns=columns, unit=unit, null_dates=null_dates,
                     fanout=fanout, sketches=sketches, row_shuffle=row_shuffle,

@@ -165,3 +165,11 @@ def test_parse_timestamp_with_format(spark):
     z = df.where("t like '%+02:00'").select(
         parse_timestamp(F.col("t"), fmt=fmt + " XXX").alias("p")).first()
     assert z.p == dt.datetime(2015, 6, 17, 18, 23)
+
+
+def test_frequency_units_match_case():
+    # "ms" is milliseconds, "MS" is the month start
+    assert parse_frequency("MS").unit == "MS"
+    for freq in ("ms", "qs", "sm"):
+        with pytest.raises(ValueError):
+            parse_frequency(freq)

@@ -263,24 +263,20 @@ def test_sketch_config_is_validated():
             SketchConfig(**bad)
 
 
-def test_auto_plan_choice(spark, lineitem):
-    from pyspark.sql import functions as F
-
-    from strata.operators.profile import rows_per_partial
-    # lineitem is not clustered by ship date: per-minute periods leave ~1 row per
-    # (task, period) -> row shuffle; months leave many rows -> partial aggregation
-    day = F.to_date("l_shipdate")
-    assert rows_per_partial(lineitem, day) > 1
-    minute = F.date_format("l_shipdate", "yyyy-MM-dd HH:mm")
-    assert rows_per_partial(lineitem, minute) < 32
-    auto_t = profile(lineitem, "l_shipdate", "T", row_shuffle="auto", columns=["l_quantity"])
-    plan_t = auto_t._jdf.queryExecution().executedPlan().toString()
-    assert "REPARTITION_BY_COL" in plan_t  # rows shuffled by (period, salt)
-    auto_m = profile(lineitem, "l_shipdate", "M", row_shuffle="auto", columns=["l_quantity"])
-    assert "REPARTITION_BY_COL" not in auto_m._jdf.queryExecution().executedPlan().toString()
-    assert rows(exact_metrics(auto_t)) == rows(exact_metrics(profile(lineitem, "l_shipdate", "T", columns=["l_quantity"])))
+def test_plan_choice_is_explicit(spark, lineitem):
+    shuffled = profile(lineitem, "l_shipdate", "M", row_shuffle=True, columns=["l_quantity"])
+    assert "REPARTITION_BY_COL" in shuffled._jdf.queryExecution().executedPlan().toString()
+    partial = profile(lineitem, "l_shipdate", "M", columns=["l_quantity"])
+    assert "REPARTITION_BY_COL" not in partial._jdf.queryExecution().executedPlan().toString()
+    assert rows(exact_metrics(shuffled)) == rows(exact_metrics(partial))
     with pytest.raises(ValueError):
-        profile(lineitem, "l_shipdate", "D", row_shuffle="sometimes")
+        profile(lineitem, "l_shipdate", "D", row_shuffle="auto")
+
+
+def test_missing_periods_count_unparsable_text(spark):
+    from strata.operators.counts import count_missing_periods
+    df = spark.createDataFrame([("2024-01-01",), ("not a date",), (None,)], "t string")
+    assert count_missing_periods(df, "t", date_errors="coerce") == 2
 
 
 def test_key_names_must_not_clash_with_store_columns(spark):
