@@ -7,8 +7,9 @@ Merging is a ``groupBy`` of the keys plus ``column``:
 * moments ``(n, mean, m2)`` merge with the parallel-variance rule
   ``m2 = sum(m2_i + n_i * (mean_i - mean)^2)`` around the merged mean
   (Chan, Golub, LeVeque 1979), which does not cancel when the mean is large
-  against the spread; the merged mean comes from a window over the same
-  partitioning, so no extra exchange is planned;
+  against the spread; the three numbers of each partial row are gathered by
+  the same aggregate and folded in a fixed order afterwards, so every metric
+  combines on the map side and no row with its sketches moves by itself;
 * sketches merge with ``hll_union_agg``, ``kll_merge_agg_*`` and
   ``approx_top_k_combine``.
 
@@ -22,7 +23,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions.metrics import METRIC_COLUMNS, SketchConfig, cols
@@ -56,16 +57,13 @@ def merge_profiles(store: DataFrame, keys: Sequence[str] | None = None,
     cfg = sketches or SketchConfig()
     keys = list(keys) if keys is not None else key_columns(store)
     gk = [*keys, "column", "type_class", "kll_kind"]
-    w = Window.partitionBy(*cols(gk))
     n, mean = F.col("mom_n"), F.col("mom_mean")
-    grand_mean = F.sum(n * mean).over(w) / F.sum(n).over(w)
-    s = store.withColumn("__m2", F.when(n > 0, F.col("mom_m2") + n * F.pow(mean - grand_mean, 2)))
     cap = cfg.topk_capacity if cfg.topk_capacity > 0 else 128
     # approx_top_k_combine learns the item type from its first input; a group
     # without any state (columns that keep no top-k) would leave it untyped,
     # so those rows contribute a typed empty state instead of NULL.
     topk_in = F.coalesce(F.col("topk"), empty_topk_state(store.sparkSession, cap))
-    s = s.withColumn("__topk", topk_in)
+    s = store.withColumn("__topk", topk_in)
     merged = s.groupBy(*cols(gk)).agg(
         F.sum("n").alias("n"),
         F.sum("nonnull").alias("nonnull"),
@@ -79,8 +77,7 @@ def merge_profiles(store: DataFrame, keys: Sequence[str] | None = None,
         F.min("min_s").alias("min_s"),
         F.max("max_s").alias("max_s"),
         F.sum(n).alias("mom_n"),
-        (F.sum(n * mean) / F.sum(n)).alias("mom_mean"),
-        F.sum("__m2").alias("mom_m2"),
+        F.array_sort(F.collect_list(F.when(n > 0, F.struct(n, mean, F.col("mom_m2"))))).alias("__parts"),
         F.expr("hll_union_agg(hll, true)").alias("hll"),
         F.expr("CASE kll_kind "
                "WHEN 'bigint' THEN kll_merge_agg_bigint(kll) FILTER (WHERE kll_kind = 'bigint' AND kll IS NOT NULL) "
@@ -88,6 +85,11 @@ def merge_profiles(store: DataFrame, keys: Sequence[str] | None = None,
                "END").alias("kll"),
         F.expr(f"CASE WHEN count(topk) > 0 THEN approx_top_k_combine(__topk, {cap}) END").alias("topk"),
     )
+    zero = F.lit(0.0)
+    total = F.aggregate("__parts", zero, lambda a, p: a + p["mom_n"] * p["mom_mean"])
+    merged = merged.withColumn("mom_mean", F.when(F.col("mom_n") > 0, total / F.col("mom_n")))
+    merged = merged.withColumn("mom_m2", F.when(F.size("__parts") > 0, F.aggregate(
+        "__parts", zero, lambda a, p: a + p["mom_m2"] + p["mom_n"] * F.pow(p["mom_mean"] - F.col("mom_mean"), 2))))
     # m2 is a sum of squares: NaN can only come from overflowed partial means
     # (inf - inf), i.e. the variance overflowed -- report it as +inf, as a
     # direct pass does.

@@ -342,3 +342,9 @@ def test_one_row_and_all_null_dates(spark):
     assert profile(nulls, "ts", "D").count() == 0                      # dropped
     kept = profile(nulls, "ts", "D", null_dates="keep").collect()
     assert {r.dataset_ts for r in kept} == {None} and {r.n for r in kept} == {2}
+
+
+def test_merges_plan_no_window(spark, lineitem):
+    daily = profile(lineitem, "l_shipdate", "M", columns=["l_quantity"])
+    plan = merge_profiles(daily)._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan
