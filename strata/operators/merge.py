@@ -53,12 +53,17 @@ def key_columns(store: DataFrame) -> list[str]:
 
 def merge_profiles(store: DataFrame, keys: Sequence[str] | None = None,
                    sketches: SketchConfig | None = None) -> DataFrame:
-    """Merge all rows of ``store`` that share ``keys`` and ``column``."""
+    """Merge all rows of ``store`` that share ``keys`` and ``column``.
+
+    Top-k states keep the width they were made with.  States of unequal widths
+    (or a store without top-k beside one of another width than the default)
+    fail the job, unless ``sketches`` names the width of the result."""
     cfg = sketches or SketchConfig()
     keys = list(keys) if keys is not None else key_columns(store)
     gk = [*keys, "column", "type_class", "kll_kind"]
     n, mean = F.col("mom_n"), F.col("mom_mean")
     cap = cfg.topk_capacity if cfg.topk_capacity > 0 else 128
+    width = f", {cap}" if sketches is not None else ""
     # approx_top_k_combine learns the item type from its first input; a group
     # without any state (columns that keep no top-k) would leave it untyped,
     # so those rows contribute a typed empty state instead of NULL.
@@ -83,7 +88,7 @@ def merge_profiles(store: DataFrame, keys: Sequence[str] | None = None,
                "WHEN 'bigint' THEN kll_merge_agg_bigint(kll) FILTER (WHERE kll_kind = 'bigint' AND kll IS NOT NULL) "
                "WHEN 'double' THEN kll_merge_agg_double(kll) FILTER (WHERE kll_kind = 'double' AND kll IS NOT NULL) "
                "END").alias("kll"),
-        F.expr(f"CASE WHEN count(topk) > 0 THEN approx_top_k_combine(__topk, {cap}) END").alias("topk"),
+        F.expr(f"CASE WHEN count(topk) > 0 THEN approx_top_k_combine(__topk{width}) END").alias("topk"),
     )
     zero = F.lit(0.0)
     total = F.aggregate("__parts", zero, lambda a, p: a + p["mom_n"] * p["mom_mean"])

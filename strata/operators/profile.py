@@ -174,6 +174,8 @@ def profile(df: DataFrame, date_column: str | None = None, freq: str = "D", *,
         return reduce(lambda a, b: a.unionByName(b), stores)
 
     keys: list[str] = []
+    if date_column is not None and null_dates == "drop":
+        df = df.where(F.col(quote(date_column)).isNotNull())  # below any exchange: reaches the scan
     # (with row_shuffle the exchange on (period, salt) already spreads the rows)
     if row_shuffle:
         src, width = df, input_partitions(df)

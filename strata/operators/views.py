@@ -14,7 +14,7 @@ from strata.operators.merge import key_columns
 DEFAULT_QUANTILES = (0.0, 0.01, 0.05, 0.25, 0.5, 0.75, 0.95, 0.99, 1.0)
 
 
-def _quantiles_expr(ranks: Sequence[float]) -> Column:
+def quantiles_expr(ranks: Sequence[float]) -> Column:
     arr = "array(" + ", ".join(repr(float(r)) for r in ranks) + ")"
     return F.expr(
         "CASE kll_kind "
@@ -42,7 +42,7 @@ def profile_table(store: DataFrame, quantiles: Sequence[float] = DEFAULT_QUANTIL
         F.col("mom_mean").alias("mean"), _stddev().alias("stddev"),
         F.create_map(F.col("type_class"), F.col("nonnull")).alias("types"),
         F.expr("hll_sketch_estimate(hll)").alias("distinct_est"),
-        _quantiles_expr(quantiles).alias("quantiles"),
+        quantiles_expr(quantiles).alias("quantiles"),
         F.expr(f"CASE WHEN topk IS NOT NULL THEN approx_top_k_estimate(topk, {int(top_k)}) END")
         .alias("frequent_items"),
     )

@@ -12,11 +12,15 @@ from pyspark.sql import types as T
 
 from strata.functions.metrics import quote, type_class
 from strata.functions.periods import epoch_micros
+from strata.operators.profile import PERIOD_COLUMN, with_period
+from strata.operators.views import frequent_items, quantiles_expr
 
 # Accepted errors.  HLL lgK=12 has ~1.6 % relative standard error
 # (5 % is > 3 sigma); KLL k=200 has ~1.7 % normalised rank error at 99 %.
 DISTINCT_REL_ERROR = 0.05
 RANK_ERROR = 0.03
+MERGED_REL_ERROR = 0.065  # four standard errors: many periods are checked at once
+TOPK_ERROR = 3.5 / 256  # share of the rows; 128 items are tracked in a map of 256
 
 
 def _kll_value(name: str, dtype: T.DataType):
@@ -75,3 +79,48 @@ def global_sketch_accuracy(df: DataFrame, store: DataFrame, rank: float = 0.5) -
                      <= F.greatest(F.lit(DISTINCT_REL_ERROR) * F.col("distinct_exact"), F.lit(2.0)))
                     .alias("distinct_ok"),
                     "quantile_ok"))
+
+
+def merged_sketch_accuracy(df: DataFrame, store: DataFrame, date_column: str, freq: str,
+                           columns: list[str], ranks: tuple[float, ...] = (0.1, 0.5, 0.9)) -> DataFrame:
+    """Per period and column of a periodic ``store``, held against the rows of
+    ``df``: exact distinct values, whether the HLL estimate is within
+    ``MERGED_REL_ERROR`` and whether every KLL quantile of ``ranks`` is within
+    ``RANK_ERROR``.  The rows meet their period's estimates in one join."""
+    schema = {f.name: f.dataType for f in df.schema.fields}
+    values = [F.struct(F.lit(c).alias("column"),
+                       F.when(F.col(quote(c)).isNotNull(), F.xxhash64(F.col(quote(c)))).alias("hash"),
+                       _kll_value(c, schema[c]).alias("v")) for c in columns]
+    rows = with_period(df, date_column, freq).select(PERIOD_COLUMN, F.inline(F.array(*values)))
+    est = store.where(F.col("column").isin(columns)).select(
+        PERIOD_COLUMN, "column", F.col("n").alias("n_store"),
+        F.expr("hll_sketch_estimate(hll)").alias("est"), quantiles_expr(ranks).alias("q"))
+    sides = [e for i in range(len(ranks)) for e in (
+        F.count_if(F.col("v") < F.col("q")[i]).alias(f"lt{i}"),
+        F.count_if(F.col("v") <= F.col("q")[i]).alias(f"le{i}"))]
+    got = rows.join(est, [PERIOD_COLUMN, "column"], "left").groupBy(PERIOD_COLUMN, "column").agg(
+        F.first("n_store").alias("n"), F.first("est").alias("est"), F.count("v").alias("m"),
+        F.count_distinct("hash").alias("distinct_exact"), *sides)
+    quantiles_ok = F.lit(True)
+    for i, r in enumerate(ranks):
+        quantiles_ok &= ((F.col(f"lt{i}") <= (r + RANK_ERROR) * F.col("m") + 1)
+                         & (F.col(f"le{i}") >= (r - RANK_ERROR) * F.col("m") - 1))
+    distinct_ok = (F.abs(F.col("est") - F.col("distinct_exact"))
+                   <= F.greatest(MERGED_REL_ERROR * F.col("distinct_exact"), F.lit(2.0)))
+    return got.select(PERIOD_COLUMN, "column", "n", "distinct_exact", distinct_ok.alias("distinct_ok"),
+                      quantiles_ok.alias("quantiles_ok"))
+
+
+def merged_topk_accuracy(df: DataFrame, store: DataFrame, date_column: str, freq: str,
+                         column: str, top_k: int = 20) -> DataFrame:
+    """Per period: values of ``column`` and whether each reported frequency is
+    within ``TOPK_ERROR`` of the values, for more items than the state tracks."""
+    rows = with_period(df, date_column, freq).where(F.col(quote(column)).isNotNull())
+    exact = rows.groupBy(PERIOD_COLUMN, F.col(quote(column)).cast("string").alias("item")).agg(
+        F.count(F.lit(1)).alias("exact"))
+    told = frequent_items(store.where(F.col("column") == column), top_k).select(
+        PERIOD_COLUMN, "item", F.col("count").alias("told"))
+    both = exact.join(told, [PERIOD_COLUMN, "item"], "full").groupBy(PERIOD_COLUMN).agg(
+        F.sum("exact").alias("n"),
+        F.max(F.abs(F.col("told") - F.coalesce("exact", F.lit(0)))).alias("off"))
+    return both.select(PERIOD_COLUMN, "n", (F.coalesce("off", F.lit(0)) <= TOPK_ERROR * F.col("n") + 1).alias("topk_ok"))

@@ -29,6 +29,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.functions.metrics import SketchConfig
 from strata.functions.periods import (
     day_start_epoch, epoch_seconds, from_epoch, parse_frequency, parse_timestamp, period_label,
 )
@@ -40,7 +41,7 @@ from strata.operators.counts import (
 from strata.operators.merge import lookup, merge_stores, rollup
 from strata.operators.profile import PERIOD_COLUMN, profile, with_period
 from strata.operators.views import exact_metrics, frequent_items, profile_size
-from strata.plans.accuracy import global_sketch_accuracy
+from strata.plans.accuracy import global_sketch_accuracy, merged_sketch_accuracy, merged_topk_accuracy
 from strata.plans.oracle import TABLE_COLUMNS, count_sql, label_sql, profile_sql, q
 from strata.session import checkpoint_root
 from strata.sinks.writers import (
@@ -485,6 +486,119 @@ def stream_windowed_by_day(spark, d):
     return exact_metrics(store.join(newest, [PERIOD_COLUMN, "batch"], "left_semi").drop("batch"), _fmt("D"))
 
 
+# Sketches that went through a merge, held against the rows: HLL and KLL within
+# their bounds, top-k exact below its width and within its bound above it.
+_SKETCHED = {"orders": ["o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority", "o_orderdate"],
+             "events": ["event_id", "user_id", "event_type", "value", "ts"]}
+
+
+def _sketch_sql(table: str, freq: str, date: str) -> str:
+    return "\nUNION ALL\n".join(
+        f"SELECT {label_sql(freq, date)} AS dataset_ts, '{c}' AS \"column\", count(*) AS n, "
+        f"count(DISTINCT {q(c)}) AS distinct_exact, true AS distinct_ok, true AS quantiles_ok "
+        f"FROM {table} WHERE {q(date)} IS NOT NULL GROUP BY 1" for c in _SKETCHED[table])
+
+
+def _yearly(spark, d, store):
+    return _label_text(merged_sketch_accuracy(read_table(spark, d, "orders"), store, "o_orderdate", "A",
+                                              _SKETCHED["orders"]), "A")
+
+
+_YEARLY_SQL = _sketch_sql("orders", "A", "o_orderdate")
+
+
+@register("merged_sketches_rollup", _YEARLY_SQL)
+def merged_sketches_rollup(spark, d):
+    return _yearly(spark, d, rollup(profile(read_table(spark, d, "orders"), "o_orderdate", "D"), "A"))
+
+
+@register("merged_sketches_stores", _YEARLY_SQL)
+def merged_sketches_stores(spark, d):
+    orders = read_table(spark, d, "orders")
+    urgent = F.coalesce(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"), F.lit(False))
+    return _yearly(spark, d, merge_stores([profile(orders.where(urgent), "o_orderdate", "A"),
+                                           profile(orders.where(~urgent), "o_orderdate", "A")]))
+
+
+@register("merged_sketches_runs", _YEARLY_SQL)
+def merged_sketches_runs(spark, d):
+    """Two runs of an append-only store; the first attempt of the second held
+    every order and is replaced as a unit by the one that holds the later ones."""
+    orders = read_table(spark, d, "orders")
+    cut = F.col("o_orderdate") < F.lit("1996-01-01 00:00:00").cast("timestamp_ntz")
+    out = f"{checkpoint_root(spark)}/strata-history-{uuid.uuid4().hex}"
+    write_run(profile(orders.where(cut), "o_orderdate", "M"), out, "run-1")
+    write_run(profile(orders, "o_orderdate", "M"), out, "run-2")
+    write_run(profile(orders.where(~cut), "o_orderdate", "M"), out, "run-2")
+    return _yearly(spark, d, rollup(read_merged(spark, out), "A"))
+
+
+@register("merged_sketches_files", _YEARLY_SQL)
+def merged_sketches_files(spark, d):
+    """Through both file forms: Parquet, then JSON text, then merged."""
+    out = f"{checkpoint_root(spark)}/strata-files-{uuid.uuid4().hex}"
+    write_profiles(profile(read_table(spark, d, "orders"), "o_orderdate", "D"), f"{out}/parquet")
+    write_text(read_profiles(spark, f"{out}/parquet"), f"{out}/text")
+    return _yearly(spark, d, rollup(read_text_profiles(spark, f"{out}/text"), "A"))
+
+
+def _event_panes(spark, d, freq: str) -> DataFrame:
+    """``events`` dealt over several files, one file a pane, the panes merged."""
+    out = f"{checkpoint_root(spark)}/strata-panes-{uuid.uuid4().hex}"
+    ev = read_table(spark, d, "events")
+    ev.repartition(5, "event_id").write.parquet(f"{out}/input")
+    stream = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(f"{out}/input")
+    profile_stream(stream, out, "ts", freq, checkpoint=f"{out}/_checkpoint",
+                   trigger={"availableNow": True}).awaitTermination()
+    return merge_panes(spark, out)
+
+
+@register("merged_sketches_panes", _sketch_sql("events", "W", "ts"))
+def merged_sketches_panes(spark, d):
+    return _label_text(merged_sketch_accuracy(read_table(spark, d, "events"), _event_panes(spark, d, "W"), "ts", "W",
+                                              _SKETCHED["events"]), "W")
+
+
+@register("stream_several_panes",
+          profile_sql("events", [(PERIOD_COLUMN, label_sql("D", "ts"))], where="ts IS NOT NULL"))
+def stream_several_panes(spark, d):
+    return exact_metrics(_event_panes(spark, d, "D"), _fmt("D"))
+
+
+@register("merged_frequent_items",
+          f"SELECT {label_sql('A', 'o_orderdate')} AS dataset_ts, 'bucket' AS \"column\", "
+          "CAST(o_custkey % 600 AS VARCHAR) AS item, count(*) AS count FROM orders "
+          "WHERE o_orderdate IS NOT NULL AND o_custkey IS NOT NULL GROUP BY 1, 3")
+def merged_frequent_items(spark, d):
+    """States wider than the default keep their width through a merge."""
+    orders = read_table(spark, d, "orders").withColumn("bucket", F.expr("o_custkey % 600"))
+    store = profile(orders, "o_orderdate", "M", columns=["bucket"], sketches=SketchConfig(topk_capacity=2000))
+    return _label_text(frequent_items(rollup(store, "A"), top_k=1000), "A")
+
+
+@register("merged_frequent_items_bound",
+          f"SELECT {label_sql('A', 'o_orderdate')} AS dataset_ts, count(o_custkey) AS n, true AS topk_ok "
+          "FROM orders WHERE o_orderdate IS NOT NULL AND o_custkey IS NOT NULL GROUP BY 1")
+def merged_frequent_items_bound(spark, d):
+    orders = read_table(spark, d, "orders")
+    store = rollup(profile(orders, "o_orderdate", "M", columns=["o_custkey"]), "A")
+    return _label_text(merged_topk_accuracy(orders, store, "o_orderdate", "A", "o_custkey"), "A")
+
+
+_QUARTERS = profile_sql("lineitem", [(PERIOD_COLUMN, label_sql("Q", "l_shipdate"))], where="l_shipdate IS NOT NULL")
+
+
+@register("profile_salted_tree", _QUARTERS)
+def profile_salted_tree(spark, d):
+    """The two-level tree that a wide input uses."""
+    return exact_metrics(profile(read_table(spark, d, "lineitem"), "l_shipdate", "Q", fanout=3), _fmt("Q"))
+
+
+@register("profile_row_shuffle", _QUARTERS)
+def profile_row_shuffle(spark, d):
+    return exact_metrics(profile(read_table(spark, d, "lineitem"), "l_shipdate", "Q", row_shuffle=True), _fmt("Q"))
+
+
 def queries() -> dict[str, QueryFn]:
     return dict(QUERIES)
 

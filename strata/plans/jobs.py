@@ -17,7 +17,9 @@ from strata.functions.periods import parse_frequency
 from strata.operators.counts import count_missing_periods
 from strata.operators.profile import profile
 from strata.operators.views import profile_table
-from strata.sinks.writers import RowWriter, fan_out, read_merged, write_each, write_run
+from strata.sinks.writers import (
+    RowWriter, fan_out, read_merged, read_profiles, run_path, write_each, write_run,
+)
 from strata.sources.tables import read_input
 
 
@@ -36,7 +38,8 @@ def profile_job(spark: SparkSession, input: str | None = None, *, table: str | N
     returned frame and the ``writer`` read that written copy.  With ``run_id``
     too, the run is appended to the store at ``output`` instead of replacing
     it (rerunning the same ``run_id`` replaces only that run), and the
-    returned frame is the whole history merged.  ``row_shuffle`` picks the
+    returned frame is the whole history merged; the ``writer`` gets the run's
+    own profiles.  ``row_shuffle`` picks the
     aggregation plan (see ``profile``).  Rows dropped for a missing date, or
     for one that does not parse under ``date_errors='coerce'``, are counted and
     logged (``null_dates='drop'``).
@@ -55,9 +58,9 @@ def profile_job(spark: SparkSession, input: str | None = None, *, table: str | N
         if date_column is None:
             raise ValueError("run_id needs a date_column (runs are stored per period)")
         write_run(store, output, run_id)
+        if writer is not None:  # this run's profiles, read from the written copy
+            write_each(read_profiles(spark, run_path(output, run_id)), writer, dataset_id)
         store = read_merged(spark, output)
-        if writer is not None:
-            write_each(store, writer, dataset_id)
     elif output is not None:
         sinks = [lambda s: write_each(s, writer, dataset_id)] if writer is not None else []
         store = fan_out(store, output, sinks)

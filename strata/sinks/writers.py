@@ -12,6 +12,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -59,21 +60,26 @@ def read_profiles(spark: SparkSession, path: str) -> DataFrame:
 RUN_COLUMN = "run"
 
 
+def run_path(path: str, run_id: str) -> str:
+    """Directory of one run in an append-only store."""
+    return f"{path.rstrip('/')}/{RUN_COLUMN}={quote(str(run_id), safe='')}"
+
+
 def write_run(store: DataFrame, path: str, run_id: str, layout: str = "month") -> None:
     """Add one run's profiles to an append-only store (incremental jobs).
 
-    Files go to ``period=<month>/run=<run_id>`` with dynamic partition
-    overwrite, so writing the same run again (a retried job) replaces exactly
-    that run's files and nothing else.  ``read_merged`` folds all runs.
+    Files go to ``run=<run_id>/period=<month>`` and a run is replaced as a
+    unit: writing it again (a retried or corrected job) removes all that the
+    first attempt wrote, months that it no longer has included, and touches no
+    other run.  ``read_merged`` folds all runs.
     """
     if layout not in _LAYOUTS or PERIOD_COLUMN not in store.columns:
         raise ValueError("write_run needs a periodic store and layout 'month' or 'period'")
     (store.withColumn(PARTITION_COLUMN, F.date_format(PERIOD_COLUMN, _LAYOUTS[layout]))
-     .withColumn(RUN_COLUMN, F.lit(str(run_id)))
      .hint("rebalance", PARTITION_COLUMN)
      .sortWithinPartitions(PARTITION_COLUMN, PERIOD_COLUMN, "column")
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(PARTITION_COLUMN, RUN_COLUMN).parquet(path))
+     .write.mode("overwrite").option("partitionOverwriteMode", "static")
+     .partitionBy(PARTITION_COLUMN).parquet(run_path(path, run_id)))
 
 
 def read_merged(spark: SparkSession, path: str, start: str | None = None,

@@ -4,9 +4,11 @@ emitted when full or when a key has waited ``max_wait`` (processing time).
 Keys are sharded (``shards`` buckets drawn per row, like a sharded key) so one
 hot key is buffered and emitted by many tasks, never by one, even when its rows
 are identical copies.
-Per (key, shard) the state holds fewer than ``size`` buffered rows as one
-Arrow IPC blob plus the next batch number; a full batch is emitted as soon as
-it is complete.
+Rows pass through Python as one JSON text each, written and read by Spark: every
+value comes back as it was (NaN and NULL stay apart, 64-bit integers, decimals
+and microseconds stay exact).  Per (key, shard) the state holds fewer than
+``size`` such texts plus the next batch number; a full batch is emitted as soon
+as it is complete, so a task holds one batch and one chunk of its input.
 
 Output: the input columns plus ``batch_id`` (shard * 2^32 + sequence number
 within the (key, shard)), so ``(key, batch_id)`` identifies a batch of at most
@@ -15,19 +17,22 @@ within the (key, shard)), so ``(key, batch_id)`` identifies a batch of at most
 
 from __future__ import annotations
 
-import io
 import re
 
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupStateTimeout
 
+from strata.functions.metrics import cols, quote
+
 _WAIT_RE = re.compile(r"^\s*(\d+)\s*(ms|millisecond|second|minute|hour)s?\s*$", re.I)
 _MS = {"ms": 1, "millisecond": 1, "second": 1000, "minute": 60_000, "hour": 3_600_000}
 
+# JSON formats that keep microseconds.
+_JSON = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+
 
 def _wait_ms(text: str) -> int:
     m = _WAIT_RE.match(text)
@@ -36,67 +41,48 @@ def _wait_ms(text: str) -> int:
     return int(m.group(1)) * _MS[m.group(2).lower()]
 
 
-def _to_ipc(pdf: pd.DataFrame) -> bytes:
-    table = pa.Table.from_pandas(pdf, preserve_index=False)
-    sink = io.BytesIO()
-    with pa.ipc.new_stream(sink, table.schema) as w:
-        w.write_table(table)
-    return sink.getvalue()
-
-
-def _from_ipc(blob: bytes) -> pd.DataFrame:
-    return pa.ipc.open_stream(io.BytesIO(blob)).read_all().to_pandas()
-
-
 def stream_group_into_batches(stream: DataFrame, key: str, size: int, *,
                               max_wait: str = "120 seconds", shards: int = 16) -> DataFrame:
     """Streaming batches of at most ``size`` rows per ``key`` value."""
     if size < 1 or shards < 1:
         raise ValueError("size and shards must be >= 1")
     wait_ms = _wait_ms(max_wait)
-    cols = stream.columns
-    out_schema = T.StructType(list(stream.schema.fields) + [T.StructField("batch_id", T.LongType())])
-    state_schema = T.StructType([T.StructField("buffer", T.BinaryType()),
+    state_schema = T.StructType([T.StructField("rows", T.StringType()),
                                  T.StructField("seq", T.LongType())])
     # Shard with a seeded per-partition random sequence: spreads a hot key even
     # when its rows are identical copies (a content hash would not), and a
     # replayed micro-batch (same offsets, same partitions) draws the same shards.
-    sharded = stream.withColumn("__shard", F.floor(F.rand(7) * F.lit(shards)).cast("bigint"))
-
-    def emit(rows: pd.DataFrame, shard: int, seq: int) -> pd.DataFrame:
-        out = rows[cols].copy()
-        out["batch_id"] = (shard << 32) + seq
-        return out
+    sharded = stream.select(
+        F.col(quote(key)).alias("__key"),
+        F.floor(F.rand(7) * F.lit(shards)).cast("bigint").alias("__shard"),
+        F.to_json(F.struct(*cols(stream.columns)), _JSON).alias("row"))
 
     def step(group_key, pdfs, state):
-        # State: (buffered rows or NULL, next sequence number).  The sequence
-        # number outlives flushes so batch ids of a key never repeat.
-        shard = int(group_key[1])
-        blob, seq = state.get if state.exists else (None, 0)
-        buffered = _from_ipc(blob) if blob is not None else None
+        # State: (held rows, one JSON text a line, or NULL; next sequence
+        # number).  The sequence number outlives flushes so batch ids of a key
+        # never repeat.
+        first = int(group_key[1]) << 32
+        text, seq = state.get if state.exists else (None, 0)
+        held = text.split("\n") if text else []
         if state.hasTimedOut:
-            if buffered is not None and len(buffered):
-                yield emit(buffered, shard, seq)
+            if held:
+                yield pd.DataFrame({"row": held, "batch_id": first + seq})
                 seq += 1
             state.update((None, seq))
             return
-        parts = [buffered] if buffered is not None else []
-        parts += [p[cols] for p in pdfs if len(p)]
-        if not parts:
-            return
-        rows = pd.concat(parts, ignore_index=True)
-        start = 0
-        while len(rows) - start >= size:
-            yield emit(rows.iloc[start:start + size], shard, seq)
-            seq += 1
-            start += size
-        rest = rows.iloc[start:]
-        if len(rest):
-            state.update((_to_ipc(rest.reset_index(drop=True)), seq))
+        for pdf in pdfs:
+            held += pdf["row"].tolist()
+            full = len(held) // size * size
+            for at in range(0, full, size):
+                yield pd.DataFrame({"row": held[at:at + size], "batch_id": first + seq})
+                seq += 1
+            held = held[full:]
+        state.update(("\n".join(held) if held else None, seq))
+        if held:
             state.setTimeoutDuration(wait_ms)
-        else:
-            state.update((None, seq))
 
-    return (sharded.groupBy(key, "__shard")
-            .applyInPandasWithState(step, out_schema, state_schema, "append",
-                                    GroupStateTimeout.ProcessingTimeTimeout))
+    batches = (sharded.groupBy("__key", "__shard")
+               .applyInPandasWithState(step, "row string, batch_id long", state_schema, "append",
+                                       GroupStateTimeout.ProcessingTimeTimeout))
+    return (batches.select(F.from_json("row", stream.schema, _JSON).alias("__row"), "batch_id")
+            .select("__row.*", "batch_id"))

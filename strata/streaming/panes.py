@@ -59,7 +59,8 @@ class PaneWriter:
         self.freq = freq
         self.lateness = parse_lateness(lateness) if lateness else None
         self.profile_kwargs = profile_kwargs
-        self._max_event: dict[int, dt.datetime | None] = {}
+        self._max_event: dt.datetime | None = None  # of all panes up to self._newest
+        self._newest: int | None = None
 
     @property
     def panes_path(self) -> str:
@@ -74,15 +75,14 @@ class PaneWriter:
         (recovered from the meta table after a restart)."""
         if self.lateness is None:
             return None
-        earlier = [v for k, v in self._max_event.items() if k < batch_id and v is not None]
-        if not earlier:
-            try:  # after a restart: recover from the meta table (any file system)
+        if self._newest is None or self._newest >= batch_id:
+            try:  # start, restart or replay: recover from the meta table (any file system)
                 row = (spark.read.parquet(self.meta_path).where(F.col("pane") < batch_id)
                        .agg(F.max("max_event").alias("m")).first())
-                earlier = [row.m] if row and row.m is not None else []
+                self._max_event = row.m
             except AnalysisException:  # no pane written yet
-                earlier = []
-        return (max(earlier) - self.lateness) if earlier else None
+                self._max_event = None
+        return None if self._max_event is None else self._max_event - self.lateness
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -95,7 +95,6 @@ class PaneWriter:
             meta = batch.agg(F.max(event).alias("max_event"),
                              F.count(F.lit(1)).alias("rows"),
                              F.count_if(late).alias("late_rows")).first()
-            self._max_event[batch_id] = meta.max_event
             kept = batch.where(~late) if wm is not None else batch
             kwargs = dict(self.profile_kwargs)
             if self.batch_column is not None:
@@ -110,6 +109,8 @@ class PaneWriter:
                 [(meta.max_event, int(meta.rows), int(meta.late_rows), wm)],
                 "max_event timestamp_ntz, rows bigint, late_rows bigint, watermark timestamp_ntz",
             ).write.mode("overwrite").parquet(f"{self.meta_path}/pane={batch_id}")
+            self._max_event = max((t for t in (self._max_event, meta.max_event) if t is not None), default=None)
+            self._newest = batch_id
         finally:
             batch.unpersist()
 
