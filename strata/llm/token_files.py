@@ -44,23 +44,24 @@ LANES = 4096
 TOKENIZER = "word_bpe_49k.json"
 
 MAGIC = b"ACMR"
-VERSION = 1
+VERSION = 2
 HEADER = struct.Struct("<4sBIII")
 
 _SLOTS = 1024
 _GROUPS = 256
 _ONE = 4096            # scale of the case estimates
 _ROOM = 4170           # a little above it: every case keeps a frequency
-_REFRESH = 64
+_FIELD = (1 << 27) - 1 | ((1 << 27) - 1) << 32
 _TOP, _LOW32 = np.uint64(1 << 48), np.uint64((1 << 32) - 1)
-_U8, _U16, _U24, _U48 = np.uint64(8), np.uint64(16), np.uint64(24), np.uint64(48)
+_U4, _U16, _U32, _U48 = np.uint64(4), np.uint64(16), np.uint64(32), np.uint64(48)
 
 
 class Model:
     """Adaptive state of many blocks (lanes), advanced together.
 
     A prediction slot holds ``id << 2 | confidence``; a case estimate holds the
-    shares of case 0 and case 1 as ``a << 16 | b``."""
+    shares of case 0 and case 1 as ``a << 32 | b``, so that one multiplication
+    weighs both."""
 
     def __init__(self, lanes: int):
         lane = np.arange(lanes, dtype=np.int64)
@@ -68,55 +69,62 @@ class Model:
         self.lane_groups, self.lane_cdf = lane * _GROUPS, lane * (_GROUPS + 1)
         self.pred1 = np.zeros(lanes * _SLOTS, np.int32)
         self.pred2 = np.zeros(lanes * _SLOTS, np.int32)
-        third = (_ONE // 3) << 16 | (_ONE // 3)
+        third = (_ONE // 3) << 32 | (_ONE // 3)
         self.by2, self.by1, self.by0 = (np.full(lanes * k, third, np.int64) for k in (8, 4, 3))
         self.w = [np.full(lanes, 4 * _ONE, np.int64) for _ in range(3)]
+        self.scale = (65533.0 / _ROOM) / (self.w[0] + self.w[1] + self.w[2])
         self.case = np.full(lanes, 2, np.int64)
-        self.prev = np.zeros(lanes, np.int64)
-        self.before = np.zeros(lanes, np.int64)
+        self.prev = np.zeros(lanes, np.int32)
+        self.before = np.zeros(lanes, np.int32)
         self.count = np.ones(lanes * _GROUPS, np.int32)
-        self.cdf = np.zeros(lanes * (_GROUPS + 1), np.int64)
-        self.steps = 0
+        self.cdf = np.zeros(lanes * (_GROUPS + 1), np.int32)
+        self.steps = self.refresh = 0
 
     def predict(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         """Sets the predictions of the first ``n`` lanes and returns the mixed
         frequencies of cases 0 and 1 (all three sum to 65536)."""
-        if self.steps % _REFRESH == 0:  # order-0 distribution from the counts so far
+        if self.steps == self.refresh:  # order-0 distribution from the counts so far
             c = np.cumsum(self.count[:n * _GROUPS].reshape(n, _GROUPS), axis=1, dtype=np.float64)
             cdf = self.cdf[:n * (_GROUPS + 1)].reshape(n, _GROUPS + 1)
-            cdf[:, 1:] = (c * ((65536 - _GROUPS) / c[:, -1:])).astype(np.int64) + np.arange(1, _GROUPS + 1)
+            cdf[:, 1:] = c * ((65536 - _GROUPS) / c[:, -1:])
+            cdf[:, 1:] += np.arange(1, _GROUPS + 1, dtype=np.int32)
             cdf[:, -1] = 65536
+            self.refresh += 32 + (self.steps >> 2)  # the more is known, the later
         h = self.prev[:n] * 40503
         self.at1 = (h & (_SLOTS - 1)) + self.base[:n]
         self.at2 = ((h ^ (self.before[:n] * 30011 >> 3)) & (_SLOTS - 1)) + self.base[:n]
         self.s1, self.s2 = self.pred1.take(self.at1), self.pred2.take(self.at2)
         self.id1, self.id2 = self.s1 >> 2, self.s2 >> 2
-        self.r2 = self.lane8[:n] + ((self.s2 & 3) << 1) + (self.id1 == self.id2)
-        self.r1 = self.lane4[:n] + (self.s1 & 3)
+        self.conf1, self.conf2 = self.s1 & 3, self.s2 & 3
+        self.r2 = self.lane8[:n] + ((self.conf2 << 1) + (self.id1 == self.id2))
+        self.r1 = self.lane4[:n] + self.conf1
         self.r0 = self.lane3[:n] + self.case[:n]
         self.g = [t.take(r) for t, r in ((self.by0, self.r0), (self.by1, self.r1), (self.by2, self.r2))]
-        self.a = [g >> 16 for g in self.g]
-        self.b = [g & 0xFFFF for g in self.g]
-        w = [x[:n] for x in self.w]
-        scale = (65533.0 / _ROOM) / (w[0] + w[1] + w[2])
-        f0 = ((w[0] * self.a[0] + w[1] * self.a[1] + w[2] * self.a[2]) * scale).astype(np.int64) + 1
-        f1 = ((w[0] * self.b[0] + w[1] * self.b[1] + w[2] * self.b[2]) * scale).astype(np.int64) + 1
+        mixed = self.w[0][:n] * self.g[0]
+        mixed += self.w[1][:n] * self.g[1]
+        mixed += self.w[2][:n] * self.g[2]
+        scale = self.scale[:n]
+        f0 = ((mixed >> 32) * scale).astype(np.int64) + 1
+        f1 = ((mixed & 0xFFFFFFFF) * scale).astype(np.int64) + 1
         return f0, f1
 
-    def update(self, n: int, ids: np.ndarray, is0: np.ndarray, is1: np.ndarray) -> None:
-        """Learn the ids just coded (``is0``, ``is1``: which prediction hit)."""
+    def update(self, n: int, ids: np.ndarray, is0: np.ndarray, is1: np.ndarray, same1: np.ndarray) -> None:
+        """Learn the ids just coded (``is0``, ``is1``: which case; ``same1``:
+        the order-1 prediction was right, whether or not it was used)."""
         i0, i1 = is0.view(np.int8).astype(np.int64), is1.view(np.int8).astype(np.int64)
-        if self.steps % 4 == 0:
-            for w, a, b in zip(self.w, self.a, self.b):
+        if self.steps % 8 == 0:
+            for w, g in zip(self.w, self.g):
                 w = w[:n]
+                a, b = g >> 32, g & 0xFFFFFFFF
                 w -= w >> 3
                 w += np.where(is0, a, np.where(is1, b, _ROOM - a - b))
-        add = (i0 << 23) + (i1 << 7)
-        for g, a, b, r, t in zip(self.g, self.a, self.b, (self.r0, self.r1, self.r2), (self.by0, self.by1, self.by2)):
-            t[r] = g - ((a >> 5) << 16) - (b >> 5) + add
-        fresh = ((ids << 2) + 1).astype(np.int32)
-        for at, old, hit, table in ((self.at1, self.s1, self.id1 == ids, self.pred1), (self.at2, self.s2, is0, self.pred2)):
-            conf = old & 3
+            self.scale[:n] = (65533.0 / _ROOM) / (self.w[0][:n] + self.w[1][:n] + self.w[2][:n])
+        add = (i0 << 39) + (i1 << 7)
+        for g, r, t in zip(self.g, (self.r0, self.r1, self.r2), (self.by0, self.by1, self.by2)):
+            t[r] = g - ((g >> 5) & _FIELD) + add
+        fresh = (ids << 2) + 1
+        for at, old, conf, hit, table in ((self.at1, self.s1, self.conf1, same1, self.pred1),
+                                          (self.at2, self.s2, self.conf2, is0, self.pred2)):
             table[at] = np.where(hit, old + (conf < 3), np.where(conf > 0, old - 1, fresh))
         self.count[self.lane_groups[:n] + (ids >> 8)] += 24
         self.before[:n] = self.prev[:n]
@@ -125,52 +133,45 @@ class Model:
         self.steps += 1
 
 
-def _due(low: np.ndarray, span: np.ndarray) -> np.ndarray | None:
-    """Lanes whose top 16 bits go out; a lane whose range got too small is cut
-    at the next 32-bit border first."""
+def _due(low: np.ndarray, span: np.ndarray) -> np.ndarray:
+    """Which lanes give out their top 16 bits; a lane whose range got too small
+    is cut at the next 32-bit border first."""
     ready = (low ^ (low + span)) < _TOP
     small = span <= _LOW32
-    due = np.flatnonzero(ready | small)
-    if len(due) == 0:
-        return None
-    cut = due[~ready[due]]
-    if len(cut):
+    if small.any():
+        cut = np.flatnonzero(small & ~ready)
         span[cut] = (~low[cut] + np.uint64(1)) & _LOW32
-    return due
+    return ready | small
 
 
 class Encoder:
     def __init__(self, lanes: int, longest: int):
         self.low = np.zeros(lanes, np.uint64)
         self.span = np.full(lanes, np.uint64(2**64 - 1), np.uint64)
-        self.width = 2 * longest + 16
+        self.width = 3 * longest + 16
         self.out = np.zeros(lanes * self.width, np.uint16)
         self.n = np.arange(lanes, dtype=np.int64) * self.width
 
-    def _flush(self, low: np.ndarray, span: np.ndarray, name: np.ndarray | None) -> None:
-        while (i := _due(low, span)) is not None:
-            at = i if name is None else name[i]
-            x = low[i]
-            self.out[self.n[at]] = x >> _U48
-            self.n[at] += 1
-            low[i] = x << _U16
-            span[i] <<= _U16
-
     def put(self, n: int, cum: np.ndarray, freq: np.ndarray) -> None:
-        """Code one of 65536 parts in each of the first ``n`` lanes."""
-        low, span = self.low[:n], self.span[:n]
-        r = span >> _U16
+        """Code one of 2**32 parts in each of the first ``n`` lanes."""
+        low, span, at = self.low[:n], self.span[:n], self.n[:n]
+        r = span >> _U32
         low += r * cum.view(np.uint64)
         np.multiply(r, freq.view(np.uint64), out=span)
-        self._flush(low, span, None)
-
-    def put_some(self, lanes: np.ndarray, cum: np.ndarray, freq: np.ndarray) -> None:
-        """Code one of 2**24 parts in the given lanes."""
-        low, r = self.low[lanes], self.span[lanes] >> _U24
-        low += r * cum.view(np.uint64)
-        span = r * freq.view(np.uint64)
-        self._flush(low, span, lanes)
-        self.low[lanes], self.span[lanes] = low, span
+        due = _due(low, span)
+        self.out[at] = low >> _U48  # lanes that are not due write it again later
+        step = due.view(np.uint8).astype(np.uint64) << _U4
+        low <<= step
+        span <<= step
+        at += due
+        i = np.flatnonzero(due)
+        while len(i):
+            x, y = low[i], span[i]
+            due = _due(x, y)
+            i, x, y = i[due], x[due], y[due]
+            self.out[at[i]] = x >> _U48
+            at[i] += 1
+            low[i], span[i] = x << _U16, y << _U16
 
     def finish(self) -> list[bytes]:
         for shift in (48, 32, 16, 0):
@@ -193,35 +194,30 @@ class Decoder:
             self.now = (self.now << _U16) | self.code[self.n]
             self.n += 1
 
-    def _fill(self, low: np.ndarray, span: np.ndarray, now: np.ndarray, name: np.ndarray | None) -> None:
-        while (i := _due(low, span)) is not None:
-            at = i if name is None else name[i]
-            now[i] = (now[i] << _U16) | self.code[self.n[at]]
-            self.n[at] += 1
-            low[i] <<= _U16
-            span[i] <<= _U16
-
     def peek(self, n: int) -> np.ndarray:
-        self.r = self.span[:n] >> _U16
-        return np.minimum((self.now[:n] - self.low[:n]) // self.r, np.uint64(65535)).view(np.int64)
+        """The part of 2**32 that the code points at in each lane."""
+        self.r = self.span[:n] >> _U32
+        return np.minimum((self.now[:n] - self.low[:n]) // self.r, _LOW32).view(np.int64)
 
     def take(self, n: int, cum: np.ndarray, freq: np.ndarray) -> None:
-        low, span = self.low[:n], self.span[:n]
+        low, span, now, at = self.low[:n], self.span[:n], self.now[:n], self.n[:n]
         low += self.r * cum.view(np.uint64)
         np.multiply(self.r, freq.view(np.uint64), out=span)
-        self._fill(low, span, self.now[:n], None)
-
-    def peek_some(self, lanes: np.ndarray) -> np.ndarray:
-        self.some = (self.low[lanes], self.span[lanes] >> _U24, self.now[lanes])
-        low, r, now = self.some
-        return np.minimum((now - low) // r, np.uint64((1 << 24) - 1)).view(np.int64)
-
-    def take_some(self, lanes: np.ndarray, cum: np.ndarray, freq: np.ndarray) -> None:
-        low, r, now = self.some
-        low += r * cum.view(np.uint64)
-        span = r * freq.view(np.uint64)
-        self._fill(low, span, now, lanes)
-        self.low[lanes], self.span[lanes], self.now[lanes] = low, span, now
+        due = _due(low, span)
+        step = due.view(np.uint8).astype(np.uint64) << _U4
+        now <<= step
+        now |= self.code.take(at) * due
+        low <<= step
+        span <<= step
+        at += due
+        i = np.flatnonzero(due)
+        while len(i):
+            x, y = low[i], span[i]
+            due = _due(x, y)
+            i, x, y = i[due], x[due], y[due]
+            now[i] = (now[i] << _U16) | self.code[at[i]]
+            at[i] += 1
+            low[i], span[i] = x << _U16, y << _U16
 
 
 def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
@@ -229,7 +225,7 @@ def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
     order = sorted(range(len(blocks)), key=lambda i: -len(blocks[i]))
     sizes = np.array([len(blocks[i]) for i in order], np.int64)
     longest = int(sizes[0]) if len(sizes) else 0
-    ids = np.zeros((longest, len(blocks)), np.int64)
+    ids = np.zeros((longest, len(blocks)), np.int32)
     for lane, i in enumerate(order):
         ids[:len(blocks[i]), lane] = blocks[i]
     model, enc = Model(len(blocks)), Encoder(len(blocks), longest)
@@ -239,19 +235,18 @@ def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
             n = int(live[t])
             x = ids[t, :n]
             f0, f1 = model.predict(n)
-            is0 = model.id2 == x
-            is1 = (model.id1 == x) & ~is0
-            f01 = f0 + f1
-            cum = np.where(is0, 0, np.where(is1, f0, f01))
-            enc.put(n, cum, np.where(is0, f0, np.where(is1, f1, 65536 - f01)))
+            is0, same1 = model.id2 == x, model.id1 == x
+            is1 = same1 & ~is0
+            cum, freq = np.where(is0, 0, f0 << 16), np.where(is0, f0, f1) << 16
             lit = np.flatnonzero(~(is0 | is1))
             if len(lit):
-                y = x[lit]
+                y, f01 = x[lit], (f0 + f1)[lit]
                 at = model.lane_cdf[lit] + (y >> 8)
-                a = model.cdf.take(at)
-                f = model.cdf.take(at + 1) - a
-                enc.put_some(lit, (a << 8) + (y & 255) * f, f)
-            model.update(n, x, is0, is1)
+                a, room = model.cdf.take(at), 65536 - f01
+                f = room * (model.cdf.take(at + 1) - a) >> 8
+                cum[lit], freq[lit] = (f01 << 16) + room * a + (y & 255) * f, f
+            enc.put(n, cum, freq)
+            model.update(n, x, is0, is1, same1)
         codes = enc.finish()
     out: list[bytes] = [b""] * len(blocks)
     for lane, i in enumerate(order):
@@ -277,7 +272,7 @@ def decode_blocks(data: list[bytes]) -> list[np.ndarray]:
     order = sorted(range(len(data)), key=lambda i: -heads[i][0])
     sizes = np.array([heads[i][0] for i in order], np.int64)
     longest = int(sizes[0])
-    ids = np.zeros((longest, len(data)), np.int64)
+    ids = np.zeros((longest, len(data)), np.int32)
     model, dec = Model(len(data)), Decoder([data[i][HEADER.size:] for i in order])
     live = np.searchsorted(-sizes, -np.arange(longest), "left")
     with np.errstate(over="ignore"):
@@ -285,26 +280,28 @@ def decode_blocks(data: list[bytes]) -> list[np.ndarray]:
             n = int(live[t])
             f0, f1 = model.predict(n)
             v = dec.peek(n)
-            f01 = f0 + f1
-            is0 = v < f0
-            is1 = (v < f01) & ~is0
-            cum = np.where(is0, 0, np.where(is1, f0, f01))
-            dec.take(n, cum, np.where(is0, f0, np.where(is1, f1, 65536 - f01)))
-            x = np.where(is0, model.id2, model.id1).astype(np.int64)
-            lit = np.flatnonzero(~(is0 | is1))
+            part, f01 = v >> 16, f0 + f1
+            is0 = part < f0
+            is1 = (part < f01) & ~is0
+            cum, freq = np.where(is0, 0, f0 << 16), np.where(is0, f0, f1) << 16
+            x = np.where(is0, model.id2, model.id1)
+            lit = np.flatnonzero(part >= f01)
             if len(lit):
-                v = dec.peek_some(lit)
+                f01 = f01[lit]
+                room, rest = 65536 - f01, v[lit] - (f01 << 16)
                 at = model.lane_cdf[lit]
-                g, want = at.copy(), v >> 8
+                g, want = at.copy(), rest // room
                 for half in (128, 64, 32, 16, 8, 4, 2, 1):  # last group that starts at or below
                     g += half * (model.cdf.take(g + half) <= want)
                 a = model.cdf.take(g)
-                f = model.cdf.take(g + 1) - a
-                low = (v - (a << 8)) // f
-                dec.take_some(lit, (a << 8) + low * f, f)
+                f = room * (model.cdf.take(g + 1) - a) >> 8
+                rest -= room * a
+                low = np.minimum(rest // f, 255)
+                cum[lit], freq[lit] = (f01 << 16) + room * a + low * f, f
                 x[lit] = ((g - at) << 8) | low
+            dec.take(n, cum, freq)
             ids[t, :n] = x
-            model.update(n, x, is0, is1)
+            model.update(n, x, is0, is1, model.id1 == x)
     out: list[np.ndarray] = [np.zeros(0, np.int64)] * len(data)
     for lane, i in enumerate(order):
         n, crc = heads[i]
@@ -317,15 +314,16 @@ def decode_blocks(data: list[bytes]) -> list[np.ndarray]:
 
 # ---------------------------------------------------------------- tokenizing
 
-_SPACE = np.zeros(256, bool)
-_SPACE[[0x20, *range(0x09, 0x0E)]] = True
-_LETTER = np.zeros(256, bool)
-_LETTER[0x41:0x5B] = _LETTER[0x61:0x7B] = True
-_MARK = np.zeros(256, bool)
-_MARK[[ord(c) for c in ",.!?;:#*$%&|()\"-"]] = True
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
+_SPACES = b" \t\n\x0b\x0c\r"
+_LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
+# Kinds of bytes: 0 white space, 1 ASCII letter, 2 ASCII mark, 3 any other.
+_KIND = bytes(0 if c in _SPACES else 1 if chr(c).isascii() and chr(c).isalpha() else
+              2 if chr(c) in ",.!?;:#*$%&|()\"-" else 3 for c in range(256))
+# Byte-level alphabet: printable Latin-1 stands for itself, the rest follows from U+0100 on.
+_PLAIN = [c for c in range(256) if 33 <= c <= 126 or 161 <= c <= 172 or c >= 174]
+_BYTE_CHARS = dict(zip(_PLAIN, _PLAIN)) | {c: 256 + k for k, c in enumerate(sorted(set(range(256)) - set(_PLAIN)))}
 
+TOKENIZE_BYTES = 8 << 20
 MEMO_WORDS = 1_000_000
 _MEMO: dict[str, dict[bytes, bytes]] = {}
 _LOADED: dict[str, object] = {}
@@ -350,43 +348,57 @@ def _tokenizer(path: str):
     return _LOADED[path]
 
 
+def _one_word(piece: bytes) -> str | None:
+    """The model's spelling of a piece made of Latin letters only, which the
+    normalizer merely lower-cases and the splitter leaves whole; else none."""
+    if piece.isalpha():  # ASCII, lower-cased before
+        return piece.decode()
+    word = piece.decode("utf-8", "replace")
+    if not word.isalpha() or max(word) >= "\u0250":
+        return None
+    word = word.lower()
+    return word.encode().decode("latin-1").translate(_BYTE_CHARS) if word.isalpha() else None
+
+
 def tokenize(data: np.ndarray, off: np.ndarray, path: str) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all texts of a slice, one after the other, and their counts.
 
     This vocabulary drops white space, ignores ASCII case and never joins an
     ASCII letter with the ASCII punctuation after it, so a text is the sequence
     of such pieces; each distinct piece is encoded once and remembered."""
-    n = len(data)
-    solid = ~_SPACE[data]
+    raw = data.tobytes()
+    kind = np.frombuffer(raw.translate(_KIND), np.uint8)
+    n = len(kind)
+    solid = kind > 0
     begin = solid.copy()
     if n:
         begin[1:] &= ~solid[:-1]
-        begin[1:] |= _LETTER[data[:-1]] & _MARK[data[1:]]
+        begin[1:] |= (kind[:-1] == 1) & (kind[1:] == 2)
         edges = off[:-1][off[:-1] < n]
         begin[edges] = solid[edges]
-    body = _LOWER[data[solid]]
-    place = np.cumsum(solid) - 1
+    body = raw.translate(_LOWER, _SPACES)
     at = np.flatnonzero(begin)
-    cuts = np.append(place[at], len(body)).astype(np.int64) if len(at) else np.zeros(1, np.int64)
-    pieces = pa.Array.from_buffers(pa.large_binary(), len(at), [None, pa.py_buffer(cuts), pa.py_buffer(np.ascontiguousarray(body))])
+    cuts = np.append(np.flatnonzero(begin[solid]), len(body)).astype(np.int64)
+    pieces = pa.Array.from_buffers(pa.large_binary(), len(at), [None, pa.py_buffer(cuts), pa.py_buffer(body)])
     coded = pieces.dictionary_encode()
     which = coded.indices.to_numpy(zero_copy_only=False)
-    names = coded.dictionary.to_pylist()
+    names = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
     memo = _MEMO.setdefault(path, {})
     if len(memo) > MEMO_WORDS:
         memo.clear()
     new = [w for w in names if w not in memo]
     if new:
         t = _tokenizer(path)
-        # ASCII letters pass its normalizer and splitter unchanged: one word
-        # of the model, without the wrapping of a whole text
+        model, rest = t.model, []
         for w in new:
-            if w.isalpha() and w.isascii():
-                memo[w] = array("H", [x.id for x in t.model.tokenize(w.decode())]).tobytes()
-        new = [w for w in new if w not in memo]
+            word = _one_word(w)
+            if word is None:
+                rest.append(w)
+            else:
+                memo[w] = array("H", [x.id for x in model.tokenize(word)]).tobytes()
         batch = getattr(t, "encode_batch_fast", t.encode_batch)
-        for a in range(0, len(new), 4096):
-            part = new[a:a + 4096]
+        for a in range(0, len(rest), 4096):
+            part = rest[a:a + 4096]
             for w, e in zip(part, batch([x.decode("utf-8", "replace") for x in part], add_special_tokens=False)):
                 memo[w] = array("H", e.ids).tobytes()
     each = [memo[w] for w in names]
@@ -456,7 +468,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, end_i
         pack = _Packer(TaskContext.get().partitionId(), block_ids)
         end = np.array([end_id], np.uint16)
         for b in batches:
-            for x, y, data, off in byte_slices(b.column(1)):
+            for x, y, data, off in byte_slices(b.column(1), TOKENIZE_BYTES):
                 ids, counts = tokenize(data, off, tok)
                 at = 0
                 for d, c in zip(b.column(0).slice(x, y - x).to_pylist(), counts.tolist()):

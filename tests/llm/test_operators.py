@@ -231,6 +231,9 @@ def test_token_files_hold_what_the_tokenizer_gives(docs, rows):
 def test_pieces_encode_like_whole_texts():
     texts = ["It's we'll a,b.c!! d'x <|endoftext|> é́, ÀB,c", "x...y 12,3 -a- «q»,r", "a\u00a0b\u2003c,d", "İI ﬁ,",
              "one\x1ctwo,three", "", "don't!'s"]
+    rng = np.random.default_rng(7)  # invented words of Latin and other letters
+    letters = list("aZéÈßİıſÿŸǅ×÷ªº'.,0#ΣςσΆ  \tœŒđÐħ-é中KÅɏɐ")
+    texts += ["".join(rng.choice(letters, 9)) for _ in range(3000)]
     import pyarrow as pa
 
     data = b"".join(t.encode() for t in texts)
