@@ -131,8 +131,11 @@ def column_aggregates(name: str, dtype: T.DataType, prefix: str, cfg: SketchConf
         out["min_d"] = f"min(CASE WHEN NOT isnan({v}) THEN {v} END)"
         out["max_d"] = f"max(CASE WHEN NOT isnan({v}) THEN {v} END)"
         # Distinct values of a double are counted on a 64-bit hash of the value:
-        # no text formatting per row, and -0.0 / 0.0 hash alike.
-        hll_value = f"CASE WHEN {q} IS NOT NULL THEN xxhash64({q}) END"
+        # no text formatting per row, and -0.0 / 0.0 hash alike.  Floats and
+        # decimals that a double holds exactly hash as that double, so runs of
+        # either type merge; wider decimals hash as they are.
+        exact = not isinstance(dtype, T.DecimalType) or dtype.precision <= 15
+        hll_value = f"CASE WHEN {q} IS NOT NULL THEN xxhash64({v if exact else q}) END"
         kll_value, kll_kind = v, "double"
         mom_value = f"CASE WHEN NOT isnan({v}) AND abs({v}) != double('inf') THEN {v} END"
     elif tc == "boolean":

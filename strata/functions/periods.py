@@ -11,8 +11,11 @@ result independent of ``spark.sql.session.timeZone``:
 
 Label conventions follow pandas' ``Grouper(freq=...)`` defaults: day and
 sub-day frequencies are labelled by the period start, ``W``/``M``/``Q``/``A``/
-``SM`` by the period end, ``MS``/``QS``/``AS``/``SMS`` by the start.
-Multiples (``2D``, ``36H``, ``2W``) are anchored on a fixed origin (the Unix
+``SM`` by the period end, ``MS``/``QS``/``AS``/``SMS`` by the start.  Quarters and
+years take any month as anchor (``Q-OCT``, ``AS-APR``); ``BM``, ``BQ``, ``BA`` end on
+the last business day and ``BMS``, ``BQS``, ``BAS`` begin on the first one, so the
+weekend at the border belongs to the neighbouring period.
+Multiples (``2D``, ``36H``, ``2W``, ``3MS``) are anchored on a fixed origin (the Unix
 epoch unless ``anchor`` is given), never on the first row of a batch, so two
 partial runs always produce labels that line up.
 """
@@ -28,6 +31,9 @@ from pyspark.sql import types as T
 
 EPOCH_NTZ = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
 
+# Column metadata key under which a store's period column names its frequency.
+FREQ_KEY = "freq"
+
 # Pandas weekday anchors, Monday first (Spark's weekday(): Monday = 0).
 WEEKDAY_NAMES = ["MON", "TUE", "WED", "THU", "FRI", "SAT", "SUN"]
 
@@ -37,6 +43,8 @@ UNIT_ALIASES = {
     "H": "H", "h": "H",
     "T": "T", "min": "T",
     "S": "S", "s": "S",
+    "L": "L", "ms": "L",
+    "U": "U", "us": "U",
     "W": "W",
     "M": "M", "ME": "M",
     "MS": "MS",
@@ -47,13 +55,22 @@ UNIT_ALIASES = {
     "B": "B",
     "SM": "SM", "SME": "SM",
     "SMS": "SMS",
+    "BM": "BM", "BME": "BM",
+    "BMS": "BMS",
+    "BQ": "BQ", "BQE": "BQ",
+    "BQS": "BQS",
+    "BA": "BA", "BY": "BA", "BYE": "BA",
+    "BAS": "BAS", "BYS": "BAS",
 }
 
 # Microseconds per fixed-length unit.
-_UNIT_MICROS = {"D": 86_400_000_000, "H": 3_600_000_000, "T": 60_000_000, "S": 1_000_000}
+_UNIT_MICROS = {"D": 86_400_000_000, "H": 3_600_000_000, "T": 60_000_000, "S": 1_000_000, "L": 1_000, "U": 1}
+
+# Month names as pandas anchors write them, January first.
+MONTH_NAMES = ["JAN", "FEB", "MAR", "APR", "MAY", "JUN", "JUL", "AUG", "SEP", "OCT", "NOV", "DEC"]
 
-# The default pandas anchors of quarter and year frequencies.
-_DEFAULT_ANCHORS = {"Q": "DEC", "A": "DEC", "QS": "JAN", "AS": "JAN"}
+# Months of a calendar unit (without the B of business units and the S of starts).
+_UNIT_MONTHS = {"M": 1, "Q": 3, "A": 12}
 
 _FREQ_RE = re.compile(r"^\s*(\d*)\s*([A-Za-z]+)(?:-([A-Za-z]{3}))?\s*$")
 
@@ -65,15 +82,52 @@ class Frequency:
     n: int
     unit: str
     weekday: int | None = None  # only for W: 0 = Monday ... 6 = Sunday
+    month: int = 0  # anchor of Q and A units: 0 = January ... 11 = December
 
     @property
     def sub_day(self) -> bool:
-        return self.unit in ("H", "T", "S")
+        return self.unit in ("H", "T", "S", "L", "U")
+
+    @property
+    def months(self) -> int:
+        """Months in one period of a calendar unit; 0 for other units."""
+        return self.n * _UNIT_MONTHS.get(self.unit.removeprefix("B").removesuffix("S"), 0)
 
     @property
     def label_format(self) -> str:
         """Spark ``date_format`` pattern that prints a label losslessly."""
-        return "yyyy-MM-dd HH:mm:ss" if self.sub_day else "yyyy-MM-dd"
+        fraction = {"L": ".SSS", "U": ".SSSSSS"}.get(self.unit, "")
+        return "yyyy-MM-dd HH:mm:ss" + fraction if self.sub_day else "yyyy-MM-dd"
+
+    def nests_in(self, coarse: Frequency) -> bool:
+        """Whether each period of this frequency lies inside one period of
+        ``coarse`` and its label too, so that a store can be rolled up
+        (multi-unit bins on the default origin)."""
+        if self == coarse:
+            return True
+        fixed = self.n * _UNIT_MICROS.get(self.unit, 0)
+        if fixed:
+            wide = coarse.n * _UNIT_MICROS.get(coarse.unit, 0)
+            return (wide or _UNIT_MICROS["D"]) % fixed == 0
+        if self.unit == "W":
+            return coarse.unit == "W" and self.weekday == coarse.weekday and coarse.n % self.n == 0
+        if self.unit == "SMS":
+            return coarse.unit == "SMS" or coarse.months > 0 and not coarse.unit.startswith("B")
+        if self.months == 0 or coarse.months == 0 or coarse.months % self.months:
+            return False
+        if self.unit.startswith("B") or coarse.unit.startswith("B"):
+            ends = self.unit.endswith("S") == coarse.unit.endswith("S")
+            same = self.unit.startswith("B") and coarse.unit.startswith("B")
+            return same and ends and (self.border - coarse.border) % self.months == 0
+        return (self.border - coarse.border) % self.months == 0
+
+    @property
+    def border(self) -> int:
+        """Index (0 = January 1970) of a month that begins a period."""
+        step = self.months // self.n
+        if self.unit.endswith("S"):
+            return self.month % step
+        return self.month % step + 1
 
 
 def parse_frequency(freq: str) -> Frequency:
@@ -93,12 +147,17 @@ def parse_frequency(freq: str) -> Frequency:
         if name not in WEEKDAY_NAMES:
             raise ValueError(f"unsupported weekly anchor in {freq!r}")
         weekday = WEEKDAY_NAMES.index(name)
-    elif anchor is not None and _DEFAULT_ANCHORS.get(unit) != anchor.upper():
-        # Only the default (calendar) anchors of quarters and years are supported.
+    month = 0
+    if unit.removeprefix("B").removesuffix("S") in ("Q", "A"):
+        name = (anchor or ("JAN" if unit.endswith("S") else "DEC")).upper()
+        if name not in MONTH_NAMES:
+            raise ValueError(f"unsupported anchor in {freq!r}")
+        month = MONTH_NAMES.index(name)
+    elif anchor is not None and unit != "W":
         raise ValueError(f"unsupported anchor in {freq!r}")
-    if n > 1 and unit not in ("D", "H", "T", "S", "W"):
-        raise ValueError(f"multiples are supported for D, H, T, S and W only: {freq!r}")
-    return Frequency(n=n, unit=unit, weekday=weekday)
+    if n > 1 and unit in ("B", "SM", "SMS"):
+        raise ValueError(f"multiples of B, SM and SMS are not supported: {freq!r}")
+    return Frequency(n=n, unit=unit, weekday=weekday, month=month)
 
 
 # --------------------------------------------------------------------------
@@ -204,6 +263,34 @@ def _week_end(d: Column, weekday: int) -> Column:
     return F.date_add(d, F.pmod(F.lit(weekday) - F.weekday(d), F.lit(7)).cast("int"))
 
 
+def _calendar_label(d: Column, f: Frequency) -> Column:
+    """Label of a period of whole months: months are counted from January 1970
+    and the period's last (or first) month is the next (or latest) one that
+    agrees with the first anchor since then, modulo the period's length."""
+    step, starts, business = f.months, f.unit.endswith("S"), f.unit.startswith("B")
+    first = f.month % (step // f.n)
+    m = (F.year(d) - 1970) * 12 + F.month(d) - 1
+    origin = F.lit("1970-01-01").cast("date")
+
+    def label(k: Column) -> Column:
+        day = F.add_months(origin, k.cast("int"))
+        if starts:
+            off = F.when(F.weekday(day) >= 5, 7 - F.weekday(day)).otherwise(0)
+            return F.date_add(day, off) if business else day
+        day = F.last_day(day)
+        return F.date_sub(day, F.greatest(F.weekday(day) - 4, F.lit(0))) if business else day
+
+    if starts:
+        at = m - F.pmod(m - F.lit(first), F.lit(step))
+        beyond = label(at) > d
+    else:
+        at = m + F.pmod(F.lit(first) - m, F.lit(step))
+        beyond = label(at) < d
+    if not business:
+        return label(at)
+    return F.when(beyond, label(at - step if starts else at + step)).otherwise(label(at))
+
+
 def period_label(ts: Column, freq: str | Frequency, anchor: str | None = None) -> Column:
     """Label of the period holding wall-clock ``ts`` (TIMESTAMP_NTZ).
 
@@ -235,18 +322,8 @@ def period_label(ts: Column, freq: str | Frequency, anchor: str | None = None) -
         k = F.datediff(end, first_end) / F.lit(7)
         j = -F.floor(-k / F.lit(f.n))  # ceil(k / n) for negative k too
         return F.date_add(first_end, (j * F.lit(7 * f.n)).cast("int"))
-    if u == "M":
-        return F.last_day(d)
-    if u == "MS":
-        return F.trunc(d, "month")
-    if u == "Q":
-        return F.last_day(F.add_months(F.trunc(d, "quarter"), 2))
-    if u == "QS":
-        return F.trunc(d, "quarter")
-    if u == "A":
-        return F.make_date(F.year(d), F.lit(12), F.lit(31))
-    if u == "AS":
-        return F.trunc(d, "year")
+    if f.months:
+        return _calendar_label(d, f)
     if u == "B":
         back = F.when(F.weekday(d) == 5, 1).when(F.weekday(d) == 6, 2).otherwise(0)
         return F.date_sub(d, back)

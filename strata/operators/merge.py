@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions.metrics import METRIC_COLUMNS, SketchConfig, cols
-from strata.functions.periods import as_wall_clock, period_label
+from strata.functions.periods import FREQ_KEY, as_wall_clock, parse_frequency, period_label
 
 
 _EMPTY_TOPK: dict[tuple[int, int], Row] = {}
@@ -116,17 +116,25 @@ def merge_stores(stores: Sequence[DataFrame], keys: Sequence[str] | None = None,
 
 
 def rollup(store: DataFrame, freq: str, *, period_column: str = "dataset_ts",
-           anchor: str | None = None, sketches: SketchConfig | None = None) -> DataFrame:
+           anchor: str | None = None, sketches: SketchConfig | None = None,
+           source_freq: str | None = None) -> DataFrame:
     """Re-key a periodic store to a coarser frequency and merge, e.g. days to
     months, without touching the source data again.
 
-    Correct when every fine period lies inside one coarse period (day -> week,
-    month, quarter, year; hour -> day).
+    Every fine period must lie inside one coarse period (day -> week, month,
+    quarter, year; hour -> day); pairs that do not nest, such as weeks to
+    months, are refused.  The store's own frequency is read from its period
+    column (Spark and Parquet keep it); ``source_freq`` names it for stores
+    that lost it, such as those read back from text.
     """
     dtype = store.schema[period_column].dataType
+    source = source_freq or (store.schema[period_column].metadata or {}).get(FREQ_KEY)
+    if source is not None and not parse_frequency(source).nests_in(parse_frequency(freq)):
+        raise ValueError(f"periods of {source!r} do not nest in periods of {freq!r}: profile the rows again")
     relabelled = store.withColumn(
         period_column,
         period_label(as_wall_clock(F.col(period_column), dtype), freq, anchor).cast("timestamp_ntz"))
+    relabelled = relabelled.withMetadata(period_column, {} if anchor else {FREQ_KEY: freq})
     return merge_profiles(relabelled, keys=key_columns(store), sketches=sketches)
 
 

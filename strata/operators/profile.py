@@ -35,7 +35,7 @@ from pyspark.sql import types as T
 from strata.functions.metrics import (
     METRIC_COLUMNS, SketchConfig, cols, column_aggregates, quote, unpivot_struct,
 )
-from strata.functions.periods import EPOCH_NTZ, as_wall_clock, period_label
+from strata.functions.periods import EPOCH_NTZ, FREQ_KEY, as_wall_clock, period_label
 from strata.operators.merge import merge_profiles
 
 # Largest input width merged in one level (reducer fan-in bound).
@@ -75,7 +75,8 @@ def with_period(df: DataFrame, date_column: str, freq: str = "D", *, unit: str |
     elif null_dates == "error":
         label = F.when(src.isNull(), F.raise_error(F.lit(f"NULL in date column {date_column}"))
                        .cast("timestamp_ntz")).otherwise(label)
-    return df.withColumn(out, label)
+    described = {} if anchor else {FREQ_KEY: freq}
+    return df.withColumn(out, label).withMetadata(out, described)  # roll-ups check it
 
 
 def input_partitions(df: DataFrame) -> int:

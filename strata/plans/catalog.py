@@ -222,7 +222,10 @@ BUCKETS = [
     ("2W", "orders", "o_orderdate"), ("M", "orders", "o_orderdate"), ("MS", "orders", "o_orderdate"),
     ("Q", "orders", "o_orderdate"), ("QS", "orders", "o_orderdate"), ("A", "orders", "o_orderdate"),
     ("AS", "orders", "o_orderdate"), ("SM", "orders", "o_orderdate"),
-    ("SMS", "orders", "o_orderdate"),
+    ("SMS", "orders", "o_orderdate"), ("Q-OCT", "orders", "o_orderdate"), ("A-JUN", "orders", "o_orderdate"),
+    ("AS-APR", "orders", "o_orderdate"), ("2M", "orders", "o_orderdate"), ("3MS", "orders", "o_orderdate"),
+    ("BM", "orders", "o_orderdate"), ("BMS", "orders", "o_orderdate"), ("BQ", "orders", "o_orderdate"),
+    ("BAS", "orders", "o_orderdate"), ("500ms", "events", "ts"),
 ]
 
 

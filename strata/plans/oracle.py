@@ -68,18 +68,19 @@ def label_sql(freq: str, col: str) -> str:
             first_end = f"(DATE '1970-01-01' + CAST(((({t} - 3) % 7) + 7) % 7 AS INTEGER))"
             k = f"(({end} - {first_end}) / 7)"
             expr = f"({first_end} + CAST(-{7 * n} * floor(-{k} / {n}) AS INTEGER))"
-    elif u == "M":
-        expr = f"last_day({c})"
-    elif u == "MS":
-        expr = month_start
-    elif u == "Q":
-        expr = f"last_day(CAST(date_trunc('quarter', {c}) + INTERVAL 2 MONTH AS DATE))"
-    elif u == "QS":
-        expr = f"CAST(date_trunc('quarter', {c}) AS DATE)"
-    elif u == "A":
-        expr = f"make_date(year({c}), 12, 31)"
-    elif u == "AS":
-        expr = f"CAST(date_trunc('year', {c}) AS DATE)"
+    elif f.months:
+        # the list of all labels of the unit from 1969 on, and the first (or
+        # last) of them on the label's side of the day
+        step, base = f.months, f.months // n
+        k0 = f.month % base - step * (-(-12 // step))
+        first = f"CAST(DATE '1970-01-01' + to_months(CAST({k0} + {step} * i AS INTEGER)) AS DATE)"
+        if u.endswith("S"):
+            shift = f" + CAST(CASE isodow({first}) WHEN 6 THEN 2 WHEN 7 THEN 1 ELSE 0 END AS INTEGER)" if u[0] == "B" else ""
+            expr = f"list_max(list_filter([{first}{shift} for i in range({1200 // step})], lambda x: x <= {d}))"
+        else:
+            last = f"last_day({first})"
+            shift = f" - CAST(greatest(isodow({last}) - 5, 0) AS INTEGER)" if u[0] == "B" else ""
+            expr = f"list_min(list_filter([{last}{shift} for i in range({1200 // step})], lambda x: x >= {d}))"
     elif u == "B":
         expr = f"({d} - CAST(CASE isodow({c}) WHEN 6 THEN 1 WHEN 7 THEN 2 ELSE 0 END AS INTEGER))"
     elif u == "SM":
@@ -89,7 +90,7 @@ def label_sql(freq: str, col: str) -> str:
         expr = f"(CASE WHEN day({c}) >= 15 THEN {month_start} + 14 ELSE {month_start} END)"
     else:  # pragma: no cover - parse_frequency rejects the rest
         raise ValueError(freq)
-    fmt = "%Y-%m-%d %H:%M:%S" if f.sub_day else "%Y-%m-%d"
+    fmt = "%Y-%m-%d %H:%M:%S" + {"L": ".%g", "U": ".%f"}.get(u, "") if f.sub_day else "%Y-%m-%d"
     return f"strftime({expr}, '{fmt}')"
 
 

@@ -22,7 +22,10 @@ EDGES = [
 # Our frequency -> the pandas 2.x spelling of the same rule.
 PANDAS_NAME = {"D": "D", "H": "h", "T": "min", "W": "W", "W-MON": "W-MON", "W-WED": "W-WED",
                "W-SAT": "W-SAT", "M": "ME", "MS": "MS", "Q": "QE", "QS": "QS", "A": "YE",
-               "AS": "YS", "SM": "SME", "SMS": "SMS", "B": "B"}
+               "AS": "YS", "SM": "SME", "SMS": "SMS", "B": "B",
+               "Q-OCT": "QE-OCT", "QS-FEB": "QS-FEB", "A-JUN": "YE-JUN", "AS-APR": "YS-APR",
+               "BM": "BME", "BMS": "BMS", "BQ": "BQE", "BQ-NOV": "BQE-NOV", "BQS": "BQS", "BA": "BYE",
+               "BAS": "BYS", "BAS-JUL": "BYS-JUL", "ms": "ms"}
 
 
 def pandas_label(ts: str, freq: str):
@@ -52,11 +55,35 @@ def test_parse_frequency():
     assert parse_frequency("min").unit == "T"
     assert parse_frequency("Q-DEC").unit == "Q"
     assert parse_frequency("YS").unit == "AS"
-    for bad in ["", "X", "2M", "W-XYZ", "Q-MAR", "0D"]:
+    assert parse_frequency("ms").unit == "L" and parse_frequency("MS").unit == "MS"
+    assert parse_frequency("2Q-MAR").months == 6
+    for bad in ["", "X", "2B", "W-XYZ", "Q-XYZ", "M-MAR", "0D"]:
         with pytest.raises(ValueError):
             parse_frequency(bad)
 
 
+@pytest.mark.parametrize("freq,name", [("2M", "2ME"), ("3MS", "3MS"), ("2Q-JAN", "2QE-JAN"), ("2AS", "2YS"),
+                                       ("5BM", "5BME"), ("2BQS", "2BQS")])
+def test_calendar_multiples_count_from_the_epoch(spark, freq, name):
+    marks = pd.date_range("1970-01-01", "2040-01-01", freq=name)
+    df = spark.createDataFrame([(e,) for e in EDGES], "t string")
+    got = {r.t: r.lab for r in df.select("t", period_label(F.to_timestamp_ntz("t"), freq).alias("lab")).collect()}
+    for e in EDGES:
+        day = pd.Timestamp(e).normalize()
+        want = marks[marks <= day][-1] if parse_frequency(freq).unit.endswith("S") else marks[marks >= day][0]
+        assert got[e] == want.date(), (freq, e)
+
+
+def test_which_periods_nest():
+    f = parse_frequency
+    for fine, coarse in [("D", "W"), ("D", "BM"), ("H", "D"), ("M", "Q-OCT"), ("MS", "AS-APR"), ("Q-JAN", "A-APR"),
+                         ("QS", "A"), ("W", "2W"), ("SMS", "M"), ("12H", "D"), ("ms", "T"), ("BM", "BQ"), ("M", "2M")]:
+        assert f(fine).nests_in(f(coarse)), (fine, coarse)
+    for fine, coarse in [("W", "M"), ("W", "W-MON"), ("Q", "A-APR"), ("M", "D"), ("36H", "D"), ("5H", "D"), ("2D", "M"),
+                         ("B", "M"), ("SM", "M"), ("BM", "M"), ("M", "BM"), ("2M", "Q"), ("D", "H")]:
+        assert not f(fine).nests_in(f(coarse)), (fine, coarse)
+
+
 def test_multi_unit_bins_are_anchored_on_epoch(spark):
     df = spark.createDataFrame([("2024-01-04 10:00:00",), ("2024-01-05 10:00:00",)], "t string")
     ts = F.to_timestamp_ntz("t")
@@ -170,6 +197,7 @@ def test_parse_timestamp_with_format(spark):
 def test_frequency_units_match_case():
     # "ms" is milliseconds, "MS" is the month start
     assert parse_frequency("MS").unit == "MS"
-    for freq in ("ms", "qs", "sm"):
+    assert parse_frequency("ms").unit == "L"
+    for freq in ("Ms", "qs", "sm"):
         with pytest.raises(ValueError):
             parse_frequency(freq)

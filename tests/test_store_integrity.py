@@ -9,11 +9,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from strata.functions.metrics import SketchConfig
-from strata.operators.merge import merge_profiles, merge_stores
+from strata.operators.merge import merge_profiles, merge_stores, rollup
 from strata.operators.profile import profile
 from strata.operators.views import frequent_items
 from strata.plans.jobs import profile_job
-from strata.sinks.writers import read_merged, write_run
+from strata.sinks.writers import read_merged, read_profiles, write_profiles, write_run
 from strata.streaming.batches import stream_group_into_batches
 from strata.streaming.panes import PaneWriter, pane_report
 
@@ -101,3 +101,24 @@ def test_the_watermark_never_falls_after_a_restart(spark, tmp_path):
     again(_days(spark, 18), 2)  # a replay decides alike
     late = {r.pane: r.late_rows for r in pane_report(spark, path).collect()}
     assert late == {0: 0, 1: 0, 2: 1}
+
+
+def test_roll_up_refuses_periods_that_do_not_nest(spark, tmp_path):
+    df = spark.createDataFrame([("2024-01-30", 1), ("2024-03-05", 2)], "d string, x int").withColumn("d", F.to_date("d"))
+    weekly = profile(df, "d", "W")
+    with pytest.raises(ValueError):
+        rollup(weekly, "M")
+    write_profiles(weekly, str(tmp_path / "weekly"))
+    with pytest.raises(ValueError):
+        rollup(read_profiles(spark, str(tmp_path / "weekly")), "M")
+    with pytest.raises(ValueError):  # a rolled-up store knows its new frequency
+        rollup(rollup(profile(df, "d", "D"), "M"), "W")
+    months = rollup(rollup(profile(df, "d", "D"), "M"), "Q").where("column = 'x'").collect()
+    assert [(str(r.dataset_ts)[:10], r.n) for r in months] == [("2024-03-31", 2)]
+
+
+def test_floats_and_doubles_count_as_the_same_values(spark):
+    base = spark.range(1000).selectExpr("cast(id / 4 as double) as x")
+    stores = [profile(base.selectExpr(f"cast(x as {t}) as x")) for t in ("float", "double", "decimal(12,2)")]
+    got = merge_stores(stores).selectExpr("hll_sketch_estimate(hll) as e", "n").collect()
+    assert [r.n for r in got] == [3000] and 950 <= got[0].e <= 1050
