@@ -4,8 +4,11 @@ Patterns find e-mail addresses, IPv4 addresses, card and phone numbers.  The
 field then carries their labels to other mentions in the same document: words
 are its nodes, neighbours are linked in a chain, and distant words that repeat
 or resemble each other (same last seven digits, or the local part of an
-address) are linked by skip edges that favour equal labels.  Loopy message
-passing over all words of many documents at once gives each word's label
+address) are linked by skip edges, which favour equal labels, to one node that
+they share.  That node carries the label that the patterns gave any of them,
+and its words then start from a fixed prior: neither the corpus' size nor the
+number of mentions weakens the label.  Loopy message passing over all words of
+many documents at once, until the messages settle, gives each word's label
 probabilities; a word that is more likely some kind than not becomes a span.
 
 The potentials are trained piecewise from all documents: counts of (word shape,
@@ -42,7 +45,9 @@ LABELS = len(KINDS) + 1  # 0: none
 SHAPES = 4096
 SKIP_WEIGHT = 6.0
 SHARED = 0.25
-ROUNDS = 6
+PRIOR = np.array([0.96] + [0.01] * (LABELS - 1))
+SETTLED = 1e-6  # largest change of any message in the last round
+ROUNDS = 1000   # only ever reached by messages that swing for good
 KEY_DIGITS = 7
 KEY_LETTERS = 5
 
@@ -111,7 +116,9 @@ def shape(word: str) -> int:
 
 @dataclass
 class Graph:
-    """Words of several documents: spans, labels by pattern, shapes, edges."""
+    """Words of several documents: spans, labels by pattern, shapes, chain edges
+    between words, skip edges ``(word, key)``, and how often the patterns gave
+    each label to a key."""
 
     doc: np.ndarray
     start: list[int]
@@ -120,15 +127,16 @@ class Graph:
     shape: np.ndarray
     chain: np.ndarray
     skip: np.ndarray
+    keys: np.ndarray
 
 
 def graph(texts: list[tuple[str, list[tuple[int, int, int]]]]) -> Graph:
-    doc, start, end, label, cell, chain, skip = [], [], [], [], [], [], []
+    doc, start, end, label, cell, chain, skip, keys = [], [], [], [], [], [], [], []
     for d, (text, base) in enumerate(texts):
         spans, first = list(base), len(start)
         locals_ = {text[a:e].split("@")[0].lower() for a, k, e in base if k == 0}
         locals_ = {x for x in locals_ if len(x) >= KEY_LETTERS}
-        last: dict[str, int] = {}
+        said: dict[str, list[int]] = {}
         reach: list[tuple[int, int, int]] = []
         j = 0
         for m in _WORD.finditer(text):
@@ -157,11 +165,19 @@ def graph(texts: list[tuple[str, list[tuple[int, int, int]]]]) -> Graph:
                 bare = w.strip(_EDGE).lower()
                 key = bare if bare in locals_ else None
             if key is not None:
-                if key in last:
-                    skip.append((last[key], i))
-                last[key] = i
+                said.setdefault(key, []).append(i)
+        for key, at in said.items():
+            given = [0] * LABELS
+            for i in at:
+                given[label[i]] += 1
+            given[0] = 0
+            given[1] += key in locals_
+            if len(at) > 1 or any(given):
+                skip += [(i, len(keys)) for i in at]
+                keys.append(given)
     edges = lambda e: np.array(e, np.int64).reshape(-1, 2)
-    return Graph(np.array(doc, np.int64), start, end, np.array(label, np.int64), np.array(cell, np.int64), edges(chain), edges(skip))
+    return Graph(np.array(doc, np.int64), start, end, np.array(label, np.int64), np.array(cell, np.int64), edges(chain), edges(skip),
+                 np.array(keys, np.int64).reshape(-1, LABELS))
 
 
 @dataclass(frozen=True)
@@ -175,17 +191,20 @@ class Field:
 def beliefs(g: Graph, f: Field, rounds: int = ROUNDS, skip_weight: float = SKIP_WEIGHT) -> np.ndarray:
     """Label probabilities of every word, by loopy message passing (all
     messages at once).  A word inside a pattern match keeps that label."""
-    n = len(g.label)
-    own = f.unary[g.shape].copy()
+    n = len(g.label) + len(g.keys)
+    own = np.full((n, LABELS), 1.0 / LABELS)
+    own[:len(g.label)] = f.unary[g.shape]
     # linked words share their potentials: what a word's own shape says counts
-    # less, what is known of its other mentions comes over the skip edges
-    linked = np.unique(g.skip)
-    own[linked] = own[linked] ** SHARED
-    fixed = g.label > 0
+    # less, and nothing at all once the patterns have labelled its key
+    known = g.keys.sum(axis=1) > 0
+    own[g.skip[:, 0]] = np.where(known[g.skip[:, 1], None], PRIOR, own[g.skip[:, 0]]) ** SHARED
+    own[len(g.label):][known] = np.maximum(g.keys[known] / g.keys[known].sum(axis=1, keepdims=True), 1e-9)
+    fixed = np.flatnonzero(g.label > 0)
     own[fixed] = 1e-9
-    own[np.flatnonzero(fixed), g.label[fixed]] = 1.0
-    a = np.concatenate([g.chain[:, 0], g.chain[:, 1], g.skip[:, 0], g.skip[:, 1]])
-    b = np.concatenate([g.chain[:, 1], g.chain[:, 0], g.skip[:, 1], g.skip[:, 0]])
+    own[fixed, g.label[fixed]] = 1.0
+    key = g.skip[:, 1] + len(g.label)
+    a = np.concatenate([g.chain[:, 0], g.chain[:, 1], g.skip[:, 0], key])
+    b = np.concatenate([g.chain[:, 1], g.chain[:, 0], key, g.skip[:, 0]])
     c, s = len(g.chain), len(g.skip)
     back = np.concatenate([np.arange(c, 2 * c), np.arange(c), np.arange(2 * c + s, 2 * c + 2 * s), np.arange(2 * c, 2 * c + s)])
     same = np.ones((LABELS, LABELS)) + np.eye(LABELS) * (np.exp(skip_weight) - 1)
@@ -201,15 +220,21 @@ def beliefs(g: Graph, f: Field, rounds: int = ROUNDS, skip_weight: float = SKIP_
         total += np.log(own)
         return total
 
-    for _ in range(rounds if len(a) else 0):
+    for k in range(rounds if len(a) else 0):
         out = product()[a] - np.log(msg[back])
         out = np.exp(out - out.max(axis=1, keepdims=True))
         new = np.empty_like(msg)
         new[:c] = out[:c] @ f.pair
         new[c:2 * c] = out[c:2 * c] @ f.pair.T
         new[2 * c:] = out[2 * c:] @ same
-        msg = np.maximum(new / new.sum(axis=1, keepdims=True), 1e-12)
-    p = product()
+        new = np.maximum(new / new.sum(axis=1, keepdims=True), 1e-12)
+        if k >= 50:  # calms messages that swing
+            new = (new + msg) / 2
+        moved = np.abs(new - msg).max()
+        msg = new
+        if moved < SETTLED:
+            break
+    p = product()[:len(g.label)]
     p = np.exp(p - p.max(axis=1, keepdims=True))
     return p / p.sum(axis=1, keepdims=True)
 
@@ -251,8 +276,7 @@ def train(docs: DataFrame) -> Field:
         table[r["at"]] = r["n"]
     cells = table[:SHAPES * LABELS].reshape(SHAPES, LABELS)
     pairs = table[SHAPES * LABELS:].reshape(LABELS, LABELS) + 0.1
-    prior = np.array([0.96] + [0.01] * (LABELS - 1))
-    unary = (cells + prior) / (cells.sum(axis=1, keepdims=True) + 1)
+    unary = (cells + PRIOR) / (cells.sum(axis=1, keepdims=True) + 1)
     joint = pairs / pairs.sum()
     pair = joint / np.outer(joint.sum(axis=1), joint.sum(axis=0))
     return Field(unary, np.clip(pair, 0.05, 20.0))

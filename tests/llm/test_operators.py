@@ -407,6 +407,18 @@ def test_skip_edges_carry_labels_to_other_mentions(spark):
     assert [s for s in got[1] if not s.base] == [] and got[2] == got[3] == got[4] == []
 
 
+@pytest.mark.parametrize("mentions", [1, 2, 20])
+def test_labels_reach_every_mention_whatever_the_corpus_size(mentions):
+    said = "write to jane.doe@mail.example now " + "and so on jane.doe please " * mentions
+    g = pii.graph([(said, pii.base_spans(said))])
+    counts = np.zeros((int(g.shape.max()) + 1, pii.LABELS))
+    counts[:, 0] = 1e9  # words that no pattern labels
+    field = pii.Field((counts + pii.PRIOR) / (counts.sum(axis=1, keepdims=True) + 1), np.ones((pii.LABELS, pii.LABELS)))
+    best = pii.beliefs(g, field).argmax(axis=1)
+    assert [said[g.start[w]:g.end[w]] for w in np.flatnonzero((best == 1) & (g.label == 0))] == ["jane.doe"] * mentions
+    assert len(g.skip) == mentions + 1  # linear, not pairwise
+
+
 def test_pii_odd_input(spark):
     assert pii.find_spans(odd_docs(spark)).count() == 10
     assert pii.find_spans(empty_docs(spark)).count() == 0
