@@ -290,14 +290,13 @@ def find_spans(docs: DataFrame, field: Field | None = None) -> DataFrame:
 
     def added(found) -> dict[int, list[tuple[int, int, int]]]:
         out: dict[int, list[tuple[int, int, int]]] = {}
-        linked = [(i, t, s) for i, t, s in found if s]
-        if not linked:
+        if not found:
             return out
-        g = graph([(t, s) for _, t, s in linked])
+        g = graph([(t, s) for _, t, s in found])
         p = beliefs(g, model.value)
         best = p.argmax(axis=1)
         for w in np.flatnonzero((best > 0) & (g.label == 0)).tolist():
-            i, t, _ = linked[int(g.doc[w])]
+            i, t, _ = found[int(g.doc[w])]
             word = t[g.start[w]:g.end[w]]
             a = g.start[w] + len(word) - len(word.lstrip(_EDGE))
             e = a + len(word.strip(_EDGE))

@@ -419,6 +419,19 @@ def test_labels_reach_every_mention_whatever_the_corpus_size(mentions):
     assert len(g.skip) == mentions + 1  # linear, not pairwise
 
 
+def test_field_judges_texts_without_any_match(spark):
+    ship(spark)
+    alone = "ask at 4111-1111-1111-1111 please"
+    texts = [alone] * 40 + ["ask at 4111-1111-1111-111 please", "ask at x4111-1111-1111-1112 please"]
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    field = pii.train(d)
+    missed = pii.graph([(texts[40], [])])
+    field.unary[missed.shape[2]] = [0.1, 0, 0, 0.9, 0]  # this shape says card
+    got = {r.doc_id: [(s.kind, s.base, texts[r.doc_id][s.start:s.end]) for s in r.spans]
+           for r in pii.find_spans(d, field).collect()}
+    assert got[40] == [("card", False, "4111-1111-1111-111")] and got[41] == []
+
+
 def test_pii_odd_input(spark):
     assert pii.find_spans(odd_docs(spark)).count() == 10
     assert pii.find_spans(empty_docs(spark)).count() == 0
