@@ -12,8 +12,10 @@ many documents at once, until the messages settle, gives each word's label
 probabilities; a word that is more likely some kind than not becomes a span.
 
 The potentials are trained piecewise from all documents: counts of (word shape,
-label) and of neighbouring labels, where the patterns give the labels.  Shapes
-are hashed into ``SHAPES`` cells, so the model is a table of fixed size.
+label) and of neighbouring labels, where the patterns give the labels.  Spark
+counts every shape as a whole string, so no two shapes share counts; the model
+holds the shapes that the patterns label anywhere, and one common row for all
+shapes that they never label.
 
 Defined cases: null or empty text has no spans; repeated rows are searched
 alike; an empty table gives an empty result; offsets count code points, the end
@@ -24,6 +26,7 @@ ignored.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -42,7 +45,6 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 
 LABELS = len(KINDS) + 1  # 0: none
-SHAPES = 4096
 SKIP_WEIGHT = 6.0
 SHARED = 0.25
 PRIOR = np.array([0.96] + [0.01] * (LABELS - 1))
@@ -53,6 +55,7 @@ KEY_LETTERS = 5
 
 _WORD = re.compile(r"\S+")
 _DIGITS = re.compile(r"[^0-9]+")
+_RUN = re.compile(r"[0-9]+|(?P<letters>[^\W\d_]+)|.")
 _EDGE = "\"'()[]{}<>,.;:!?|#*$%&"
 
 
@@ -94,24 +97,20 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
-def shape(word: str) -> int:
-    """Cell of a word's shape: runs of digits with their length, runs of
-    letters, other characters as they are, and whether a number of a card's
-    length or four dotted numbers are valid; words without digit or ``@`` share
-    cell 0."""
+def shape(word: str) -> str:
+    """A word's shape: runs of digits with their length, runs of letters, other
+    characters as they are, and whether a number of a card's length or four
+    dotted numbers are invalid; words without digit or ``@`` have shape ""."""
     out = []
     digits = _DIGITS.sub("", word)
     if 12 <= len(digits) <= 19 and not luhn(digits):
-        out.append("no card")
-    if IP.fullmatch(word) and not all(len(p) <= 3 and int(p) <= 255 for p in word.split(".")):
-        out.append("no ip")
-    for m in re.finditer(r"[0-9]+|[^\W\d_]+|.", word[:64]):
+        out.append("no card ")
+    if IP.fullmatch(word) and not all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in word.split(".")):
+        out.append("no ip ")
+    for m in _RUN.finditer(word):
         t = m[0]
-        out.append(f"9{min(len(t), 20)}" if t[0].isdigit() else "a" if t.isalpha() else t)
-    h = 0
-    for c in "".join(out[:16]).encode("utf-8", "surrogatepass"):
-        h = (h * 1_000_003 + c) % 2_147_483_647
-    return 1 + h % (SHAPES - 1)
+        out.append(f"9{len(t)}" if "0" <= t[0] <= "9" else "a" if m.lastgroup else t)
+    return "".join(out)
 
 
 @dataclass
@@ -124,7 +123,7 @@ class Graph:
     start: list[int]
     end: list[int]
     label: np.ndarray
-    shape: np.ndarray
+    shape: list[str]
     chain: np.ndarray
     skip: np.ndarray
     keys: np.ndarray
@@ -150,7 +149,7 @@ def graph(texts: list[tuple[str, list[tuple[int, int, int]]]]) -> Graph:
             end.append(e)
             label.append(reach[0][1] + 1 if reach else 0)
             plain = not any(c in "@0123456789" for c in w)
-            cell.append(0 if plain else shape(w.strip(_EDGE)))
+            cell.append("" if plain else shape(w.strip(_EDGE)))
             if i > first:
                 chain.append((i - 1, i))
             key = None
@@ -176,14 +175,16 @@ def graph(texts: list[tuple[str, list[tuple[int, int, int]]]]) -> Graph:
                 skip += [(i, len(keys)) for i in at]
                 keys.append(given)
     edges = lambda e: np.array(e, np.int64).reshape(-1, 2)
-    return Graph(np.array(doc, np.int64), start, end, np.array(label, np.int64), np.array(cell, np.int64), edges(chain), edges(skip),
+    return Graph(np.array(doc, np.int64), start, end, np.array(label, np.int64), cell, edges(chain), edges(skip),
                  np.array(keys, np.int64).reshape(-1, LABELS))
 
 
 @dataclass(frozen=True)
 class Field:
-    """Potentials: per shape cell and label, and per pair of chain labels."""
+    """Potentials: the row of each shape that the patterns label anywhere (row 0
+    is all others'), per row and label, and per pair of chain labels."""
 
+    rows: dict[str, int]
     unary: np.ndarray
     pair: np.ndarray
 
@@ -193,7 +194,7 @@ def beliefs(g: Graph, f: Field, rounds: int = ROUNDS, skip_weight: float = SKIP_
     messages at once).  A word inside a pattern match keeps that label."""
     n = len(g.label) + len(g.keys)
     own = np.full((n, LABELS), 1.0 / LABELS)
-    own[:len(g.label)] = f.unary[g.shape]
+    own[:len(g.label)] = f.unary[[f.rows.get(x, 0) for x in g.shape]]
     # linked words share their potentials: what a word's own shape says counts
     # less, and nothing at all once the patterns have labelled its key
     known = g.keys.sum(axis=1) > 0
@@ -257,29 +258,44 @@ def _texts(col: pa.Array):
 
 
 def train(docs: DataFrame) -> Field:
-    """Piecewise training: label counts per shape cell and per neighbouring
-    pair, summed over all documents that have evidence."""
+    """Piecewise training: label counts per shape and per neighbouring pair,
+    summed over all documents that have evidence."""
 
     def run(batches):
         for b in batches:
             for _, _, found in _texts(b.column(0)):
                 g = graph([(t, s) for _, t, s in found])
-                cells = np.bincount(g.shape * LABELS + g.label, minlength=SHAPES * LABELS)
-                pairs = np.bincount(g.label[g.chain[:, 0]] * LABELS + g.label[g.chain[:, 1]], minlength=LABELS * LABELS)
-                both = np.concatenate([cells, pairs])
-                at = np.flatnonzero(both)
-                yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(both[at])], ["at", "n"])
-
-    counts = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(run, "at long, n long")
-    table = np.zeros(SHAPES * LABELS + LABELS * LABELS)
-    for r in counts.groupBy("at").agg(F.sum("n").alias("n")).collect():  # at most the table's size
-        table[r["at"]] = r["n"]
-    cells = table[:SHAPES * LABELS].reshape(SHAPES, LABELS)
-    pairs = table[SHAPES * LABELS:].reshape(LABELS, LABELS) + 0.1
-    unary = (cells + PRIOR) / (cells.sum(axis=1, keepdims=True) + 1)
+                both = Counter(zip(g.shape, g.label.tolist()))
+                pairs = zip(g.label[g.chain[:, 0]].tolist(), g.label[g.chain[:, 1]].tolist())
+                for (x, y), n in Counter(pairs).items():
+                    both[f" {x}", y] = n  # no shape starts with a space
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([k.encode("utf-8", "surrogatepass") for k, _ in both], pa.binary()),
+                     pa.array([y for _, y in both], pa.int32()), pa.array(list(both.values()), pa.int64())], ["shape", "label", "n"])
+
+    counts = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(run, "shape binary, label int, n long")
+    names = [f"n{y}" for y in range(LABELS)]
+    each = counts.groupBy("shape").agg(*[F.sum(F.when(F.col("label") == y, F.col("n")).otherwise(0)).alias(c) for y, c in enumerate(names)])
+    labelled = sum((F.col(c) for c in names[1:]), F.lit(0)) > 0
+    each = each.withColumn("shape", F.when(labelled | F.col("shape").startswith(F.lit(b" ")), F.col("shape")))
+    rows: dict[str, int] = {}
+    cells, pairs = [np.zeros(LABELS)], np.zeros((LABELS, LABELS))
+    for r in each.groupBy("shape").agg(*[F.sum(c).alias(c) for c in names]).collect():  # labelled shapes only
+        n = [r[c] for c in names]
+        key = None if r["shape"] is None else bytes(r["shape"]).decode("utf-8", "surrogatepass")
+        if key is None:
+            cells[0] += n
+        elif key.startswith(" "):
+            pairs[int(key)] += n
+        else:
+            rows[key] = len(cells)
+            cells.append(np.array(n, float))
+    table = np.array(cells)
+    pairs += 0.1
+    unary = (table + PRIOR) / (table.sum(axis=1, keepdims=True) + 1)
     joint = pairs / pairs.sum()
     pair = joint / np.outer(joint.sum(axis=1), joint.sum(axis=0))
-    return Field(unary, np.clip(pair, 0.05, 20.0))
+    return Field(rows, unary, np.clip(pair, 0.05, 20.0))
 
 
 def find_spans(docs: DataFrame, field: Field | None = None) -> DataFrame:

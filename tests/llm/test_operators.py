@@ -411,9 +411,8 @@ def test_skip_edges_carry_labels_to_other_mentions(spark):
 def test_labels_reach_every_mention_whatever_the_corpus_size(mentions):
     said = "write to jane.doe@mail.example now " + "and so on jane.doe please " * mentions
     g = pii.graph([(said, pii.base_spans(said))])
-    counts = np.zeros((int(g.shape.max()) + 1, pii.LABELS))
-    counts[:, 0] = 1e9  # words that no pattern labels
-    field = pii.Field((counts + pii.PRIOR) / (counts.sum(axis=1, keepdims=True) + 1), np.ones((pii.LABELS, pii.LABELS)))
+    counts = np.array([[1e9, 0, 0, 0, 0]])  # words that no pattern labels
+    field = pii.Field({}, (counts + pii.PRIOR) / (counts.sum(axis=1, keepdims=True) + 1), np.ones((pii.LABELS, pii.LABELS)))
     best = pii.beliefs(g, field).argmax(axis=1)
     assert [said[g.start[w]:g.end[w]] for w in np.flatnonzero((best == 1) & (g.label == 0))] == ["jane.doe"] * mentions
     assert len(g.skip) == mentions + 1  # linear, not pairwise
@@ -425,13 +424,26 @@ def test_field_judges_texts_without_any_match(spark):
     texts = [alone] * 40 + ["ask at 4111-1111-1111-111 please", "ask at x4111-1111-1111-1112 please"]
     d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     field = pii.train(d)
-    missed = pii.graph([(texts[40], [])])
-    field.unary[missed.shape[2]] = [0.1, 0, 0, 0.9, 0]  # this shape says card
+    field = pii.Field({pii.shape("4111-1111-1111-111"): 1}, np.array([field.unary[0], [0.1, 0, 0, 0.9, 0]]), field.pair)
     got = {r.doc_id: [(s.kind, s.base, texts[r.doc_id][s.start:s.end]) for s in r.spans]
            for r in pii.find_spans(d, field).collect()}
     assert got[40] == [("card", False, "4111-1111-1111-111")] and got[41] == []
 
 
+def test_every_shape_has_counts_of_its_own(spark):
+    ship(spark)
+    marks = [f"{a}1{b}2{c}3" for a in "~=/^_" for b in "~=/^_\u00a7" for c in "~=/^_\u00a7"]
+    words = [m * k for m in marks for k in range(1, 61)]  # long ones differ at the end only
+    assert len({pii.shape(w) for w in words}) == len(words) > 4096
+    assert pii.shape("a1" * 40 + "x@") != pii.shape("a1" * 40 + "x") and pii.shape("1" * 25) != pii.shape("1" * 26)
+    d = spark.createDataFrame([(" ".join(words),), ("mail =1@a.example and ~1~2~3",), ("=1@a.example",)], "text string")
+    field = pii.train(d)
+    assert set(field.rows) == {pii.shape("=1@a.example")}
+    n = len(words) + 3  # never labelled: the words above, "mail", "and" and one more
+    assert field.unary[0] == pytest.approx((np.array([n, 0, 0, 0, 0]) + pii.PRIOR) / (n + 1))
+    assert field.unary[1] == pytest.approx((np.array([0, 2, 0, 0, 0]) + pii.PRIOR) / 3)
+
+
 def test_pii_odd_input(spark):
     assert pii.find_spans(odd_docs(spark)).count() == 10
     assert pii.find_spans(empty_docs(spark)).count() == 0
