@@ -305,6 +305,25 @@ def test_mined_rules_have_support_and_confidence(spark):
                    (("host=a", "path=spam"), "block"): (9, 1.0)}
 
 
+def test_rules_are_mined_over_all_tokens_of_a_url(spark):
+    front = [f"host=h{i:02d}" for i in range(30)]  # more tokens than the rules' own, sorted before them
+    rows = [(front + ["path=spam"], "block")] * 9 + [(front + ["path=ok"], "allow")] * 9 + [(["path=ok"], "block")]
+    d = spark.createDataFrame(rows, "tokens array<string>, label string")
+    got = {(tuple(r.tokens), r.label): (r.support, r.confidence) for r in url_rules.mine(d, 0.2, 0.95).collect()}
+    assert got[(("path=spam",), "block")] == (9, 1.0)
+    assert (("path=ok",), "allow") not in got and got[(("host=h00", "path=ok"), "allow")] == (9, 1.0)
+    assert got[(("host=h28", "host=h29", "path=spam"), "block")] == (9, 1.0)
+    assert all(len(t) <= 3 for t, _ in got)  # no longer one is surer
+
+
+def test_long_rules_are_mined_where_no_shorter_one_is_sure(spark):
+    four = ["host=a", "host=b", "path=c", "query=d"]
+    rows = [(four, "block")] * 10 + [(four[:i] + four[i + 1:], "allow") for i in range(4) for _ in range(5)]
+    d = spark.createDataFrame(rows, "tokens array<string>, label string")
+    got = {(tuple(r.tokens), r.label): (r.support, r.confidence) for r in url_rules.mine(d, 0.3, 0.9).collect()}
+    assert got == {(tuple(four), "block"): (10, 1.0)}
+
+
 # ------------------------------------------------------------------- simhash
 
 def brute_fp(t):
