@@ -25,6 +25,7 @@ table gives an empty result; further columns are ignored.
 
 from __future__ import annotations
 
+import re
 import struct
 import zlib
 from array import array
@@ -343,7 +344,8 @@ def _tokenizer(path: str):
         from tokenizers import Tokenizer
 
         t = Tokenizer.from_file(path)
-        t.encode_special_tokens = True  # their strings in a text are ordinary text
+        # token_ids has cut the added tokens out; lower-cased pieces that look like them are text
+        t.encode_special_tokens = True
         _LOADED[path] = t
     return _LOADED[path]
 
@@ -361,7 +363,8 @@ def _one_word(piece: bytes) -> str | None:
 
 
 def tokenize(data: np.ndarray, off: np.ndarray, path: str) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of all texts of a slice, one after the other, and their counts.
+    """Ids of all texts of a slice, one after the other, and their counts; the
+    strings of added tokens count as ordinary text.
 
     This vocabulary drops white space, ignores ASCII case and never joins an
     ASCII letter with the ASCII punctuation after it, so a text is the sequence
@@ -410,6 +413,37 @@ def tokenize(data: np.ndarray, off: np.ndarray, path: str) -> tuple[np.ndarray,
     return ids, np.diff(upto[np.searchsorted(at, off, "left")])
 
 
+@lru_cache(maxsize=8)
+def _added(path: str) -> tuple[re.Pattern[bytes], dict[bytes, int]]:
+    """The added tokens' strings, longest first, and their ids."""
+    ids = {a.content.encode(): i for i, a in _tokenizer(path).get_added_tokens_decoder().items()}
+    return re.compile(b"|".join(re.escape(x) for x in sorted(ids, key=len, reverse=True)) or rb"(?!)"), ids
+
+
+def token_ids(data: np.ndarray, off: np.ndarray, path: str) -> tuple[np.ndarray, np.ndarray]:
+    """As ``tokenize``, with the added tokens (``<|endoftext|>``) found in the
+    texts as they stand, before any other cut, as the library does."""
+    pattern, special = _added(path)
+    found = [(m.start(), m.end(), special[m[0]]) for m in pattern.finditer(data.tobytes())]
+    # texts lie side by side: a string that crosses from one into the next is none
+    found = [f for f in found if off[np.searchsorted(off, f[0], "right")] >= f[1]]
+    if not found:
+        return tokenize(data, off, path)
+    at, end, new = np.array(found, np.int64).T
+    cuts = np.sort(np.concatenate([off, at, end]))
+    ids, counts = tokenize(data, cuts, path)
+    part = np.searchsorted(cuts, at, "right") - 1
+    first = np.cumsum(counts) - counts
+    keep = np.ones(len(ids), bool)
+    keep[ranges(first[part], counts[part])] = False
+    keep[first[part]] = True  # one place for each; its string has at least one id
+    ids = ids.copy()
+    ids[first[part]] = new
+    counts[part] = 1
+    upto = np.concatenate([[0], np.cumsum(counts)])
+    return ids[keep], np.diff(upto[np.searchsorted(cuts, off, "left")])
+
+
 # -------------------------------------------------------------------- files
 
 BLOCK_SCHEMA = ("part int, block long, start long, doc_seq array<long>, doc_id array<long>, piece array<int>, "
@@ -469,7 +503,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, end_i
         end = np.array([end_id], np.uint16)
         for b in batches:
             for x, y, data, off in byte_slices(b.column(1), TOKENIZE_BYTES):
-                ids, counts = tokenize(data, off, tok)
+                ids, counts = token_ids(data, off, tok)
                 at = 0
                 for d, c in zip(b.column(0).slice(x, y - x).to_pylist(), counts.tolist()):
                     pack.add(d, np.concatenate([ids[at:at + c], end]))

@@ -246,6 +246,24 @@ def test_pieces_encode_like_whole_texts():
     assert pa is not None
 
 
+def test_added_tokens_in_a_text_get_their_ids(spark):
+    from tokenizers import Tokenizer
+
+    ship(spark)
+    t = Tokenizer.from_file(token_files.tokenizer_path())  # as it is
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "", "x<|startoftext|><|endoftext|>y", "A<|ENDOFTEXT|>b <|endoftext|", "<|endof",
+             "text|> c", "<|<|endoftext|>|>", "é<|endoftext|>\u0301a,b", "plain"]
+    want = [t.encode(x, add_special_tokens=False).ids for x in texts]
+    assert want[0] == [320, 49407, 321]
+    data, off = "".join(texts).encode(), np.cumsum([0] + [len(x.encode()) for x in texts])
+    ids, counts = token_files.token_ids(np.frombuffer(data, np.uint8), off, token_files.tokenizer_path())
+    assert ids.tolist() == sum(want, []) and counts.tolist() == [len(w) for w in want]
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = sorted((r.doc_id, r.start, r.n_tokens, r.ids_crc32) for r in token_files.token_documents(d).collect())
+    ends = np.cumsum([0] + [len(w) + 1 for w in want]).tolist()
+    assert got == [(i, ends[i], len(w) + 1, zlib.crc32(np.array(w + [1], "<u4").tobytes())) for i, w in enumerate(want)]
+
+
 def test_token_files_odd_input(spark):
     got = token_files.token_documents(odd_docs(spark), block_ids=64).collect()
     assert len(got) == 10 and {r.n_tokens for r in got if r.doc_id == 2} == {1}
