@@ -22,11 +22,11 @@ all documents costs one row per document before map-side combining.
 Index entries are 64-bit hashes of the word sequence, whose length is hashed
 too.  Words are those between ASCII white space, unchanged.
 
-Defined cases: null or blank text has no words and keeps an empty text; rows
-that share an id (null ids are one id, the smallest 64-bit number) are one document, so a
-window is not removed for occurring in another row of that id; repeated rows
-are judged alike; an empty table gives an empty result; further columns are
-ignored.
+Defined cases: null or blank text has no words and keeps an empty text; every
+row is a document of its own, also where rows share an id: they follow each
+other in the order of their ids (null ids first), then of the input, and a
+window is removed for occurring in an earlier row of the same id; an empty table
+gives an empty result; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import Powers, byte_slices, mix64, ranges, word_hashes, word_spans
+from strata.llm.common import Powers, byte_slices, mix64, ranges, word_hashes, word_spans, written
 
 WINDOW = 20
 GRAM = 6
@@ -45,7 +45,7 @@ BLOCK = 32
 _WORD = np.ones(256, bool)
 _WORD[[0x20, *range(0x09, 0x0E)]] = False
 _SEQUENCE = Powers(0xC2B2AE3D27D4EB4F)
-NULL_ID = -(2**63)
+NULL_ID = -(2**63)  # order of a null id
 
 
 class Parsed:
@@ -197,7 +197,7 @@ def _factors(listed: DataFrame, window: int) -> DataFrame:
                     spans.append([{"start": s, "end": e} for s, e in
                                   zip(np.flatnonzero(edge == 1).tolist(), np.flatnonzero(edge == -1).tolist())])
                     kept.append(b" ".join([raw[starts[k]:ends[k]] for k in (np.flatnonzero(keep[a:z]) + a).tolist()]).decode("utf-8", "surrogatepass"))
-                doc = b.column(0).slice(x, y - x)
+                doc = b.column(4).slice(x, y - x)
                 yield pa.RecordBatch.from_arrays(
                     [doc, pa.array(np.diff(p.first), pa.int64()), pa.array(spans, span), pa.array(kept, pa.string())],
                     ["doc_id", "n_words", "spans", "kept_text"])
@@ -205,13 +205,24 @@ def _factors(listed: DataFrame, window: int) -> DataFrame:
     return listed.mapInArrow(run, "doc_id long, n_words long, spans array<struct<start:long,end:long>>, kept_text string")
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    """``doc, doc_id, text``: ``doc`` is each row's own number, ascending with
+    ``doc_id``.  Ids that no two rows share are such numbers already; otherwise
+    the rows are sorted (many rows of one id spread over many tasks), numbered
+    and written, so that every pass reads the same numbers."""
+    order = F.coalesce(F.col("doc_id"), F.lit(NULL_ID))
+    if docs.groupBy(order.alias("doc")).count().where("count > 1").isEmpty():
+        return docs.withColumn("doc", order)
+    rows = docs.withColumn("row", F.monotonically_increasing_id()).orderBy(F.col("doc_id").asc_nulls_first(), "row")
+    return written(rows.select(F.monotonically_increasing_id().alias("doc"), "doc_id", "text"), "substring-rows")
+
+
 def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """``doc_id, n_words, spans, kept_text``: the word runs (end exclusive)
     covered by windows that start earlier in the corpus, and the rest."""
     if window < 1:
         raise ValueError("window must be at least 1")
-    d = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("doc"),
-                    F.col("text").cast("string").alias("text"))
+    d = _keyed(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")))
     entries = _index_entries(d.select("doc", "text"), window)
     index = (entries.groupBy("h").agg(F.min("doc").alias("doc"), F.max("doc").alias("last"))
              .where((F.expr("h & 1") == 0) | (F.col("doc") == F.col("last"))))
@@ -221,5 +232,4 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     firsts = (ask.groupBy("h").agg(F.min("doc").alias("doc"))
               .groupBy("doc").agg(F.collect_list("h").alias("firsts")))
     # both passes over the texts read the same exchange
-    parsed = _factors(listed.join(firsts, "doc", "left").select("doc", "text", "known", "firsts"), window)
-    return parsed.withColumn("doc_id", F.nullif(F.col("doc_id"), F.lit(NULL_ID)))
+    return _factors(listed.join(firsts, "doc", "left").select("doc", "text", "known", "firsts", "doc_id"), window)

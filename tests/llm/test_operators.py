@@ -563,6 +563,19 @@ def test_repeats_match_brute_force(spark, window):
     assert got == brute_repeats(rows, window)
 
 
+def test_rows_that_share_an_id_are_documents_of_their_own(spark):
+    ship(spark)
+    rng = random.Random(9)
+    pool = [" ".join(rng.choice("abcdefgh") for _ in range(rng.choice([19, 20, 25, 60]))) for _ in range(8)]
+    ids = [None, 7, 7, 7, 3, -(2**63), 11]
+    rows = [(rng.choice(ids), "  ".join(rng.choice(pool) if rng.random() < .6 else rng.choice("uvwxyz") * 2
+                                        for _ in range(rng.randrange(0, 8)))) for _ in range(60)] + [(7, pool[0]), (7, pool[0])]
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    ordered = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0))
+    got = [(r.doc_id, r.n_words, sum(s.end - s.start for s in r.spans), r.kept_text) for r in substring.remove_repeats(d).collect()]
+    assert sorted(got, key=repr) == sorted(brute_repeats(ordered, 20), key=repr)
+
+
 def test_repeats_odd_input(spark):
     got = substring.remove_repeats(odd_docs(spark)).collect()
     assert len(got) == 10
