@@ -1,4 +1,4 @@
-"""Repeated passages by relative Lempel-Ziv parsing.
+"""Repeated passages by window hashing, in place of a relative Lempel-Ziv parse.
 
 The reference is the corpus itself in ascending document order, and it is
 indexed in two block sizes, so that what is sent around stays small:
@@ -6,16 +6,16 @@ indexed in two block sizes, so that what is sent around stays small:
 * *content blocks*: a text is cut where a hash of its words says so (about
   every ``BLOCK`` words), and each block is extended by the ``window - 1`` words
   after it.  If an extended block occurs in an earlier document, every window
-  that starts in the block does too: the parse copies it as one factor.
+  that starts in the block does too.
 * *windows* of ``window`` words, only for blocks that are new in their document
   and only where the window's smallest ``GRAM``-word hash (its minimizer) occurs
   in more than one document: two equal windows have equal minimizers, so no
   other window can have an earlier occurrence.
 
-Each document is then parsed greedily against this index: at each position the
-longest run of consecutive windows that occur earlier is one factor (a single
-window is ``window`` words); factors that touch or overlap at their boundaries
-become one duplicate span.  A look-up never joins occurrences with each other:
+Each window of a document is flagged by look-ups in this index, and the union of
+the flagged windows' words is removed.  No factor (reference document, position,
+length) is made: windows that touch may come from several documents, and words
+are not compared after equal hashes.  A look-up never joins occurrences with each other:
 the index is a minimum of the document id per hash, so a passage in a third of
 all documents costs one row per document before map-side combining.
 
@@ -172,7 +172,7 @@ def _window_entries(listed: DataFrame, window: int) -> DataFrame:
 
 
 def _factors(listed: DataFrame, window: int) -> DataFrame:
-    """Parse each text: ``doc_id, n_words, spans, kept_text``."""
+    """Cover each text: ``doc_id, n_words, spans, kept_text``."""
     span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
     def run(batches):
@@ -182,8 +182,7 @@ def _factors(listed: DataFrame, window: int) -> DataFrame:
                 copied, ask = _open_windows(p, b.column(2).slice(x, y - x))
                 first = _member(p.text, p.hash, b.column(3).slice(x, y - x))
                 dup = copied | (ask & ~first) | ~p.new_in_text()
-                # greedy factors: runs of windows that occur earlier, each
-                # reaching window - 1 words past its last start
+                # windows that occur earlier, each reaching window words
                 cover = np.zeros(p.n + 1, np.int64)
                 np.add.at(cover, p.at[dup], 1)
                 np.add.at(cover, p.at[dup] + window, -1)
