@@ -227,7 +227,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
              .where((F.expr("h & 1") == 0) | (F.col("doc") == F.col("last"))))
     known = index.groupBy("doc").agg(F.collect_list("h").alias("known"))
     listed = d.join(known, "doc", "left")
-    ask = _window_entries(listed.select("doc", "text", "known"), window)
+    ask = _window_entries(listed.select("doc", "text", "known", "doc_id"), window)  # columns as below: one exchange
     firsts = (ask.groupBy("h").agg(F.min("doc").alias("doc"))
               .groupBy("doc").agg(F.collect_list("h").alias("firsts")))
     # both passes over the texts read the same exchange
