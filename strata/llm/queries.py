@@ -3,8 +3,9 @@ those that SQL can express.
 
 Queries derive the digest columns of their contracts from the operators'
 outputs.  Not expressible in DuckDB SQL: op1 (greedy assignment of slots), op3
-(expectation-maximisation), op4 (tokenizer and coder), op7 (XXH64, components)
-and op8 (message passing); tests hold them against brute force.
+(expectation-maximisation), op4 (tokenizer and coder), op7 (XXH64, components),
+op8 (message passing) and op11 (least-cost edits); tests hold them against brute
+force.
 """
 
 from __future__ import annotations
@@ -14,7 +15,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import decontaminate, mixing, pii, quality, sharding, simhash, substring, token_files, url_rules, warc
+from strata.llm import (
+    conversation_repair, decontaminate, hard_negatives, line_dedup, mixing, pii, quality, sharding, simhash, substring,
+    token_files, url_rules, warc,
+)
 from strata.llm.common import ship, table
 
 
@@ -82,6 +86,19 @@ def op10_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.select("doc_id", "n_words", n_removed.alias("n_removed"), F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repaired_conversations(table(spark, sf_dir, "conversations"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mine_embeddings(table(spark, sf_dir, "embeddings")).drop("anchor")
+
+
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup.drop_repeated_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -89,7 +106,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = [op1_sharding, op2_decontamination, op3_quality_rules, op4_token_files, op5_warc_revisits, op6_url_rules,
-           op7_simhash, op8_pii, op9_mixing, op10_substring, pipeline]
+           op7_simhash, op8_pii, op9_mixing, op10_substring, op11_conversation_repair, op12_hard_negatives,
+           op13_line_dedup, pipeline]
 
 _OP2_SQL = r"""
 WITH d AS (
@@ -225,8 +243,41 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) A
 FROM d LEFT JOIN kept USING (doc_id)
 """
 
+_OP12_SQL = r"""
+WITH e AS (
+  SELECT row_number() OVER () AS rid, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.rid AS a, a.vec_id AS anchor_id, r.vec_id, r.rid, r.label = a.label AS same,
+    CAST(list_dot_product(a.v, r.v) AS BIGINT) AS score
+  FROM e a JOIN e r ON a.rid <> r.rid AND len(a.v) = len(r.v) WHERE a.vec_id % 50 = 0),
+p AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY a ORDER BY score DESC, vec_id NULLS LAST, rid) AS k
+  FROM s WHERE same) WHERE k <= 5),
+n AS (
+  SELECT p.anchor_id, p.vec_id AS positive_id, p.score AS positive_score, s.vec_id AS negative_id, s.score AS negative_score,
+    row_number() OVER (PARTITION BY p.a, p.rid ORDER BY s.score DESC, s.vec_id NULLS LAST, s.rid) AS place
+  FROM p JOIN s ON p.a = s.a AND NOT s.same AND 50 * p.score <= 100 * s.score AND 100 * s.score <= 95 * p.score)
+SELECT anchor_id, positive_id, CAST(place AS INTEGER) AS rank, negative_id, positive_score, negative_score
+FROM n WHERE place <= 3
+"""
+
+_OP13_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
+x AS (SELECT rid, doc_id, unnest(l) AS line, unnest(range(1, len(l) + 1)) AS p FROM d),
+k AS (SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+  'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM x),
+h AS (SELECT key, max(doc_id) AS top FROM k WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT rid) >= 3),
+s AS (SELECT k.*, h.key IS NOT NULL AND k.doc_id IS DISTINCT FROM h.top AS gone FROM k LEFT JOIN h ON k.key = h.key)
+SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY p) FILTER (NOT gone), '')) AS kept_sha256
+FROM s GROUP BY rid
+"""
+
 SQL = {"op2_decontamination": _OP2_SQL, "op5_warc_revisits": _OP5_SQL, "op6_url_rules": _OP6_SQL,
-       "op9_mixing": _OP9_SQL, "op10_substring": _OP10_SQL}
+       "op9_mixing": _OP9_SQL, "op10_substring": _OP10_SQL,
+       "op12_hard_negatives": _OP12_SQL, "op13_line_dedup": _OP13_SQL}
 
 
 def _shipped(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:

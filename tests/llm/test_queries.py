@@ -13,7 +13,7 @@ from tests.llm.test_operators import brute_fp, brute_hits, plain_ids
 @pytest.mark.parametrize("name", sorted(llm.oracle_sql()))
 def test_query_matches_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages", "benchmark"):
+    for t in ("documents", "pages", "benchmark", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF001}/{t}.parquet')")
     df = llm.queries()[name](spark, SF001)
     res = con.execute(llm.oracle_sql()[name])
@@ -24,7 +24,7 @@ def test_query_matches_sql(spark, name):
 
 
 def test_every_operator_has_a_query():
-    assert [n.split("_")[0] for n in llm.queries()] == [f"op{i}" for i in range(1, 11)] + ["pipeline"]
+    assert [n.split("_")[0] for n in llm.queries()] == [f"op{i}" for i in range(1, 14)] + ["pipeline"]
 
 
 def test_pipeline_stages_take_effect(spark):
