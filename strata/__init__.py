@@ -9,6 +9,8 @@ Main entry points::
     read_input / write_profiles / read_profiles / write_run / read_merged
     count_per_period / distinct_periods / group_into_batches
     custom_profile / merge_custom        user metrics merged by sum/min/max
+    UserAggregate / user_profile / merge_user / rollup_user / finish_user
+    History / compact / read_history     runs folded into one store per period
     profile_stream / profile_stream_windowed / stream_group_into_batches
 """
 
@@ -20,8 +22,11 @@ from strata.operators import (
 from strata.operators.batches import group_into_batches
 from strata.operators.counts import count_per_period, distinct_periods
 from strata.operators.custom import custom_profile, merge_custom
+from strata.operators.user_aggregates import (
+    Field, UserAggregate, finish_user, finish_user_long, merge_user, rollup_user, user_profile,
+)
 from strata.plans.jobs import profile_job
-from strata.sinks import read_merged, read_profiles, write_profiles, write_run
+from strata.sinks import History, compact, read_history, read_merged, read_profiles, write_profiles, write_run
 from strata.sources import read_input
 from strata.streaming import profile_stream, profile_stream_windowed, stream_group_into_batches
 
@@ -31,6 +36,7 @@ __all__ = [
     "rollup", "group_into_batches", "count_per_period", "distinct_periods", "profile_job",
     "read_merged", "read_profiles", "write_profiles", "write_run", "read_input",
     "profile_stream", "profile_stream_windowed", "stream_group_into_batches",
-    "custom_profile", "merge_custom",
+    "custom_profile", "merge_custom", "Field", "UserAggregate", "user_profile", "merge_user", "rollup_user",
+    "finish_user", "finish_user_long", "History", "compact", "read_history",
 ]
 __version__ = "0.1.0"

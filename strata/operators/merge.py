@@ -4,12 +4,10 @@ A profile store is a DataFrame of rows ``(keys..., column, metrics...)``.
 Merging is a ``groupBy`` of the keys plus ``column``:
 
 * counts add up, extrema take ``min``/``max``;
-* moments ``(n, mean, m2)`` merge with the parallel-variance rule
-  ``m2 = sum(m2_i + n_i * (mean_i - mean)^2)`` around the merged mean
-  (Chan, Golub, LeVeque 1979), which does not cancel when the mean is large
-  against the spread; the three numbers of each partial row are gathered by
-  the same aggregate and folded in a fixed order afterwards, so every metric
-  combines on the map side and no row with its sketches moves by itself;
+* moments ``(n, mean, m2)`` merge by exact whole-number sums of a fixed size
+  (``strata.functions.moments``), one set per order of magnitude of the means:
+  no rounding, no cancellation, no list of partial rows, and every metric
+  combines on the map side;
 * sketches merge with ``hll_union_agg``, ``kll_merge_agg_*`` and
   ``approx_top_k_combine``.
 
@@ -27,6 +25,8 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions.metrics import METRIC_COLUMNS, SketchConfig, cols
+from strata.functions.moments import limb_sums, with_bucket_moments, with_folded_moments, with_limbs
+from strata.functions.names import free_prefix
 from strata.functions.periods import FREQ_KEY, as_wall_clock, parse_frequency, period_label
 
 
@@ -60,47 +60,33 @@ def merge_profiles(store: DataFrame, keys: Sequence[str] | None = None,
     fail the job, unless ``sketches`` names the width of the result."""
     cfg = sketches or SketchConfig()
     keys = list(keys) if keys is not None else key_columns(store)
+    own = free_prefix([*store.columns, *keys], "__")
     gk = [*keys, "column", "type_class", "kll_kind"]
-    n, mean = F.col("mom_n"), F.col("mom_mean")
     cap = cfg.topk_capacity if cfg.topk_capacity > 0 else 128
     width = f", {cap}" if sketches is not None else ""
     # approx_top_k_combine learns the item type from its first input; a group
     # without any state (columns that keep no top-k) would leave it untyped,
     # so those rows contribute a typed empty state instead of NULL.
-    topk_in = F.coalesce(F.col("topk"), empty_topk_state(store.sparkSession, cap))
-    s = store.withColumn("__topk", topk_in)
-    merged = s.groupBy(*cols(gk)).agg(
-        F.sum("n").alias("n"),
-        F.sum("nonnull").alias("nonnull"),
-        F.sum("null").alias("null"),
-        F.sum("nan").alias("nan"),
-        F.sum("inf").alias("inf"),
-        F.min("min_i").alias("min_i"),
-        F.max("max_i").alias("max_i"),
-        F.min("min_d").alias("min_d"),
-        F.max("max_d").alias("max_d"),
-        F.min("min_s").alias("min_s"),
-        F.max("max_s").alias("max_s"),
-        F.sum(n).alias("mom_n"),
-        F.array_sort(F.collect_list(F.when(n > 0, F.struct(n, mean, F.col("mom_m2"))))).alias("__parts"),
-        F.expr("hll_union_agg(hll, true)").alias("hll"),
-        F.expr("CASE kll_kind "
-               "WHEN 'bigint' THEN kll_merge_agg_bigint(kll) FILTER (WHERE kll_kind = 'bigint' AND kll IS NOT NULL) "
-               "WHEN 'double' THEN kll_merge_agg_double(kll) FILTER (WHERE kll_kind = 'double' AND kll IS NOT NULL) "
-               "END").alias("kll"),
-        F.expr(f"CASE WHEN count(topk) > 0 THEN approx_top_k_combine(__topk{width}) END").alias("topk"),
-    )
-    zero = F.lit(0.0)
-    total = F.aggregate("__parts", zero, lambda a, p: a + p["mom_n"] * p["mom_mean"])
-    merged = merged.withColumn("mom_mean", F.when(F.col("mom_n") > 0, total / F.col("mom_n")))
-    merged = merged.withColumn("mom_m2", F.when(F.size("__parts") > 0, F.aggregate(
-        "__parts", zero, lambda a, p: a + p["mom_m2"] + p["mom_n"] * F.pow(p["mom_mean"] - F.col("mom_mean"), 2))))
-    # m2 is a sum of squares: NaN can only come from overflowed partial means
-    # (inf - inf), i.e. the variance overflowed -- report it as +inf, as a
-    # direct pass does.
-    m2 = F.col("mom_m2")
-    merged = merged.withColumn("mom_m2", F.when(F.isnan(m2), F.lit(float("inf"))).otherwise(m2))
-    return merged.select(*cols(keys), *METRIC_COLUMNS)
+    empty = empty_topk_state(store.sparkSession, cap)
+    combined = [F.expr(e) for e in (
+        *(f"sum(`{c}`) AS `{c}`" for c in ("n", "nonnull", "null", "nan", "inf", "mom_n")),
+        *(f"min({c}) AS {c}" for c in ("min_i", "min_d", "min_s")),
+        *(f"max({c}) AS {c}" for c in ("max_i", "max_d", "max_s")),
+        "hll_union_agg(hll, true) AS hll",
+        "CASE kll_kind "
+        "WHEN 'bigint' THEN kll_merge_agg_bigint(kll) FILTER (WHERE kll_kind = 'bigint' AND kll IS NOT NULL) "
+        "WHEN 'double' THEN kll_merge_agg_double(kll) FILTER (WHERE kll_kind = 'double' AND kll IS NOT NULL) "
+        "END AS kll",
+        f"CASE WHEN count(topk) > 0 THEN approx_top_k_combine({own}topk{width}) END AS topk")]
+    stated = lambda df: df.withColumn(f"{own}topk", F.coalesce(F.col("topk"), empty))
+    # Every metric, the exact moment sums of a bucket included, combines on the map side.
+    parts = stated(with_limbs(store, own)).groupBy(*cols(gk), f"{own}bucket").agg(*combined, *limb_sums(own))
+    # Nearly always one bucket per group by now, a fixed number at most.
+    parts = stated(with_bucket_moments(parts, own))
+    merged = parts.groupBy(*cols(gk)).agg(*combined, F.expr(f"array_sort(collect_list({own}part)) AS {own}parts"))
+    own_name = {"mom_mean": f"{own}mean", "mom_m2": f"{own}m2"}
+    return with_folded_moments(merged, own).select(
+        *cols(keys), *[F.col(own_name[m]).alias(m) if m in own_name else F.col(m) for m in METRIC_COLUMNS])
 
 
 def union_stores(stores: Sequence[DataFrame]) -> DataFrame:

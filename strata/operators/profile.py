@@ -35,6 +35,7 @@ from pyspark.sql import types as T
 from strata.functions.metrics import (
     METRIC_COLUMNS, SketchConfig, cols, column_aggregates, quote, unpivot_struct,
 )
+from strata.functions.names import free_name, free_prefix
 from strata.functions.periods import EPOCH_NTZ, FREQ_KEY, as_wall_clock, period_label
 from strata.operators.merge import merge_profiles
 
@@ -58,8 +59,11 @@ def with_period(df: DataFrame, date_column: str, freq: str = "D", *, unit: str |
     ``'drop'`` (default; the filter reaches the scan), ``'keep'`` (a NULL
     period), ``'epoch'`` (period of 1970-01-01) or ``'error'`` (fail the job).
     Text dates that do not parse fail the job (``date_errors='raise'``) or
-    count as missing (``'coerce'``).
+    count as missing (``'coerce'``).  An input that has a column ``out`` is
+    refused: name another one.
     """
+    if out.lower() in {c.lower() for c in df.columns}:
+        raise ValueError(f"the input has a column {out!r}; name another one as out=")
     if null_dates not in ("drop", "keep", "epoch", "error"):
         raise ValueError("null_dates must be 'drop', 'keep', 'epoch' or 'error'")
     dtype = df.schema[date_column].dataType
@@ -137,6 +141,8 @@ def profile(df: DataFrame, date_column: str | None = None, freq: str = "D", *,
 
     Returns the long profile store: key columns (``dataset_ts`` and/or the
     ``by`` columns), then ``METRIC_COLUMNS``; one row per key and column.
+    Input columns may have any name, ``dataset_ts`` included: the period lives
+    under a name of its own until the store is made.
     The date column itself is profiled too unless ``columns`` says otherwise.
     ``fanout`` overrides the salt width of the aggregation tree (see module doc).
 
@@ -175,6 +181,8 @@ def profile(df: DataFrame, date_column: str | None = None, freq: str = "D", *,
         return reduce(lambda a, b: a.unionByName(b), stores)
 
     keys: list[str] = []
+    label = free_name(df.columns, "__period")
+    salt = free_name([*df.columns, label], "__salt")
     if date_column is not None and null_dates == "drop":
         df = df.where(F.col(quote(date_column)).isNotNull())  # below any exchange: reaches the scan
     # (with row_shuffle the exchange on (period, salt) already spreads the rows)
@@ -186,8 +194,8 @@ def profile(df: DataFrame, date_column: str | None = None, freq: str = "D", *,
         fanout = tree_fanout(width)
     if date_column is not None:
         src = with_period(src, date_column, freq, unit=unit, null_dates=null_dates, anchor=anchor,
-                          date_errors=date_errors)
-        keys.append(PERIOD_COLUMN)
+                          date_errors=date_errors, out=label)
+        keys.append(label)
     keys += by_cols
     group = list(keys)
     if row_shuffle:
@@ -197,27 +205,30 @@ def profile(df: DataFrame, date_column: str | None = None, freq: str = "D", *,
         # profiled columns once and the aggregate needs no second exchange.
         fanout = max(fanout, 2)
         src = (src.select(*cols(dict.fromkeys(keys + names)))
-               .withColumn("__salt", F.pmod(F.monotonically_increasing_id(), F.lit(fanout))))
-        group.append("__salt")
+               .withColumn(salt, F.pmod(F.monotonically_increasing_id(), F.lit(fanout))))
+        group.append(salt)
         src = src.repartition(*cols(group))
     elif fanout > 1:
-        src = src.withColumn("__salt", F.pmod(F.spark_partition_id(), F.lit(fanout)))
-        group.append("__salt")
+        src = src.withColumn(salt, F.pmod(F.spark_partition_id(), F.lit(fanout)))
+        group.append(salt)
 
-    aggs = [F.count(F.lit(1)).alias("__n")]
+    own = free_prefix(group, "__")  # the aggregates stand beside the keys
+    aggs = [F.count(F.lit(1)).alias(f"{own}n")]
     for i, name in enumerate(names):
-        aggs += column_aggregates(name, schema[name], f"__c{i}_", cfg)
+        aggs += column_aggregates(name, schema[name], f"{own}c{i}_", cfg)
     wide = src.groupBy(*cols(group)).agg(*aggs)
     if not keys and fanout > 1:
         # A global profile of an empty input still lists every column (n = 0):
         # add the aggregate's identity row; Catalyst folds it to a local row.
         # (Without a salt, the global aggregate yields that row by itself.)
-        empty = src.where(F.lit(False)).groupBy().agg(*aggs).withColumn("__salt", F.lit(-1))
+        empty = src.where(F.lit(False)).groupBy().agg(*aggs).withColumn(salt, F.lit(-1))
         wide = wide.unionByName(empty)
     available = set(wide.columns)
-    structs = [unpivot_struct(name, schema[name], f"__c{i}_", "__n", available, cfg)
+    structs = [unpivot_struct(name, schema[name], f"{own}c{i}_", f"{own}n", available, cfg)
                for i, name in enumerate(names)]
-    long = wide.select(*cols(keys), F.inline(F.array(*structs)))
+    named = [F.col(quote(k)).alias(PERIOD_COLUMN) if k == label else F.col(quote(k)) for k in keys]
+    keys = [PERIOD_COLUMN if k == label else k for k in keys]
+    long = wide.select(*named, F.inline(F.array(*structs)))
     if fanout == 1:
         # one level: (keys, column) is already unique
         return long.select(*cols(keys), *METRIC_COLUMNS)

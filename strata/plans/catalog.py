@@ -33,17 +33,19 @@ from strata.functions.metrics import SketchConfig
 from strata.functions.periods import (
     day_start_epoch, epoch_seconds, from_epoch, parse_frequency, parse_timestamp, period_label,
 )
-from strata.operators.batches import batch_sizes, group_into_batches
+from strata.operators.batches import batch_columns, batch_sizes, group_into_batches
 from strata.operators.custom import custom_profile
 from strata.operators.counts import (
     count_per_epoch_day, count_per_period, count_per_period_batched, distinct_periods,
 )
-from strata.operators.merge import lookup, merge_stores, rollup
+from strata.operators.merge import lookup, merge_profiles, merge_stores, rollup
 from strata.operators.profile import PERIOD_COLUMN, profile, with_period
 from strata.operators.views import exact_metrics, frequent_items, profile_size
 from strata.plans.accuracy import global_sketch_accuracy, merged_sketch_accuracy, merged_topk_accuracy
+from strata.operators.user_aggregates import Field, UserAggregate, finish_user, rollup_user, user_profile
 from strata.plans.oracle import TABLE_COLUMNS, count_sql, label_sql, profile_sql, q
 from strata.session import checkpoint_root
+from strata.sinks.history import History
 from strata.sinks.writers import (
     read_merged, read_profiles, read_text_profiles, write_profiles, write_run, write_text,
 )
@@ -602,6 +604,165 @@ def profile_row_shuffle(spark, d):
     return exact_metrics(profile(read_table(spark, d, "lineitem"), "l_shipdate", "Q", row_shuffle=True), _fmt("Q"))
 
 
+# --------------------------------------------------------------------------
+# Compacted histories
+# --------------------------------------------------------------------------
+
+class _Died(Exception):
+    """Stands for a compaction that ends before its version is written."""
+
+
+def _die() -> None:
+    raise _Died
+
+
+def _history_versions(spark, d, out: str) -> None:
+    """Four runs of ``orders``; a compaction after two of them, one that dies after
+    the third, one after the fourth, and a vacuum."""
+    orders, h = read_table(spark, d, "orders"), History(spark, out)
+    run = lambda k: write_run(profile(orders.where(F.pmod("o_orderkey", F.lit(4)) == k), "o_orderdate", "M"),
+                              out, f"run-{k}")
+    run(0)
+    run(1)
+    h.compact()
+    run(2)
+    try:
+        h.compact(before_commit=_die)
+    except _Died:
+        pass
+    run(3)
+
+
+@register("history_compaction",
+          profile_sql("orders", [(PERIOD_COLUMN, label_sql("M", "o_orderdate"))],
+                      where="o_orderdate IS NOT NULL AND o_orderkey IS NOT NULL"))
+def history_compaction(spark, d):
+    """A history of four runs, compacted twice, once in vain, and vacuumed."""
+    out = f"{checkpoint_root(spark)}/strata-history-{uuid.uuid4().hex}"
+    _history_versions(spark, d, out)
+    h = History(spark, out)
+    h.compact()
+    h.vacuum()
+    return exact_metrics(h.read(), _fmt("M"))
+
+
+@register("history_interrupted",
+          profile_sql("orders", [(PERIOD_COLUMN, label_sql("M", "o_orderdate"))],
+                      where="o_orderdate IS NOT NULL AND o_orderkey IS NOT NULL"))
+def history_interrupted(spark, d):
+    """The same history read after the compaction that died: bases and runs since."""
+    out = f"{checkpoint_root(spark)}/strata-history-{uuid.uuid4().hex}"
+    _history_versions(spark, d, out)
+    return exact_metrics(History(spark, out).read(), _fmt("M"))
+
+
+# --------------------------------------------------------------------------
+# Moments of many partial rows, user aggregates, clashing names
+# --------------------------------------------------------------------------
+
+_SHIFTED = "(SELECT l_orderkey, l_extendedprice + 1000000 AS price, l_quantity FROM lineitem) t"
+
+
+@register("moments_many_partials",
+          profile_sql("lineitem", source=_SHIFTED, columns=[("price", "fractional"), ("l_quantity", "fractional")]))
+def moments_many_partials(spark, d):
+    """One partial row per order and column, all merged into one key; the values
+    stand far from zero, so that careless sums of squares would cancel."""
+    li = read_table(spark, d, "lineitem").select("l_orderkey", (F.col("l_extendedprice") + 1000000).alias("price"), "l_quantity")
+    # frequent items have other queries; their states would be most of this one's bytes
+    store = profile(li, by="l_orderkey", columns=["price", "l_quantity"], sketches=SketchConfig(topk_capacity=0))
+    return exact_metrics(merge_profiles(store, keys=[]))
+
+
+_WEIGHTED = UserAggregate(state={"w": Field("sum", lambda c: F.when(c.isNotNull(), F.col("l_quantity"))),
+                                 "wx": Field("sum", lambda c: c * F.col("l_quantity"))},
+                          finish=lambda s: F.round(s["wx"] / s["w"], 6))
+
+
+@register("user_weighted_mean", f"SELECT {label_sql('M', 'l_shipdate')} AS dataset_ts, " + ", ".join(
+    f"round(sum({c} * l_quantity) / sum(CASE WHEN {c} IS NOT NULL THEN l_quantity END), 6) AS \"{c}:wmean\""
+    for c in ("l_extendedprice", "l_discount")) + " FROM lineitem WHERE l_shipdate IS NOT NULL GROUP BY 1")
+def user_weighted_mean(spark, d):
+    """A state of two sums with a finishing step, kept per day in files and folded to months."""
+    aggs = {"wmean": _WEIGHTED}
+    out = f"{checkpoint_root(spark)}/strata-user-{uuid.uuid4().hex}"
+    user_profile(read_table(spark, d, "lineitem"), aggs, "l_shipdate", "D",
+                 columns=["l_extendedprice", "l_discount"]).write.parquet(out)
+    return _label_text(finish_user(rollup_user(spark.read.parquet(out), "M"), aggs), "M")
+
+
+@register("user_argmax", f"""
+WITH o AS (SELECT *, {label_sql('Q', 'o_orderdate')} AS dataset_ts, o_orderkey + 9007199254740992 AS big FROM orders WHERE o_orderdate IS NOT NULL),
+p AS (SELECT *, row_number() OVER (PARTITION BY dataset_ts ORDER BY o_totalprice DESC, o_orderkey) AS k FROM o WHERE o_totalprice IS NOT NULL),
+s AS (SELECT dataset_ts, max(big) AS "big:largest", CAST(sum(CAST(big AS HUGEINT)) % 1000000007 AS BIGINT) AS "big:checksum" FROM o GROUP BY 1)
+SELECT s.dataset_ts, p.o_orderkey AS "o_totalprice:key", p.o_orderpriority AS "o_totalprice:priority", "big:largest", "big:checksum"
+FROM s LEFT JOIN p ON s.dataset_ts = p.dataset_ts AND p.k = 1""")
+def user_argmax(spark, d):
+    """The key and the priority of each quarter's dearest order (ties: smallest key),
+    and exact maxima and sums of integers beyond 2**53."""
+    best = {"best": Field("max", lambda c: F.when(c.isNotNull(), F.struct(
+        c.alias("price"), (-F.col("o_orderkey")).alias("k"), F.col("o_orderpriority").alias("priority"))))}
+    price = {"key": UserAggregate(best, finish=lambda s: -s["best"]["k"]),
+             "priority": UserAggregate(best, finish=lambda s: s["best"]["priority"])}
+    whole = {"largest": UserAggregate({"m": Field("max", lambda c: c)}),
+             "checksum": UserAggregate({"s": Field("sum", lambda c: c.cast("decimal(20,0)"))},
+                                       finish=lambda s: (s["s"] % 1000000007).cast("bigint"))}
+    orders = read_table(spark, d, "orders").withColumn("big", F.col("o_orderkey") + 9007199254740992)
+    a = finish_user(user_profile(orders, price, "o_orderdate", "Q", columns=["o_totalprice"]), price)
+    b = finish_user(user_profile(orders, whole, "o_orderdate", "Q", columns=["big"]), whole)
+    return _label_text(a.join(b, PERIOD_COLUMN), "Q")
+
+
+# Columns whose names the operators use themselves.
+_CLASH_COLUMNS = [("dataset_ts", "datetime"), ("__salt", "integral"), ("batch_id", "integral"), ("period", "string"),
+                  ("__n", "integral"), ("__period", "integral"), ("__part", "string")]
+_CLASH_SQL = ("(SELECT l_shipdate, l_shipdate - INTERVAL 9000 DAY AS dataset_ts, CAST(5 AS BIGINT) AS __salt, "
+              "l_orderkey AS batch_id, l_returnflag AS period, l_partkey AS __n, l_suppkey AS __period, l_linestatus AS __part "
+              "FROM lineitem) t")
+
+
+def _clashing(spark, d) -> DataFrame:
+    li = read_table(spark, d, "lineitem")
+    return li.select("l_shipdate", (F.col("l_shipdate") - F.expr("INTERVAL '9000' DAY")).alias("dataset_ts"),
+                     F.lit(5).cast("bigint").alias("__salt"), F.col("l_orderkey").alias("batch_id"),
+                     F.col("l_returnflag").alias("period"), F.col("l_partkey").alias("__n"),
+                     F.col("l_suppkey").alias("__period"), F.col("l_linestatus").alias("__part"))
+
+
+def _clash_query(**how) -> QueryFn:
+    def run(spark, d):
+        store = profile(_clashing(spark, d), "l_shipdate", "Q", columns=[c for c, _ in _CLASH_COLUMNS], **how)
+        return exact_metrics(store, _fmt("Q"))
+    return run
+
+
+for _name, _how in (("plain", {}), ("salted", {"fanout": 3}), ("row_shuffle", {"row_shuffle": True})):
+    register(f"profile_clashing_names_{_name}",
+             profile_sql("lineitem", [(PERIOD_COLUMN, label_sql("Q", "l_shipdate"))], source=_CLASH_SQL,
+                         columns=_CLASH_COLUMNS, where="l_shipdate IS NOT NULL"))(_clash_query(**_how))
+
+
+@register("profile_clashing_keys_round_trip",
+          profile_sql("lineitem", [(PERIOD_COLUMN, label_sql("Q", "l_shipdate")), ("period", q("period"))],
+                      source=_CLASH_SQL, columns=[("__n", "integral")], where="l_shipdate IS NOT NULL"))
+def profile_clashing_keys_round_trip(spark, d):
+    """A key column named as the store's directories are, through files."""
+    out = f"{checkpoint_root(spark)}/strata-keys-{uuid.uuid4().hex}"
+    write_profiles(profile(_clashing(spark, d), "l_shipdate", "M", by="period", columns=["__n"]), out)
+    return exact_metrics(rollup(read_profiles(spark, out), "Q"), _fmt("Q"))
+
+
+@register("batches_clashing_names",
+          "SELECT l_returnflag AS period, count(*) AS n, true AS sizes_ok, sum(l_orderkey)::BIGINT AS keys, "
+          "count(DISTINCT l_linestatus) AS parts FROM lineitem GROUP BY 1")
+def batches_clashing_names(spark, d):
+    df = _clashing(spark, d)
+    name, _ = batch_columns(df)
+    batched = group_into_batches(df, "period", BATCH_SIZE)
+    kept = batched.groupBy("period").agg(F.sum("batch_id").alias("keys"), F.count_distinct("__part").alias("parts"))
+    return batch_sizes(batched, "period", BATCH_SIZE, name).select("period", "n", "sizes_ok").join(kept, "period")
+
+
 def queries() -> dict[str, QueryFn]:
     return dict(QUERIES)
 

@@ -17,8 +17,14 @@ from urllib.parse import quote
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
+from strata.functions.metrics import METRIC_COLUMNS, STORE_TYPES
+from strata.functions.names import free_name
+from strata.operators.merge import merge_profiles
 from strata.operators.profile import PERIOD_COLUMN
+from strata.sinks import manifest
 
+#: Directories of a store are named after this column; a store that has a key
+#: column of that name gets directories with underscores added.
 PARTITION_COLUMN = "period"
 
 
@@ -44,17 +50,29 @@ def write_profiles(store: DataFrame, path: str, mode: str = "overwrite",
     if PERIOD_COLUMN not in store.columns or layout == "flat":
         store.write.mode(mode).parquet(path)
         return
-    part = F.date_format(PERIOD_COLUMN, _LAYOUTS[layout])
-    staged = store.withColumn(PARTITION_COLUMN, part)
-    staged = (staged.repartition(PARTITION_COLUMN) if layout == "period"
-              else staged.hint("rebalance", PARTITION_COLUMN))
-    (staged.sortWithinPartitions(PARTITION_COLUMN, PERIOD_COLUMN, "column")
-     .write.mode(mode).partitionBy(PARTITION_COLUMN).parquet(path))
+    staged, part = by_directory(store, layout)
+    staged = staged.repartition(part) if layout == "period" else staged.hint("rebalance", part)
+    (staged.sortWithinPartitions(part, PERIOD_COLUMN, "column")
+     .write.mode(mode).partitionBy(part).parquet(path))
+
+
+def by_directory(store: DataFrame, layout: str = "month") -> tuple[DataFrame, str]:
+    """``store`` with the column its directories are named after, and its name."""
+    part = free_name(store.columns, PARTITION_COLUMN)
+    return store.withColumn(part, F.date_format(PERIOD_COLUMN, _LAYOUTS[layout])), part
+
+
+def directory_columns(df: DataFrame) -> list[str]:
+    """Columns of a store that Spark read from directory names: they follow the
+    store's own columns, whose last one is the last metric."""
+    last = METRIC_COLUMNS[-1]
+    return df.columns[df.columns.index(last) + 1:] if last in df.columns else [
+        c for c in df.columns if c == PARTITION_COLUMN]
 
 
 def read_profiles(spark: SparkSession, path: str) -> DataFrame:
     df = spark.read.parquet(path)
-    return df.drop(PARTITION_COLUMN) if PARTITION_COLUMN in df.columns else df
+    return df.drop(*directory_columns(df))
 
 
 RUN_COLUMN = "run"
@@ -75,11 +93,15 @@ def write_run(store: DataFrame, path: str, run_id: str, layout: str = "month") -
     """
     if layout not in _LAYOUTS or PERIOD_COLUMN not in store.columns:
         raise ValueError("write_run needs a periodic store and layout 'month' or 'period'")
-    (store.withColumn(PARTITION_COLUMN, F.date_format(PERIOD_COLUMN, _LAYOUTS[layout]))
-     .hint("rebalance", PARTITION_COLUMN)
-     .sortWithinPartitions(PARTITION_COLUMN, PERIOD_COLUMN, "column")
+    if RUN_COLUMN in store.columns:
+        raise ValueError(f"rename the key column {RUN_COLUMN!r}: the store's directories are named after runs")
+    spark = store.sparkSession
+    if run_path("", run_id).lstrip("/") in manifest.load(spark, path.rstrip("/")).folded:
+        raise ValueError(f"run {run_id!r} is folded into a base of {path} and cannot be replaced; revert that version first")
+    staged, part = by_directory(store, layout)
+    (staged.hint("rebalance", part).sortWithinPartitions(part, PERIOD_COLUMN, "column")
      .write.mode("overwrite").option("partitionOverwriteMode", "static")
-     .partitionBy(PARTITION_COLUMN).parquet(run_path(path, run_id)))
+     .partitionBy(part).parquet(run_path(path, run_id)))
 
 
 def read_merged(spark: SparkSession, path: str, start: str | None = None,
@@ -87,15 +109,24 @@ def read_merged(spark: SparkSession, path: str, start: str | None = None,
     """All runs of an append-only store merged per period and column.
 
     ``start``/``end`` (``'yyyy-MM'`` with the month layout) prune partition
-    directories before any file is opened."""
-    from strata.operators.merge import merge_profiles
+    directories before any file is opened.  A compacted history (see
+    ``strata.sinks.history``) is read from its bases and the runs since."""
+    if manifest.versions(spark, path.rstrip("/")):
+        from strata.sinks.history import read_history  # it reads runs through this module
 
+        return read_history(spark, path, start, end)
     df = spark.read.parquet(path)
-    if start is not None:
-        df = df.where(F.col(PARTITION_COLUMN).cast("string") >= F.lit(start))
-    if end is not None:
-        df = df.where(F.col(PARTITION_COLUMN).cast("string") <= F.lit(end))
-    return merge_profiles(df.drop(PARTITION_COLUMN, RUN_COLUMN))
+    return merge_profiles(between(df, start, end).drop(*directory_columns(df)))
+
+
+def between(df: DataFrame, start: str | None, end: str | None) -> DataFrame:
+    """Rows of the directories from ``start`` to ``end``."""
+    part = next((c for c in directory_columns(df) if c.startswith(PARTITION_COLUMN)), None)
+    if part is not None and start is not None:
+        df = df.where(F.col(part).cast("string") >= F.lit(start))
+    if part is not None and end is not None:
+        df = df.where(F.col(part).cast("string") <= F.lit(end))
+    return df
 
 
 def write_text(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -108,8 +139,6 @@ def read_text_profiles(spark: SparkSession, path: str,
                        keys: dict[str, str] | None = None) -> DataFrame:
     """Read a store written by ``write_text``.  ``keys`` maps key columns to
     types (default: a periodic store, ``{"dataset_ts": "timestamp_ntz"}``)."""
-    from strata.functions.metrics import METRIC_COLUMNS, STORE_TYPES
-
     keys = {PERIOD_COLUMN: "timestamp_ntz"} if keys is None else keys
     ddl = ", ".join([f"`{k}` {t}" for k, t in keys.items()] +
                     [f"`{m}` {STORE_TYPES[m]}" for m in METRIC_COLUMNS])

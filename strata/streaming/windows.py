@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 from strata.functions.metrics import (
     METRIC_COLUMNS, SketchConfig, column_aggregates, quote, unpivot_struct,
 )
+from strata.functions.names import free_name
 from strata.functions.periods import as_wall_clock, epoch_micros, ltz_to_utc_ntz
 from strata.operators.profile import PERIOD_COLUMN
 
@@ -42,12 +43,13 @@ def profile_stream_windowed(stream: DataFrame, date_column: str, window: str = "
     wall = as_wall_clock(F.col(quote(date_column)), schema[date_column], unit)
     # Watermarks need an instant (TIMESTAMP): the UTC wall clock as epoch micros.
     event = F.timestamp_micros(epoch_micros(wall, T.TimestampNTZType()))
-    src = stream.withColumn("__event", event).where(F.col("__event").isNotNull())
+    at = free_name(stream.columns, "__event")
+    src = stream.withColumn(at, event).where(F.col(at).isNotNull())
     aggs = [F.count(F.lit(1)).alias("__n")]
     for i, name in enumerate(names):
         aggs += column_aggregates(name, schema[name], f"__c{i}_", cfg)
-    wide = (src.withWatermark("__event", watermark)
-            .groupBy(F.window("__event", window).alias("__w")).agg(*aggs))
+    wide = (src.withWatermark(at, watermark)
+            .groupBy(F.window(at, window).alias("__w")).agg(*aggs))
     available = set(wide.columns)
     structs = [unpivot_struct(name, schema[name], f"__c{i}_", "__n", available, cfg)
                for i, name in enumerate(names)]
