@@ -23,10 +23,11 @@ from __future__ import annotations
 
 import datetime as dt
 import os
+import time
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions.metrics import SketchConfig
@@ -50,7 +51,8 @@ from strata.sinks.writers import (
     read_merged, read_profiles, read_text_profiles, write_profiles, write_run, write_text,
 )
 from strata.sources.tables import read_input, read_table, register_tables, table_path
-from strata.streaming.panes import merge_panes, profile_stream
+from strata.streaming.batches import stream_group_into_batches
+from strata.streaming.panes import compact_panes, correct_panes, merge_panes, pane_history, profile_stream
 from strata.streaming.windows import profile_stream_windowed
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -763,6 +765,101 @@ def batches_clashing_names(spark, d):
     return batch_sizes(batched, "period", BATCH_SIZE, name).select("period", "n", "sizes_ok").join(kept, "period")
 
 
+# --------------------------------------------------------------------------
+# Streams: batches and panes by count or time, late rows, compacted panes
+# --------------------------------------------------------------------------
+
+def _event_files(spark, d, out: str, deal: Column, n: int) -> DataFrame:
+    """``events`` as a stream of ``n`` files in the order of ``deal``, one a trigger."""
+    ev = read_table(spark, d, "events")
+    for k in range(n):
+        ev.where(deal == k).coalesce(1).write.parquet(f"{out}/input/{k}")
+    return (spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1)
+            .option("recursiveFileLookup", "true").parquet(f"{out}/input"))
+
+
+def _run_until(query, done: Callable[[], bool], seconds: int = 300) -> None:
+    """A query with processing-time timers never ends by itself: stop it when ``done``."""
+    end = time.time() + seconds
+    try:
+        while query.isActive and not done() and time.time() < end:
+            time.sleep(0.5)
+        if query.exception() is not None:
+            raise query.exception()
+    finally:
+        query.stop()
+
+
+def _seen(spark, path: str, count: Callable[[DataFrame], int]) -> int:
+    return count(spark.read.parquet(path)) if History(spark, path, "pane").units() else 0
+
+
+@register("stream_batches",
+          "SELECT event_type, count(*) AS n, true AS sizes_ok, CAST(sum(event_id) AS BIGINT) AS keys, "
+          "round(sum(value), 2) AS total FROM events GROUP BY 1")
+def stream_batches(spark, d):
+    """Batches of at most 300 rows per type, full or after a second, from five files:
+    list state and timers."""
+    out = f"{checkpoint_root(spark)}/strata-batches-{uuid.uuid4().hex}"
+    stream = _event_files(spark, d, out, F.pmod("event_id", F.lit(5)), 5)
+    batches = stream_group_into_batches(stream, "event_type", 300, max_wait="1 second", shards=4)
+
+    def write(batch, batch_id):
+        batch.write.mode("overwrite").parquet(f"{out}/out/pane={batch_id}")
+
+    total = read_table(spark, d, "events").count()
+    q = (batches.writeStream.foreachBatch(write).option("checkpointLocation", f"{out}/_checkpoint")
+         .trigger(availableNow=True).start())
+    _run_until(q, lambda: _seen(spark, f"{out}/out", lambda df: df.count()) >= total)
+    got = spark.read.parquet(f"{out}/out").drop("pane")
+    sums = got.groupBy("event_type").agg(F.sum("event_id").alias("keys"), F.round(F.sum("value"), 2).alias("total"))
+    return batch_sizes(got, "event_type", 300).select("event_type", "n", "sizes_ok").join(sums, "event_type")
+
+
+@register("stream_count_or_time",
+          profile_sql("events", [(PERIOD_COLUMN, label_sql("D", "ts"))], where="ts IS NOT NULL"))
+def stream_count_or_time(spark, d):
+    """Panes that close after 100 rows of a day or after a second, merged."""
+    out = f"{checkpoint_root(spark)}/strata-panes-{uuid.uuid4().hex}"
+    stream = _event_files(spark, d, out, F.pmod("event_id", F.lit(3)), 3)
+    total = read_table(spark, d, "events").where("ts IS NOT NULL").count()
+    q = profile_stream(stream, out, "ts", "D", checkpoint=f"{out}/_checkpoint", pane_rows=100, pane_wait="1 second",
+                       shards=2, trigger={"availableNow": True})
+    rows = lambda df: df.where("column = 'event_id'").agg(F.sum("n")).first()[0] or 0
+    _run_until(q, lambda: _seen(spark, f"{out}/panes", rows) >= total)
+    return exact_metrics(merge_panes(spark, out), _fmt("D"))
+
+
+# Rows of file (7 * event_id) % 5 are late if they are 12 days older than all rows of the files before.
+_ON_TIME = ("(SELECT e.* FROM events e WHERE ts >= coalesce((SELECT max(o.ts) - INTERVAL 12 DAY FROM events o "
+            "WHERE (o.event_id * 7) % 5 < (e.event_id * 7) % 5), ts)) t")
+
+
+def _late_events(spark, d) -> str:
+    out = f"{checkpoint_root(spark)}/strata-late-{uuid.uuid4().hex}"
+    stream = _event_files(spark, d, out, F.pmod(F.col("event_id") * 7, F.lit(5)), 5)
+    profile_stream(stream, out, "ts", "D", checkpoint=f"{out}/_checkpoint", lateness="12 days", late="keep",
+                   trigger={"availableNow": True}).awaitTermination()
+    return out
+
+
+@register("stream_late_on_time", profile_sql("events", [(PERIOD_COLUMN, label_sql("D", "ts"))], source=_ON_TIME))
+def stream_late_on_time(spark, d):
+    """Shuffled files under a lateness: the panes hold what was on time."""
+    return exact_metrics(merge_panes(spark, _late_events(spark, d)), _fmt("D"))
+
+
+@register("stream_late_corrected",
+          profile_sql("events", [(PERIOD_COLUMN, label_sql("D", "ts"))], where="ts IS NOT NULL"))
+def stream_late_corrected(spark, d):
+    """The same stream with its corrections merged: all rows; the panes compacted before."""
+    out = _late_events(spark, d)
+    correct_panes(spark, out, "ts", "D")
+    compact_panes(spark, out)
+    pane_history(spark, out).vacuum()
+    return exact_metrics(merge_panes(spark, out, corrections=True), _fmt("D"))
+
+
 def queries() -> dict[str, QueryFn]:
     return dict(QUERIES)
 

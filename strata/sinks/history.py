@@ -97,6 +97,10 @@ class History:
     def read(self, start: str | None = None, end: str | None = None, version: int | None = None) -> DataFrame:
         """The history merged: one row per key, period and column.  ``start`` and
         ``end`` are months (``yyyy-MM``)."""
+        return merge_profiles(self.rows(start, end, version))
+
+    def rows(self, start: str | None = None, end: str | None = None, version: int | None = None) -> DataFrame:
+        """The rows that ``read`` merges: of the bases and of the units since."""
         if not all(b is None or re.fullmatch(r"\d{4}-\d{2}", b) for b in (start, end)):
             raise ValueError("start and end are months like '2024-05'")
         m = self.manifest(version)
@@ -110,7 +114,7 @@ class History:
         rows = reduce(lambda a, b: a.unionByName(b), parts)
         if start is not None or end is not None:  # units without month directories
             rows = rows.where((_month() >= F.lit(start or "")) & (_month() <= F.lit(end or "9999-99")))
-        return merge_profiles(rows)
+        return rows
 
     # ------------------------------------------------------------ compaction
 

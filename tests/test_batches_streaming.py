@@ -185,3 +185,98 @@ def test_windowed_stream_with_out_of_order_files(spark, tmp_dir):
     got = exact_metrics(out, {"dataset_ts": "yyyy-MM-dd"})
     assert sorted(map(tuple, got.collect())) == \
         sorted(map(tuple, direct.where(F.col("dataset_ts").isin(emitted)).collect()))
+
+
+def test_stream_batches_append_to_state_and_keep_batch_ids(spark, tmp_dir):
+    """Held rows survive a restart, full batches leave at once, names cannot clash."""
+    import time
+
+    from strata.streaming.batches import batch_column, stream_group_into_batches
+
+    ev = spark.read.parquet(f"{SF001}/events.parquet").withColumn("batch_id", F.col("event_id") * 2)
+    src, out, ck = (os.path.join(tmp_dir, x) for x in ("src", "out", "ck"))
+    ev.where("event_id % 2 = 0").coalesce(1).write.parquet(os.path.join(src, "a"))
+    stream = spark.readStream.schema(ev.schema).parquet(os.path.join(src, "*"))
+    name = batch_column(stream)
+    assert name == "batch_id_"
+
+    def run(wait, until):
+        b = stream_group_into_batches(stream, "event_type", 40, max_wait=wait, shards=1)
+        q = (b.writeStream.format("parquet").option("path", out).option("checkpointLocation", ck)
+             .trigger(processingTime="1 second").start())
+        t0 = time.time()
+        try:
+            while time.time() - t0 < 90:
+                time.sleep(1)
+                rows = spark.read.schema(b.schema).parquet(out) if os.path.exists(out) else None
+                if rows is not None and rows.count() >= until:
+                    return rows.collect()
+        finally:
+            q.stop()
+        raise AssertionError("the stream did not emit its rows")
+
+    half = ev.where("event_id % 2 = 0").groupBy("event_type").count().collect()
+    full = sum(r["count"] // 40 * 40 for r in half)
+    first = run("10 minutes", full)
+    assert len(first) == full  # partial batches wait
+    ev.where("event_id % 2 = 1").coalesce(1).write.parquet(os.path.join(src, "b"))
+    both = ev.groupBy("event_type").count().collect()
+    rows = run("10 minutes", sum(r["count"] // 40 * 40 for r in both))
+    sizes = {}
+    for r in rows:
+        sizes[r.event_type, r[name]] = sizes.get((r.event_type, r[name]), 0) + 1
+    assert set(sizes.values()) == {40} and len({r.event_id for r in rows}) == len(rows)
+    assert all(r.batch_id == 2 * r.event_id for r in rows)
+
+
+def _late_stream(spark, tmp_dir, **kw):
+    """Newer rows first, then older ones, then the oldest with rows without a date."""
+    ev = spark.read.parquet(f"{SF001}/events.parquet").withColumn(
+        "ts", F.when(F.col("event_id") % 97 > 0, F.col("ts")))
+    src, out = os.path.join(tmp_dir, "src"), os.path.join(tmp_dir, "panes")
+    deal = F.when(F.col("ts") >= F.lit("2024-01-16 00:00:00").cast("timestamp_ntz"), 0).when(F.col("ts").isNotNull(), F.col("event_id") % 2 + 1).otherwise(2)
+    for k in range(3):
+        ev.where(deal == k).coalesce(1).write.parquet(os.path.join(src, str(k)))
+    stream = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(os.path.join(src, "*"))
+    profile_stream(stream, out, "ts", "D", checkpoint=os.path.join(tmp_dir, "ck"), lateness="18 days",
+                   trigger={"availableNow": True}, **kw).awaitTermination()
+    newest = ev.where(deal == 0).agg(F.max("ts")).first()[0]
+    import datetime as dt
+    return ev, out, (F.col("ts") >= F.lit(newest - dt.timedelta(days=18)).cast("timestamp_ntz")) | F.col("ts").isNull()
+
+
+def test_late_rows_are_kept_aside_and_corrected(spark, tmp_dir):
+    from strata.streaming.panes import correct_panes
+
+    ev, out, on_time = _late_stream(spark, tmp_dir, late="keep", null_dates="keep")
+    answer = lambda s: sorted(map(tuple, exact_metrics(s).collect()), key=repr)
+    kept = answer(profile(ev.where(on_time), "ts", "D", null_dates="keep"))
+    everything = answer(profile(ev, "ts", "D", null_dates="keep"))
+    assert kept != everything and answer(merge_panes(spark, out)) == kept
+    late = spark.read.parquet(os.path.join(out, "late"))
+    assert sorted(r.event_id for r in late.collect()) == sorted(r.event_id for r in ev.where(~on_time).collect())
+    assert answer(merge_panes(spark, out, corrections=True)) == kept  # nothing corrected yet
+    assert correct_panes(spark, out, "ts", "D", null_dates="keep") == [1, 2]
+    assert answer(merge_panes(spark, out, corrections=True)) == everything
+    assert correct_panes(spark, out, "ts", "D", null_dates="keep") == []  # once
+    assert answer(merge_panes(spark, out)) == kept
+
+
+def test_panes_compact_without_the_newest(spark, tmp_dir):
+    from strata.streaming.panes import compact_panes, pane_history
+
+    ev, out, _ = _late_stream(spark, tmp_dir, late="drop")
+    answer = lambda s: sorted(map(tuple, exact_metrics(s).collect()), key=repr)
+    want = answer(merge_panes(spark, out))
+    assert compact_panes(spark, out).folded == {"pane=0", "pane=1"}
+    assert answer(merge_panes(spark, out)) == want
+    assert pane_history(spark, out).vacuum() == ["pane=0", "pane=1"]
+    assert answer(merge_panes(spark, out)) == want
+
+
+def test_pane_arguments(spark, tmp_dir):
+    from strata.streaming.panes import PaneWriter
+
+    for kw in ({"late": "later"}, {"by": "pane"}, {"by": ["batch_id"]}):
+        with pytest.raises(ValueError):
+            PaneWriter(tmp_dir, "ts", **kw)
