@@ -13,10 +13,11 @@ type class     metrics besides counts
 =============  ==============================================================
 integral       min/max (exact, bigint), moments, KLL(bigint), HLL, top-k
 fractional     NaN/Inf counts, min/max over non-NaN, moments over finite
-               values, KLL(double), HLL (on a 64-bit value hash), no top-k
+               values, KLL(double), HLL (on a 64-bit value hash), no top-k;
+               decimals: min/max also as exact text (``decimal_key``)
 boolean        HLL, top-k
 string         min/max text, moments and KLL of the length, HLL, top-k
-binary         moments and KLL of the length, HLL
+binary         min/max as hexadecimal text, moments and KLL of the length, HLL
 datetime       min/max and KLL of epoch microseconds (UTC), HLL
 object         (array/map/struct) HLL of the canonical JSON text
 =============  ==============================================================
@@ -102,6 +103,30 @@ def _epoch_micros_sql(q: str, dtype: T.DataType) -> str:
     return f"cast(unix_date({q}) as bigint) * 86400000000"
 
 
+# Whole and fractional digits of a decimal's key; Spark's widest
+# decimal has 38 of either.
+KEY_DIGITS = 38
+_FLIP = ("0123456789", "9876543210")
+
+
+def decimal_key(q: str) -> str:
+    """SQL text of a decimal that sorts as the number does, whatever its precision and
+    scale: sign, then digits on a fixed grid (of negative numbers, their complement)."""
+    plain = f"cast(abs({q}) AS string)"
+    digits = (f"concat(lpad(split_part({plain}, '.', 1), {KEY_DIGITS}, '0'), '.', "
+              f"rpad(split_part({plain}, '.', 2), {KEY_DIGITS}, '0'))")
+    return f"CASE WHEN {q} < 0 THEN concat('-', translate({digits}, '{_FLIP[0]}', '{_FLIP[1]}')) ELSE concat('0', {digits}) END"
+
+
+def decimal_text(key: str) -> str:
+    """SQL text of the number that a ``decimal_key`` stands for."""
+    body = f"substring({key}, 2)"
+    digits = f"CASE WHEN {key} LIKE '-%' THEN translate({body}, '{_FLIP[0]}', '{_FLIP[1]}') ELSE {body} END"
+    trimmed = f"rtrim('.', rtrim('0', ltrim('0', {digits})))"
+    return (f"CASE WHEN {key} IS NOT NULL THEN concat(CASE WHEN {key} LIKE '-%' THEN '-' ELSE '' END, "
+            f"CASE WHEN {trimmed} = '' THEN '0' WHEN {trimmed} LIKE '.%' THEN concat('0', {trimmed}) ELSE {trimmed} END) END")
+
+
 def column_aggregates(name: str, dtype: T.DataType, prefix: str, cfg: SketchConfig) -> list[Column]:
     """Partial-profile aggregate expressions of one column.
 
@@ -130,6 +155,9 @@ def column_aggregates(name: str, dtype: T.DataType, prefix: str, cfg: SketchConf
         out["inf"] = f"count_if({v} = double('inf') or {v} = double('-inf'))"
         out["min_d"] = f"min(CASE WHEN NOT isnan({v}) THEN {v} END)"
         out["max_d"] = f"max(CASE WHEN NOT isnan({v}) THEN {v} END)"
+        if isinstance(dtype, T.DecimalType):
+            # a double rounds beyond 15 digits: the exact extrema are kept as text
+            out["min_s"], out["max_s"] = f"min({decimal_key(q)})", f"max({decimal_key(q)})"
         # Distinct values of a double are counted on a 64-bit hash of the value:
         # no text formatting per row, and -0.0 / 0.0 hash alike.  Floats and
         # decimals that a double holds exactly hash as that double, so runs of
@@ -147,6 +175,7 @@ def column_aggregates(name: str, dtype: T.DataType, prefix: str, cfg: SketchConf
         mom_value = f"cast(length({q}) as double)"
         topk_value = q
     elif tc == "binary":
+        out["min_s"], out["max_s"] = f"min(hex({q}))", f"max(hex({q}))"  # sorts as the bytes do
         kll_value, kll_kind = f"cast(length({q}) as bigint)", "bigint"
         mom_value = f"cast(length({q}) as double)"
     elif tc == "datetime":

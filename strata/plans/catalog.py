@@ -34,6 +34,7 @@ from strata.functions.metrics import SketchConfig
 from strata.functions.periods import (
     day_start_epoch, epoch_seconds, from_epoch, parse_frequency, parse_timestamp, period_label,
 )
+from strata.operators import heavy
 from strata.operators.batches import batch_columns, batch_sizes, group_into_batches
 from strata.operators.custom import custom_profile
 from strata.operators.counts import (
@@ -41,16 +42,20 @@ from strata.operators.counts import (
 )
 from strata.operators.merge import lookup, merge_profiles, merge_stores, rollup
 from strata.operators.profile import PERIOD_COLUMN, profile, with_period
-from strata.operators.views import exact_metrics, frequent_items, profile_size
+from strata.operators.views import (
+    across_types, exact_extrema, exact_metrics, frequent_items, profile_size, profile_table,
+)
 from strata.plans.accuracy import global_sketch_accuracy, merged_sketch_accuracy, merged_topk_accuracy
 from strata.operators.user_aggregates import Field, UserAggregate, finish_user, rollup_user, user_profile
 from strata.plans.oracle import TABLE_COLUMNS, count_sql, label_sql, profile_sql, q
 from strata.session import checkpoint_root
 from strata.sinks.history import History
 from strata.sinks.writers import (
-    read_merged, read_profiles, read_text_profiles, write_profiles, write_run, write_text,
+    fan_out, read_merged, read_profiles, read_text_profiles, write_profiles, write_run, write_text,
+)
+from strata.sources.tables import (
+    enforce_schema, read_csv, read_input, read_table, register_tables, split_rows, table_path,
 )
-from strata.sources.tables import read_input, read_table, register_tables, table_path
 from strata.streaming.batches import stream_group_into_batches
 from strata.streaming.panes import compact_panes, correct_panes, merge_panes, pane_history, profile_stream
 from strata.streaming.windows import profile_stream_windowed
@@ -860,6 +865,152 @@ def stream_late_corrected(spark, d):
     return exact_metrics(merge_panes(spark, out, corrections=True), _fmt("D"))
 
 
+# --------------------------------------------------------------------------
+# Heavy hitters, checked rows, type changes, sinks
+# --------------------------------------------------------------------------
+
+def _heavy_sql(columns: list[tuple[str, str, str]], size: int) -> str:
+    """Values above the bound per (table, column, SQL text of the value)."""
+    return "\nUNION ALL\n".join(
+        f"SELECT '{c}' AS \"column\", {text} AS item, count(*) AS count, any_value(t.rows) AS rows, "
+        f"CAST(floor(7.0 * any_value(t.rows) / {size}) AS BIGINT) AS bound "
+        f"FROM {table}, (SELECT count({c}) AS rows FROM {table}) t WHERE {c} IS NOT NULL GROUP BY 2 "
+        f"HAVING count(*) > floor(7.0 * any_value(t.rows) / {size})" for table, c, text in columns)
+
+
+@register("heavy_hitters", _heavy_sql([
+    ("documents", "text", "text"), ("documents", "source", "source"), ("lineitem", "l_discount", "CAST(l_discount AS VARCHAR)"),
+    ("lineitem", "l_suppkey", "CAST(l_suppkey AS VARCHAR)"), ("lineitem", "l_shipdate", "strftime(l_shipdate, '%Y-%m-%d %H:%M:%S')")],
+    heavy.map_size(8192)))
+def heavy_hitters_q(spark, d):
+    """Texts, doubles, integers and times that more rows hold than the bound, counted exactly."""
+    found = [heavy.heavy_hitters(read_table(spark, d, t), columns, capacity=8192) for t, columns in (
+        ("documents", ["text", "source"]), ("lineitem", ["l_discount", "l_suppkey", "l_shipdate"]))]
+    return found[0].unionByName(found[1])
+
+
+_CHECKED_SCHEMA = "event_id int NOT NULL, ts timestamp_ntz, user_id tinyint, value int, props string NOT NULL"
+_CHECKED_SQL = ("(SELECT event_id, CASE WHEN event_id % 7 = 0 THEN 'no date' END AS bad_ts, user_id, value, "
+                "CASE WHEN event_id % 11 = 0 THEN NULL ELSE props END AS props FROM events)")
+
+
+def _checked_events(spark, d) -> DataFrame:
+    ev = read_table(spark, d, "events")
+    text = F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    return ev.select("event_id", F.when(F.col("event_id") % 7 == 0, F.lit("no date")).otherwise(text).alias("ts"), "user_id",
+                     "value", F.when(F.col("event_id") % 11 > 0, F.col("props")).alias("props"))
+
+
+@register("rejected_rows", f"""
+WITH r AS (SELECT CASE WHEN bad_ts IS NOT NULL THEN 'cast:ts' END AS a, CASE WHEN user_id NOT BETWEEN -128 AND 127 THEN 'cast:user_id' END AS b,
+  CASE WHEN value <> trunc(value) THEN 'inexact:value' END AS c, CASE WHEN props IS NULL THEN 'null:props' END AS e FROM {_CHECKED_SQL})
+SELECT concat_ws(',', a, b, c, e) AS reasons, count(*) AS n FROM r GROUP BY 1""")
+def rejected_rows(spark, d):
+    """Rows per combination of reasons (none: accepted), from one reading of the input."""
+    out = f"{checkpoint_root(spark)}/strata-checked-{uuid.uuid4().hex}"
+    good, bad = split_rows(_checked_events(spark, d), _CHECKED_SCHEMA, out)
+    kinds = bad.select(F.array_join("reasons", ",").alias("reasons")).unionByName(good.select(F.lit("").alias("reasons")))
+    return kinds.groupBy("reasons").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("types_across_runs",
+          "SELECT 'v' AS \"column\", 3 * count(*) AS n, 3 * count(*) - count(*) FILTER (o_orderkey IS NULL) - count(*) FILTER (o_totalprice IS NULL) "
+          "- count(*) FILTER (o_orderpriority IS NULL) AS nonnull, count(o_orderkey) AS whole, count(o_totalprice) AS fractions, "
+          "count(o_orderpriority) AS texts, CAST(least(min(o_orderkey), min(o_totalprice)) AS DOUBLE) AS least, "
+          "CAST(greatest(max(o_orderkey), max(o_totalprice)) AS DOUBLE) AS greatest FROM orders")
+def types_across_runs(spark, d):
+    """A column that was whole, then fractional, then text: one row."""
+    orders = read_table(spark, d, "orders")
+    runs = [profile(orders.select(F.col(c).alias("v"))) for c in ("o_orderkey", "o_totalprice", "o_orderpriority")]
+    r = across_types(merge_stores(runs))
+    return r.select("column", "n", "nonnull", F.col("types")["integral"].alias("whole"), F.col("types")["fractional"].alias("fractions"),
+                    F.col("types")["string"].alias("texts"), F.col("least").cast("double").alias("least"),
+                    F.col("greatest").cast("double").alias("greatest"))
+
+
+@register("exact_extrema", "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS \"column\", CAST(min({e}) AS VARCHAR) AS minimum, CAST(max({e}) AS VARCHAR) AS maximum FROM lineitem"
+    for c, e in (("price", "CAST(l_extendedprice * 100 AS BIGINT) * 1000000007"), ("flag", "hex(l_returnflag || l_linestatus)"))))
+def exact_extrema_q(spark, d):
+    """Extrema of decimals beyond 15 digits and of binary values, after a merge."""
+    li = read_table(spark, d, "lineitem")
+    wide = li.select("l_shipdate", (F.round(F.col("l_extendedprice") * 100).cast("decimal(28,10)") * F.lit(1000000007)).cast("decimal(38,10)").alias("price"),
+                     F.concat("l_returnflag", "l_linestatus").cast("binary").alias("flag"))
+    store = profile(wide, "l_shipdate", "A", columns=["price", "flag"])
+    return exact_extrema(merge_profiles(store.drop(PERIOD_COLUMN))).select("column", "minimum", "maximum")
+
+
+# Nulls, NaN and infinities put into given rows (all rows kept).
+_ODD_SQL = ("(SELECT event_id, CASE WHEN event_id % 5 > 0 THEN ts END AS ts, CASE event_id % 13 WHEN 0 THEN 'NaN'::DOUBLE "
+            "WHEN 1 THEN 'Infinity'::DOUBLE WHEN 2 THEN '-Infinity'::DOUBLE WHEN 3 THEN NULL ELSE value END AS value, "
+            "CASE WHEN event_id % 4 > 0 THEN event_type END AS event_type FROM events) e")
+_ODD_COLUMNS = [("event_id", "integral"), ("ts", "datetime"), ("value", "fractional"), ("event_type", "string")]
+
+
+def _odd_events(spark, d) -> DataFrame:
+    ev, k = read_table(spark, d, "events"), F.col("event_id") % 13
+    value = (F.when(k == 0, F.lit(float("nan"))).when(k == 1, F.lit(float("inf"))).when(k == 2, F.lit(float("-inf")))
+             .when(k != 3, F.col("value")))
+    return ev.select("event_id", F.when(F.col("event_id") % 5 > 0, F.col("ts")).alias("ts"), value.alias("value"),
+                     F.when(F.col("event_id") % 4 > 0, F.col("event_type")).alias("event_type"))
+
+
+@register("profile_nulls_and_nan",
+          profile_sql("events", [(PERIOD_COLUMN, label_sql("W", "ts"))], source=_ODD_SQL, columns=_ODD_COLUMNS, where="ts IS NOT NULL"))
+def profile_nulls_and_nan(spark, d):
+    """Rows without a date are left out; nulls, NaN and infinities are counted apart."""
+    return exact_metrics(rollup(profile(_odd_events(spark, d), "ts", "D"), "W"), _fmt("W"))
+
+
+@register("profile_without_date_column",
+          profile_sql("events", [(PERIOD_COLUMN, label_sql("M", "ts"))], source=_ODD_SQL, columns=_ODD_COLUMNS[2:], where="ts IS NOT NULL"))
+def profile_without_date_column(spark, d):
+    """The date column makes the period and is not profiled itself."""
+    return exact_metrics(profile(_odd_events(spark, d), "ts", "M", columns=["value", "event_type"]), _fmt("M"))
+
+
+@register("profile_identity", profile_sql("orders"))
+def profile_identity(spark, d):
+    """The profile of no rows is the identity of merging."""
+    orders = read_table(spark, d, "orders")
+    none = profile(orders.where(F.lit(False)))
+    return exact_metrics(merge_stores([none, profile(orders), none]))
+
+
+@register("csv_round_trip", "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")
+def csv_round_trip(spark, d):
+    """A table written as CSV with a header, read with declared types and enforced."""
+    out = f"{checkpoint_root(spark)}/strata-csv-{uuid.uuid4().hex}"
+    cust = read_table(spark, d, "customer")
+    cust.write.option("header", True).csv(out)
+    schema = "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
+    return enforce_schema(read_csv(spark, out, schema), schema)
+
+
+@register("readable_profile", "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS \"column\", '{tc}' AS type_class, count(*) AS n, count({c}) AS typed, round(avg({x}), 4) AS mean, "
+    f"{top} AS top_item, {top_n} AS top_count FROM region"
+    for c, tc, x, top, top_n in (
+        ("r_regionkey", "integral", "r_regionkey", "CAST(min(r_regionkey) AS VARCHAR)", "1"),
+        ("r_name", "string", "length(r_name)", "min(r_name)", "1"))))
+def readable_profile(spark, d):
+    """The readable table of a profile: types, mean and frequent items decoded."""
+    t = profile_table(profile(read_table(spark, d, "region")), top_k=10)
+    items = F.array_sort(F.transform("frequent_items", lambda x: F.struct(x["item"].alias("item"), x["count"].alias("count"))))
+    return t.select("column", "type_class", "n", F.col("types")[F.col("type_class")].alias("typed"), F.round("mean", 4).alias("mean"),
+                    items[0]["item"].alias("top_item"), items[0]["count"].cast("int").alias("top_count"))
+
+
+@register("fan_out_sinks",
+          profile_sql("orders", [(PERIOD_COLUMN, label_sql("Q", "o_orderdate"))], where="o_orderdate IS NOT NULL"))
+def fan_out_sinks(spark, d):
+    """One profile written once and fed to two more sinks; the answer is the JSON sink's."""
+    out = f"{checkpoint_root(spark)}/strata-fan-{uuid.uuid4().hex}"
+    store = profile(read_table(spark, d, "orders"), "o_orderdate", "Q")
+    fan_out(store, f"{out}/parquet", [lambda s: write_text(s, f"{out}/text"), lambda s: write_profiles(s, f"{out}/each", layout="period")])
+    return exact_metrics(read_text_profiles(spark, f"{out}/text"), _fmt("Q"))
+
+
 def queries() -> dict[str, QueryFn]:
     return dict(QUERIES)
 

@@ -36,7 +36,8 @@ from pyspark.sql import functions as F
 
 from strata.operators.merge import merge_profiles
 from strata.operators.profile import PERIOD_COLUMN
-from strata.sinks import files, manifest
+from strata import files
+from strata.sinks import manifest
 from strata.sinks.manifest import Conflict, Manifest
 from strata.sinks.writers import RUN_COLUMN, between, directory_columns
 

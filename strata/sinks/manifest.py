@@ -12,7 +12,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import SparkSession
 
-from strata.sinks import files
+from strata import files
 
 MANIFESTS = "_history"
 

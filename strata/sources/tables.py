@@ -8,14 +8,18 @@ a dotted identifier (optionally ``project:dataset.table``), so SQL text such as
 
 from __future__ import annotations
 
-import glob
 import os
 import re
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strata import files
+from strata.functions.metrics import quote
+from strata.functions.names import free_name
+
 _IDENT = r"[A-Za-z_][A-Za-z0-9_]*"
 # [catalog.][database.]table, or project:dataset.table; no spaces, quotes or operators.
 _TABLE_RE = re.compile(rf"(?:{_IDENT}\.){{0,2}}{_IDENT}|[A-Za-z0-9_-]+:{_IDENT}\.{_IDENT}")
@@ -75,14 +79,15 @@ def register_tables(spark: SparkSession, directory: str,
                     names: Iterable[str] | None = None) -> list[str]:
     """Register each ``<name>.parquet`` under ``directory`` as a temp view.
 
-    Only footers are read here (schema); the data is scanned by the queries.
+    The directory may lie in any store that Spark reads.  Only footers are read
+    here (schema); the data is scanned by the queries.
     """
     wanted = set(names) if names is not None else None
     done = []
-    for p in sorted(glob.glob(os.path.join(directory, "*.parquet"))):
-        name = os.path.basename(p)[: -len(".parquet")]
-        if wanted is None or name in wanted:
-            spark.read.parquet(p).createOrReplaceTempView(name)
+    for entry in files.children(spark, directory):
+        name = entry.removesuffix(".parquet")
+        if name != entry and (wanted is None or name in wanted):
+            spark.read.parquet(table_path(directory, name)).createOrReplaceTempView(name)
             done.append(name)
     return done
 
@@ -116,3 +121,48 @@ def enforce_schema(df: DataFrame, schema: T.StructType | str) -> DataFrame:
     if missing:
         raise ValueError(f"columns missing from the input: {missing}")
     return df.to(schema)
+
+
+def checked_rows(df: DataFrame, schema: T.StructType | str) -> tuple[DataFrame, str]:
+    """``df`` with an array of reasons for which a row does not fit ``schema`` (empty:
+    it fits), and that column's name.
+
+    Reasons are ``null:<column>`` (no value in a field that must have one),
+    ``cast:<column>`` (the value is not one of the type: text that does not parse, a
+    number out of range) and ``inexact:<column>`` (a number that the type would round).
+    """
+    schema = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    missing = [f.name for f in schema.fields if f.name not in kinds]
+    if missing:
+        raise ValueError(f"columns missing from the input: {missing}")
+    why = []
+    for f in schema.fields:
+        c = F.col(quote(f.name))
+        cast = c.try_cast(f.dataType)
+        if kinds[f.name] != f.dataType:
+            why.append(F.when(c.isNotNull() & cast.isNull(), F.lit(f"cast:{f.name}")))
+            if isinstance(kinds[f.name], T.NumericType) and isinstance(f.dataType, T.NumericType):
+                back = cast.try_cast(kinds[f.name])
+                why.append(F.when(cast.isNotNull() & ~back.eqNullSafe(c), F.lit(f"inexact:{f.name}")))
+        if not f.nullable:
+            why.append(F.when(c.isNull(), F.lit(f"null:{f.name}")))
+    name = free_name(df.columns, "reasons")
+    found = F.array_compact(F.array(*why)) if why else F.array().cast("array<string>")
+    return df.withColumn(name, found), name
+
+
+def split_rows(df: DataFrame, schema: T.StructType | str, folder: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Rows that fit ``schema``, typed by it, and the rejected ones as they came with
+    their ``reasons``.  With ``folder`` the input is read once: the checked rows are
+    written there, the two kinds in directories of their own, and both results read
+    them."""
+    schema = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
+    rows, why = checked_rows(df, schema)
+    fits = free_name(rows.columns, "fits")
+    rows = rows.withColumn(fits, F.size(why) == 0)
+    if folder is not None:
+        rows.write.partitionBy(fits).parquet(folder)
+        rows = df.sparkSession.read.schema(rows.schema).parquet(folder)
+    good = rows.where(F.col(fits)).select(*[F.col(quote(f.name)).cast(f.dataType).alias(f.name) for f in schema.fields])
+    return good, rows.where(~F.col(fits)).drop(fits)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from strata.operators.merge import rollup
 from strata.operators.profile import profile
 from strata.operators.views import exact_metrics
-from strata.sinks import files
+from strata import files
 from strata.sinks.history import BASES, Conflict, History, compact, read_history
 from strata.sinks.writers import read_merged, run_path, write_run
 from tests.conftest import SF001
