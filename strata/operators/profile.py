@@ -26,6 +26,7 @@ both levels merge about sqrt(P) partial rows per group.
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -38,6 +39,7 @@ from strata.functions.metrics import (
 from strata.functions.names import free_name, free_prefix
 from strata.functions.periods import EPOCH_NTZ, FREQ_KEY, as_wall_clock, period_label
 from strata.operators.merge import merge_profiles
+from strata.session import checkpoint_root
 
 # Largest input width merged in one level (reducer fan-in bound).
 SINGLE_LEVEL_MAX = 64
@@ -130,12 +132,62 @@ def tree_fanout(partitions: int) -> int:
     return math.ceil(math.sqrt(partitions))
 
 
+#: Fair shares per shuffle partition: a key that holds more than one share is split.
+SHARES = 4
+WEIGHT = "rows"
+
+
+def key_weights(df: DataFrame, date_column: str | None = None, freq: str = "D", *,
+                by: str | Sequence[str] | None = None, unit: str | None = None, null_dates: str = "drop",
+                anchor: str | None = None, date_errors: str = "raise") -> DataFrame:
+    """Rows per key (period and/or ``by`` columns) in the column ``rows``: reads the key
+    columns only, and histograms of several inputs add up (``merge_weights``)."""
+    by_cols = [by] if isinstance(by, str) else list(by or [])
+    if WEIGHT in by_cols:
+        raise ValueError(f"rename the key column {WEIGHT!r}")
+    src = df.select(*cols(dict.fromkeys([*([date_column] if date_column else []), *by_cols])))
+    label = free_name(df.columns, "__period")
+    if date_column is not None:
+        src = with_period(src, date_column, freq, unit=unit, null_dates=null_dates, anchor=anchor, out=label,
+                          date_errors=date_errors)
+    named = ([F.col(label).alias(PERIOD_COLUMN)] if date_column is not None else []) + cols(by_cols)
+    return src.groupBy(*named).agg(F.count(F.lit(1)).alias(WEIGHT))
+
+
+def merge_weights(weights: DataFrame) -> DataFrame:
+    """Histograms of several inputs, added up."""
+    keys = [c for c in weights.columns if c != WEIGHT]
+    return weights.groupBy(*cols(keys)).agg(F.sum(WEIGHT).alias(WEIGHT))
+
+
+def _salts_by_weight(src: DataFrame, keys: list[str], label: str, weights: DataFrame | None) -> tuple[DataFrame, Column]:
+    """``src`` and the number of salts of each row's key.  Only keys above a fair share
+    are joined, and there are fewer of these than shares, so they can be broadcast."""
+    spark = src.sparkSession
+    shares = SHARES * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if not keys:
+        return src, F.lit(shares)
+    own = free_prefix(src.columns, "__w")
+    if weights is None:
+        weights = src.groupBy(*[F.col(quote(k)).alias(PERIOD_COLUMN if k == label else k) for k in keys]).agg(
+            F.count(F.lit(1)).alias(WEIGHT))
+    # written once: read for the total and for the heavy keys
+    folder = f"{checkpoint_root(spark)}/key-weights-{uuid.uuid4().hex[:12]}"
+    weights.withColumnsRenamed({PERIOD_COLUMN if k == label else k: f"{own}{i}" for i, k in enumerate(keys)}).write.parquet(folder)
+    known = spark.read.parquet(folder)
+    total = known.agg(F.sum(WEIGHT)).first()[0] or 0
+    heavy = known.where(F.col(WEIGHT) * shares > total).select(
+        *[f"{own}{i}" for i in range(len(keys))], F.ceil(F.col(WEIGHT) * shares / F.lit(max(total, 1))).alias(f"{own}n"))
+    same = [F.col(quote(k)).eqNullSafe(F.col(f"{own}{i}")) for i, k in enumerate(keys)]
+    return src.join(F.broadcast(heavy), same, "left"), F.coalesce(F.col(f"{own}n"), F.lit(1))
+
+
 def profile(df: DataFrame, date_column: str | None = None, freq: str = "D", *,
             by: str | Sequence[str] | None = None, columns: Iterable[str] | None = None,
             unit: str | None = None, null_dates: str = "drop", anchor: str | None = None,
             fanout: int | None = None, sketches: SketchConfig | None = None,
             columns_per_pass: int = COLUMNS_PER_PASS,
-            row_shuffle: bool = False, date_errors: str = "raise") -> DataFrame:
+            row_shuffle: bool = False, weights: DataFrame | None = None, date_errors: str = "raise") -> DataFrame:
     """Profile every column of ``df``: per period of ``date_column`` at
     frequency ``freq``, per value of the ``by`` columns, or globally.
 
@@ -150,8 +202,13 @@ def profile(df: DataFrame, date_column: str | None = None, freq: str = "D", *,
     periods (event time not clustered in the files): partial sketches per
     (task, period) would then outweigh the rows, so the profiled columns are
     shuffled by ``(period, row-position salt)`` instead and aggregated after the
-    exchange; a hot period is still split ``fanout`` ways and merged by the
-    same tree.  The choice is the caller's: it is never made from the data.
+    exchange.  How many salts a key gets follows its weight (``key_weights``): one
+    for most, as many as it takes to fill a fair share of the partitions for keys
+    that hold more, so a hot period spreads evenly and the others are not split.
+    ``weights`` is a histogram of the keys from earlier (``key_weights``, added up over
+    runs by ``merge_weights``); without it the key columns are counted first.
+    ``fanout`` gives every key that many salts instead.  The choice of this plan is the
+    caller's: it is never made from the data.
     """
     if df.isStreaming:
         raise ValueError("profile() takes a batch DataFrame; for streams use "
@@ -175,7 +232,7 @@ def profile(df: DataFrame, date_column: str | None = None, freq: str = "D", *,
         chunks = [names[i:i + columns_per_pass] for i in range(0, len(names), columns_per_pass)]
         stores = [profile(df, date_column, freq, by=by_cols, columns=chunk, unit=unit,
                           null_dates=null_dates, anchor=anchor, fanout=fanout, sketches=cfg,
-                          columns_per_pass=columns_per_pass, row_shuffle=row_shuffle,
+                          columns_per_pass=columns_per_pass, row_shuffle=row_shuffle, weights=weights,
                           date_errors=date_errors)
                   for chunk in chunks]
         return reduce(lambda a, b: a.unionByName(b), stores)
@@ -186,12 +243,12 @@ def profile(df: DataFrame, date_column: str | None = None, freq: str = "D", *,
     if date_column is not None and null_dates == "drop":
         df = df.where(F.col(quote(date_column)).isNotNull())  # below any exchange: reaches the scan
     # (with row_shuffle the exchange on (period, salt) already spreads the rows)
+    salts = fanout
     if row_shuffle:
-        src, width = df, input_partitions(df)
+        src = df
     else:
         src, width = spread_narrow_input(df)
-    if fanout is None:
-        fanout = tree_fanout(width)
+        fanout = fanout or tree_fanout(width)
     if date_column is not None:
         src = with_period(src, date_column, freq, unit=unit, null_dates=null_dates, anchor=anchor,
                           date_errors=date_errors, out=label)
@@ -203,11 +260,14 @@ def profile(df: DataFrame, date_column: str | None = None, freq: str = "D", *,
         # splits even a hot period made of identical copies), then co-locate
         # each (period, salt) before aggregating: the exchange moves the
         # profiled columns once and the aggregate needs no second exchange.
-        fanout = max(fanout, 2)
-        src = (src.select(*cols(dict.fromkeys(keys + names)))
-               .withColumn(salt, F.pmod(F.monotonically_increasing_id(), F.lit(fanout))))
+        src = src.select(*cols(dict.fromkeys(keys + names)))
+        if salts is not None:
+            n_salts = F.lit(salts)
+        else:
+            src, n_salts = _salts_by_weight(src, keys, label, weights)
+        src = src.withColumn(salt, F.pmod(F.monotonically_increasing_id(), n_salts))
         group.append(salt)
-        src = src.repartition(*cols(group))
+        src = src.select(*cols(dict.fromkeys([*group, *names]))).repartition(*cols(group))
     elif fanout > 1:
         src = src.withColumn(salt, F.pmod(F.spark_partition_id(), F.lit(fanout)))
         group.append(salt)
@@ -217,7 +277,8 @@ def profile(df: DataFrame, date_column: str | None = None, freq: str = "D", *,
     for i, name in enumerate(names):
         aggs += column_aggregates(name, schema[name], f"{own}c{i}_", cfg)
     wide = src.groupBy(*cols(group)).agg(*aggs)
-    if not keys and fanout > 1:
+    split = bool(row_shuffle) or fanout > 1
+    if not keys and split:
         # A global profile of an empty input still lists every column (n = 0):
         # add the aggregate's identity row; Catalyst folds it to a local row.
         # (Without a salt, the global aggregate yields that row by itself.)
@@ -229,7 +290,7 @@ def profile(df: DataFrame, date_column: str | None = None, freq: str = "D", *,
     named = [F.col(quote(k)).alias(PERIOD_COLUMN) if k == label else F.col(quote(k)) for k in keys]
     keys = [PERIOD_COLUMN if k == label else k for k in keys]
     long = wide.select(*named, F.inline(F.array(*structs)))
-    if fanout == 1:
+    if not split:
         # one level: (keys, column) is already unique
         return long.select(*cols(keys), *METRIC_COLUMNS)
     return merge_profiles(long, keys=keys, sketches=cfg)

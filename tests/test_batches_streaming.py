@@ -280,3 +280,69 @@ def test_pane_arguments(spark, tmp_dir):
     for kw in ({"late": "later"}, {"by": "pane"}, {"by": ["batch_id"]}):
         with pytest.raises(ValueError):
             PaneWriter(tmp_dir, "ts", **kw)
+
+
+def test_stream_is_delivered_to_a_service_once(spark, tmp_dir):
+    """Two starts of one stream, the second after its last commit was lost: every pane's
+    record has one key, and a committed epoch is not sent again."""
+    import glob
+    import json
+
+    from strata.sinks.service import ProfileServiceSink
+    from strata.streaming import profile_stream_windowed
+
+    ev, src = _replay_files(spark, tmp_dir)
+    box, ck = os.path.join(tmp_dir, "box"), os.path.join(tmp_dir, "ck")
+    os.makedirs(box)
+
+    class Recorder(ProfileServiceSink):
+        @classmethod
+        def name(cls):
+            return "recorder"
+
+        def send(self, records):
+            import uuid
+            with open(f"{box}/sent-{uuid.uuid4().hex}", "w") as f:
+                f.writelines(json.dumps([r["key"], r["column"], r["n"]]) + "\n" for r in records)
+
+        def delivered(self, epoch):
+            return os.path.exists(f"{box}/epoch-{epoch}")
+
+        def on_epoch(self, epoch, delivered):
+            with open(f"{box}/epoch-{epoch}", "a") as f:
+                f.write(f"{delivered}\n")
+
+    spark.dataSource.register(Recorder)
+
+    def run():
+        stream = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(os.path.join(src, "*"))
+        long = profile_stream_windowed(stream, "ts", "1 day", watermark="0 seconds", columns=["event_id", "value"])
+        (long.writeStream.format("recorder").option("dataset_id", "ev").option("batch_size", 7).outputMode("append")
+         .option("checkpointLocation", ck).trigger(availableNow=True).start()).awaitTermination()
+
+    def sent():
+        return [json.loads(x) for p in sorted(glob.glob(f"{box}/sent-*")) for x in open(p)]
+
+    run()
+    first = sent()
+    epochs = sorted(int(p.rpartition("-")[2]) for p in glob.glob(f"{box}/epoch-*"))
+    assert first and len({k for k, *_ in first}) == len(first)
+    assert sum(int(x) for e in epochs for x in open(f"{box}/epoch-{e}")) == len(first)
+    # the stream dies after the service's commit and before its own: the epoch comes again
+    for name in (str(epochs[-1]), f".{epochs[-1]}.crc"):
+        if os.path.exists(os.path.join(ck, "commits", name)):
+            os.unlink(os.path.join(ck, "commits", name))
+    run()
+    assert sent() == first
+    # and before the service's commit, too: sent again under the same keys
+    for name in (str(epochs[-1]), f".{epochs[-1]}.crc"):
+        if os.path.exists(os.path.join(ck, "commits", name)):
+            os.unlink(os.path.join(ck, "commits", name))
+    os.unlink(f"{box}/epoch-{epochs[-1]}")
+    run()
+    again = sent()
+    assert {tuple(r) for r in again} == {tuple(r) for r in first}
+    days = {k.split("/")[2][:10] for k, *_ in first}
+    direct = exact_metrics(profile(ev, "ts", "D", columns=["event_id", "value"]), {"dataset_ts": "yyyy-MM-dd"})
+    want = {(r.dataset_ts, r.column, r.n) for r in direct.collect() if r.dataset_ts in days}
+    assert {(k.split("/")[2][:10], c, n) for k, c, n in first} == want

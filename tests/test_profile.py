@@ -348,3 +348,28 @@ def test_merges_plan_no_window(spark, lineitem):
     daily = profile(lineitem, "l_shipdate", "M", columns=["l_quantity"])
     plan = merge_profiles(daily)._jdf.queryExecution().executedPlan().toString()
     assert "Window" not in plan
+
+
+@pytest.mark.parametrize("how", [{"date_column": "ts", "freq": "D"}, {"by": "g"}, {}])
+def test_salts_follow_the_weight_of_a_key(spark, how):
+    """A third of all rows in one key: partitions fill evenly, and the answer is the plain one."""
+    from strata.operators.profile import SHARES, _salts_by_weight, key_weights, merge_weights
+
+    n = 40_000
+    df = spark.range(0, n, 1, 6).select(
+        F.when(F.col("id") % 3 == 0, F.lit("2024-01-01")).otherwise(F.date_add(F.lit("2024-01-02"), (F.col("id") % 500).cast("int")))
+        .cast("timestamp_ntz").alias("ts"), F.when(F.col("id") % 3 > 0, F.col("id") % 500).alias("g"), F.col("id").alias("rows"))
+    answer = lambda s: sorted(map(tuple, exact_metrics(s).collect()), key=repr)
+    want = answer(profile(df, columns=["rows"], **how))
+    assert answer(profile(df, columns=["rows"], row_shuffle=True, **how)) == want
+    if how:
+        old = merge_weights(key_weights(df, **how).unionByName(key_weights(df, **how)))
+        assert old.agg(F.sum("rows")).first()[0] == 2 * n
+        assert answer(profile(df, columns=["rows"], row_shuffle=True, weights=old, **how)) == want
+    if how == {"by": "g"}:
+        src, salts = _salts_by_weight(df.select("g", "rows"), ["g"], "__period", None)
+        salted = src.withColumn("s", F.pmod(F.monotonically_increasing_id(), salts))
+        groups = salted.groupBy("g", "s").count().collect()
+        width = SHARES * int(spark.conf.get("spark.sql.shuffle.partitions"))
+        assert max(r["count"] for r in groups) <= 1.1 * n / width
+        assert {r.s for r in groups if r.g is not None} == {0}  # light keys are not split
