@@ -34,7 +34,7 @@ from strata.functions.metrics import SketchConfig
 from strata.functions.periods import (
     day_start_epoch, epoch_seconds, from_epoch, parse_frequency, parse_timestamp, period_label,
 )
-from strata.operators import heavy
+from strata.operators import heavy, sniff
 from strata.operators.batches import batch_columns, batch_sizes, group_into_batches
 from strata.operators.custom import custom_profile
 from strata.operators.counts import (
@@ -46,7 +46,7 @@ from strata.operators.views import (
     across_types, exact_extrema, exact_metrics, frequent_items, profile_size, profile_table,
 )
 from strata.plans.accuracy import global_sketch_accuracy, merged_sketch_accuracy, merged_topk_accuracy
-from strata.operators.user_aggregates import Field, UserAggregate, finish_user, rollup_user, user_profile
+from strata.operators.user_aggregates import Field, UserAggregate, finish_user, merge_user, rollup_user, user_profile
 from strata.plans.oracle import TABLE_COLUMNS, count_sql, label_sql, profile_sql, q
 from strata.session import checkpoint_root
 from strata.sinks.history import History
@@ -940,6 +940,41 @@ def exact_extrema_q(spark, d):
     return exact_extrema(merge_profiles(store.drop(PERIOD_COLUMN))).select("column", "minimum", "maximum")
 
 
+def _sniff_sql(table: str, columns: list[tuple[str, str]]) -> str:
+    """Counts per kind of value of the text expressions of a table."""
+    out = []
+    for name, text in columns:
+        kind = "CASE WHEN b = '' THEN 'blank' " + " ".join(
+            f"WHEN regexp_full_match(b, '{p[1:-1]}') THEN '{k}'" for k, p in sniff.PATTERNS.items()) + " ELSE 'text' END"
+        counts = ", ".join(f"count(*) FILTER (kind = '{k}') AS \"{k}\"" for k in sniff.KINDS)
+        out.append(
+            f"SELECT '{name}' AS \"column\", {counts}, CASE WHEN count(*) FILTER (kind <> 'blank') = 0 THEN NULL "
+            + " ".join(f"WHEN bool_and(kind IN ({kinds})) THEN '{k}'" for k, kinds in (
+                ("integral", "'integral', 'blank'"), ("boolean", "'boolean', 'blank'"), ("date", "'date', 'blank'"),
+                ("fractional", "'integral', 'fractional', 'blank'")))
+            + f" ELSE 'text' END AS fits FROM (SELECT {kind} AS kind FROM (SELECT trim({text}, ' ' || chr(9) || chr(10) || chr(11) "
+            f"|| chr(12) || chr(13)) AS b FROM {table}) x WHERE b IS NOT NULL) y")
+    return "\nUNION ALL\n".join(out)
+
+
+@register("value_kinds", _sniff_sql("events", [
+    ("props", "props"), ("id", "CAST(event_id AS VARCHAR)"), ("day", "strftime(ts, '%Y-%m-%d')"),
+    ("mixed", "CASE event_id % 6 WHEN 0 THEN ' ' WHEN 1 THEN '-12' WHEN 2 THEN '3.5e2' WHEN 3 THEN 'true' WHEN 4 THEN '2024-02-30T10:00Z' "
+              "ELSE event_type END"),
+    ("price", "CASE WHEN event_id % 2 = 0 THEN '7' ELSE ' 7.25' END")]) + "\nUNION ALL\n" + _sniff_sql("pages", [("url", "url")]))
+def value_kinds(spark, d):
+    """What text columns hold, counted per day and folded."""
+    k = F.col("event_id") % 6
+    ev = read_table(spark, d, "events")
+    texts = ev.select(
+        "ts", "props", F.col("event_id").cast("string").alias("id"), F.date_format("ts", "yyyy-MM-dd").alias("day"),
+        F.when(k == 0, " ").when(k == 1, "-12").when(k == 2, "3.5e2").when(k == 3, "true").when(k == 4, "2024-02-30T10:00Z")
+        .otherwise(F.col("event_type")).alias("mixed"), F.when(F.col("event_id") % 2 == 0, "7").otherwise(" 7.25").alias("price"))
+    daily = sniff.sniff(texts, "ts", "D", null_dates="keep").drop(PERIOD_COLUMN)
+    pages = sniff.sniff(read_table(spark, d, "pages"), columns=["url"])
+    return sniff.sniffed(merge_user(daily)).unionByName(sniff.sniffed(pages))
+
+
 # Nulls, NaN and infinities put into given rows (all rows kept).
 _ODD_SQL = ("(SELECT event_id, CASE WHEN event_id % 5 > 0 THEN ts END AS ts, CASE event_id % 13 WHEN 0 THEN 'NaN'::DOUBLE "
             "WHEN 1 THEN 'Infinity'::DOUBLE WHEN 2 THEN '-Infinity'::DOUBLE WHEN 3 THEN NULL ELSE value END AS value, "

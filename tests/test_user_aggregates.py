@@ -100,3 +100,19 @@ def test_custom_metrics_keep_whole_numbers_and_text(rows):
     assert merge_custom(custom_profile(rows, top, columns=["name"])).first().value == "n299"
     with pytest.raises(ValueError):
         custom_profile(rows, top, columns=["name", "x"])
+
+
+def test_kinds_of_text_values(spark):
+    from strata.operators.sniff import kind_of, sniff, sniffed
+
+    kinds = {"12": "integral", " +7\n": "integral", "-0.5": "fractional", ".5": "fractional", "5.": "fractional", "1e9": "fractional",
+             "TRUE": "boolean", "false": "boolean", "tRUE": "text", "2024-02-29": "date", "2024-02-29T23:59:59.5Z": "date",
+             "2024-13-01": "text", "2024-01-01 24:00": "text", "": "blank", " \t": "blank", "12 13": "text", "\u0661": "text"}
+    df = spark.createDataFrame([(k, v, i % 2) for i, (k, v) in enumerate(kinds.items())] + [(None, None, 0)], "v string, want string, g int")
+    assert [r.v for r in df.withColumn("got", kind_of(F.col("v"))).collect() if r.got != r.want] == []
+    parts = [sniff(df.where(F.col("g") == k), columns=["v"]) for k in (0, 1)]
+    both, direct = sniffed(merge_user(parts[0].unionByName(parts[1]))), sniffed(sniff(df, columns=["v"]))
+    assert both.collect() == direct.collect() and direct.first().fits == "text" and direct.first().integral == 2
+    assert sniffed(sniff(df.where("want in ('integral', 'fractional', 'blank')"), columns=["v"])).first().fits == "fractional"
+    assert sniffed(sniff(df.where("false"), columns=["v"])).first().fits is None
+    assert [r.column for r in sniffed(sniff(df, by="want")).select("column").distinct().collect()] == ["v"]
