@@ -1,7 +1,7 @@
 """Sharding by fixed virtual slots.
 
-Every record is hashed into one of ``n_slots`` slots (a number that never
-changes); bytes are aggregated per slot; a small *slot map* says which shard
+Every record is hashed (id, text and place in the input, so that no id makes a
+hot slot) into one of ``n_slots`` slots, a number that never changes; bytes are aggregated per slot; a small *slot map* says which shard
 owns each slot.  Moving data means editing that map: each edit is stored as a
 new version, and only the records of the edited slots move.
 
@@ -10,8 +10,8 @@ rows, whatever the input.  A record's position inside its shard is numbered
 from (written input part, shard) groups, so no task holds a whole shard.
 
 Defined cases: a null id hashes like any value, a null text has no bytes
-(crc of nothing, 0), repeated rows share a slot and get positions of their
-own, an empty table gives an empty result; further columns are ignored.
+(crc of nothing, 0), rows that repeat or share an id are spread over the slots by
+their place and get positions of their own, an empty table gives an empty result; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -48,7 +48,9 @@ def digest(docs: DataFrame, n_slots: int = N_SLOTS) -> DataFrame:
         F.col("doc_id").cast("long").alias("doc_id"),
         (F.octet_length(text) + F.lit(ROW_BYTES)).cast("long").alias("size"),
         F.crc32(text).alias("text_crc32"),
-        F.pmod(F.xxhash64("doc_id"), F.lit(n_slots)).cast("int").alias("virtual_slot"),
+        # the id alone would put rows of one id (or of none) into one slot
+        F.pmod(F.xxhash64(F.col("doc_id"), F.crc32(text), F.monotonically_increasing_id()), F.lit(n_slots))
+        .cast("int").alias("virtual_slot"),
         F.spark_partition_id().alias("part"))
 
 
