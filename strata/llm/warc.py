@@ -14,11 +14,15 @@ Records have ``record_id, url, at`` (capture order: a timestamp or whole number)
 ``kind`` (``response`` or ``revisit``), ``status``, ``headers`` (map of
 lower-case names), ``digest`` (payload digest, may be null) and ``body``.
 
+Every record is numbered once, in a written table, and joined by that number:
+record ids may repeat or be null.
+
 Defined cases: records without URL or time are kept and never matched; of
-responses at one time the one with the largest id counts as the later; a
-response at the very time of a revisit is not earlier; repeated rows resolve
-alike; null headers are empty; an empty table gives an empty result; further
-columns are ignored.
+responses at one time the one with the largest id counts as the later (null ids
+are the smallest, then the earlier row); a response at the very time of a revisit
+is not earlier; rows that repeat, or share an id, resolve one by one, each by its
+own URL and time; null headers are empty; an empty table gives an empty result;
+further columns are ignored.
 """
 
 from __future__ import annotations
@@ -90,18 +94,19 @@ def resolve(records: DataFrame, buckets: int = BUCKETS) -> DataFrame:
     empty = F.create_map().cast("map<string,string>")
     at = F.col("at")
     at = F.unix_micros(at.cast("timestamp")) if dict(records.dtypes)["at"].startswith("timestamp") else at.cast("long")
-    r = records.select("record_id", canonical_url(F.col("url")).alias("url_key"), at.alias("at"),
+    r = records.select("record_id", F.monotonically_increasing_id().alias("rec"), canonical_url(F.col("url")).alias("url_key"), at.alias("at"),
                        "kind", "status", F.coalesce(F.col("headers"), empty).alias("headers"), "digest", "body")
+    r = written(r, "warc-records")
     full = (F.col("kind") == "response") & (F.col("status") == 200)
     # the as-of join moves ids and validators; bodies join at the end, by id
-    light = r.select("record_id", "url_key", "at", full.alias("full"), (F.col("kind") == "revisit").alias("revisit"))
+    light = r.select("record_id", "rec", "url_key", "at", full.alias("full"), (F.col("kind") == "revisit").alias("revisit"))
     light = light.where("(full or revisit) and url_key is not null and at is not null")
     # cuts at the times' quantiles: buckets of about equally many captures
     cuts = light.agg(F.percentile_approx("at", [i / buckets for i in range(1, buckets)], 10_000)).first()[0] or []
     cuts = sorted(set(cuts))
     bucket = F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c <= F.col("at"))) if cuts else F.lit(0)
     light = written(light.withColumn("bucket", bucket.cast("int")), "warc-times")
-    base = F.when(F.col("full"), F.struct("at", "record_id"))
+    base = F.when(F.col("full"), F.struct("at", "record_id", "rec"))
     inside = Window.partitionBy("url_key", "bucket").orderBy("at").rangeBetween(Window.unboundedPreceding, -1)
     near = light.withColumn("near", F.max(base).over(inside)).where("revisit")
     # the last full response up to the end of each bucket of a URL with revisits
@@ -110,12 +115,13 @@ def resolve(records: DataFrame, buckets: int = BUCKETS) -> DataFrame:
     tops = written(tops.withColumn("far", F.max("top").over(before)).where("far is not null")
                    .select("url_key", "bucket", "far"), "warc-tops")
     found = near.join(tops, ["url_key", "bucket"], "left").select(
-        "record_id", F.coalesce("near.record_id", "far.record_id").alias("base_id"))
-    found = written(found, "warc-bases").distinct()
-    rev = r.where("kind = 'revisit'").join(found, "record_id", "left")
-    bases = r.where(full).select(F.col("record_id").alias("base_id"), F.struct("headers", "digest", "status", "body").alias("base")) \
-        .dropDuplicates(["base_id"])
-    both = rev.withColumn("own", F.struct("headers", "digest")).join(bases, "base_id", "left")
+        "rec", F.coalesce("near", "far").alias("found")).select(
+        "rec", F.col("found.record_id").alias("base_id"), F.col("found.rec").alias("base_rec"))
+    rev = r.where("kind = 'revisit'").join(written(found, "warc-bases"), "rec", "left")
+    # a revisit without a base has a number of its own, so that these do not meet in one task
+    rev = rev.withColumn("base_rec", F.coalesce("base_rec", -F.col("rec") - 1))
+    bases = r.where(full).select(F.col("rec").alias("base_rec"), F.struct("headers", "digest", "status", "body").alias("base"))
+    both = rev.withColumn("own", F.struct("headers", "digest")).join(bases, "base_rec", "left")
     ok = F.coalesce(F.col("base").isNotNull() & validators_agree("own", "base"), F.lit(False))
     return both.select("record_id", "url_key", "base_id", ok.alias("matched"),
                        F.when(ok, F.col("base.status")).alias("status"),
