@@ -10,11 +10,13 @@ Within a source every document is taken a whole number of times, and the
 remainder is filled from documents in a seeded random order (md5 of the id);
 the last one of these is taken in part, so a source's words hit its target.
 The order is never sorted as a whole: two rounds of 4,096 hash buckets narrow
-the cut to one cell, and only that cell is ordered by row.
+the cut to one cell, sums per place in the order to one id, and buckets of the row
+number to a few rows of that id; only these are ordered by row.
 
 Defined cases: null text or blank text has size 0 and is never taken; null
-source is a source of its own, the last; repeated rows count as they stand
-(equal rows follow each other in the order); an empty table gives an empty
+source is a source of its own, the last; rows that repeat or share an id follow
+each other in the order and are told apart by their row number, each taken for
+itself; an empty table gives an empty
 result; further columns are ignored.
 """
 
@@ -28,6 +30,8 @@ from strata.llm.common import quoted, words, written
 WEIGHTS = (5, 2, 1)
 MAX_EPOCHS = 3
 SEED = "mix-1"
+#: Buckets of the rows that share an id.
+TIES = 4096
 
 
 def _order(doc_id: Column) -> Column:
@@ -35,8 +39,9 @@ def _order(doc_id: Column) -> Column:
 
 
 def sizes(docs: DataFrame) -> DataFrame:
-    """``doc_id, source, size`` and the seeded order of every document."""
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"),
+    """``doc_id, source, size``, the seeded order and the row number of every document."""
+    return docs.select(F.monotonically_increasing_id().alias("pos"),
+                       F.col("doc_id").cast("long").alias("doc_id"),
                        F.col("source").cast("string").alias("source"),
                        F.size(words(F.col("text"))).cast("long").alias("size"),
                        _order(F.col("doc_id")).alias("ord"))
@@ -77,6 +82,11 @@ def _bucket(level: int) -> Column:
     return F.conv(F.substring("ord", 1 + 3 * level, 3), 16, 10).cast("int")
 
 
+def _spread(pos: Column) -> Column:
+    """Bucket of a row among those of one id, which share their seeded order."""
+    return F.pmod(F.xxhash64(pos), F.lit(TIES)).cast("int")
+
+
 def _cut(rows: DataFrame, bucket: str, want: str) -> DataFrame:
     """Per source the bucket in which the running size passes ``want`` and
     what is still wanted from it; sources that need nothing have no row."""
@@ -105,8 +115,16 @@ def cuts(sized: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOCHS) -> Dat
             .withColumn("b1", _bucket(0)).withColumn("b2", _bucket(1)))
     cut1 = written(_cut(rows, "b1", "want"), "mix-cut1")
     near = rows.join(cut1, "sid").where(F.col("b1") == F.col("cut_b1"))
-    return written(plan.select("sid", "source_size", "target", "whole")
-                   .join(cut1, "sid", "left").join(_cut(near, "b2", "rest_b1"), "sid", "left"), "mix-cuts")
+    cut2 = written(_cut(near, "b2", "rest_b1"), "mix-cut2")
+    # inside that cell: the place in the order, then the rows of that one id
+    cell = rows.join(cut1, "sid").join(cut2, "sid").where((F.col("b1") == F.col("cut_b1")) & (F.col("b2") == F.col("cut_b2")))
+    cell = written(cell.select("sid", "ord", "size", "pos", "rest_b2"), "mix-cell")
+    cut3 = written(_cut(cell, "ord", "rest_b2"), "mix-cut3")
+    ties = cell.join(cut3, "sid").where(F.col("ord") == F.col("cut_ord")).withColumn("b3", _spread(F.col("pos")))
+    out = plan.select("sid", "source_size", "target", "whole")
+    for cut in (cut1, cut2, cut3, _cut(ties, "b3", "rest_ord")):
+        out = out.join(cut, "sid", "left")
+    return written(out, "mix-cuts")
 
 
 def _placed(rows: DataFrame, cut: DataFrame, sid: Column, ord_name: str) -> DataFrame:
@@ -114,20 +132,20 @@ def _placed(rows: DataFrame, cut: DataFrame, sid: Column, ord_name: str) -> Data
     once more, 0 in the cell of the cut, 1 not taken once more."""
     b1 = F.conv(F.substring(ord_name, 1, 3), 16, 10).cast("int")
     b2 = F.conv(F.substring(ord_name, 4, 3), 16, 10).cast("int")
-    side = (F.when(F.col("mix_cut_b1").isNull() | F.col("mix_cut_b2").isNull(), 1)
-            .when(b1 != F.col("mix_cut_b1"), F.when(b1 < F.col("mix_cut_b1"), -1).otherwise(1))
-            .when(b2 != F.col("mix_cut_b2"), F.when(b2 < F.col("mix_cut_b2"), -1).otherwise(1))
-            .otherwise(0))
+    side = F.when(F.col("mix_cut_b3").isNull(), 1)
+    for mine, cut_at in ((b1, "mix_cut_b1"), (b2, "mix_cut_b2"), (F.col(ord_name), "mix_cut_ord"), (_spread(F.col("pos")), "mix_cut_b3")):
+        side = side.when(mine != F.col(cut_at), F.when(mine < F.col(cut_at), -1).otherwise(1))
+    side = side.otherwise(0)
     cut = cut.select(*[F.col(c).alias("mix_" + c) for c in cut.columns])
     return rows.join(cut, sid == F.col("mix_sid")).withColumn("mix_side", side)
 
 
 def _inside(placed: DataFrame) -> DataFrame:
     """Words taken of each document in a cut's cell, in the seeded order."""
-    cell = Window.partitionBy("mix_sid").orderBy("ord", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    cell = Window.partitionBy("mix_sid").orderBy("size", "pos").rowsBetween(Window.unboundedPreceding, -1)
     before = F.coalesce(F.sum("size").over(cell), F.lit(0))
     return (placed.where("mix_side = 0").withColumn("before", before)
-            .withColumn("part_words", F.greatest(F.lit(0), F.least(F.col("size"), F.col("mix_rest_b2") - F.col("before")))))
+            .withColumn("part_words", F.greatest(F.lit(0), F.least(F.col("size"), F.col("mix_rest_b3") - F.col("before")))))
 
 
 def mix(docs: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOCHS) -> DataFrame:
@@ -151,21 +169,20 @@ def mixed_documents(docs: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOC
     texts stay where they are: only per-source rows and the documents of the
     cut's cells meet them.
 
-    Rows of one cell that share id, source and size take the same part."""
+    Rows are told apart by their place in the input, which is read twice: it must
+    come in the same order again, as files do."""
     sized = written(sizes(docs), "mix-sizes")
     cut = cuts(sized, weights, max_epochs)
     cell = written(_inside(_placed(sized, cut, _sid(F.col("source")), "ord"))
-                   .groupBy("mix_sid", "ord", "size").agg(F.max("part_words").alias("part_words")), "mix-cell")
-    packed = docs.select(F.struct(*[quoted(c) for c in docs.columns]).alias("row"),
+                   .select(F.col("pos").alias("cell_pos"), "part_words"), "mix-last")
+    packed = docs.select(F.monotonically_increasing_id().alias("pos"), F.struct(*[quoted(c) for c in docs.columns]).alias("row"),
                          F.col("text").alias("mix_text"),
                          _order(F.col("doc_id")).alias("ord"), _sid(F.col("source").cast("string")).alias("own_sid"))
     placed = _placed(packed, cut, F.col("own_sid"), "ord").withColumn("mix_words", words(F.col("mix_text")))
-    cell = cell.select(F.col("mix_sid").alias("cell_sid"), F.col("ord").alias("cell_ord"),
-                       F.col("size").alias("cell_size"), "part_words")
     n = F.size("mix_words")
     outside = placed.where("mix_side <> 0").withColumn("part_words", F.when(F.col("mix_side") < 0, n.cast("long")).otherwise(F.lit(0)))
     inside = placed.where("mix_side = 0").join(
-        cell, (F.col("own_sid") == F.col("cell_sid")) & (F.col("ord") == F.col("cell_ord")) & (n == F.col("cell_size")), "left")
+        cell, F.col("pos") == F.col("cell_pos"), "left")
     keep = ["row", "mix_words", F.coalesce("part_words", F.lit(0)).alias("part_words"), "mix_whole"]
     # at most max_epochs repetitions: -1 stands for the whole text
     reps = F.concat(F.expr("array_repeat(bigint(-1), int(mix_whole))"),

@@ -83,6 +83,17 @@ def test_map_versions_move_only_what_they_must(spark, tmp_dir):
     assert sharding.load_map(spark, f"{tmp_dir}/map", 1) == one
 
 
+def test_sharding_by_bytes_holds_where_ids_repeat(spark, docs):
+    """A third of the rows have no id, many of them the same text."""
+    d = docs.select(F.when(F.col("doc_id") % 3 > 0, F.col("doc_id")).alias("doc_id"),
+                    F.when(F.col("doc_id") % 6 > 0, F.col("text")).otherwise(F.lit("one and the same")).alias("text"))
+    d = d.unionByName(d).unionByName(d)
+    load = {r.shard: (r.b, r.m) for r in sharding.shard_documents(d, shards=4).groupBy("shard").agg(
+        F.sum("size").alias("b"), F.max("size").alias("m")).collect()}
+    total, largest = sum(b for b, _ in load.values()), max(m for _, m in load.values())
+    assert all(abs(b - total / 4) <= largest for b, _ in load.values())
+
+
 def test_sharding_odd_input(spark):
     got = sharding.shard_documents(odd_docs(spark), shards=3).collect()
     assert len(got) == 10 and {r.size for r in got if r.doc_id == 2} == {8}
@@ -301,6 +312,21 @@ def test_revisits_resolve_to_the_latest_earlier_response(spark):
     assert warc.resolve(d.limit(0)).count() == 0
 
 
+def test_revisits_that_share_an_id_resolve_by_their_own_url(spark):
+    h = {"etag": '"1"'}
+    long = "x" * 300_000
+    recs = [(i, f"http://{u}/", at, kind, 200 if kind == "response" else 304, h, None, body) for i, u, at, kind, body in [
+        (1, "a", 1, "response", "body a"), (1, "b", 1, "response", "body b"), (None, "c", 1, "response", long),
+        (None, "c", 1, "response", long), (2, "a", 5, "revisit", None), (2, "b", 5, "revisit", None), (2, "b", 5, "revisit", None),
+        (None, "c", 6, "revisit", None), (None, "d", 6, "revisit", None), (None, "a", 0, "revisit", None)]]
+    d = spark.createDataFrame(recs, "record_id long, url string, at long, kind string, status int, "
+                                    "headers map<string,string>, digest string, body string")
+    d = d.select("*", *[F.lit("z").alias(c) for c in ("rec", "base_id", "bucket", "near", "url_key")])
+    got = sorted(((r.record_id, r.url_key, r.base_id, r.matched, r.body) for r in warc.resolve(d, buckets=3).collect()), key=repr)
+    assert got == sorted([(2, "a", 1, True, "body a"), (2, "b", 1, True, "body b"), (2, "b", 1, True, "body b"),
+                          (None, "c", None, True, long), (None, "d", None, False, None), (None, "a", None, False, None)], key=repr)
+
+
 # ----------------------------------------------------------------- url rules
 
 def test_url_rules_odd_input(spark):
@@ -526,6 +552,20 @@ def test_mix_hits_the_targets(docs):
     assert taken == {r.doc_id: r.taken for r in plan.collect() if r.taken}
 
 
+def test_mix_of_rows_that_share_ids(spark, docs):
+    """A third of the ids are null, others repeat, texts are short: the cut falls among
+    rows of one id, and the written documents have the words that the plan took."""
+    d = docs.select(F.when(F.col("doc_id") % 3 > 0, F.col("doc_id") % 7).alias("doc_id"),
+                    F.array_join(F.slice(F.split("text", " "), 1, 30), " ").alias("text"), "lang", "source", "n_chars")
+    plan = mixing.mix(d)
+    for r in plan.groupBy("source").agg(F.first("target").alias("t"), F.sum("taken").alias("n"),
+                                        F.max(F.col("taken") - 3 * F.col("size")).alias("over")).collect():
+        assert abs(r.n - r.t) <= 1 and r.over <= 0
+    words = F.sum(F.size(F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")))
+    out = {r.source: r.n for r in mixing.mixed_documents(d).groupBy("source").agg(words.alias("n")).collect()}
+    assert out == {r.source: r.n for r in plan.groupBy("source").agg(F.sum("taken").alias("n")).collect() if r.n}
+
+
 def test_mixing_odd_input(spark):
     got = mixing.mix(odd_docs(spark)).collect()
     assert len(got) == 10 and all(r.taken == 0 for r in got if r.size == 0)
