@@ -45,9 +45,12 @@ from strata.llm.common import arrow_schema, byte_slices, free_name, mix64, quote
 LEAST_CHARS = 20
 LEAST_DOCUMENTS = 3
 #: Keys and groups' rows that a shard holds on average.
-SHARD_ROWS = 1 << 15
-#: Groups of documents per shuffle partition.
+SHARD_ROWS = 1 << 13
+#: Groups of documents per partition of the dealt-out texts, and the most bytes of the
+#: input (as Spark estimates them) that a group should hold.
 GROUPS = 4
+GROUP_BYTES = 8 << 20
+MOST_GROUPS = 1 << 22
 #: Cells of a level per key that is left.
 GAMMA = 2.0
 #: Fixed value: rows of null ids sort before all others.
@@ -199,6 +202,15 @@ def build_shard(table: pa.Table) -> pa.Table:
 
 # ------------------------------------------------------------------- stages
 
+def _group_count(docs: DataFrame) -> int:
+    """Groups of documents: at least ``GROUPS`` per shuffle partition, more where the
+    input is large, so that a group fits a task at any size.  (The bound only keeps a
+    wild estimate of a join's size from making groups of nothing.)"""
+    width = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    size = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return min(max(GROUPS * width, math.ceil(size / GROUP_BYTES)), max(GROUPS * width, MOST_GROUPS))
+
+
 def _line_rows(dealt: DataFrame, least_chars: int) -> DataFrame:
     """``(grp, h, g, docs, top)``: per group of documents and key."""
 
@@ -251,14 +263,13 @@ def probe_index(rows: DataFrame, index: DataFrame, shards: int, least_documents:
 def drop_repeated_lines(docs: DataFrame, least_chars: int = LEAST_CHARS,
                         least_documents: int = LEAST_DOCUMENTS) -> DataFrame:
     """``docs`` with ``n_lines``, ``n_dropped`` and ``kept_text`` (see module doc)."""
-    spark = docs.sparkSession
-    groups = GROUPS * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    groups = _group_count(docs)
     names = {c: free_name(docs, c) for c in ("n_lines", "n_dropped", "kept_text")}
     rest = [c for c in docs.columns]
     packed = docs.select(F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(groups)).cast("int").alias("grp"),
                          quoted("doc_id").cast("long").alias("id"), quoted("text").alias("text"),
                          F.struct(*[quoted(c).alias(f"c{i}") for i, c in enumerate(rest) if c != "text"]).alias("others"))
-    dealt = packed.repartition("grp")
+    dealt = packed.repartition(math.ceil(groups / GROUPS), "grp")
     rows = written(_line_rows(dealt, least_chars), "lines")
     shards = max(1, math.ceil(rows.count() / SHARD_ROWS))  # the count is read from the files' footers
     index = written(build_index(rows, shards), "line-index")
