@@ -2,12 +2,13 @@
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from strata.llm import queries as llm
 from strata.llm import quality, simhash
 from tests.conftest import SF001
-from tests.llm.test_operators import brute_fp, brute_hits, plain_ids
+from tests.llm.test_operators import brute_fp, brute_hits, empty_docs, odd_docs, plain_ids
 
 
 @pytest.mark.parametrize("name", sorted(llm.oracle_sql()))
@@ -48,3 +49,25 @@ def test_pipeline_stages_take_effect(spark):
     out = f["token-ID output"](spark, mixed, SF001).collect()
     texts = [r.text for r in mixed.collect()]
     assert sum(r.n_tokens for r in out) == sum(map(len, plain_ids(texts))) and len(out) == len(texts)
+
+
+@pytest.mark.parametrize("some", [True, False])
+def test_pipeline_runs_on_odd_and_empty_documents(spark, tmp_dir, some):
+    docs = odd_docs(spark) if some else empty_docs(spark)
+    if some:  # and some that the quality rules keep, two of them near-duplicates, one of no id
+        good = spark.read.parquet(f"{SF001}/documents.parquet")
+        more = docs.columns[len(good.columns):]
+        good = good.select("*", *[F.lit("x").alias(c) for c in more])
+        docs = docs.unionByName(good).unionByName(good.limit(3).withColumn("doc_id", F.lit(None).cast("long")))
+    docs.write.parquet(f"{tmp_dir}/documents.parquet")
+    spark.read.parquet(f"{SF001}/benchmark.parquet").write.parquet(f"{tmp_dir}/benchmark.parquet")
+    out = corpus_pipeline.run(spark, str(tmp_dir)).collect()
+    if not some:
+        assert out == []
+        return
+    stage = spark.read.parquet(f"{tmp_dir}/documents.parquet")
+    for name, f in corpus_pipeline.STAGES[:-1]:
+        stage = f(spark, stage, str(tmp_dir))
+        assert stage.columns == docs.columns, name
+    texts = [r.text for r in stage.collect()]
+    assert len(out) == len(texts) > 0 and sum(r.n_tokens for r in out) == sum(map(len, plain_ids(texts)))
