@@ -1,7 +1,8 @@
 """Compaction of a history: many stores folded into one per period.
 
 A history is a folder of *units*, the stores that runs (``run=<id>``, see
-``write_run``) or stream panes (``pane=<id>``) have added.  Reading it merges all of
+``write_run``) or stream panes (``pane=<id>``) have added.  A unit counts once it is
+whole, that is when Spark has put its ``_SUCCESS`` file there (its default).  Reading it merges all of
 them, so its cost grows with the number of units.  ``compact`` folds units into
 *base* stores, one row per key, period and column, and keeps that fast:
 
