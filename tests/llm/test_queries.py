@@ -67,7 +67,7 @@ def test_pipeline_runs_on_odd_and_empty_documents(spark, tmp_dir, some):
         return
     stage = spark.read.parquet(f"{tmp_dir}/documents.parquet")
     for name, f in corpus_pipeline.STAGES[:-1]:
-        stage = f(spark, stage, str(tmp_dir))
+        stage = f(spark, stage, str(tmp_dir)).cache()  # stages read their input more than once
         assert stage.columns == docs.columns, name
     texts = [r.text for r in stage.collect()]
     assert len(out) == len(texts) > 0 and sum(r.n_tokens for r in out) == sum(map(len, plain_ids(texts)))
