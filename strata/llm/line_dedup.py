@@ -49,8 +49,9 @@ SHARD_ROWS = 1 << 13
 #: Groups of documents per partition of the dealt-out texts, and the most bytes of the
 #: input (as Spark estimates them) that a group should hold.
 GROUPS = 4
-GROUP_BYTES = 8 << 20
-MOST_GROUPS = 1 << 22
+GROUP_BYTES = 64 << 20
+#: Estimates from here on mean that Spark does not know the size.
+UNKNOWN_BYTES = 1 << 50
 #: Cells of a level per key that is left.
 GAMMA = 2.0
 #: Fixed value: rows of null ids sort before all others.
@@ -204,11 +205,11 @@ def build_shard(table: pa.Table) -> pa.Table:
 
 def _group_count(docs: DataFrame) -> int:
     """Groups of documents: at least ``GROUPS`` per shuffle partition, more where the
-    input is large, so that a group fits a task at any size.  (The bound only keeps a
-    wild estimate of a join's size from making groups of nothing.)"""
+    input is known to be large, so that a group fits a task at any size.  Where Spark
+    does not know the size, the shuffle width alone decides."""
     width = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     size = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return min(max(GROUPS * width, math.ceil(size / GROUP_BYTES)), max(GROUPS * width, MOST_GROUPS))
+    return max(GROUPS * width, math.ceil(size / GROUP_BYTES) if size < UNKNOWN_BYTES else 0)
 
 
 def _line_rows(dealt: DataFrame, least_chars: int) -> DataFrame:
