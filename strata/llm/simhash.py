@@ -17,7 +17,9 @@ Keys are therefore 33 to 36 bits of the fingerprint.  They are joined
 (one side's own keys with the other side's neighbour keys), each pair is
 verified by its bit distance, and the links' components are found by
 alternating star contraction.  Copies meet before any of that: the keys are
-made from distinct fingerprints.
+made from distinct fingerprints.  Every join has two sides that grow with the
+input, and a side made in Python is many times the files it is made from, which
+Spark takes for its size: all are merge joins, so none passes through the driver.
 
 Defined cases: null or blank text has fingerprint zero and links like any
 other; a null id takes no part in the minimum (the component of null ids alone
@@ -199,7 +201,7 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
         raise ValueError("the key scheme covers up to three differing bits")
     own = keyed(fps, True).withColumnRenamed("fp", "a")
     near = keyed(fps, False).withColumnRenamed("fp", "b")
-    hit = own.join(near, (own["key"] == near["key"]) & (F.col("a") != F.col("b"))
+    hit = own.join(near.hint("merge"), (own["key"] == near["key"]) & (F.col("a") != F.col("b"))
                    & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits))
     return hit.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
@@ -207,18 +209,19 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """``node, root`` of every node with an edge (``a, b``), by alternating
     large-star and small-star steps (Kiveris et al. 2014).  Each step is one
-    minimum per node and one join; the edges are written out between rounds."""
+    minimum per node and one join; the edges are written out between rounds, and
+    the minima before their join, so that Spark can split a node with many edges."""
     e = written(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), "links")
     state = None
     for _ in range(rounds):
         # large star: a node's larger neighbours go to its smallest one
         both = e.select(F.col("a").alias("u"), F.col("b").alias("v")).unionAll(e.select(F.col("b").alias("u"), F.col("a").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(low, "u").select(F.col("m").alias("a"), F.col("v").alias("b"))
+        low = written(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
+        large = both.where("v > u").join(low.hint("merge"), "u").select(F.col("m").alias("a"), F.col("v").alias("b"))
         large = written(large.distinct(), "links")
         # small star: a node and its smaller neighbours go to the smallest
-        low = large.groupBy("b").agg(F.min("a").alias("m"))
-        small = large.join(low, "b").select(F.col("m").alias("a"), F.col("a").alias("b")).where("a <> b")
+        low = written(large.groupBy("b").agg(F.min("a").alias("m")), "least")
+        small = large.join(low.hint("merge"), "b").select(F.col("m").alias("a"), F.col("a").alias("b")).where("a <> b")
         e = written(small.unionAll(low.select(F.col("m").alias("a"), "b")).distinct(), "links")
         now = e.agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("a", "b")).alias("x")).first()
         if state == now:
@@ -232,16 +235,16 @@ def classes(own: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     rows; ``root`` names the component."""
     one = written(own.groupBy("fp").agg(F.min("doc_id").alias("first")), "fp-classes")
     roots = written(components(links(one, max_bits)), "fp-roots")
-    named = written(one.join(roots, one["fp"] == roots["node"], "left")
+    named = written(one.join(roots.hint("merge"), one["fp"] == roots["node"], "left")
                     .select("fp", "first", F.coalesce("root", "fp").alias("root")), "fp-named")
     least = written(named.groupBy("root").agg(F.min("first").alias("component_id")), "fp-least")
-    return written(named.join(least, "root").select("fp", "root", "component_id"), "fp-components")
+    return written(named.join(least.hint("merge"), "root").select("fp", "root", "component_id"), "fp-components")
 
 
 def cluster(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """``doc_id, fp, component_id``: the smallest id that links reach."""
     own = written(fingerprints(docs, shingle), "fingerprints")
-    return own.join(classes(own, max_bits), "fp").select("doc_id", "fp", "component_id")
+    return own.join(classes(own, max_bits).hint("merge"), "fp").select("doc_id", "fp", "component_id")
 
 
 def drop_near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
@@ -250,7 +253,7 @@ def drop_near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int
     fp, at = free_name(docs, "near_fp"), free_name(docs, "near_row")
     stored = written(with_fingerprint(docs, fp, shingle).withColumn(at, F.monotonically_increasing_id()), "near-docs")
     own = stored.select(quoted(fp).alias("fp"), F.col("doc_id").cast("long").alias("doc_id"), quoted(at).alias("at"))
-    keep = written(own.join(classes(own, max_bits), "fp")
+    keep = written(own.join(classes(own, max_bits).hint("merge"), "fp")
                    .where(F.col("doc_id").eqNullSafe(F.col("component_id")))
                    .groupBy("root").agg(F.min("at").alias(at)).select(at), "near-keep")
     # the list of kept rows grows with the input: never broadcast

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from strata.llm import (
     decontaminate, mixing, pii, quality, sharding, simhash, substring, token_files, url_rules, warc,
 )
-from strata.llm.common import ship
+from strata.llm.common import ship, written
 from tests.conftest import SF001
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
@@ -426,6 +426,22 @@ def test_near_duplicates_odd_input(spark):
     assert simhash.drop_near_duplicates(empty_docs(spark)).count() == 0
 
 
+def test_simhash_joins_pass_nothing_through_the_driver(spark, monkeypatch):
+    ship(spark)
+    d = spark.createDataFrame([(k, f"w{k % 5} a b c", "en", "a", 8) for k in range(40)], DOC)
+    plans = []
+
+    def noted(df, tag):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return written(df, tag)
+
+    monkeypatch.setattr(simhash, "written", noted)
+    plans.append(simhash.cluster(d)._jdf.queryExecution().executedPlan().toString())
+    simhash.drop_near_duplicates(d)
+    assert sum("SortMergeJoin" in p for p in plans) > 8
+    assert not any("Broadcast" in p for p in plans)
+
+
 # ----------------------------------------------------------------------- pii
 
 def brute_pii(t):
