@@ -6,13 +6,16 @@ compared with exact answers as booleans rather than hashed.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.functions.metrics import quote, type_class
+from strata.functions.metrics import cols, quote, type_class
+from strata.functions.names import free_name
 from strata.functions.periods import epoch_micros
-from strata.operators.profile import PERIOD_COLUMN, with_period
+from strata.operators.profile import PERIOD_COLUMN, task_slots, with_period
 from strata.operators.views import frequent_items, quantiles_expr
 
 # Accepted errors.  HLL lgK=12 has ~1.6 % relative standard error
@@ -20,6 +23,7 @@ from strata.operators.views import frequent_items, quantiles_expr
 DISTINCT_REL_ERROR = 0.05
 RANK_ERROR = 0.03
 MERGED_REL_ERROR = 0.065  # four standard errors: many periods are checked at once
+PAIRS_PER_TASK = 1_000_000  # pairs of row and column that one task counts
 TOPK_ERROR = 3.5 / 256  # share of the rows; 128 items are tracked in a map of 256
 
 
@@ -81,16 +85,37 @@ def global_sketch_accuracy(df: DataFrame, store: DataFrame, rank: float = 0.5) -
                     "quantile_ok"))
 
 
+def _distinct_per_period(df: DataFrame, date_column: str, freq: str, columns: list[str]) -> DataFrame:
+    """Exact distinct values per period and column.  Nearly every value may be a key
+    of its own, so no task gets more than about ``PAIRS_PER_TASK`` of them: the rows
+    are dealt out evenly by place, a task's repeats leave before the shuffle (a
+    frequent value then costs a row per task), and as many tasks count what is left.
+    The rows are counted first, which a Parquet table answers from its footers."""
+    spark = df.sparkSession
+    tasks = max(task_slots(spark), math.ceil(df.count() * len(columns) / PAIRS_PER_TASK))
+    place = free_name(df.columns, "__place")
+    needed = df.select(*cols(dict.fromkeys([date_column, *columns])),
+                       F.pmod(F.monotonically_increasing_id(), F.lit(16 * tasks)).alias(place))
+    hashes = [F.struct(F.lit(c).alias("column"), F.when(F.col(quote(c)).isNotNull(), F.xxhash64(F.col(quote(c)))).alias("hash"))
+              for c in columns]
+    keys = [PERIOD_COLUMN, "column", "hash"]
+    # a table's rows of one place share a task, so their repeats need no shuffle of their own
+    local = (with_period(needed.repartition(tasks, place), date_column, freq)
+             .select(place, PERIOD_COLUMN, F.inline(F.array(*hashes))).dropDuplicates([place, *keys]))
+    return (local.select(*keys).repartition(tasks, *keys).dropDuplicates(keys)
+            .groupBy(PERIOD_COLUMN, "column").agg(F.count("hash").alias("distinct_exact")))
+
+
 def merged_sketch_accuracy(df: DataFrame, store: DataFrame, date_column: str, freq: str,
                            columns: list[str], ranks: tuple[float, ...] = (0.1, 0.5, 0.9)) -> DataFrame:
     """Per period and column of a periodic ``store``, held against the rows of
     ``df``: exact distinct values, whether the HLL estimate is within
     ``MERGED_REL_ERROR`` and whether every KLL quantile of ``ranks`` is within
-    ``RANK_ERROR``.  The rows meet their period's estimates in one join."""
+    ``RANK_ERROR``.  The rows meet their period's estimates in one join; these are
+    a few numbers per period and column and are broadcast, so that a period's rows
+    never have to meet in one task."""
     schema = {f.name: f.dataType for f in df.schema.fields}
-    values = [F.struct(F.lit(c).alias("column"),
-                       F.when(F.col(quote(c)).isNotNull(), F.xxhash64(F.col(quote(c)))).alias("hash"),
-                       _kll_value(c, schema[c]).alias("v")) for c in columns]
+    values = [F.struct(F.lit(c).alias("column"), _kll_value(c, schema[c]).alias("v")) for c in columns]
     rows = with_period(df, date_column, freq).select(PERIOD_COLUMN, F.inline(F.array(*values)))
     est = store.where(F.col("column").isin(columns)).select(
         PERIOD_COLUMN, "column", F.col("n").alias("n_store"),
@@ -98,9 +123,9 @@ def merged_sketch_accuracy(df: DataFrame, store: DataFrame, date_column: str, fr
     sides = [e for i in range(len(ranks)) for e in (
         F.count_if(F.col("v") < F.col("q")[i]).alias(f"lt{i}"),
         F.count_if(F.col("v") <= F.col("q")[i]).alias(f"le{i}"))]
-    got = rows.join(est, [PERIOD_COLUMN, "column"], "left").groupBy(PERIOD_COLUMN, "column").agg(
-        F.first("n_store").alias("n"), F.first("est").alias("est"), F.count("v").alias("m"),
-        F.count_distinct("hash").alias("distinct_exact"), *sides)
+    got = rows.join(F.broadcast(est), [PERIOD_COLUMN, "column"], "left").groupBy(PERIOD_COLUMN, "column").agg(
+        F.first("n_store").alias("n"), F.first("est").alias("est"), F.count("v").alias("m"), *sides)
+    got = got.join(_distinct_per_period(df, date_column, freq, columns), [PERIOD_COLUMN, "column"])
     quantiles_ok = F.lit(True)
     for i, r in enumerate(ranks):
         quantiles_ok &= ((F.col(f"lt{i}") <= (r + RANK_ERROR) * F.col("m") + 1)

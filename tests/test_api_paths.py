@@ -150,3 +150,23 @@ def test_command_line_runs_and_plans(spark, tmp_dir):
     merged = read_merged(spark, out)  # the same rows twice, as two runs
     n = merged.agg(F.sum("n")).first()[0]
     assert n == 2 * spark.read.parquet(f"{SF001}/events.parquet").count()
+
+
+def test_accuracy_of_merged_sketches_bounds_each_task(spark, monkeypatch):
+    import datetime
+
+    from strata.plans import accuracy
+
+    day = datetime.datetime(1995, 1, 1)
+    rows = [(k % 7 if k % 3 else None, float(k), day.replace(year=1995 + k % 2) if k % 10 else None) for k in range(2000)]
+    rows += rows[:50]
+    df = spark.createDataFrame(rows, "a long, b double, ts timestamp_ntz")
+    monkeypatch.setattr(accuracy, "PAIRS_PER_TASK", 100)
+    got = accuracy.merged_sketch_accuracy(df, profile(df, "ts", "A"), "ts", "A", ["a", "b"])
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count(f", {-(-len(rows) * 2 // 100)}), REPARTITION_BY_NUM") == 2  # as many tasks as the rows ask for
+    assert not any("hashpartitioning(dataset_ts" in x and "ENSURE" in x and "hash#" in x for x in plan.split("\n"))
+    assert {(r.dataset_ts.year, r.column, r.n, r.distinct_exact, r.distinct_ok, r.quantiles_ok) for r in got.collect()} == {
+        (y, c, sum(r[2] is not None and r[2].year == y for r in rows),
+         len({r[i] for r in rows if r[2] is not None and r[2].year == y and r[i] is not None}), True, True)
+        for y in (1995, 1996) for i, c in enumerate("ab")}
