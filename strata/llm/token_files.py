@@ -50,99 +50,152 @@ HEADER = struct.Struct("<4sBIII")
 
 _SLOTS = 1024
 _GROUPS = 256
+_NEAR = 64
+_ROW = _GROUPS + 16
+_EACH = np.arange(1, _GROUPS + 1, dtype=np.int32)[:, None]
 _ONE = 4096            # scale of the case estimates
 _ROOM = 4170           # a little above it: every case keeps a frequency
 _FIELD = (1 << 27) - 1 | ((1 << 27) - 1) << 32
+_GAIN = np.array([1 << 39, 1 << 7, 0])  # what a case adds to an estimate
 _TOP, _LOW32 = np.uint64(1 << 48), np.uint64((1 << 32) - 1)
 _U4, _U16, _U32, _U48 = np.uint64(4), np.uint64(16), np.uint64(32), np.uint64(48)
 
 
+def _pick(first: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """``np.where`` of integers by bits: it does not slow down on masks that no
+    processor can foretell, and the cases of ids are such masks."""
+    mask = first.view(np.int8).astype(a.dtype)
+    np.negative(mask, out=mask)
+    x = a ^ b
+    x &= mask
+    x ^= b
+    return x
+
+
+def _at_or_below(rows: np.ndarray, want: np.ndarray) -> np.ndarray:
+    """How many of each row's 16 numbers are at or below the wanted one."""
+    ones = (rows <= want[:, None]).view(np.uint64)
+    n = ones[:, 0] + ones[:, 1]
+    n *= np.uint64(0x0101010101010101)  # adds the bytes up
+    n >>= np.uint64(56)
+    return n.view(np.int64)
+
+
 class Model:
     """Adaptive state of many blocks (lanes), advanced together.
 
-    A prediction slot holds ``id << 2 | confidence``; a case estimate holds the
+    ``ids`` holds the blocks' ids by step and lane, as far as they are known.  A
+    prediction slot holds ``id << 2 | confidence``; a case estimate holds the
     shares of case 0 and case 1 as ``a << 32 | b``, so that one multiplication
-    weighs both."""
+    weighs both.  Rows of an array: order 1 and order 2; estimates by the last
+    case, by order 1 and by order 2; cases 0 and 1."""
 
-    def __init__(self, lanes: int):
+    def __init__(self, ids: np.ndarray):
+        lanes, self.ids = ids.shape[1], ids
         lane = np.arange(lanes, dtype=np.int64)
-        self.base, self.lane8, self.lane4, self.lane3 = lane * _SLOTS, lane * 8, lane * 4, lane * 3
-        self.lane_groups, self.lane_cdf = lane * _GROUPS, lane * (_GROUPS + 1)
-        self.pred1 = np.zeros(lanes * _SLOTS, np.int32)
-        self.pred2 = np.zeros(lanes * _SLOTS, np.int32)
+        self.base = (lane * (2 * _SLOTS) + [[0], [_SLOTS]]).astype(np.int32)
+        self.lane15, self.lane_cdf = lane * 15 + [[0], [3], [7]], lane * _ROW
+        self.pred = np.zeros(lanes * 2 * _SLOTS, np.int32)
         third = (_ONE // 3) << 32 | (_ONE // 3)
-        self.by2, self.by1, self.by0 = (np.full(lanes * k, third, np.int64) for k in (8, 4, 3))
-        self.w = [np.full(lanes, 4 * _ONE, np.int64) for _ in range(3)]
-        self.scale = (65533.0 / _ROOM) / (self.w[0] + self.w[1] + self.w[2])
+        self.by = np.full(lanes * 15, third, np.int64)
+        self.w = np.full((3, lanes), 4 * _ONE, np.int64)
+        self.scale = (65533.0 / _ROOM) / self.w.sum(axis=0)
         self.case = np.full(lanes, 2, np.int64)
         self.prev = np.zeros(lanes, np.int32)
         self.before = np.zeros(lanes, np.int32)
-        self.count = np.ones(lanes * _GROUPS, np.int32)
-        self.cdf = np.zeros(lanes * (_GROUPS + 1), np.int32)
-        self.steps = self.refresh = 0
-
-    def predict(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        self.count = np.zeros((-(-lanes // _NEAR), _GROUPS, _NEAR), np.int64)
+        self.cdf = np.full(lanes * _ROW, 65536, np.int32)  # a lane's borders in rows of 16, the last ones beyond its groups
+        self.cdf[::_ROW] = 0
+        self.coarse = np.zeros((lanes, 16), np.int32)  # the first border of each row
+        self.steps = self.refresh = self.counted = 0
+
+    def learn_groups(self, n: int) -> None:
+        """Order-0 distribution of the first ``n`` lanes from the ids so far."""
+        for x in range(0, n, _NEAR):  # few lanes at once stay in the processor's cache
+            y = min(x + _NEAR, n)
+            at = (self.ids[self.counted:self.steps, x:y] >> 8) * _NEAR + np.arange(y - x)
+            count = self.count[x // _NEAR]
+            count += np.bincount(at.ravel(), minlength=_GROUPS * _NEAR).reshape(count.shape)
+            c = np.cumsum(count[:, :y - x], axis=0)
+            c *= 24
+            c += _EACH
+            cdf = self.cdf[x * _ROW:y * _ROW].reshape(y - x, _ROW)
+            part = (c * ((65536 - _GROUPS) / c[-1])).astype(np.int32)
+            part += _EACH
+            cdf[:, 1:_GROUPS] = part[:-1].T
+            self.coarse[x:y] = cdf[:, :_GROUPS:16]
+        self.counted = self.steps
+
+    def predict(self, n: int) -> np.ndarray:
         """Sets the predictions of the first ``n`` lanes and returns the mixed
         frequencies of cases 0 and 1 (all three sum to 65536)."""
-        if self.steps == self.refresh:  # order-0 distribution from the counts so far
-            c = np.cumsum(self.count[:n * _GROUPS].reshape(n, _GROUPS), axis=1, dtype=np.float64)
-            cdf = self.cdf[:n * (_GROUPS + 1)].reshape(n, _GROUPS + 1)
-            cdf[:, 1:] = c * ((65536 - _GROUPS) / c[:, -1:])
-            cdf[:, 1:] += np.arange(1, _GROUPS + 1, dtype=np.int32)
-            cdf[:, -1] = 65536
+        if self.steps == self.refresh:
+            self.learn_groups(n)
             self.refresh += 32 + (self.steps >> 2)  # the more is known, the later
-        h = self.prev[:n] * 40503
-        self.at1 = (h & (_SLOTS - 1)) + self.base[:n]
-        self.at2 = ((h ^ (self.before[:n] * 30011 >> 3)) & (_SLOTS - 1)) + self.base[:n]
-        self.s1, self.s2 = self.pred1.take(self.at1), self.pred2.take(self.at2)
-        self.id1, self.id2 = self.s1 >> 2, self.s2 >> 2
-        self.conf1, self.conf2 = self.s1 & 3, self.s2 & 3
-        self.r2 = self.lane8[:n] + ((self.conf2 << 1) + (self.id1 == self.id2))
-        self.r1 = self.lane4[:n] + self.conf1
-        self.r0 = self.lane3[:n] + self.case[:n]
-        self.g = [t.take(r) for t, r in ((self.by0, self.r0), (self.by1, self.r1), (self.by2, self.r2))]
-        mixed = self.w[0][:n] * self.g[0]
-        mixed += self.w[1][:n] * self.g[1]
-        mixed += self.w[2][:n] * self.g[2]
-        scale = self.scale[:n]
-        f0 = ((mixed >> 32) * scale).astype(np.int64) + 1
-        f1 = ((mixed & 0xFFFFFFFF) * scale).astype(np.int64) + 1
-        return f0, f1
-
-    def update(self, n: int, ids: np.ndarray, is0: np.ndarray, is1: np.ndarray, same1: np.ndarray) -> None:
-        """Learn the ids just coded (``is0``, ``is1``: which case; ``same1``:
-        the order-1 prediction was right, whether or not it was used)."""
-        i0, i1 = is0.view(np.int8).astype(np.int64), is1.view(np.int8).astype(np.int64)
+        h = np.empty((2, n), np.int32)
+        np.multiply(self.prev[:n], 40503, out=h[0])
+        np.multiply(self.before[:n], 30011, out=h[1])
+        h[1] >>= 3
+        h[1] ^= h[0]
+        h &= _SLOTS - 1
+        h += self.base[:, :n]
+        self.at = h.astype(np.int64)
+        self.old = self.pred.take(self.at)
+        self.id, self.conf = self.old >> 2, self.old & 3
+        r = np.empty((3, n), np.int64)
+        r[0] = self.case[:n]
+        r[1:] = self.conf
+        r[2] <<= 1
+        r[2] += self.id[0] == self.id[1]
+        r += self.lane15[:, :n]
+        self.r, self.g = r, self.by.take(r)
+        mixed = (self.w[:, :n] * self.g).sum(axis=0)
+        both = np.empty((2, n), np.int64)
+        np.right_shift(mixed, 32, out=both[0])
+        np.bitwise_and(mixed, 0xFFFFFFFF, out=both[1])
+        f = (both * self.scale[:n]).astype(np.int64)
+        f += 1
+        return f
+
+    def update(self, n: int, ids: np.ndarray, case: np.ndarray, missed: np.ndarray) -> None:
+        """Learn the ids just coded (``missed``: by order 1, by order 2, whether
+        or not their predictions were used)."""
+        g = self.g
         if self.steps % 8 == 0:
-            for w, g in zip(self.w, self.g):
-                w = w[:n]
-                a, b = g >> 32, g & 0xFFFFFFFF
-                w -= w >> 3
-                w += np.where(is0, a, np.where(is1, b, _ROOM - a - b))
-            self.scale[:n] = (65533.0 / _ROOM) / (self.w[0][:n] + self.w[1][:n] + self.w[2][:n])
-        add = (i0 << 39) + (i1 << 7)
-        for g, r, t in zip(self.g, (self.r0, self.r1, self.r2), (self.by0, self.by1, self.by2)):
-            t[r] = g - ((g >> 5) & _FIELD) + add
-        fresh = (ids << 2) + 1
-        for at, old, conf, hit, table in ((self.at1, self.s1, self.conf1, same1, self.pred1),
-                                          (self.at2, self.s2, self.conf2, is0, self.pred2)):
-            table[at] = np.where(hit, old + (conf < 3), np.where(conf > 0, old - 1, fresh))
-        self.count[self.lane_groups[:n] + (ids >> 8)] += 24
+            w = self.w[:, :n]
+            a, b = g >> 32, g & 0xFFFFFFFF
+            w -= w >> 3
+            w += _pick(case == 2, _ROOM - a - b, _pick(case == 1, b, a))
+            self.scale[:n] = (65533.0 / _ROOM) / w.sum(axis=0)
+        less = g >> 5
+        less &= _FIELD
+        g -= less
+        g += _GAIN.take(case)
+        self.by[self.r] = g
+        self.case[:n] = case
+        fresh = ids << 2
+        fresh += 1
+        old = self.old
+        right = old | 3
+        wrong = _pick(self.conf == 0, fresh, old - 1)
+        old += 1
+        self.pred[self.at] = _pick(missed, wrong, np.minimum(old, right, out=right))
         self.before[:n] = self.prev[:n]
         self.prev[:n] = ids
-        self.case[:n] = 2 - 2 * i0 - i1
         self.steps += 1
 
 
 def _due(low: np.ndarray, span: np.ndarray) -> np.ndarray:
     """Which lanes give out their top 16 bits; a lane whose range got too small
     is cut at the next 32-bit border first."""
-    ready = (low ^ (low + span)) < _TOP
-    small = span <= _LOW32
-    if small.any():
-        cut = np.flatnonzero(small & ~ready)
+    high = low + span
+    high ^= low
+    ready, small = high < _TOP, span <= _LOW32
+    cut = (small > ready).nonzero()[0]
+    if len(cut):
         span[cut] = (~low[cut] + np.uint64(1)) & _LOW32
-    return ready | small
+        ready |= small
+    return ready
 
 
 class Encoder:
@@ -157,22 +210,25 @@ class Encoder:
         """Code one of 2**32 parts in each of the first ``n`` lanes."""
         low, span, at = self.low[:n], self.span[:n], self.n[:n]
         r = span >> _U32
-        low += r * cum.view(np.uint64)
         np.multiply(r, freq.view(np.uint64), out=span)
-        due = _due(low, span)
-        self.out[at] = low >> _U48  # lanes that are not due write it again later
-        step = due.view(np.uint8).astype(np.uint64) << _U4
-        low <<= step
-        span <<= step
-        at += due
-        i = np.flatnonzero(due)
+        r *= cum.view(np.uint64)
+        low += r
+        step = _due(low, span).view(np.uint8).astype(np.int64)
+        self.out[at] = (low >> _U48).astype(np.uint16)  # lanes that are not due write it again later
+        at += step
+        step <<= 4
+        low <<= step.view(np.uint64)
+        span <<= step.view(np.uint64)
+        i = _due(low, span).nonzero()[0]
         while len(i):
-            x, y = low[i], span[i]
+            x, y, to = low[i], span[i], at[i]
+            self.out[to] = x >> _U48
+            at[i] = to + 1
+            x <<= _U16
+            y <<= _U16
             due = _due(x, y)
-            i, x, y = i[due], x[due], y[due]
-            self.out[at[i]] = x >> _U48
-            at[i] += 1
-            low[i], span[i] = x << _U16, y << _U16
+            low[i], span[i] = x, y
+            i = i[due]
 
     def finish(self) -> list[bytes]:
         for shift in (48, 32, 16, 0):
@@ -198,27 +254,34 @@ class Decoder:
     def peek(self, n: int) -> np.ndarray:
         """The part of 2**32 that the code points at in each lane."""
         self.r = self.span[:n] >> _U32
-        return np.minimum((self.now[:n] - self.low[:n]) // self.r, _LOW32).view(np.int64)
+        v = self.now[:n] - self.low[:n]
+        v //= self.r
+        return np.minimum(v, _LOW32, out=v).view(np.int64)
 
     def take(self, n: int, cum: np.ndarray, freq: np.ndarray) -> None:
         low, span, now, at = self.low[:n], self.span[:n], self.now[:n], self.n[:n]
-        low += self.r * cum.view(np.uint64)
         np.multiply(self.r, freq.view(np.uint64), out=span)
-        due = _due(low, span)
-        step = due.view(np.uint8).astype(np.uint64) << _U4
-        now <<= step
-        now |= self.code.take(at) * due
-        low <<= step
-        span <<= step
-        at += due
-        i = np.flatnonzero(due)
+        self.r *= cum.view(np.uint64)
+        low += self.r
+        step = _due(low, span).view(np.uint8).astype(np.int64)
+        read = self.code.take(at).astype(np.uint64)
+        read *= step.view(np.uint64)
+        at += step
+        step <<= 4
+        now <<= step.view(np.uint64)
+        now |= read
+        low <<= step.view(np.uint64)
+        span <<= step.view(np.uint64)
+        i = _due(low, span).nonzero()[0]
         while len(i):
-            x, y = low[i], span[i]
+            x, y, to = low[i], span[i], at[i]
+            now[i] = (now[i] << _U16) | self.code[to]
+            at[i] = to + 1
+            x <<= _U16
+            y <<= _U16
             due = _due(x, y)
-            i, x, y = i[due], x[due], y[due]
-            now[i] = (now[i] << _U16) | self.code[at[i]]
-            at[i] += 1
-            low[i], span[i] = x << _U16, y << _U16
+            low[i], span[i] = x, y
+            i = i[due]
 
 
 def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
@@ -226,28 +289,41 @@ def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
     order = sorted(range(len(blocks)), key=lambda i: -len(blocks[i]))
     sizes = np.array([len(blocks[i]) for i in order], np.int64)
     longest = int(sizes[0]) if len(sizes) else 0
-    ids = np.zeros((longest, len(blocks)), np.int32)
-    for lane, i in enumerate(order):
-        ids[:len(blocks[i]), lane] = blocks[i]
-    model, enc = Model(len(blocks)), Encoder(len(blocks), longest)
+    ids = np.zeros((longest, len(blocks)), np.uint16)
+    for a in range(0, len(order), _NEAR):
+        some = np.zeros((len(order[a:a + _NEAR]), longest), np.uint16)
+        for row, i in zip(some, order[a:a + _NEAR]):
+            row[:len(blocks[i])] = blocks[i]
+        ids[:, a:a + _NEAR] = some.T
+    model, enc = Model(ids), Encoder(len(blocks), longest)
     live = np.searchsorted(-sizes, -np.arange(longest), "left")  # lanes longer than each step
     with np.errstate(over="ignore"):
         for t in range(longest):
             n = int(live[t])
-            x = ids[t, :n]
-            f0, f1 = model.predict(n)
-            is0, same1 = model.id2 == x, model.id1 == x
-            is1 = same1 & ~is0
-            cum, freq = np.where(is0, 0, f0 << 16), np.where(is0, f0, f1) << 16
-            lit = np.flatnonzero(~(is0 | is1))
+            x = ids[t, :n].astype(np.int32)
+            f = model.predict(n)
+            missed = model.id != x
+            literal = missed[0] & missed[1]
+            case = (literal.view(np.int8) + missed[1].view(np.int8)).astype(np.int64)
+            lit = literal.nonzero()[0]
+            cum, freq = f[0] * case, _pick(missed[1], f[1], f[0])
+            cum <<= 16
+            freq <<= 16
             if len(lit):
-                y, f01 = x[lit], (f0 + f1)[lit]
-                at = model.lane_cdf[lit] + (y >> 8)
-                a, room = model.cdf.take(at), 65536 - f01
-                f = room * (model.cdf.take(at + 1) - a) >> 8
-                cum[lit], freq[lit] = (f01 << 16) + room * a + (y & 255) * f, f
+                y, f01 = x.take(lit), (f[0] + f[1]).take(lit)
+                at = model.lane_cdf.take(lit) + (y >> 8)
+                a = model.cdf.take(at).astype(np.int64)
+                at += 1
+                room = 65536 - f01
+                each = room * (model.cdf.take(at) - a)
+                each >>= 8
+                f01 <<= 16
+                a *= room
+                a += f01
+                a += (y & 255) * each
+                cum[lit], freq[lit] = a, each
             enc.put(n, cum, freq)
-            model.update(n, x, is0, is1, same1)
+            model.update(n, x, case, missed)
         codes = enc.finish()
     out: list[bytes] = [b""] * len(blocks)
     for lane, i in enumerate(order):
@@ -273,43 +349,64 @@ def decode_blocks(data: list[bytes]) -> list[np.ndarray]:
     order = sorted(range(len(data)), key=lambda i: -heads[i][0])
     sizes = np.array([heads[i][0] for i in order], np.int64)
     longest = int(sizes[0])
-    ids = np.zeros((longest, len(data)), np.int32)
-    model, dec = Model(len(data)), Decoder([data[i][HEADER.size:] for i in order])
+    ids = np.zeros((longest, len(data)), np.uint16)
+    model, dec = Model(ids), Decoder([data[i][HEADER.size:] for i in order])
     live = np.searchsorted(-sizes, -np.arange(longest), "left")
     with np.errstate(over="ignore"):
         for t in range(longest):
             n = int(live[t])
-            f0, f1 = model.predict(n)
+            f = model.predict(n)
             v = dec.peek(n)
-            part, f01 = v >> 16, f0 + f1
-            is0 = part < f0
-            is1 = (part < f01) & ~is0
-            cum, freq = np.where(is0, 0, f0 << 16), np.where(is0, f0, f1) << 16
-            x = np.where(is0, model.id2, model.id1)
-            lit = np.flatnonzero(part >= f01)
+            part, f01 = v >> 16, f[0] + f[1]
+            not0, literal = part >= f[0], part >= f01
+            case = (literal.view(np.int8) + not0.view(np.int8)).astype(np.int64)
+            lit = literal.nonzero()[0]
+            cum, freq = f[0] * case, _pick(not0, f[1], f[0])
+            cum <<= 16
+            freq <<= 16
+            x = _pick(not0, model.id[0], model.id[1])
             if len(lit):
-                f01 = f01[lit]
-                room, rest = 65536 - f01, v[lit] - (f01 << 16)
-                at = model.lane_cdf[lit]
-                g, want = at.copy(), rest // room
-                for half in (128, 64, 32, 16, 8, 4, 2, 1):  # last group that starts at or below
-                    g += half * (model.cdf.take(g + half) <= want)
-                a = model.cdf.take(g)
-                f = room * (model.cdf.take(g + 1) - a) >> 8
-                rest -= room * a
-                low = np.minimum(rest // f, 255)
-                cum[lit], freq[lit] = (f01 << 16) + room * a + low * f, f
-                x[lit] = ((g - at) << 8) | low
+                f01 = f01.take(lit)
+                room = 65536 - f01
+                f01 <<= 16
+                rest = v.take(lit)
+                rest -= f01
+                at = model.lane_cdf.take(lit)
+                want = (rest.view(np.uint64) // room.view(np.uint64)).astype(np.int32)
+                row = _at_or_below(model.coarse.take(lit, axis=0), want)  # last group that starts at or below
+                row -= 1
+                g = at >> 4
+                g += row
+                g = _at_or_below(model.cdf.reshape(-1, 16).take(g, axis=0), want)
+                row <<= 4
+                row -= 1
+                g += row
+                g += at
+                a = model.cdf.take(g).astype(np.int64)
+                each = room * (model.cdf.take(g + 1) - a)
+                each >>= 8
+                a *= room
+                rest -= a
+                low = (rest.view(np.uint64) // each.view(np.uint64)).view(np.int64)
+                np.minimum(low, 255, out=low)
+                a += f01
+                a += low * each
+                cum[lit], freq[lit] = a, each
+                g -= at
+                g <<= 8
+                g += low
+                x[lit] = g
             dec.take(n, cum, freq)
             ids[t, :n] = x
-            model.update(n, x, is0, is1, model.id1 == x)
+            model.update(n, x, case, model.id != x)
     out: list[np.ndarray] = [np.zeros(0, np.int64)] * len(data)
-    for lane, i in enumerate(order):
-        n, crc = heads[i]
-        got = ids[:n, lane]
-        if zlib.crc32(got.astype("<u4").tobytes()) != crc:
-            raise ValueError("a block's ids are damaged")
-        out[i] = got
+    for a in range(0, len(order), _NEAR):
+        some = np.ascontiguousarray(ids[:, a:a + _NEAR].T)
+        for row, i in zip(some, order[a:a + _NEAR]):
+            n, crc = heads[i]
+            out[i] = row[:n].astype(np.int32)
+            if zlib.crc32(out[i].astype("<u4").tobytes()) != crc:
+                raise ValueError("a block's ids are damaged")
     return out
 
 
@@ -351,10 +448,9 @@ def _tokenizer(path: str):
 
 
 def _one_word(piece: bytes) -> str | None:
-    """The model's spelling of a piece made of Latin letters only, which the
-    normalizer merely lower-cases and the splitter leaves whole; else none."""
-    if piece.isalpha():  # ASCII, lower-cased before
-        return piece.decode()
+    """The model's spelling of a piece made of Latin letters only (not all of
+    them ASCII), which the normalizer merely lower-cases and the splitter leaves
+    whole; else none."""
     word = piece.decode("utf-8", "replace")
     if not word.isalpha() or max(word) >= "\u0250":
         return None
@@ -373,43 +469,43 @@ def tokenize(data: np.ndarray, off: np.ndarray, path: str) -> tuple[np.ndarray,
     kind = np.frombuffer(raw.translate(_KIND), np.uint8)
     n = len(kind)
     solid = kind > 0
-    begin = solid.copy()
+    begin, last = solid.copy(), solid.copy()
     if n:
-        begin[1:] &= ~solid[:-1]
+        np.greater(solid[1:], solid[:-1], out=begin[1:])
         begin[1:] |= (kind[:-1] == 1) & (kind[1:] == 2)
         edges = off[:-1][off[:-1] < n]
         begin[edges] = solid[edges]
-    body = raw.translate(_LOWER, _SPACES)
+        last[:-1] &= solid[1:] <= begin[1:]
     at = np.flatnonzero(begin)
-    cuts = np.append(np.flatnonzero(begin[solid]), len(body)).astype(np.int64)
+    cuts = np.zeros(len(at) + 1, np.int64)
+    np.cumsum(np.flatnonzero(last) + 1 - at, out=cuts[1:])
+    body = raw.translate(_LOWER, _SPACES)
     pieces = pa.Array.from_buffers(pa.large_binary(), len(at), [None, pa.py_buffer(cuts), pa.py_buffer(body)])
     coded = pieces.dictionary_encode()
-    which = coded.indices.to_numpy(zero_copy_only=False)
     names = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
     memo = _MEMO.setdefault(path, {})
     if len(memo) > MEMO_WORDS:
         memo.clear()
-    new = [w for w in names if w not in memo]
+    each = list(map(memo.get, names))
+    new = [i for i, e in enumerate(each) if e is None]
     if new:
         t = _tokenizer(path)
-        model, rest = t.model, []
-        for w in new:
-            word = _one_word(w)
+        encode, rest = t.model.tokenize, []
+        for i in new:
+            w = names[i]
+            word = w.decode() if w.isalpha() else _one_word(w)
             if word is None:
-                rest.append(w)
+                rest.append(i)
             else:
-                memo[w] = array("H", [x.id for x in model.tokenize(word)]).tobytes()
+                each[i] = memo[w] = array("H", [x.id for x in encode(word)]).tobytes()
         batch = getattr(t, "encode_batch_fast", t.encode_batch)
         for a in range(0, len(rest), 4096):
             part = rest[a:a + 4096]
-            for w, e in zip(part, batch([x.decode("utf-8", "replace") for x in part], add_special_tokens=False)):
-                memo[w] = array("H", e.ids).tobytes()
-    each = [memo[w] for w in names]
-    lens = np.fromiter(map(len, each), np.int64, len(each)) >> 1
-    flat = np.frombuffer(b"".join(each), np.uint16)
-    first = np.cumsum(lens) - lens
-    ids = flat[ranges(first[which], lens[which])]
-    upto = np.concatenate([[0], np.cumsum(lens[which])])
+            for i, e in zip(part, batch([names[i].decode("utf-8", "replace") for i in part], add_special_tokens=False)):
+                each[i] = memo[names[i]] = array("H", e.ids).tobytes()
+    joined = pa.array(each, pa.large_binary()).take(coded.indices)
+    upto = np.frombuffer(joined.buffers()[1], np.int64, len(at) + 1, 8 * joined.offset) >> 1 if len(at) else cuts
+    ids = np.frombuffer(joined.buffers()[2] or b"", np.uint16, int(upto[-1]))
     return ids, np.diff(upto[np.searchsorted(at, off, "left")])
 
 

@@ -217,6 +217,43 @@ def test_coder_round_trip_and_damage():
         token_files.decode_blocks([bytes(bad)])
 
 
+def mixed_blocks(n, longest):
+    rng = np.random.default_rng(5)
+    return [np.minimum(rng.zipf(1.2, longest - i % 7), 49407).astype(np.uint16) for i in range(n)]
+
+
+def test_coder_writes_the_same_bytes_as_before():
+    coded = token_files.encode_blocks(mixed_blocks(150, 700))  # lanes that end apart, three groups of lanes
+    assert (sum(map(len, coded)), zlib.crc32(b"".join(coded))) == (141966, 1654876870)
+
+
+def test_coder_keeps_no_large_copies_of_its_tables():
+    import tracemalloc
+
+    blocks = mixed_blocks(1024, 100)
+    peaks = []
+    tracemalloc.start()
+    try:
+        coded = token_files.encode_blocks(blocks)
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.reset_peak()
+        token_files.decode_blocks(coded)
+        peaks.append(tracemalloc.get_traced_memory()[1])
+    finally:
+        tracemalloc.stop()
+    assert max(peaks) < 14_500 * 1024  # bytes a lane; 15,900 before
+
+
+def test_choices_without_branches():
+    rng = np.random.default_rng(2)
+    first, a, b = rng.random(99) < 0.5, rng.integers(-2**31, 2**31, 99), rng.integers(-2**31, 2**31, 99)
+    for t in (np.int32, np.int64):
+        assert np.array_equal(token_files._pick(first, a.astype(t), b.astype(t)), np.where(first, a, b))
+    rows = np.sort(rng.integers(0, 50, (99, 16)).astype(np.int32), axis=1)
+    want = rng.integers(0, 50, 99).astype(np.int32)
+    assert np.array_equal(token_files._at_or_below(rows, want), (rows <= want[:, None]).sum(axis=1))
+
+
 def test_checksums_combine():
     a, b = b"abc" * 100, b"xyz" * 33
     assert token_files._combine(zlib.crc32(a), zlib.crc32(b), len(b)) == zlib.crc32(a + b)
